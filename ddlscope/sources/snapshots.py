@@ -6,14 +6,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
 from ddlscope.fixed import HIVE_CATALOGS, UNSUPPORTED_KINDS
 from ddlscope.functions.ddl import kind_from_table_type
 from ddlscope.functions.text import like_matches, normalized, trimmed
 
 
-def read_snapshot(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_snapshot(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A Parquet snapshot with its declared schema; partition columns beyond it, such as a date, are kept."""
     return spark.read.schema(schema).parquet(path)
 

@@ -103,6 +103,15 @@ FIXTURES = {
           CASE WHEN l_linenumber % 3 = 0 THEN ' ' WHEN l_linenumber % 3 = 1
             THEN ' branch ' || lower(l_returnflag) || CAST(l_linenumber AS STRING) || ' '
           ELSE 'Branch ' || l_returnflag || CAST(l_linenumber AS STRING) END AS proposed_name FROM lineitem""",
+    # Submissions to new projects, projects and branches, on the last or on a given revision.
+    "fx_requests": """
+        SELECT o_orderkey AS request_id, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_custkey END AS project_id,
+          CASE o_orderkey % 4 WHEN 2 THEN o_custkey WHEN 1 THEN 0 END AS branch_id,
+          CASE o_orderkey % 3 WHEN 0 THEN o_orderkey WHEN 1 THEN 0 END AS revision_id,
+          'Model "' || CAST(o_custkey AS STRING) || '"' AS project_name, 'postgreSQL' AS db_type,
+          'Branch ' || CAST(o_custkey AS STRING) AS branch_name, 'Import ' || o_orderpriority AS revision_name,
+          o_orderstatus = 'F' AS strict, CASE o_orderstatus WHEN 'P' THEN 'All "objects"' WHEN 'O' THEN '' END AS diagram_name,
+          'payloads/' || CAST(o_custkey AS STRING) AS payload_path FROM orders""",
     "fx_schema_status": """
         SELECT DISTINCT catalog_name, schema_name, CASE WHEN schema_name LIKE '%3' THEN
           'AnalysisException: [SCHEMA_NOT_FOUND] ' || schema_name || chr(10) || 'JVM stacktrace: x' ELSE NULL END AS reason
