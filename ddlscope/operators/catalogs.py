@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ddlscope.fixed import UNGOVERNED_CATALOGS
 
@@ -25,7 +25,7 @@ def with_connection(catalogs: DataFrame, connections: DataFrame, lead: Sequence[
     return joined
 
 
-def is_foreign(catalog_type: str = "catalog_type"):
+def is_foreign(catalog_type: str = "catalog_type") -> Column:
     return F.coalesce(F.col(catalog_type), F.lit("")).contains("FOREIGN")
 
 

@@ -22,20 +22,21 @@ def failure_groups(failed: DataFrame, order: Sequence[str | Column], within: Seq
     """The most frequent reasons, with their counts and the first objects that met them, in `order` of arrival.
     `within` reports them separately, for instance by `permission` or by run.
 
-    Counting runs on partial sums. Examples are looked for only among the reasons reported, and a task passes on no
-    more than the first few rows of a reason."""
+    Counting runs on partial sums, and a task passes on no more than the first few rows of a reason, so one reason
+    may hold most failures. That needs rows that are not partitioned by reason yet: they are reduced before they are
+    joined to the counts, and the few reasons of a report over all failures are broadcast."""
     counted = failed.groupBy(*within, "reason").agg(F.count("*").alias("failures"))
     most = [F.col("failures").desc(), F.col("reason")]
+    keys = [*within, "reason"]
     if within:
         place = F.row_number().over(Window.partitionBy(*within).orderBy(*most))
         top = counted.withColumn("place", place).where(F.col("place") <= FAILURE_GROUPS)
     else:
-        # The window sees the few rows that the limit leaves.
+        # The window and the broadcast see the few rows that the limit leaves.
         top = counted.orderBy(*most).limit(FAILURE_GROUPS).withColumn("place", F.row_number().over(Window.orderBy(*most)))
-    keys = [*within, "reason"]
+        failed = failed.join(F.broadcast(top.select(*keys)), keys, "left_semi")
     arrival = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    first = (failed.join(top.select(*keys), keys, "left_semi").withColumn("nth", arrival)
-             .where(F.col("nth") <= EXAMPLES_PER_GROUP)
+    first = (failed.withColumn("nth", arrival).where(F.col("nth") <= EXAMPLES_PER_GROUP)
              .groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("nth", label().alias("object")))).alias("first")))
     return (top.join(first, keys)
             .select(*within, "place", "failures", F.substring("reason", 1, REASON_CHARS).alias("reason"),

@@ -13,9 +13,12 @@ from ddlscope.sources import snapshots
 
 
 def view_kinds(views: DataFrame, lead: Sequence[str] = (), arrival: str | None = None) -> DataFrame:
-    """One row for each view. Of a repeated name the last one counts, by `arrival` if the listing has such a column."""
-    kind = F.max_by("kind", arrival) if arrival else F.max("kind")
-    return views.groupBy(*lead, *KEYS).agg(kind.alias("view_kind"))
+    """One row for each view. Of a repeated name the last one counts, by `arrival` if the listing has such a column.
+    What is aggregated is a flag and not the kind's text, so that tasks can do it by hashing."""
+    is_materialized = F.col("kind") == "MATERIALIZED VIEW"
+    last = F.max_by(is_materialized, arrival) if arrival else F.max(is_materialized)
+    kind = F.when(F.col("_materialized"), "MATERIALIZED VIEW").otherwise("VIEW")
+    return views.groupBy(*lead, *KEYS).agg(last.alias("_materialized")).select(*lead, *KEYS, kind.alias("view_kind"))
 
 
 def with_view_kinds(tables: DataFrame, views: DataFrame, lead: Sequence[str] = (),
@@ -31,20 +34,21 @@ def _split_on_streaming(tables: DataFrame, streaming: DataFrame, how: str, lead:
 
 
 def without_streaming(tables: DataFrame, streaming: DataFrame, lead: Sequence[str] = ()) -> DataFrame:
+    """Streaming tables match by lower-cased name."""
     return _split_on_streaming(tables, streaming, "left_anti", lead)
 
 
 def streaming_only(tables: DataFrame, streaming: DataFrame, lead: Sequence[str] = ()) -> DataFrame:
     """The listed objects that are left out because they are streaming tables."""
-    return (_split_on_streaming(tables, streaming, "left_semi", lead)
-            .withColumn("kind", F.lit("STREAMING TABLE")))
+    return _split_on_streaming(tables, streaming, "left_semi", lead).withColumn("kind", F.lit("STREAMING TABLE"))
 
 
 def list_objects(tables: DataFrame, views: DataFrame, streaming: DataFrame, pattern: str = "",
                  want_tables: bool = True, want_views: bool = True, lead: Sequence[str] = (),
                  arrival: str | None = None) -> DataFrame:
     """All objects of all schemas in one job: listed, not temporary, not streaming tables, of the wanted families.
-    `tables` and `views` are raw listings. Streaming tables are looked for only when tables are wanted."""
+    `tables` and `views` are raw listings. Streaming tables are looked for only when tables are wanted. Both joins are
+    on the name and what holds it, so no catalog or schema, however large, ends up in one task."""
     listed = snapshots.tables(tables, pattern)
     if want_tables:
         listed = without_streaming(listed, streaming, lead)

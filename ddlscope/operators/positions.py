@@ -30,6 +30,8 @@ def with_position(rows: DataFrame, order: Sequence[Column], group: Sequence[str]
     offsets = reached.select(
         F.col("_part").alias("_at"), *(F.col(g).alias(f"_in_{g}") for g in group), "_first",
         F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"), F.sum("_rows").over(whole).alias("_total"))
+    if not group:
+        offsets = F.broadcast(offsets)  # one row for each range partition
     same = F.col("_part") == F.col("_at")
     for g in group:
         same = same & F.col(g).eqNullSafe(F.col(f"_in_{g}"))

@@ -47,7 +47,7 @@ def page_schema_counts(selected: DataFrame, page: DataFrame, lead: Sequence[str]
 
 def to_export(selected: DataFrame) -> DataFrame:
     """Selected objects whose DDL is there."""
-    return selected.where(F.col("selected") & (F.length("ddl") > 0))
+    return selected.where(F.col("selected") & (F.col("ddl") != ""))
 
 
 def to_generate(selected: DataFrame) -> DataFrame:

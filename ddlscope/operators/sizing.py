@@ -28,16 +28,17 @@ def payload_sizes(chunks: DataFrame, by: Sequence[str] = ("catalog_name",), enve
         (F.sum(json_bytes("chunk")) + joints * 2 + envelope_bytes).alias("body_bytes"))
 
 
-def preview(objects: DataFrame, rows: int, keep_catalog: bool = False, lead: Sequence[str] = ()) -> DataFrame:
-    """The exported texts of the first objects, numbered in listing order. Only keys go through the top-k; the texts
-    are then taken from the at most `rows` objects found."""
+def preview(objects: DataFrame, ddl: DataFrame, rows: int, keep_catalog: bool = False,
+            lead: Sequence[str] = ()) -> DataFrame:
+    """The exported texts of the first objects, numbered in listing order. Only keys go through the top-k. The texts are
+    then taken out of `ddl`, one row per object, by a join with the at most `rows` keys found, so none is shuffled."""
     keys = [*lead, *KEYS]
     order = [*(F.col(c) for c in lead), *listing_order()]
     first = objects.select(*keys).orderBy(*order).limit(rows)
     # The window sees only the rows that the limit leaves.
     numbered = first.withColumn("position", F.row_number().over(Window.orderBy(*order)))
-    found = objects.select(*keys, "ddl").join(F.broadcast(numbered), keys)
-    return with_chunk(found, keep_catalog).select("position", *keys, "chunk").orderBy("position")
+    found = ddl.select(*keys, "ddl").join(F.broadcast(numbered), keys)
+    return with_chunk(found, keep_catalog).select("position", *keys, "chunk")
 
 
 def preview_counts(objects: DataFrame, rows: int, by: Sequence[str] = ("catalog_name",)) -> DataFrame:

@@ -59,9 +59,9 @@ def sample_access(snapshot: Snapshot, listed: DataFrame) -> DataFrame:
 def export(resolved: DataFrame, path: str, keep_catalog: bool = False, raw_limit: int = RAW_LIMIT_BYTES,
            wire_limit: int = WIRE_LIMIT_BYTES, envelope_bytes: int = 0) -> DataFrame:
     """Write the selected objects' payloads and return, for each catalog, their sizes and the verdict on them."""
-    chunks = sizing.with_chunk(selection.to_export(resolved), keep_catalog)
-    payload.write_payload(chunks, path)
-    sizes = sizing.payload_sizes(chunks, envelope_bytes=envelope_bytes)
+    objects = selection.to_export(resolved)
+    payload.write_payload(objects, path, keep_catalog)
+    sizes = sizing.payload_sizes(sizing.with_chunk(objects, keep_catalog), envelope_bytes=envelope_bytes)
     spark = resolved.sparkSession
     return (sizes.join(payload.wire_sizes(spark, path), "catalog_name", "left")
             .withColumn("verdict", size_verdict(F.greatest("raw_bytes", "body_bytes"), "wire_bytes", raw_limit, wire_limit)))

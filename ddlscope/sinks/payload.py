@@ -4,20 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ddlscope.functions.ddl import export_chunk
 from ddlscope.functions.text import listing_order
 
 _FOLDER = "catalog_name=([^/]*)"
 
 
-def write_payload(chunks: DataFrame, path: str, compression: str = "gzip") -> None:
-    """Write one folder per catalog. Its part files, concatenated in name order, are the payload and one line feed.
+def write_payload(objects: DataFrame, path: str, keep_catalog: bool = False, compression: str = "gzip") -> None:
+    """Write the exported texts of objects that have DDL, one folder per catalog. Its part files, concatenated in name
+    order, are the payload and one line feed.
 
     Range partitioning on the full listing order spreads a large schema over many files, and no text passes through
-    one task. The writer ends each row with the line feed that joins the chunks."""
+    one task. The texts are rewritten after the sort: the pass that samples the split points does not rewrite them, and
+    rows of one catalog follow each other, so its pattern is compiled once. The writer ends each row with the line feed
+    that joins the texts."""
     # A catalog that cannot be null needs no conversion by the writer, which would make it sort again.
-    named = chunks.withColumn("catalog_name", F.coalesce("catalog_name", F.lit("")))
-    (named.repartitionByRange(*listing_order()).sortWithinPartitions(*listing_order())
-     .select("catalog_name", "chunk").write.partitionBy("catalog_name").option("compression", compression).text(path))
+    named = objects.select(F.coalesce("catalog_name", F.lit("")).alias("catalog_name"), "schema_name", "object_name", "ddl")
+    ordered = named.repartitionByRange(*listing_order()).sortWithinPartitions(*listing_order())
+    (ordered.select("catalog_name", export_chunk(keep_catalog).alias("chunk"))
+     .write.partitionBy("catalog_name").option("compression", compression).text(path))
 
 
 def read_payload(spark: SparkSession, path: str) -> DataFrame:

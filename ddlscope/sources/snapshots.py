@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ddlscope.fixed import HIVE_CATALOGS, UNSUPPORTED_KINDS
 from ddlscope.functions.ddl import kind_from_table_type
@@ -56,12 +56,13 @@ def views(listing: DataFrame, pattern: str = "") -> DataFrame:
 
 
 def streaming_table_names(information: DataFrame, foreign: DataFrame, lead: Sequence[str] = ()) -> DataFrame:
-    """Lower-cased names of streaming tables; none are looked for in foreign catalogs and in the Hive names."""
+    """Lower-cased names of streaming tables; none are looked for in foreign catalogs and in the Hive names. A name may
+    come twice, which the semi and anti joins on them do not mind."""
     wanted = (F.col("table_type") == "STREAMING_TABLE") & ~F.lower("catalog_name").isin(*HIVE_CATALOGS)
     return (information.where(wanted)
             .join(foreign.select(*lead, "catalog_name"), [*lead, "catalog_name"], "left_anti")
             .select(*lead, "catalog_name", F.col("table_schema").alias("schema_name"),
-                    F.lower("table_name").alias("lower_name")).distinct())
+                    F.lower("table_name").alias("lower_name")))
 
 
 def typed_listing(listing: DataFrame, want_tables: bool = True, want_views: bool = True) -> DataFrame:
@@ -81,14 +82,15 @@ def ddl_texts(snapshot: DataFrame, lead: Sequence[str] = ()) -> DataFrame:
     return snapshot.select(*lead, "catalog_name", "schema_name", "object_name", "ddl")
 
 
-def permanent():
-    return ~F.coalesce(F.col("is_temporary"), F.lit(False))
+def permanent() -> Column:
+    """Not temporary; a missing flag means not. Written so that the file reader can apply it."""
+    return F.col("is_temporary").isNull() | (F.col("is_temporary") == F.lit(False))
 
 
-def wanted_family(want_tables: bool, want_views: bool, kind: str = "kind"):
+def wanted_family(want_tables: bool, want_views: bool, kind: str = "kind") -> Column:
     """Whether the family of the kind, views or tables, is asked for."""
     return F.when(F.col(kind).contains("VIEW"), F.lit(want_views)).otherwise(F.lit(want_tables))
 
 
-def is_unsupported(kind: str = "kind"):
+def is_unsupported(kind: str = "kind") -> Column:
     return F.coalesce(F.col(kind).isin(*UNSUPPORTED_KINDS), F.lit(False))

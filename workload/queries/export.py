@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ddlscope.fixed import PREVIEW_OBJECTS
 from ddlscope.functions.ddl import discard_catalog, export_chunk
 from ddlscope.functions.sizes import json_bytes, size_verdict
 from ddlscope.operators import sizing
@@ -106,7 +107,7 @@ def a12_size_verdict(t):
            FROM (SELECT catalog_name, unnest(string_split(chunk, chr(10))) AS line FROM chunks) GROUP BY ALL""")
 def k1_payload(t):
     path = scratch_path(t.spark, "payload")
-    payload.write_payload(chunks(t), path)
+    payload.write_payload(exported(t), path)
     return (payload.read_payload(t.spark, path).groupBy("catalog_name", F.col("value").alias("line"))
             .agg(F.count("*").alias("times")))
 
@@ -115,7 +116,7 @@ def k1_payload(t):
 @query()
 def a11_wire_bytes(t):
     path = scratch_path(t.spark, "payload")
-    payload.write_payload(bulk_chunks(t), path)
+    payload.write_payload(t("fx_bulk"), path)
     return payload.wire_sizes(t.spark, path)
 
 
@@ -144,9 +145,9 @@ def k2_branch_requests(t):
 @query(f"""WITH {_CHUNKS} SELECT row_number() OVER (ORDER BY catalog_name, schema_name, lower(object_name), object_name)
              AS position, {KEYS}, chunk FROM chunks QUALIFY position <= 200""")
 def k3_preview(t):
-    return sizing.preview(exported(t), 200)
+    return sizing.preview(exported(t), t("fx_ddl"), PREVIEW_OBJECTS)
 
 
 @query(f"WITH {_CHUNKS} SELECT catalog_name, count(*) AS objects, least(count(*), 200) AS shown FROM chunks GROUP BY ALL")
 def k3_preview_counts(t):
-    return sizing.preview_counts(exported(t), 200)
+    return sizing.preview_counts(exported(t), PREVIEW_OBJECTS)

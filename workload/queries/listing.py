@@ -49,7 +49,7 @@ def s6_views(t):
 
 @query(f"WITH {STREAMING} SELECT * FROM streaming")
 def s7_streaming_names(t):
-    return snapshot(t).streaming()
+    return snapshot(t).streaming().distinct()
 
 
 @query("""SELECT catalog_name, schema_name, object_name, replace(CASE WHEN table_type IN ('VIEW', 'MATERIALIZED_VIEW')
