@@ -50,8 +50,8 @@ FIXTURES = {
         FROM fx_objects WHERE table_type <> 'EXTERNAL'""",
     "fx_attempts": """
         SELECT event_id AS attempt_id, ts, user_id AS run_id, CAST(event_id % 5 AS INT) AS attempt,
-          'main' AS catalog_name, 'brand_' || CAST(user_id % 25 + 1 AS STRING) AS schema_name,
-          'obj_' || CAST(event_id % 997 AS STRING) AS object_name,
+          CASE user_id % 4 WHEN 1 THEN 'hive_metastore' WHEN 2 THEN 'ext-sales' ELSE 'main' END AS catalog_name,
+          'brand_' || CAST(user_id % 25 + 1 AS STRING) AS schema_name, 'obj_' || CAST(event_id % 997 AS STRING) AS object_name,
           CASE WHEN event_type = 'click' AND value < 10 THEN 'STREAMING TABLE' ELSE 'TABLE' END AS kind,
           CASE WHEN event_type IN ('click', 'view') THEN NULL
             WHEN event_type = 'error' AND value < 20 THEN
