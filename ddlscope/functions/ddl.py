@@ -17,11 +17,9 @@ _IDENTIFIER = rf"(?:`(?:[^`'\"]++|``|{_STRAY_QUOTE})++`|[A-Za-z_][\w$]*+)"
 _IDENTIFIER_START = rf"(?:`(?:[^`'\"]|``|{_STRAY_QUOTE})(?:[^`'\"]++|{_STRAY_QUOTE})*+`|[A-Za-z_])"
 _PLAIN_NAME = r"(?U)\A[A-Za-z_][\w$]*\z"
 
-# The first six words of a statement, with the white space between them.
-_WORD_SPACE = r"[\s\x1c-\x1f]++"
-_SIX_WORDS = r"(?U)\A[\s\x1c-\x1f]*+((?:[\S&&[^\x1c-\x1f]]++[\s\x1c-\x1f]*+){0,6})"
-# Kinds in the order in which they are looked for; one that is found ends the search.
-_FIRST_KIND = r"(?s)\A(?:.*?(MATERIALIZED VIEW)|.*?(STREAMING TABLE)|.*?(VIEW)|.*?(TABLE)|.*).*\z"
+# White space, and the first six words of a statement with what is between them.
+_GAP = r"[\s\x1c-\x1f]"
+_SIX_WORDS = rf"(?U)\A{_GAP}*+((?:[\S&&[^\x1c-\x1f]]++{_GAP}*+){{0,6}})"
 
 
 def kind_from_table_type(table_type: str | Column) -> Column:
@@ -34,9 +32,18 @@ def kind_from_table_type(table_type: str | Column) -> Column:
 def kind_from_ddl(ddl: str | Column) -> Column:
     """Kind named in the first six words of the statement, null when none is. Only the head of the text is read.
     A name such as `customer_view` within these words counts as well."""
-    words = F.regexp_extract(F.coalesce(as_column(ddl), F.lit("")), _SIX_WORDS, 1)
-    head = F.upper(F.regexp_replace(words, f"(?U){_WORD_SPACE}", " "))
-    return F.nullif(F.regexp_replace(head, _FIRST_KIND, "$1$2$3$4"), F.lit(""))
+    head = F.upper(F.regexp_extract(as_column(ddl), _SIX_WORDS, 1))
+
+    def two_words(text: Column, first: str, second: str) -> Column:
+        return text.contains(first) & text.rlike(f"(?U){first}{_GAP}++{second}")
+
+    def first_kind(text: Column) -> Column:
+        return (F.when(two_words(text, "MATERIALIZED", "VIEW"), "MATERIALIZED VIEW")
+                .when(two_words(text, "STREAMING", "TABLE"), "STREAMING TABLE")
+                .when(text.contains("VIEW"), "VIEW").when(text.contains("TABLE"), "TABLE"))
+
+    # As an array of one, the head is computed once and not again for each kind.
+    return F.transform(F.array(head), first_kind)[0]
 
 
 def _escaped(name: Column, unless: str = rf"(?!{_LITERAL})") -> Column:

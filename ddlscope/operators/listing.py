@@ -64,7 +64,7 @@ def object_records(listing: DataFrame, lead: Sequence[str] = ()) -> DataFrame:
 
 def listed_schemas_only(listing: DataFrame, status: DataFrame, lead: Sequence[str] = ()) -> DataFrame:
     """Objects of the schemas that could be listed; a schema that failed is skipped and the rest go on."""
-    failed = status.where(F.col("reason").isNotNull()).select(*lead, *SCHEMA_KEYS)
+    failed = status.where(F.col("reason").isNotNull()).select(*lead, *SCHEMA_KEYS).distinct()
     return listing.join(failed, [*lead, *SCHEMA_KEYS], "left_anti")
 
 

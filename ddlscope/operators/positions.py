@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ddlscope.session import shared_folder
 
+# Up to this many offsets, of a few dozen bytes each, are broadcast.
+BROADCAST_ROWS = 500_000
+
 
 def with_position(rows: DataFrame, order: Sequence[Column], group: Sequence[str] = (),
                   position: str = "position", total: str | None = None) -> DataFrame:
@@ -30,8 +33,10 @@ def with_position(rows: DataFrame, order: Sequence[Column], group: Sequence[str]
     offsets = reached.select(
         F.col("_part").alias("_at"), *(F.col(g).alias(f"_in_{g}") for g in group), "_first",
         F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"), F.sum("_rows").over(whole).alias("_total"))
-    if not group:
-        offsets = F.broadcast(offsets)  # one row for each range partition
+    # Few and short rows as a rule; counted, so that only a small table is broadcast and a large one joined by shuffle.
+    offsets = offsets.checkpoint()
+    if offsets.count() <= BROADCAST_ROWS:
+        offsets = F.broadcast(offsets)
     same = F.col("_part") == F.col("_at")
     for g in group:
         same = same & F.col(g).eqNullSafe(F.col(f"_in_{g}"))

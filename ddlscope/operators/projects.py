@@ -13,7 +13,8 @@ from ddlscope.operators.positions import with_position
 
 def _taken(proposals: DataFrame, proposed: str, existing: DataFrame, name: str, also: Sequence[str]) -> DataFrame:
     wanted = proposals.withColumn("_name", normalized(proposed)).where(F.col("_name") != "")
-    taken = existing.select(*also, normalized(F.coalesce(name, F.lit(""))).alias("_name"))
+    # Without repeats, so that a name many projects share is one row and not one task's work.
+    taken = existing.select(*also, normalized(F.coalesce(name, F.lit(""))).alias("_name")).distinct()
     return wanted.join(taken, [*also, "_name"], "left_semi").drop("_name")
 
 

@@ -51,5 +51,6 @@ def to_export(selected: DataFrame) -> DataFrame:
 
 
 def to_generate(selected: DataFrame) -> DataFrame:
-    """Selected objects whose DDL is still missing; running it again resumes the work."""
+    """Selected objects whose DDL is still missing; running it again resumes the work. Against a table of what has been
+    generated so far, `outcomes.without` leaves the same objects and reads no text."""
     return selected.where(F.col("selected") & F.col("ddl").isNull())

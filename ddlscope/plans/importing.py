@@ -37,12 +37,12 @@ class Snapshot:
 
 def list_objects(snapshot: Snapshot, schema_pattern: str = "", pattern: str = "", want_tables: bool = True,
                  want_views: bool = True) -> DataFrame:
-    """Objects of the schemas that match and could be listed. The schema filter is applied to both listings, so that
-    it is done at their scans."""
+    """Objects of the schemas that match and could be listed. Schemas are left out at the scans of the listings, before
+    the joins by name: what follows a join by schema would otherwise keep its partitioning, large schemas and all."""
     in_schemas = like_matches("schema_name", schema_pattern)
-    found = listing.list_objects(snapshot.tables.where(in_schemas), snapshot.views.where(in_schemas),
-                                 snapshot.streaming(), pattern, want_tables, want_views, snapshot.lead)
-    return listing.listed_schemas_only(found, snapshot.schema_status, snapshot.lead)
+    tables = listing.listed_schemas_only(snapshot.tables.where(in_schemas), snapshot.schema_status, snapshot.lead)
+    return listing.list_objects(tables, snapshot.views.where(in_schemas), snapshot.streaming(), pattern, want_tables,
+                                want_views, snapshot.lead)
 
 
 def resolve(snapshot: Snapshot, listed: DataFrame) -> DataFrame:

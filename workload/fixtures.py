@@ -5,6 +5,7 @@ Each is one SQL text that both engines run. A text may use the given tables and
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -148,13 +149,16 @@ def with_fixtures(sql: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n" + body
 
 
+@lru_cache(maxsize=256)
 def given(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A given table. Its files are listed and their schema read once per session; rows are read by each query."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def fixture(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """The fixture as one lazy plan over the given tables."""
-    used = [t for t in GIVEN if any(re.search(rf"\b(FROM|JOIN) {t}\b", FIXTURES[n]) for n in _needed(name))]
-    parts = [f"{t} AS (SELECT * FROM parquet.`{folder}/{t}.parquet`)" for t in used]
-    parts += [f"{n} AS ({FIXTURES[n].strip()})" for n in _needed(name)]
-    return spark.sql("WITH " + ",\n".join(parts) + f"\nSELECT * FROM {name}")
+def fixture(spark: SparkSession, folder: str, name: str, **instead: DataFrame) -> DataFrame:
+    """The fixture as one lazy plan over the given tables, or over the frames passed `instead` of them."""
+    texts = {n: FIXTURES[n].strip() for n in _needed(name)}
+    used = [t for t in GIVEN if any(re.search(rf"\bFROM {t}\b", text) for text in texts.values())]
+    parts = [f"{t} AS (SELECT * FROM {{{t}}})" for t in used] + [f"{n} AS ({text})" for n, text in texts.items()]
+    frames = {t: instead.get(t, given(spark, folder, t)) for t in used}
+    return spark.sql("WITH " + ",\n".join(parts) + f"\nSELECT * FROM {name}", **frames)

@@ -1,13 +1,11 @@
 """Progress of runs, in batch and as a stream."""
 
-import re
-
 from pyspark.sql import functions as F
 
 from ddlscope.operators import progress
 from ddlscope.session import scratch_path
 from ddlscope.streaming import outcomes
-from workload.fixtures import FIXTURES, given
+from workload.fixtures import fixture, given
 from workload.registry import query
 from workload.sql import OUTCOME
 
@@ -61,7 +59,7 @@ def w3_running_count(t):
 def st1_run_counts_stream(t):
     schema = given(t.spark, t.folder, "events").schema
     events = t.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(t.folder)
-    attempts = t.spark.sql(re.sub(r"\bFROM events\b", "FROM {events}", FIXTURES["fx_attempts"]), events=events)
+    attempts = fixture(t.spark, t.folder, "fx_attempts", events=events)
     path = scratch_path(t.spark, "runs")
     outcomes.keep_run_counts(attempts, f"{path}/counts", f"{path}/state").awaitTermination()
     return _times_as_numbers(outcomes.latest_run_counts(t.spark, f"{path}/counts"))
