@@ -87,10 +87,11 @@ FIXTURES = {
           ELSE lower(o_orderpriority) || ' ' || CAST(o_custkey AS STRING) END AS name FROM orders""",
     # A branch for each order and part: projects have none, one or more. A null flag is a missing one.
     "fx_branches": """
-        SELECT l_orderkey AS project_id, l_partkey AS branch_id,
-          'Branch ' || max(l_returnflag) || CAST(max(l_linenumber) AS STRING) AS branch_name,
-          CASE max(l_returnflag) WHEN 'A' THEN true WHEN 'N' THEN false ELSE NULL END AS is_main
-        FROM lineitem GROUP BY l_orderkey, l_partkey""",
+        SELECT project_id, branch_id, 'Branch ' || substring('ANR', flag, 1) || CAST(line AS STRING) AS branch_name,
+          CASE flag WHEN 1 THEN true WHEN 2 THEN false ELSE NULL END AS is_main
+        FROM (SELECT l_orderkey AS project_id, l_partkey AS branch_id, max(l_linenumber) AS line,
+                max(CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END) AS flag
+              FROM lineitem GROUP BY l_orderkey, l_partkey) lines""",
     "fx_revisions": """
         SELECT o_custkey AS project_id, o_orderkey AS revision_id,
           CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE CAST(o_orderkey % 97 AS INT) END AS rev_number,
