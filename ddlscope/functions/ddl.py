@@ -47,11 +47,13 @@ def kind_from_ddl(ddl: str | Column) -> Column:
 
 
 def _escaped(name: Column, unless: str = rf"(?!{_LITERAL})") -> Column:
-    """The name as a regex that matches it literally, where a quote must not open a literal."""
-    escaped = F.regexp_replace(name, r"([^\p{L}\p{N}_])", r"\\$1")
-    for quote in ("'", '"'):
-        escaped = F.replace(escaped, F.lit("\\" + quote), F.lit(unless + quote))
-    return escaped
+    """The name as a regex that matches it literally, where a quote must not open a literal. This runs for each row
+    when the catalog is a column, so names without quotes need no regex to be escaped."""
+    escaped = F.replace(name, F.lit(r"\E"), F.lit(r"\E\\E\Q"))
+    before_quote = r"\\E" + unless.replace("\\", "\\\\")
+    guarded = F.regexp_replace(escaped, "(['\"])", rf"{before_quote}$1\\Q")
+    has_quote = name.contains("'") | name.contains('"')
+    return F.concat(F.lit(r"\Q"), F.when(has_quote, guarded).otherwise(escaped), F.lit(r"\E"))
 
 
 def _spellings(name: Column) -> Column:

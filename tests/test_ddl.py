@@ -34,6 +34,11 @@ GOLDEN = [
     ("main.`o'brien`.t = 'z'", "main", "main.`o'brien`.t = 'z'"),
     ("`a'b`.s.t", "a'b", "s.t"),
     ("`a'b`.s.t = 'z'", "a'b", "`a'b`.s.t = 'z'"),
+    ("`a\"'b`.s.t", "a\"'b", "s.t"),
+    ("`a\"'b`.s.t \"", "a\"'b", "`a\"'b`.s.t \""),
+    ("`\\E'`.s.t `x\\`.s.t", "\\E'", "s.t `x\\`.s.t"),
+    ("`x\\`.s.t", "x\\", "s.t"),
+    ("`'`.s.t", "'", "s.t"),
     # Names that need backticks, and characters that mean something in a regex.
     ("`x``y`.s.t", "x`y", "s.t"),
     ("ext-sales.s.t `ext-sales`.s.t", "ext-sales", "ext-sales.s.t s.t"),

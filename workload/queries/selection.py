@@ -1,11 +1,12 @@
 """Search, selection and pages."""
 
+from ddlscope.fixed import PAGE_SIZES
 from ddlscope.functions.text import search_matches
 from ddlscope.operators import paging, selection
 from workload.registry import query
 from workload.sql import KEYS, SELECTED
 
-SIZE = 100
+SIZE = PAGE_SIZES[0]
 _FOUND = "contains(lower(schema_name || '.' || object_name || ' ' || kind), 'bolt_')"
 _PAGED = f"""
 paged AS (
