@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from ddlscope.fixed import RAW_LIMIT_BYTES, WIRE_LIMIT_BYTES
 from ddlscope.functions.sizes import size_verdict
 from ddlscope.functions.text import like_matches
-from ddlscope.operators import catalogs, failures, listing, outcomes, selection, sizing
+from ddlscope.operators import catalogs, failures, listing, outcomes, selection
 from ddlscope.sinks import payload
 from ddlscope.sources import snapshots
 
@@ -58,10 +58,11 @@ def sample_access(snapshot: Snapshot, listed: DataFrame) -> DataFrame:
 
 def export(resolved: DataFrame, path: str, keep_catalog: bool = False, raw_limit: int = RAW_LIMIT_BYTES,
            wire_limit: int = WIRE_LIMIT_BYTES, envelope_bytes: int = 0) -> DataFrame:
-    """Write the selected objects' payloads and return, for each catalog, their sizes and the verdict on them."""
-    objects = selection.to_export(resolved)
+    """Write the selected objects' payloads and return, for each catalog, their sizes and the verdict on them. The texts
+    are brought together once, to be written; sizes come from the files, and the count of objects needs no texts."""
+    objects, spark = selection.to_export(resolved), resolved.sparkSession
     payload.write_payload(objects, path, keep_catalog)
-    sizes = sizing.payload_sizes(sizing.with_chunk(objects, keep_catalog), envelope_bytes=envelope_bytes)
-    spark = resolved.sparkSession
-    return (sizes.join(payload.wire_sizes(spark, path), "catalog_name", "left")
-            .withColumn("verdict", size_verdict(F.greatest("raw_bytes", "body_bytes"), "wire_bytes", raw_limit, wire_limit)))
+    counted = objects.groupBy("catalog_name").agg(F.count("*").alias("objects"))
+    sizes = payload.text_sizes(spark, path, envelope_bytes).join(payload.wire_sizes(spark, path), "catalog_name")
+    verdict = size_verdict(F.greatest("raw_bytes", "body_bytes"), "wire_bytes", raw_limit, wire_limit)
+    return counted.join(sizes, "catalog_name", "left").withColumn("verdict", verdict)

@@ -1,7 +1,8 @@
 """Operators on small tables made by hand, hot groups among them."""
 
-import gzip
 import glob
+import gzip
+import json
 import os
 
 from pyspark.sql import functions as F
@@ -213,7 +214,7 @@ def test_payload_files_are_the_payload_in_order(spark, folder):
         F.when(F.col("id") % 10 == 0, "a+b c/d").otherwise("main").alias("catalog_name"),
         F.when(F.col("id") % 7 == 0, "z").otherwise("big").alias("schema_name"),
         F.concat(F.when(F.col("id") % 2 == 0, "T").otherwise("t"), F.md5(F.col("id").cast("string"))).alias("object_name"),
-        F.concat(F.lit("CREATE TABLE main.s.t -- "), F.col("id").cast("string"), F.lit("\n  é")).alias("ddl"))
+        F.concat(F.lit("CREATE TABLE main.s.t -- "), F.col("id").cast("string"), F.lit("\n\r  é\r\n\n")).alias("ddl"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         payload.write_payload(objects, f"{folder}/out")
@@ -226,7 +227,8 @@ def test_payload_files_are_the_payload_in_order(spark, folder):
     assert files > 1 and gzip.decompress(packed).decode() == wanted + "\n"
     sizes = sizing.payload_sizes(sizing.with_chunk(objects)).where("catalog_name = 'main'").first()
     assert (sizes.objects, sizes.raw_bytes) == (len(kept), len(wanted.encode()))
-    import json
+    written = payload.text_sizes(spark, f"{folder}/out").where("catalog_name = 'main'").first()
+    assert (written.raw_bytes, written.body_bytes) == (sizes.raw_bytes, sizes.body_bytes)
     assert sizes.body_bytes == len(json.dumps(wanted)) - 2
     wire = {r.catalog_name: (r.wire_bytes, r.files) for r in payload.wire_sizes(spark, f"{folder}/out").collect()}
     assert set(wire) == {"main", "a+b c/d"} and wire["main"] == (len(packed), files)

@@ -112,6 +112,15 @@ def k1_payload(t):
             .agg(F.count("*").alias("times")))
 
 
+@query(f"""WITH {_CHUNKS} SELECT catalog_name, CAST(sum(octet_length(encode(chunk))) + count(*) - 1 AS BIGINT) AS raw_bytes,
+             CAST(sum({sql_json_bytes('chunk')}) + (count(*) - 1) * 2 AS BIGINT) AS body_bytes FROM chunks
+           GROUP BY catalog_name""")
+def k1_text_sizes(t):
+    path = scratch_path(t.spark, "payload")
+    payload.write_payload(exported(t), path)
+    return payload.text_sizes(t.spark, path)
+
+
 # Bytes as gzip writes them have no SQL form.
 @query()
 def a11_wire_bytes(t):
