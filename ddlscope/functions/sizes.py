@@ -7,21 +7,20 @@ from pyspark.sql import Column, functions as F
 from ddlscope.fixed import RAW_LIMIT_BYTES, WIRE_LIMIT_BYTES
 from ddlscope.functions.text import as_column
 
-# Characters that ASCII-escaped JSON writes as they are, and those it writes as a backslash and a sign.
-_UNESCAPED = r"[\x20\x21\x23-\x5b\x5d-\x7e]"
-_SHORT_ESCAPES = '"\\\n\r\t\x08\x0c'
-
-
 def json_bytes(text: str | Column) -> Column:
     """Bytes of the text inside an ASCII-escaped JSON string, without the two quotes.
 
-    One pass drops the characters that are written as they are; the few that remain take two bytes when they have
-    a short escape, else six, or twelve above U+FFFF."""
+    The JSON writer escapes quotes, backslashes and control characters, one byte for each character it then has. What it
+    leaves and ASCII-escaped JSON does not, takes six bytes: the delete character and all beyond ASCII, or twelve above
+    U+FFFF. Texts are searched for the latter only when they have more bytes than characters."""
     text = as_column(text)
-    escaped = F.regexp_replace(text, f"{_UNESCAPED}++", "")
-    longer = F.translate(escaped, _SHORT_ESCAPES, "")
-    beyond_plane = F.regexp_replace(longer, r"[\x00-\x{ffff}]++", "")
-    return (F.length(text) + F.length(escaped) + 4 * F.length(longer) + 6 * F.length(beyond_plane)).cast("bigint")
+    around = len('{"t":""}')
+    written = F.length(F.to_json(F.struct(text.alias("t")))) - around
+    deletes = F.length(text) - F.length(F.replace(text, F.lit("\x7f"), F.lit("")))
+    beyond_ascii = F.length(F.regexp_replace(text, r"[\x00-\x7f]++", ""))
+    beyond_plane = F.length(F.regexp_replace(text, r"[\x00-\x{ffff}]++", ""))
+    longer = F.when(F.octet_length(text) == F.length(text), 0).otherwise(5 * beyond_ascii + 6 * beyond_plane)
+    return F.when(text.isNotNull(), (written + 5 * deletes + longer).cast("bigint"))
 
 
 def size_verdict(raw_bytes: str | Column, wire_bytes: str | Column | None = None,

@@ -76,6 +76,7 @@ def test_outcome(spark):
 @given(texts=st.lists(st.text(max_size=60), min_size=150, max_size=150))
 def test_json_bytes_equal_the_encoder(spark, texts):
     texts = [t.encode("utf-8", "ignore").decode() for t in texts]
+    texts += [chr(c) for c in [*range(0x300), 0x2028, 0x2029, 0xfeff, 0xfffd]]
     texts += ['"\\\n\r\t\x08\x0c\x00\x1f\x7f\x80é€￿\U00010000\U0010ffff', "", "a" * 300_000 + "é"]
     assert column(spark, texts, sizes.json_bytes("v")) == [len(json.dumps(t)) - 2 for t in texts]
 
