@@ -29,15 +29,12 @@ def normalized(name: str | Column) -> Column:
 
 
 def like_pattern(pattern: str | None) -> str | None:
-    """Java regex of a name filter: `*` is any text, `|` separates trimmed alternatives, all else is literal.
-    None when the filter is blank and so keeps everything."""
-    pattern = (pattern or "").strip()
-    if not pattern:
+    """Java regex of a name filter: `*` is any text on one line, `|` separates alternatives whose outer white space does
+    not count, all else is literal. None when the filter is blank and so keeps everything."""
+    if not pattern or pattern.isspace():
         return None
-    alternatives = (
-        "[^\\n]*".join(re.escape(piece) for piece in alternative.strip().split("*"))
-        for alternative in pattern.split("|"))
-    return rf"(?iu)\A(?:{'|'.join(alternatives)})\z"
+    literal = re.sub(r"[^*|]+", lambda run: re.escape(run.group()), re.sub(r"\s*\|\s*", "|", pattern.strip()))
+    return rf"(?iu)\A(?:{literal.replace('*', '[^\n]*')})\z"
 
 
 def like_matches(name: str | Column, pattern: str | None) -> Column:

@@ -51,6 +51,7 @@ selected_objects AS (
   SELECT d.catalog_name, d.schema_name, d.object_name, d.kind, d.ddl, coalesce(s.selected, false) AS selected
   FROM fx_ddl d LEFT JOIN fx_selection s USING (catalog_name, schema_name, object_name))"""
 
+# What an identifier and a quoted literal look like.
 _IDENT = "(?:`(?:[^`]|``)+`|[A-Za-z_][\\w$]*)"
 _LITERAL = "''(?:[^''\\\\]|\\\\.)*''|\"(?:[^\"\\\\]|\\\\.)*\""
 
