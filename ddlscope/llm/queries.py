@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ddlscope.llm import ledger, ring, sql
+from ddlscope.llm import factorisation, fertility, ledger, ring, severity, sql, superminhash
+from ddlscope.llm.training import held_out
 from ddlscope.session import scratch_path
 
 SHARDS = 24
@@ -34,6 +35,17 @@ def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(ledger.spans(ledger.of_kinds(found, base)), 256).alias("base_sha256"), ledger.spans(found).alias("spans"))
 
 
+@query
+def op5_fertility_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return fertility.judge(table(spark, folder, "documents"))
+
+
+@query
+def op6_severity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return severity.grade(documents, severity.train(documents, table(spark, folder, "labels")))
+
+
 @query
 def op7_shard_ring(spark: SparkSession, folder: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
@@ -42,3 +54,15 @@ def op7_shard_ring(spark: SparkSession, folder: str) -> DataFrame:
     placed = ring.place(rows, F.col("doc_id"), ["doc_id", "text_crc32", "size"], F.col("text_crc32"), SHARDS)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op9_factorisation_machine(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    scored = factorisation.score(documents, factorisation.train(documents, table(spark, folder, "labels")))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op10_superminhash(spark: SparkSession, folder: str) -> DataFrame:
+    return superminhash.near_duplicates(table(spark, folder, "documents"), size=4, percent=80)

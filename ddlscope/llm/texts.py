@@ -16,8 +16,19 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 BLOCK_BYTES = 2 << 20
-SPACE = np.zeros(256, bool)
-SPACE[[32, *range(9, 14)]] = True
+
+
+def marks(some: bytes) -> np.ndarray:
+    table = np.zeros(256, bool)
+    table[list(some)] = True
+    return table
+
+
+SPACE = marks(b" \t\n\v\f\r")
+NEWLINE = marks(b"\n")
+SYMBOL = marks(b"#*$%&|<>")
+PUNCTUATION = marks(bytes(i for i in range(33, 127) if not chr(i).isalnum()))
+FIRST_BYTE = np.arange(256) & 0xC0 != 0x80  # of a character in UTF-8
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 #: One random number for each byte, and the same with A to Z as a to z; the base of the polynomial is odd, so it has an inverse.
@@ -61,7 +72,11 @@ class Block:
     @cached_property
     def bounds(self) -> tuple[np.ndarray, np.ndarray]:
         """First byte and end of each word."""
-        inner = ~SPACE[self.data]
+        return self.between(SPACE)
+
+    def between(self, separators: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First byte and end of each longest run of other bytes than these within a text."""
+        inner = ~separators[self.data]
         if not inner.size:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         starts, ends = inner.copy(), inner.copy()
@@ -75,7 +90,14 @@ class Block:
     @cached_property
     def row(self) -> np.ndarray:
         """The row of each word."""
-        return np.searchsorted(self.at, self.bounds[0], "right") - 1
+        return self.row_of(self.bounds[0])
+
+    def row_of(self, places: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.at, places, "right") - 1
+
+    def counted(self, table: np.ndarray) -> np.ndarray:
+        """How many bytes of each text the table marks."""
+        return np.diff(np.r_[0, np.cumsum(table[self.data])][self.at])
 
     @cached_property
     def first(self) -> np.ndarray:
