@@ -21,13 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from ddlscope.llm import rules
-from ddlscope.llm.texts import EXACT, Block, blocks, bound_batches
+from ddlscope.llm.texts import EXACT, Block, Store, blocks, bound_batches, ranges
 
 VOCABULARIES = "/opt/tokenizers"
 PIECES, RANKS = "piece_bpe_32k.model", "byte_bpe_multi_50k.tiktoken"
 #: The word pattern of the rank file does not matter to single words but for letters, digits and the rest being apart.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-STORE = 250_000
 #: A text of fewer tokens has measures, but too uncertain for a verdict on them, and no entropy.
 SHORT = 32
 
@@ -49,7 +48,7 @@ BANDS = {"en": Band(1.6, 7.0, 1.85, 8.0, 0.05, 0.42), "de": Band(1.6, 7.0, 1.85,
          "fr": Band(1.5, 7.0, 1.72, 8.0, 0.05, 0.42), "es": Band(1.4, 7.0, 1.68, 8.0, 0.05, 0.42)}
 
 
-class Store:
+class Tokens(Store):
     """Tokens of the distinct words that a task has met."""
 
     def __init__(self, folder: str):
@@ -61,41 +60,23 @@ class Store:
         with open(f"{folder}/{RANKS}", "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.ranks = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.clear()
+        super().__init__()
 
     def clear(self) -> None:
-        self.at: dict[int, int] = {}
+        super().clear()
         self.ids = np.zeros(0, np.int32)
         self.ends = np.zeros(1, np.int64)
         self.n_fallback = self.n_ranks = np.zeros(0, np.int64)
 
-    def codes(self, block: Block, hashes: np.ndarray) -> np.ndarray:
-        """The store's row for each word."""
-        if len(self.at) > STORE:
-            self.clear()
-        distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        keys = distinct.tolist()
-        new = [i for i, k in enumerate(keys) if k not in self.at]
-        if new:
-            starts, ends = (b[first[new]].tolist() for b in block.bounds)
-            data = block.data.tobytes()
-            words = [data[s:e].decode("utf-8", "replace") for s, e in zip(starts, ends)]
-            ids = self.pieces.encode(words, num_threads=1)  # the dummy prefix stands for the space
-            flat = np.fromiter((x for w in ids for x in w), np.int32)
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            bounds = np.r_[0, np.cumsum(sizes)]
-            fallback = np.diff(np.r_[0, np.cumsum(self.is_byte[flat])][bounds])
-            n_ranks = [len(self.ranks.encode_ordinary(" " + w)) for w in words]
-            self.at.update(zip((keys[i] for i in new), range(len(self.ends) - 1, len(self.ends) - 1 + len(new))))
-            self.ids, self.ends = np.r_[self.ids, flat], np.r_[self.ends, self.ends[-1] + bounds[1:]]
-            self.n_fallback, self.n_ranks = np.r_[self.n_fallback, fallback], np.r_[self.n_ranks, n_ranks]
-        return np.fromiter((self.at[k] for k in keys), np.int64, len(keys))[which]
-
-
-def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The numbers from each start, so many of each, one range after the other."""
-    before = np.cumsum(sizes) - sizes
-    return np.arange(int(sizes.sum())) + np.repeat(starts - before, sizes)
+    def add(self, words: list[bytes]) -> None:
+        texts = [w.decode("utf-8", "replace") for w in words]
+        ids = self.pieces.encode(texts, num_threads=1)  # the dummy prefix stands for the space
+        flat = np.fromiter((x for w in ids for x in w), np.int32)
+        bounds = np.r_[0, np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))]
+        fallback = np.diff(np.r_[0, np.cumsum(self.is_byte[flat])][bounds])
+        self.ids, self.ends = np.r_[self.ids, flat], np.r_[self.ends, self.ends[-1] + bounds[1:]]
+        self.n_fallback = np.r_[self.n_fallback, fallback]
+        self.n_ranks = np.r_[self.n_ranks, [len(self.ranks.encode_ordinary(" " + t)) for t in texts]]
 
 
 def entropy_shares(ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -118,7 +99,7 @@ def judge(documents: DataFrame, folder: str = VOCABULARIES, bands: dict[str, Ban
         store = None
         for batch in batches:
             for block in blocks(batch):
-                store = store or Store(folder)
+                store = store or Tokens(folder)
                 yield measure(block, store, bands, widest)
 
     bound_batches(documents.sparkSession)
@@ -126,13 +107,13 @@ def judge(documents: DataFrame, folder: str = VOCABULARIES, bands: dict[str, Ban
     return rows.mapInArrow(run, SCHEMA.format(id=documents.schema["doc_id"].dataType.simpleString()))
 
 
-def measure(block: Block, store: Store, bands: dict[str, Band], widest: Band) -> pa.RecordBatch:
+def measure(block: Block, store: Tokens, bands: dict[str, Band], widest: Band) -> pa.RecordBatch:
     sums = block.sums(EXACT)
     words = block.pieces(*block.bounds, EXACT, sums)
     n, chars = block.n_words, rules.word_chars(block)
     repeats = rules.repeat_words(block, words)
     failed = (n < 10) | (100 * repeats > 20 * n)
-    codes = store.codes(block, words)
+    codes = store.rows(block, words)
     sizes = np.diff(store.ends)[codes]
     tokens, by_rank, fallback = (rules.per_row(block, block.row, v[codes]) for v in (np.diff(store.ends), store.n_ranks, store.n_fallback))
     ids = store.ids[ranges(store.ends[codes], sizes)]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ddlscope.llm import factorisation, fertility, ledger, ring, severity, sql, superminhash
+from ddlscope.llm import factorisation, fertility, ledger, ring, severity, sql, substring, superminhash
 from ddlscope.llm.training import held_out
 from ddlscope.session import scratch_path
 
@@ -35,6 +35,12 @@ def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(ledger.spans(ledger.of_kinds(found, base)), 256).alias("base_sha256"), ledger.spans(found).alias("spans"))
 
 
+@query
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    left = substring.without_repeats(table(spark, folder, "documents"), size=13)
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 @query
 def op5_fertility_rules(spark: SparkSession, folder: str) -> DataFrame:
     return fertility.judge(table(spark, folder, "documents"))

@@ -181,3 +181,39 @@ def bound_batches(spark: SparkSession) -> None:
 def record(schema: list[tuple[str, pa.DataType]], *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, (_, t) in zip(columns, schema)],
                                       names=[n for n, _ in schema])
+
+
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each start, so many of each, one range after the other."""
+    before = np.cumsum(sizes) - sizes
+    return np.arange(int(sizes.sum())) + np.repeat(starts - before, sizes)
+
+
+class Store:
+    """What is worked out once for each distinct word a task meets, in rows. It begins anew when it has too many."""
+
+    most = 250_000
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
+        self.at: dict[int, int] = {}
+
+    def add(self, words: list[bytes]) -> None:
+        """Append a row for each word."""
+        raise NotImplementedError
+
+    def rows(self, block: Block, hashes: np.ndarray) -> np.ndarray:
+        """The row of each word of the block, given the hashes of all."""
+        if len(self.at) > self.most:
+            self.clear()
+        distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        keys = distinct.tolist()
+        new = [i for i, k in enumerate(keys) if k not in self.at]
+        if new:
+            starts, ends = (b[first[new]].tolist() for b in block.bounds)
+            data, known = block.data.tobytes(), len(self.at)
+            self.add([data[s:e] for s, e in zip(starts, ends)])
+            self.at.update(zip((keys[i] for i in new), range(known, known + len(new))))
+        return np.fromiter((self.at[k] for k in keys), np.int64, len(keys))[which]
