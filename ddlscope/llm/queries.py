@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ddlscope.llm import factorisation, fertility, ledger, ring, severity, sql, substring, superminhash
+from ddlscope.llm import factorisation, fertility, ledger, ring, severity, sql, substring, superminhash, warc
 from ddlscope.llm.training import held_out
 from ddlscope.session import scratch_path
 
@@ -35,6 +35,20 @@ def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(ledger.spans(ledger.of_kinds(found, base)), 256).alias("base_sha256"), ledger.spans(found).alias("spans"))
 
 
+@query
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write(warc.archive_rows(table(spark, folder, "pages"), least=1000), path)
+    # Revisits are told from their headers; only responses have a payload to decode, which the digest then is taken of.
+    records = warc.read(spark, path).filter(F.col("record_type").isin("response", "revisit"))
+    page = lambda c: F.regexp_extract(c, "^<urn:page:(.+)>$", 1).cast("long")
+    is_response = F.col("record_type") == "response"
+    return records.select(
+        page("record_id").alias("page_id"), F.when(is_response, F.octet_length("payload").cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        F.when(is_response, F.sha1("payload")).otherwise(F.col("payload_digest")).alias("payload_digest"), "record_type",
+        page("refers_to").alias("refers_to"))
+
+
 @query
 def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     left = substring.without_repeats(table(spark, folder, "documents"), size=13)

@@ -29,4 +29,12 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM texts LEFT JOIN per_row USING (row)"""
 
-SQL: dict[str, str] = {"op1_secret_scan": OP1}
+# A page with an equal payload of 1000 bytes or more and a larger id is revisited.
+OP3 = """
+WITH sized AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+digests AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest FROM sized),
+last AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS kept FROM digests)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN kept = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN kept <> page_id THEN kept END AS refers_to FROM last"""
+
+SQL: dict[str, str] = {"op1_secret_scan": OP1, "op3_warc": OP3}
