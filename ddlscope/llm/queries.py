@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ddlscope.llm import factorisation, fertility, ledger, ring, severity, sql, substring, superminhash, warc
+from ddlscope.llm import factorisation, fertility, ledger, ring, severity, sql, substring, superminhash, templates, warc
 from ddlscope.llm.training import held_out
 from ddlscope.session import scratch_path
 
@@ -35,6 +35,11 @@ def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(ledger.spans(ledger.of_kinds(found, base)), 256).alias("base_sha256"), ledger.spans(found).alias("spans"))
 
 
+@query
+def op2_template_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    return templates.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query
 def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "warc")
