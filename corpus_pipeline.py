@@ -1,3 +1,69 @@
-STAGES, ORACLE_SQL = [], None
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+"""A corpus pipeline: documents in, sampled token sequences of what is worth keeping out.
+
+Each stage takes the rows that its predecessor kept, read again from Parquet in the shared folder, and all of their columns go
+on. Rows that a stage has no reason to reject stay: a null or unknown id is no reason."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from ddlscope.llm import factorisation, lattice, ledger, superminhash, templates
+from ddlscope.session import scratch_path
+
+ACCEPT = 0.3
+SAMPLES = 2
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the factorisation machine scores below `ACCEPT` go."""
+    model = factorisation.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return factorisation.accepted(docs, model, ACCEPT)
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents with none of these ids."""
+    named = ids.select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(named, F.col("doc_id") == F.col("_gone"), "left_anti")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the least id stays; a row with the id and text of another goes."""
+    grouped = superminhash.near_duplicates(docs, size=5, percent=80)
+    return without(docs, grouped.filter("NOT kept")).dropDuplicates(["doc_id", "text"])
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a question of the benchmark, also with other numbers, names or units, go."""
+    return without(docs, templates.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by a mark; `n_chars`, where there is one, follows the text."""
+    book = ledger.Ledger(spark, scratch_path(spark, "ledger"))
+    book.commit(docs, ledger.RULES)
+    found = book.report(docs, ledger.RULES)
+    changed = {"text": ledger.redacted(F.col("row.text"), F.col("found"))}
+    if "n_chars" in docs.columns:
+        stated = F.col("row.n_chars")
+        changed["n_chars"] = F.when(F.col("found").isNull(), stated).otherwise(F.length(changed["text"]).cast(docs.schema["n_chars"].dataType))
+    return found.select(*(changed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))
+
+
+def sampled_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Distinct sampled segmentations of each text, as ids of pieces, that decode to it."""
+    return lattice.encode(docs, samples=SAMPLES)
+
+
+STAGES = [("quality classifier", quality_classifier), ("MinHash near-dedup", near_duplicates), ("benchmark decontamination", decontamination),
+          ("secret scans", secret_scan), ("SentencePiece encoding and decoding", sampled_pieces)]
+#: Fitted models, signatures and sampling are beyond SQL; tests hold the rows against a brute-force version.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        path = scratch_path(spark, "stage")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)

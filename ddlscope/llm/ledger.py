@@ -119,12 +119,26 @@ class Ledger:
             new = new.join(seen, "blob", "left").select("blob", gained.alias("rules")).filter(F.size("rules") > 0)
         new.write.mode("append").parquet(f"{self.folder}/pairs")
 
-    def report(self, versions: DataFrame, rules: Sequence[Rule], path: str = "doc_id", text: str = "text") -> DataFrame:
-        """Each row of `versions` with its blob and the findings of the rules, in order of place and rank: an array that
-        is null where nothing was found. The findings of a blob are bounded by its text."""
+    def report(self, versions: DataFrame, rules: Sequence[Rule], text: str = "text") -> DataFrame:
+        """Each row of `versions` as the struct `row`, with its blob and `found`: the findings of the rules in order of place and
+        rank, null where there are none. The findings of a blob are bounded by its text."""
         wanted = self.findings().filter(F.col("rule").isin([r.id for r in rules]))
         per_blob = wanted.groupBy("blob").agg(F.sort_array(F.collect_list(F.struct("start", "rank", "kind", "end"))).alias("found"))
-        return versions.select(F.col(path), blob_id(F.col(text)).alias("blob")).join(per_blob, "blob", "left")
+        return versions.select(F.struct("*").alias("row"), blob_id(F.col(text)).alias("blob")).join(per_blob, "blob", "left")
+
+
+def redacted(text: Column, found: Column, mark: str = "[secret]") -> Column:
+    """The text with each finding replaced; overlapping ones together by one mark. Null where the text is."""
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+
+    def cut(done: Column, f: Column) -> Column:
+        gap = F.substring(text, (done["at"] + 1).cast("int"), (f["start"] - done["at"]).cast("int"))
+        return F.struct(F.greatest(done["at"], f["end"]).alias("at"),
+                        F.when(f["start"] >= done["at"], F.concat(done["out"], gap, F.lit(mark))).otherwise(done["out"]).alias("out"))
+
+    def rest(done: Column) -> Column:
+        return F.concat(done["out"], F.substring(text, (done["at"] + 1).cast("int"), F.length(text)))
+    return F.when(found.isNull(), text).otherwise(F.aggregate(found, start, cut, rest))
 
 
 def spans(found: Column) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ddlscope.llm import factorisation, fertility, ledger, ring, severity, sql, substring, superminhash, templates, warc
+from ddlscope.llm import factorisation, fertility, lattice, ledger, ring, severity, sql, substring, superminhash, templates, warc
 from ddlscope.llm.training import held_out
 from ddlscope.session import scratch_path
 
@@ -31,7 +31,7 @@ def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     book.commit(documents, ledger.RULES)
     found, base = F.col("found"), [r.kind for r in ledger.BASE]
     return book.report(documents, ledger.RULES).select(
-        "doc_id", *(ledger.count(found, kind).alias(f"n_{kind}") for kind in base),
+        "row.doc_id", *(ledger.count(found, kind).alias(f"n_{kind}") for kind in base),
         F.sha2(ledger.spans(ledger.of_kinds(found, base)), 256).alias("base_sha256"), ledger.spans(found).alias("spans"))
 
 
@@ -81,6 +81,13 @@ def op7_shard_ring(spark: SparkSession, folder: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query
+def op8_lattice_samples(spark: SparkSession, folder: str) -> DataFrame:
+    found = lattice.encode(table(spark, folder, "documents"), samples=3)
+    return found.select("doc_id", "sample", F.size("ids").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), "log_prob", "perturbed",
+                        "inclusion", "exact")
+
+
 @query
 def op9_factorisation_machine(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")

@@ -204,15 +204,15 @@ class Store:
         """Append a row for each word."""
         raise NotImplementedError
 
-    def rows(self, block: Block, hashes: np.ndarray) -> np.ndarray:
-        """The row of each word of the block, given the hashes of all."""
+    def rows(self, block: Block, hashes: np.ndarray, bounds: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+        """The row of each word of the block (or other piece, with bounds), given the hashes of all."""
         if len(self.at) > self.most:
             self.clear()
         distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
         keys = distinct.tolist()
         new = [i for i, k in enumerate(keys) if k not in self.at]
         if new:
-            starts, ends = (b[first[new]].tolist() for b in block.bounds)
+            starts, ends = (b[first[new]].tolist() for b in bounds or block.bounds)
             data, known = block.data.tobytes(), len(self.at)
             self.add([data[s:e] for s, e in zip(starts, ends)])
             self.at.update(zip((keys[i] for i in new), range(known, known + len(new))))
