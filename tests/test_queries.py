@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from workload.registry import QUERIES
 from tests.compare import difference
 from tests.conftest import SMALL
 
-SQL = entry.oracle_sql()
+SQL = {name: sql for name, sql in entry.oracle_sql().items() if name in QUERIES}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -15,7 +16,7 @@ def test_query_equals_its_sql(spark, duck, name):
 
 
 def test_queries_without_sql_are_the_known_ones():
-    assert set(entry.queries()) - set(SQL) == {"a11_wire_bytes"}
+    assert set(QUERIES) - set(SQL) == {"a11_wire_bytes"}
 
 
 def test_entry_returns_the_listing(spark):
