@@ -25,7 +25,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ddlscope.llm.texts import EXACT, Block, Store, blocks, bound_batches, mix, ranges
 
@@ -154,8 +154,8 @@ class Lattices(Store):
         order = np.argsort(begin - np.exp(own) * 0.999)
         begin, to, ids, own = begin[order], to[order], ids[order], own[order]
         first = np.searchsorted(begin, np.arange(len(data)))
-        running = np.cumsum(np.exp(own))
-        upto = running - np.r_[0, running][first[begin]]
+        running = np.cumsum(whole(np.exp(own), 40))
+        upto = (running - np.r_[0, running][first[begin]]) / 2**40
         upto[np.r_[begin[1:] != begin[:-1], True]] = 2.0  # the last edge of a place takes what is left
         base, edges = len(self.data), len(self.to)
         self.data = np.r_[self.data, data]
@@ -254,6 +254,11 @@ class Lattices(Store):
         return out
 
 
+def whole(values: np.ndarray, bits: int) -> np.ndarray:
+    """In units of 2**-bits: sums of whole numbers do not depend on what else is summed up before."""
+    return np.rint(values * 2.0**bits).astype(np.int64)
+
+
 def unit(seeds: np.ndarray, counter: int | np.ndarray) -> np.ndarray:
     """A number in (0, 1) for each seed and counter."""
     drawn = mix(seeds + np.asarray(counter).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03), 5)
@@ -313,12 +318,10 @@ def sampled(block: Block, seeds: np.ndarray, store: Lattices, samples: int) -> l
         of = np.repeat(np.arange(len(work)), sizes)
         word_seed = mix(seeds[text][of] + (words - first[text][of] + 1).astype(np.uint64), 60 + turn)
         edges, counts, log_p = store.walk(which[words], word_seed)
-        run = np.cumsum(log_p)
         heads = np.cumsum(sizes) - sizes
-        before_all = run - log_p
+        run = np.r_[0, np.cumsum(whole(log_p, 32))]
         start_mass = np.array([w[2] for w in work])
-        base = np.where(sizes > 0, before_all[np.minimum(heads, max(len(run) - 1, 0))] if len(run) else 0.0, 0.0)
-        prefix = before_all - base[of] + start_mass[of]
+        prefix = (run[:-1] - run[heads][of]) / 2**32 + start_mass[of]
         number = np.array([w[1] for w in work])
         with np.errstate(divide="ignore"):
             rest = -np.expm1(np.minimum(log_p, 0.0))
@@ -329,7 +332,7 @@ def sampled(block: Block, seeds: np.ndarray, store: Lattices, samples: int) -> l
         for k, (i, g, _, prefix_edges, _) in enumerate(work):
             a, b = int(heads[k]), int(ends_at[k])
             own = edges[cuts[a]:cuts[b]]
-            leaf = float(start_mass[k] + (run[b - 1] - base[k] if b > a else 0.0))
+            leaf = float(start_mass[k] + (run[b] - run[a]) / 2**32)
             search = searches[i]
             done[i].append((np.concatenate([prefix_edges, own]), leaf, g))
             if a < b:  # only the best parts of a path can ever be popped
@@ -425,4 +428,4 @@ def decode(rows: DataFrame, ids: str = "ids", model: str = MODEL) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary()).cast(pa.string())], names=[*batch.schema.names, "text"])
     bound_batches(rows.sparkSession)
     rows = rows.drop("text")
-    return rows.mapInArrow(run, rows.schema.add("text", "string"))
+    return rows.mapInArrow(run, T.StructType([*rows.schema, T.StructField("text", T.StringType())]))

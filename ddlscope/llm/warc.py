@@ -169,7 +169,7 @@ class Reader(DataSourceReader):
                 held = 0
             parts[-1].names.append(name)
             held += size
-        return parts
+        return parts or [Files()]
 
     def wanted(self, head: dict[str, str | None]) -> bool:
         for f in self.filters:

@@ -1,0 +1,61 @@
+from ddlscope.llm import queries, templates
+from pyspark.sql import functions as F
+from tests.conftest import SMALL
+from tests.llm.tables import awkward, documents, empty, prose
+
+ITEM = "A train leaves Boston at 60 mph while another train leaves Chicago at 45 mph and after 3 hours Boston reports that it has gone 60 miles further"
+SAME = ITEM.replace("Boston", "Dallas").replace("Chicago", "Denver").replace("60", "72").replace("45", "51").replace(" 3 ", " 7 ").replace("mph", "kmh")
+MIXED = SAME.replace("Dallas reports", "Austin reports").replace("72 miles", "81 miles")
+CLEAN = "The committee met on Tuesday to talk about the budget and 45 people came along to ask what would become of the old library in town"
+
+
+def items(spark, rows=((1, ITEM), (1, ITEM), (2, None), (3, ""), (4, "too short"), (None, CLEAN.upper()))):
+    return spark.createDataFrame(list(rows), "item_id long, text string").withColumn("hash", F.lit("clash"))
+
+
+def around(text, seed):
+    return prose(seed, 50) + " " + text + " " + prose(seed + 1, 50)
+
+
+def test_verbatim_reparameterised_and_inconsistent(spark):
+    rows = [(1, around(ITEM, 1)), (2, around(SAME, 3)), (3, around(MIXED, 5)), (4, around(CLEAN, 7)), (5, ITEM), (5, ITEM), (6, ITEM.lower()), (None, around(ITEM, 9))]
+    got = {(r["doc_id"], r["item_id"]): r for r in templates.leaks(documents(spark, rows + [(i and i + 9000, t) for i, t in awkward()]), items(spark)).collect()}
+    assert {k: v["kind"] for k, v in got.items() if k[1] == 1 and k[0] != 6} == {
+        (1, 1): "verbatim", (2, 1): "reparameterised", (5, 1): "verbatim", (None, 1): "verbatim"}
+    assert got[5, 1]["n_matched"] == got[5, 1]["n_windows"] and got[5, 1]["n_same"] == got[5, 1]["n_slots"] > 8
+    assert got[2, 1]["n_same"] < got[2, 1]["n_slots"]
+    assert (4, 1) not in got and (3, 1) not in got
+
+
+def test_a_part_of_an_item_is_evidence(spark):
+    words = ITEM.split(" ")
+    rows = documents(spark, [(1, around(" ".join(words[4:19]), 1)), (2, around(" ".join(words[4:12]), 3))])
+    assert [r["doc_id"] for r in templates.leaks(rows, items(spark)).collect()] == [1]
+
+
+def test_equals_without_the_bitmap(spark, monkeypatch):
+    rows = documents(spark, [(i, around(ITEM if i % 3 else SAME, i)) for i in range(30)] + awkward())
+    want = sorted(map(str, templates.leaks(rows, items(spark)).collect()))
+    assert len(want) >= 30
+    monkeypatch.setattr(templates, "bitmap", lambda hashes: b"\xff" * (1 << templates.FILTER_BITS - 3))
+    assert sorted(map(str, templates.leaks(rows, items(spark)).collect())) == want
+
+
+def test_no_rows(spark):
+    assert templates.leaks(empty(spark), items(spark)).isEmpty()
+    assert templates.leaks(documents(spark), items(spark, [])).isEmpty()
+
+
+def test_query_finds_every_plain_copy(spark):
+    """Brute force: an item of which 13 words or more stand in a text one after the other."""
+    known = [(r[0], r[1].split()) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").select("item_id", "text").collect()]
+    held = {}
+    for item, words in known:
+        for k in range(len(words) - 13):
+            held.setdefault(tuple(words[k:k + 14]), set()).add(item)
+    wanted = set()
+    for doc, text in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect():
+        words = text.split()
+        wanted |= {(doc, i) for k in range(len(words) - 13) for i in held.get(tuple(words[k:k + 14]), ())}
+    got = {(r["doc_id"], r["item_id"]) for r in queries.QUERIES["op2_template_leaks"](spark, SMALL).collect()}
+    assert wanted and wanted <= got and len(got - wanted) <= 0.05 * len(got) + 1
