@@ -7,9 +7,15 @@ from pyspark.sql import Column, functions as F
 from ddlscope.functions.text import as_column, trimmed
 
 
-def either_id(first: str | Column, second: str | Column) -> Column:
-    """The first id unless it is missing or 0, else the second as it stands."""
-    return F.coalesce(F.nullif(as_column(first), F.lit(0)), as_column(second))
+def given(number: str) -> Column:
+    """The field's text and value, null where it is missing, empty or the number 0."""
+    text, value = F.col(number), F.col(f"{number}_value")
+    return F.when((text != "") & ~F.coalesce(value == 0, F.lit(False)), F.struct(text.alias("text"), value.alias("value")))
+
+
+def stated(number: str) -> Column:
+    """The field's text and value as they stand, null where it is missing."""
+    return F.when(F.col(number).isNotNull(), F.struct(F.col(number).alias("text"), F.col(f"{number}_value").alias("value")))
 
 
 def either_text(*texts: str | Column) -> Column:
@@ -17,12 +23,6 @@ def either_text(*texts: str | Column) -> Column:
     return F.coalesce(*(F.nullif(as_column(t), F.lit("")) for t in texts), F.lit(""))
 
 
-def revision_number(*numbers: str | Column, revision_id: str | Column) -> Column:
-    """The first number that is neither missing, empty nor 0, else the id; as text, since numbers may be any text."""
-    given = (F.when(~as_column(n).isin("", "0"), as_column(n)) for n in numbers)
-    return F.coalesce(*given, as_column(revision_id).cast("string"))
-
-
 def revision_label(number: str | Column, name: str | Column) -> Column:
     return trimmed(F.concat(F.lit("From revision "), as_column(number).cast("string"), F.lit(": "), as_column(name)))
 

@@ -25,8 +25,10 @@ def json_bytes(text: str | Column) -> Column:
 
 def size_verdict(raw_bytes: str | Column, wire_bytes: str | Column | None = None,
                  raw_limit: int = RAW_LIMIT_BYTES, wire_limit: int = WIRE_LIMIT_BYTES) -> Column:
-    """`ok`, or the limit that is broken; the uncompressed size is looked at first."""
+    """`ok`, or the limit that is broken; the uncompressed size is looked at first. Without a size it is `unknown`."""
     verdict = F.when(as_column(raw_bytes) > raw_limit, "uncompressed")
+    known = as_column(raw_bytes).isNotNull()
     if wire_bytes is not None:
         verdict = verdict.when(as_column(wire_bytes) > wire_limit, "compressed")
-    return verdict.otherwise("ok")
+        known = known & as_column(wire_bytes).isNotNull()
+    return verdict.when(known, "ok").otherwise("unknown")

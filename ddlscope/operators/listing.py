@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ddlscope.functions.errors import first_line
 from ddlscope.fixed import SKIPPED_REASON_CHARS, SKIPPED_SCHEMAS
@@ -69,19 +69,25 @@ def listed_schemas_only(listing: DataFrame, status: DataFrame, lead: Sequence[st
 
 
 def listing_summary(listing: DataFrame, status: DataFrame, lead: Sequence[str] = ()) -> DataFrame:
-    """For each catalog: schemas asked for, schemas that failed, objects found."""
+    """For each catalog of the status or of the listing: schemas asked for, schemas that failed, objects found."""
     keys = [*lead, "catalog_name"]
     schemas = status.groupBy(*keys).agg(F.count("*").alias("schemas"), F.count("reason").alias("failed_schemas"))
     objects = listing.groupBy(*keys).agg(F.count("*").alias("objects"))
-    return (schemas.join(objects, keys, "left").withColumn("objects", F.coalesce("objects", F.lit(0))))
+    return schemas.join(objects, keys, "full").fillna(0, ["schemas", "failed_schemas", "objects"])
 
 
 def excluded_counts(excluded: DataFrame, lead: Sequence[str] = ()) -> DataFrame:
     return excluded.groupBy(*lead, *SCHEMA_KEYS, "kind").agg(F.count("*").alias("excluded"))
 
 
-def skipped_schemas(status: DataFrame, lead: Sequence[str] = ()) -> DataFrame:
-    """Report of the first schemas that failed to list, with the start of the reason."""
+def skipped_schemas(status: DataFrame, lead: Sequence[str] = (), shown: int = SKIPPED_SCHEMAS) -> DataFrame:
+    """Report for each listing of a catalog: the first schemas that failed, with the start of the reason, and how many more
+    did. Tasks send no more than `shown` rows of a catalog."""
+    keys = [*lead, "catalog_name"]
     reason = F.substring(first_line("reason"), 1, SKIPPED_REASON_CHARS).alias("reason")
-    return (status.where(F.col("reason").isNotNull()).select(*lead, *SCHEMA_KEYS, reason)
-            .orderBy(*lead, *SCHEMA_KEYS).limit(SKIPPED_SCHEMAS))
+    failed = status.where(F.col("reason").isNotNull())
+    first = (failed.select(*lead, *SCHEMA_KEYS, reason)
+             .withColumn("_place", F.row_number().over(Window.partitionBy(*keys).orderBy("schema_name", "reason")))
+             .where(F.col("_place") <= shown).drop("_place"))
+    counts = failed.groupBy(*keys).agg(F.greatest(F.count("*") - shown, F.lit(0)).alias("more"))
+    return first.join(counts, keys)

@@ -12,9 +12,11 @@ from ddlscope.sources.snapshots import is_unsupported
 
 
 def latest_ddl(results: DataFrame, arrival: str, lead: Sequence[str] = ()) -> DataFrame:
-    """The last text of each object, for logs that hold several. The join on the same keys reuses its partitioning."""
-    return (results.where(F.col("ddl").isNotNull()).groupBy(*lead, *KEYS)
-            .agg(F.max_by("ddl", arrival).alias("ddl")))
+    """The last text of each object, for logs that hold several. `arrival` is unique for an object. No text is aggregated: the
+    last arrival is found by keys, and its text joined."""
+    texts = results.where(F.col("ddl").isNotNull()).select(*lead, *KEYS, arrival, "ddl")
+    last = texts.groupBy(*lead, *KEYS).agg(F.max(arrival).alias(arrival))
+    return texts.join(last, [*lead, *KEYS, arrival], "left_semi").drop(arrival)
 
 
 def write_back(listing: DataFrame, ddl: DataFrame, lead: Sequence[str] = ()) -> DataFrame:

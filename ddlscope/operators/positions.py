@@ -8,9 +8,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ddlscope.session import shared_folder
 
-# Up to this many offsets, of a few dozen bytes each, are broadcast.
-BROADCAST_ROWS = 500_000
-
 
 def with_position(rows: DataFrame, order: Sequence[Column], group: Sequence[str] = (),
                   position: str = "position", total: str | None = None) -> DataFrame:
@@ -20,7 +17,7 @@ def with_position(rows: DataFrame, order: Sequence[Column], group: Sequence[str]
     partitioned on group and order, so a large group spreads over many partitions, and each row's number is its place
     in its partition plus the sizes of the group's earlier partitions. The split points come from sampling, so the
     placed rows are checkpointed before they are counted: a lost executor must not lead to other split points.
-    Pass key columns only and join long texts afterwards. The order should be unique within the group."""
+    That is an action. Pass key columns only and join long texts afterwards. The order should be unique within the group."""
     shared_folder(rows.sparkSession)
     keys = [F.col(g) for g in group]
     placed = (rows.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
@@ -33,10 +30,7 @@ def with_position(rows: DataFrame, order: Sequence[Column], group: Sequence[str]
     offsets = reached.select(
         F.col("_part").alias("_at"), *(F.col(g).alias(f"_in_{g}") for g in group), "_first",
         F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"), F.sum("_rows").over(whole).alias("_total"))
-    # Few and short rows as a rule; counted, so that only a small table is broadcast and a large one joined by shuffle.
-    offsets = offsets.checkpoint()
-    if offsets.count() <= BROADCAST_ROWS:
-        offsets = F.broadcast(offsets)
+    # Whether these are broadcast or shuffled is for adaptive execution to decide, by their measured size.
     same = F.col("_part") == F.col("_at")
     for g in group:
         same = same & F.col(g).eqNullSafe(F.col(f"_in_{g}"))

@@ -37,9 +37,10 @@ def _with_eta(rows: DataFrame) -> DataFrame:
 
 
 def run_progress(outcomes: DataFrame, work: DataFrame, run: Sequence[str] = ("run_id",)) -> DataFrame:
-    """Done, total, elapsed seconds and time left of each run; `work` holds each run's `total`."""
+    """Done, total, elapsed seconds and time left of each run; `work` holds each run's `total`. A run without one has no time
+    left (null)."""
     counts = run_counts(outcomes, run).withColumn("elapsed", _seconds("first_ts", "last_ts"))
-    return _with_eta(counts.join(work, list(run))).select(*run, "done", "total", "elapsed", "eta", "eta_shown")
+    return _with_eta(counts.join(work, list(run), "left")).select(*run, "done", "total", "elapsed", "eta", "eta_shown")
 
 
 def running_count(outcomes: DataFrame, run: Sequence[str] = ("run_id",), arrival: str = "attempt_id") -> DataFrame:
@@ -51,6 +52,6 @@ def running_count(outcomes: DataFrame, run: Sequence[str] = ("run_id",), arrival
 def progress_log(outcomes: DataFrame, work: DataFrame, run: Sequence[str] = ("run_id",),
                  arrival: str = "attempt_id") -> DataFrame:
     """What was reported as each outcome arrived: done so far, elapsed seconds, time left."""
-    starts = outcomes.groupBy(*run).agg(F.min("ts").alias("first_ts")).join(work, list(run))
+    starts = outcomes.groupBy(*run).agg(F.min("ts").alias("first_ts")).join(work, list(run), "left")
     rows = running_count(outcomes, run, arrival).join(starts, list(run)).withColumn("elapsed", _seconds("first_ts", "ts"))
     return _with_eta(rows).select(*run, arrival, "done", "total", "elapsed", "eta", "eta_shown")

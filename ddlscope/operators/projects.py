@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ddlscope.functions.revisions import either_id, either_text, number_rank, revision_label, revision_number
+from ddlscope.functions.revisions import either_text, given, number_rank, revision_label, stated
 from ddlscope.functions.text import normalized
 from ddlscope.operators.positions import with_position
 
@@ -30,7 +30,8 @@ def conflicting_branches(proposals: DataFrame, branches: DataFrame, proposed: st
 
 def resolve_projects(wanted: DataFrame, projects: DataFrame, name: str = "wanted_name",
                      arrival: str = "project_id") -> DataFrame:
-    """Id of the first project of each wanted name, null without one. Names are reduced to their first project before
+    """Id of the first project of each wanted name, null without one; `arrival` says which is first, for one response the
+    `position` in its list. Names are reduced to their first project before
     the join, so a repeated name does not multiply rows."""
     first = (projects.groupBy(normalized(F.coalesce("name", F.lit(""))).alias("_name"))
              .agg(F.min_by("project_id", arrival).alias("project_id")))
@@ -60,18 +61,21 @@ def offered_branches(branches: DataFrame) -> DataFrame:
 
 
 def revision_records(raw: DataFrame) -> DataFrame:
-    """Revisions with one value for each field out of its two spellings; those without an id are dropped."""
-    return (raw.withColumn("revision_id", either_id("revisionId", "id")).where(F.col("revision_id").isNotNull())
-            .select("project_id", "revision_id",
-                    revision_number("revNumber", "number", revision_id="revision_id").alias("rev_number"),
-                    either_text("revName", "name").alias("rev_name"))
+    """Revisions with one value for each field out of its two spellings; those without an id are dropped. The number falls back
+    on the id. `rev_rank` is what sorts them: the number if it is a whole one, else 0, also for a text that spells one."""
+    named = raw.withColumn("_id", F.coalesce(given("revisionId"), stated("id"))).where(F.col("_id").isNotNull())
+    numbered = named.withColumn("_number", F.coalesce(given("revNumber"), given("number"), "_id"))
+    return (numbered.select("project_id", F.col("_id.text").alias("revision_id"), F.col("_number.text").alias("rev_number"),
+                            either_text("revName", "name").alias("rev_name"),
+                            F.coalesce("_number.value", F.lit(0).cast("bigint")).alias("rev_rank"))
             .withColumn("label", revision_label("rev_number", "rev_name")))
 
 
-def newest_first(revisions: DataFrame) -> DataFrame:
-    """Place of each revision in its project's list, highest number first; a number that is no integer sorts as 0.
-    Numbered without a window, since one project may hold much of all revisions."""
-    return with_position(revisions, [number_rank("rev_number").desc(), F.col("revision_id")], ["project_id"], "place")
+def newest_first(revisions: DataFrame, rank: str | None = None) -> DataFrame:
+    """Place of each revision in its project's list, highest number first; a number that is no integer sorts as 0. `rank` names
+    the column that sorts, as parsed records have one. Numbered without a window, since one project may hold much of all."""
+    order = F.col(rank) if rank else number_rank("rev_number")
+    return with_position(revisions, [order.desc(), F.col("revision_id")], ["project_id"], "place")
 
 
 def by_name(names: DataFrame, name: str, identifier: str, group: Sequence[str] = ()) -> DataFrame:

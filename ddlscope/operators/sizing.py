@@ -30,14 +30,13 @@ def payload_sizes(chunks: DataFrame, by: Sequence[str] = ("catalog_name",), enve
 
 def preview(objects: DataFrame, ddl: DataFrame, rows: int, keep_catalog: bool = False,
             lead: Sequence[str] = ()) -> DataFrame:
-    """The exported texts of the first objects, numbered in listing order. Only keys go through the top-k. The texts are
-    then taken out of `ddl`, one row per object, by a join with the at most `rows` keys found, so none is shuffled."""
+    """The exported texts of the first objects of each export, that is of a catalog, numbered in listing order. Only keys go
+    through the top-k, and tasks send at most `rows` of a catalog. The texts are then taken out of `ddl`, one row per object,
+    by a join with the few keys found; as long as these stay small when measured, no text is shuffled."""
     keys = [*lead, *KEYS]
-    order = [*(F.col(c) for c in lead), *listing_order()]
-    first = objects.select(*keys).orderBy(*order).limit(rows)
-    # The window sees only the rows that the limit leaves.
-    numbered = first.withColumn("position", F.row_number().over(Window.orderBy(*order)))
-    found = ddl.select(*keys, "ddl").join(F.broadcast(numbered), keys)
+    in_catalog = Window.partitionBy(*lead, "catalog_name").orderBy(*listing_order())
+    numbered = objects.select(*keys).withColumn("position", F.row_number().over(in_catalog)).where(F.col("position") <= rows)
+    found = ddl.select(*keys, "ddl").join(numbered, keys)
     return with_chunk(found, keep_catalog).select("position", *keys, "chunk")
 
 

@@ -28,6 +28,13 @@ class Snapshot:
     ddl: DataFrame
     selection: DataFrame
     lead: Sequence[str] = ()
+    # The column that says which row of a repeated view, or of a repeated text, came last, if they can repeat.
+    view_arrival: str | None = None
+    ddl_arrival: str | None = None
+
+    def texts(self) -> DataFrame:
+        """One text for each object."""
+        return outcomes.latest_ddl(self.ddl, self.ddl_arrival, self.lead) if self.ddl_arrival else self.ddl
 
     def streaming(self) -> DataFrame:
         described = snapshots.catalog_properties(self.properties, self.lead)
@@ -42,27 +49,36 @@ def list_objects(snapshot: Snapshot, schema_pattern: str = "", pattern: str = ""
     in_schemas = like_matches("schema_name", schema_pattern)
     tables = listing.listed_schemas_only(snapshot.tables.where(in_schemas), snapshot.schema_status, snapshot.lead)
     return listing.list_objects(tables, snapshot.views.where(in_schemas), snapshot.streaming(), pattern, want_tables,
-                                want_views, snapshot.lead)
+                                want_views, snapshot.lead, snapshot.view_arrival)
 
 
 def resolve(snapshot: Snapshot, listed: DataFrame) -> DataFrame:
     """Listed objects with their DDL, exact kind and selection, without the kinds that are not exported."""
-    known = outcomes.supported(outcomes.write_back(listed, snapshot.ddl, snapshot.lead))
+    known = outcomes.supported(outcomes.write_back(listed, snapshot.texts(), snapshot.lead))
     return selection.with_selection(known, snapshot.selection, snapshot.lead)
 
 
 def sample_access(snapshot: Snapshot, listed: DataFrame) -> DataFrame:
     """The first object of each schema with its DDL, null where it could not be read."""
-    return outcomes.write_back(failures.access_sample(listed, snapshot.lead), snapshot.ddl, snapshot.lead)
+    return outcomes.write_back(failures.access_sample(listed, snapshot.lead), snapshot.texts(), snapshot.lead)
 
 
 def export(resolved: DataFrame, path: str, keep_catalog: bool = False, raw_limit: int = RAW_LIMIT_BYTES,
-           wire_limit: int = WIRE_LIMIT_BYTES, envelope_bytes: int = 0) -> DataFrame:
-    """Write the selected objects' payloads and return, for each catalog, their sizes and the verdict on them. The texts
-    are brought together once, to be written; sizes come from the files, and the count of objects needs no texts."""
+           wire_limit: int = WIRE_LIMIT_BYTES, envelope_bytes: int = 0, lead: Sequence[str] = (),
+           partitions: int | None = None) -> DataFrame:
+    """Write the selected objects' payloads and return, for each catalog of each snapshot, their sizes and two verdicts: of the
+    preview, on the text, and of the submission, on the body and its compressed size. `lead` columns become folders and come
+    back as text, as the catalog does; a null or empty name is null. Sizes come from the files."""
     objects, spark = selection.to_export(resolved), resolved.sparkSession
-    payload.write_payload(objects, path, keep_catalog)
-    counted = objects.groupBy("catalog_name").agg(F.count("*").alias("objects"))
-    sizes = payload.text_sizes(spark, path, envelope_bytes).join(payload.wire_sizes(spark, path), "catalog_name")
-    verdict = size_verdict(F.greatest("raw_bytes", "body_bytes"), "wire_bytes", raw_limit, wire_limit)
-    return counted.join(sizes, "catalog_name", "left").withColumn("verdict", verdict)
+    payload.write_payload(objects, path, keep_catalog, lead=lead, partitions=partitions)
+    keys = [*lead, "catalog_name"]
+    counted = objects.groupBy(*(F.nullif(F.col(c).cast("string"), F.lit("")).alias(c) for c in keys)).agg(F.count("*").alias("objects"))
+    sizes = [payload.text_sizes(spark, path, envelope_bytes, lead), payload.wire_sizes(spark, path, lead)]
+    for more in sizes:
+        other = more.select(*(F.col(c).alias(f"_{c}") for c in keys), *(c for c in more.columns if c not in keys))
+        same = F.lit(True)
+        for c in keys:
+            same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+        counted = counted.join(other, same, "left").drop(*(f"_{c}" for c in keys))
+    return counted.withColumns({"preview_verdict": size_verdict("raw_bytes", None, raw_limit),
+                                "submit_verdict": size_verdict("body_bytes", "wire_bytes", raw_limit, wire_limit)})

@@ -2,47 +2,59 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ddlscope.functions.ddl import export_chunk
 from ddlscope.functions.sizes import json_bytes
 from ddlscope.functions.text import listing_order
 
-_FOLDER = "catalog_name=([^/]*)"
+# How a writer of partitioned files names a folder for a value that is null or empty.
+_NO_NAME = "__HIVE_DEFAULT_PARTITION__"
 
 
-def write_payload(objects: DataFrame, path: str, keep_catalog: bool = False, compression: str = "gzip") -> None:
-    """Write the exported texts of objects that have DDL, one folder per catalog. Its part files, concatenated in name
+def write_payload(objects: DataFrame, path: str, keep_catalog: bool = False, compression: str = "gzip",
+                  lead: Sequence[str] = (), partitions: int | None = None) -> None:
+    """Write the exported texts of objects that have DDL, one folder per catalog, within folders for the `lead` columns. Its part files, concatenated in name
     order, are the payload and one line feed.
 
     Range partitioning on the full listing order spreads a large schema over many files, and no text passes through
-    one task. The texts are rewritten after the sort: the pass that samples the split points does not rewrite them, and
+    one task; `partitions` says how many parts there are, else the session's setting. The texts are rewritten after the sort: the pass that samples the split points does not rewrite them, and
     rows of one catalog follow each other, so its pattern is compiled once. The writer ends each row with the line feed
     that joins the texts."""
     # A catalog that cannot be null needs no conversion by the writer, which would make it sort again.
-    named = objects.select(F.coalesce("catalog_name", F.lit("")).alias("catalog_name"), "schema_name", "object_name", "ddl")
-    ordered = named.repartitionByRange(*listing_order()).sortWithinPartitions(*listing_order())
-    (ordered.select("catalog_name", export_chunk(keep_catalog).alias("chunk"))
-     .write.partitionBy("catalog_name").option("compression", compression).text(path))
+    folders = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in (*lead, "catalog_name")]
+    named = objects.select(*folders, "schema_name", "object_name", "ddl")
+    order = [*(F.col(c) for c in lead), *listing_order()]
+    spread = named.repartitionByRange(partitions, *order) if partitions else named.repartitionByRange(*order)
+    (spread.sortWithinPartitions(*order).select(*lead, "catalog_name", export_chunk(keep_catalog).alias("chunk"))
+     .write.partitionBy(*lead, "catalog_name").option("compression", compression).text(path))
 
 
-def read_payload(spark: SparkSession, path: str) -> DataFrame:
+def read_payload(spark: SparkSession, path: str, lead: Sequence[str] = ()) -> DataFrame:
     """The lines of written payloads. Only a line feed ends one, so that carriage returns within texts stay."""
-    return spark.read.schema("value string, catalog_name string").option("lineSep", "\n").text(path)
+    schema = ", ".join(["value string", *(f"`{c}` string" for c in (*lead, "catalog_name"))])
+    return spark.read.schema(schema).option("lineSep", "\n").text(path)
 
 
-def text_sizes(spark: SparkSession, path: str, envelope_bytes: int = 0) -> DataFrame:
+def text_sizes(spark: SparkSession, path: str, envelope_bytes: int = 0, lead: Sequence[str] = ()) -> DataFrame:
     """Bytes of each catalog's payload as text and within a JSON body, from the files: the same numbers as
     `sizing.payload_sizes`, without joining and rewriting the texts once more. The last line feed is the writer's."""
-    return read_payload(spark, path).groupBy("catalog_name").agg(
+    return read_payload(spark, path, lead).groupBy(*lead, "catalog_name").agg(
         (F.sum(F.octet_length("value").cast("bigint") + 1) - 1).alias("raw_bytes"),
         (F.sum(json_bytes("value") + 2) - 2 + envelope_bytes).alias("body_bytes"))
 
 
-def wire_sizes(spark: SparkSession, path: str) -> DataFrame:
+def wire_sizes(spark: SparkSession, path: str, lead: Sequence[str] = ()) -> DataFrame:
     """Compressed bytes of each catalog's payload: the sum over its part files, read from the file listing alone.
-    One stream over all of it would come out slightly smaller."""
+    One stream over all of it would come out slightly smaller. Names are taken from the last folders of a file's path, so
+    those of the folders above do not matter."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
-    name = F.url_decode(F.replace(F.regexp_extract("path", _FOLDER, 1), F.lit("+"), F.lit("%2B")))
-    return (files.where(F.col("path").rlike(_FOLDER)).groupBy(name.alias("catalog_name"))
+    names = [*lead, "catalog_name"]
+    folders = "".join(f"/{c}=([^/]*)" for c in names) + "/[^/]*$"
+    found = [F.regexp_extract("path", folders, i + 1) for i in range(len(names))]
+    decoded = [F.url_decode(F.replace(f, F.lit("+"), F.lit("%2B"))) for f in found]
+    return (files.where(F.col("path").rlike(folders))
+            .groupBy(*(F.when(d != _NO_NAME, d).alias(c) for c, d in zip(names, decoded)))
             .agg(F.sum("length").alias("wire_bytes"), F.count("*").alias("files")))

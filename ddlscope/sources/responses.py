@@ -1,37 +1,48 @@
-"""Scans of stored JSON responses, one response per row in `body`, parsed with declared schemas."""
+"""Scans of stored JSON responses, one response per row in `body`, parsed with declared schemas.
+
+Ids come as text, as they stand, since they are only put into paths; `position` is the place in the response's list, from 0,
+which decides where the first of several counts."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-_PROJECT = "STRUCT<id: BIGINT, name: STRING>"
-_BRANCH = "STRUCT<branchId: BIGINT, branchName: STRING, isMain: BOOLEAN>"
-_REVISION = ("STRUCT<revisionId: BIGINT, id: BIGINT, revNumber: STRING, number: STRING, "
-             "revName: STRING, name: STRING>")
+_PROJECT = "STRUCT<id: STRING, name: STRING>"
+_BRANCH = "STRUCT<branchId: STRING, branchName: STRING, isMain: BOOLEAN>"
+#: Fields whose value as a number counts, beside the text.
+_NUMBERS = ("revisionId", "id", "revNumber", "number")
+_REVISION = f"STRUCT<{', '.join(f'{n}: VARIANT' for n in _NUMBERS)}, revName: STRING, name: STRING>"
 
 
 def projects(responses: DataFrame) -> DataFrame:
     """Projects of all responses; a response without data holds none."""
     parsed = F.from_json("body", f"STRUCT<data: ARRAY<{_PROJECT}>>")
-    return (responses.select(F.explode(parsed["data"]).alias("p"))
-            .select(F.col("p.id").alias("project_id"), F.col("p.name").alias("name")))
+    return (responses.select(F.posexplode(parsed["data"]).alias("position", "p"))
+            .select(F.col("p.id").alias("project_id"), F.col("p.name").alias("name"), "position"))
 
 
 def branches(responses: DataFrame) -> DataFrame:
     """Branches of the projects in `project_id`."""
     parsed = F.from_json("body", f"STRUCT<data: STRUCT<branches: ARRAY<{_BRANCH}>>>")
-    return (responses.select("project_id", F.explode(parsed["data"]["branches"]).alias("b"))
+    return (responses.select("project_id", F.posexplode(parsed["data"]["branches"]).alias("position", "b"))
             .select("project_id", F.col("b.branchId").alias("branch_id"), F.col("b.branchName").alias("branch_name"),
-                    F.col("b.isMain").alias("is_main")))
+                    F.col("b.isMain").alias("is_main"), "position"))
+
+
+def _whole(value: Column) -> Column:
+    """The value if it is a whole JSON number; a text that spells one is none."""
+    return F.when(F.schema_of_variant(value) == "BIGINT", value.try_cast("bigint"))
 
 
 def revisions(responses: DataFrame) -> DataFrame:
-    """Revision records as they stand, both spellings of each field; the list is `data` or `data.revisions`."""
+    """Revision records as they stand, both spellings of each field, each number as text and, where it is a whole number, as
+    `<field>_value`; the list is `data` or `data.revisions`."""
     as_list = F.from_json("body", f"STRUCT<data: ARRAY<{_REVISION}>>")["data"]
     as_object = F.from_json("body", f"STRUCT<data: STRUCT<revisions: ARRAY<{_REVISION}>>>")["data"]["revisions"]
-    is_list = F.get_json_object("body", "$.data").startswith("[")
-    return (responses.select("project_id", F.explode(F.when(is_list, as_list).otherwise(as_object)).alias("r"))
-            .select("project_id", "r.*"))
+    found = responses.select("project_id", F.posexplode(F.coalesce(as_list, as_object)).alias("position", "r"))
+    return found.select(
+        "project_id", "position", *(F.col(f"r.{n}").cast("string").alias(n) for n in _NUMBERS), "r.revName", "r.name",
+        *(_whole(F.col(f"r.{n}")).alias(f"{n}_value") for n in _NUMBERS))
 
 
 def database_types(responses: DataFrame) -> DataFrame:

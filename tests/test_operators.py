@@ -199,8 +199,23 @@ def test_access(spark):
 def test_skipped_schemas(spark):
     status = spark.createDataFrame([("c", f"s{i:02}", "x" * 200 + "\nmore JVM stacktrace: y") for i in range(30)] + [("c", "ok", None)],
                                    schemas.SCHEMA_STATUS)
-    found = listing.skipped_schemas(status).collect()
+    found = listing.skipped_schemas(status).orderBy("schema_name").collect()
     assert [r.schema_name for r in found] == [f"s{i:02}" for i in range(25)] and {len(r.reason) for r in found} == {120}
+    assert {r.more for r in found} == {5}
+
+
+def test_skipped_schemas_of_each_catalog_and_day(spark):
+    status = spark.createDataFrame([(day, c, f"s{i:02}", "boom") for day in (1, 2) for c in "ab" for i in range(20)] + [(1, "c", "ok", None)],
+                                   "day int, catalog_name string, schema_name string, reason string")
+    found = listing.skipped_schemas(status, ["day"], shown=15)
+    assert rows(found.groupBy("day", "catalog_name").agg(F.count("*").alias("n"), F.max("more").alias("more")), "day", "catalog_name", "n", "more") == [
+        (1, "a", 15, 5), (1, "b", 15, 5), (2, "a", 15, 5), (2, "b", 15, 5)]
+
+
+def test_summary_has_catalogs_of_either_side(spark):
+    listed = spark.createDataFrame([("a", "s", "t", "TABLE")] * 2, schemas.OBJECTS.replace(", ddl string", ""))
+    status = spark.createDataFrame([("b", "s", "boom"), ("b", "r", None)], schemas.SCHEMA_STATUS)
+    assert rows(listing.listing_summary(listed, status), "catalog_name", "schemas", "failed_schemas", "objects") == [("a", 0, 0, 2), ("b", 2, 1, 0)]
 
 
 def _texts(path, catalog):
@@ -241,6 +256,13 @@ def test_preview(spark):
     assert rows(sizing.preview_counts(objects, 5)) == [("c", 20, 5)]
 
 
+def test_preview_of_each_catalog_agrees_with_its_counts(spark):
+    objects = _objects(spark, [(c, "s", f"t{i:03}", "TABLE", f"d{i}") for c, n in (("a", 9), ("b", 3)) for i in range(n)])
+    found = sizing.preview(objects, objects, 5)
+    assert rows(found.groupBy("catalog_name").agg(F.count("*").alias("shown"), F.max("position").alias("last"))) == [("a", 5, 5), ("b", 3, 3)]
+    assert rows(sizing.preview_counts(objects, 5)) == [("a", 9, 5), ("b", 3, 3)]
+
+
 def test_manifest(spark):
     requests = spark.createDataFrame([
         (1, None, None, None, "New \"p\"", "postgreSQL", "r", None, "Diagram", "f/1"), (2, 5, 0, None, None, None, "r", True, "", "f/2"),
@@ -261,13 +283,20 @@ def test_responses(spark):
         (2, '{"data": {"revisions": [{"id": 9, "name": "m"}]}}'), (3, '{"data": {"revisions": null}}'), (4, '{"data": []}'),
         (5, "{}"), (6, '{"data": null}'), (7, "not json"), (8, '{"data": {}}')], schemas.RESPONSES)
     records = projects.revision_records(responses.revisions(bodies))
-    assert rows(records) == [(1, 7, "3", "n", "From revision 3: n"), (1, 8, "v2", "", "From revision v2:"),
-                             (2, 9, "9", "m", "From revision 9: m")]
+    assert rows(records) == [(1, "7", "3", "n", 3, "From revision 3: n"), (1, "8", "v2", "", 0, "From revision v2:"),
+                             (2, "9", "9", "m", 9, "From revision 9: m")]
+    odd = spark.createDataFrame([(1, '{"data": [{"revisionId": "a1b2", "revNumber": "30"}, {"revisionId": 0, "id": "77", "number": 4}, {"id": 5, "revNumber": 0, "number": ""}]}')],
+                                schemas.RESPONSES)
+    placed = projects.newest_first(projects.revision_records(responses.revisions(odd)), "rev_rank")
+    assert rows(placed, "revision_id", "rev_number", "rev_rank", "place") == [("5", "5", 5, 1), ("77", "4", 4, 2), ("a1b2", "30", 0, 3)]
+    named = responses.projects(spark.createDataFrame([(0, '{"data": [{"id": 2, "name": "Sales"}, {"id": "x1", "name": "sales"}]}')], schemas.RESPONSES))
+    wanted = spark.createDataFrame([("SALES ",)], "wanted_name string")
+    assert projects.resolve_projects(wanted, named, arrival="position").first()["project_id"] == "2"
     listed = spark.createDataFrame([(0, '{"data": [{"id": 1, "name": "a"}, {"id": 2}]}'), (0, '{"data": null}'), (0, "{}")], schemas.RESPONSES)
-    assert sorted((r.project_id, r.name or "-") for r in responses.projects(listed).collect()) == [(1, "a"), (2, "-")]
+    assert sorted((r.project_id, r.name or "-") for r in responses.projects(listed).collect()) == [("1", "a"), ("2", "-")]
     branched = spark.createDataFrame([(1, '{"data": {"branches": [{"branchId": 4, "branchName": "m", "isMain": true}, {"branchId": 5}]}}'),
                                       (2, '{"data": {}}'), (3, "{}")], schemas.RESPONSES)
-    assert [tuple(r) for r in responses.branches(branched).collect()] == [(1, 4, "m", True), (1, 5, None, None)]
+    assert [tuple(r) for r in responses.branches(branched).collect()] == [(1, "4", "m", True, 0), (1, "5", None, None, 1)]
     typed = spark.createDataFrame([(1, '{"data": {"projectInfo": {"dbType": "x"}}}'), (2, '{"data": {}}'), (3, "oops")], schemas.RESPONSES)
     assert [r.db_type for r in responses.database_types(typed).orderBy("project_id").collect()] == ["x", None, None]
 
@@ -299,6 +328,9 @@ def test_progress(spark):
     log = progress.progress_log(done, work).orderBy("done").collect()
     assert [(r.attempt_id, r.done, r.elapsed) for r in log] == [(i, i + 1, float(i)) for i in range(10)]
     assert log[3].eta == 3.0 / 4 * 106 and log[8].eta_shown == (8.0 / 9 * 101 > 90)
+    none = work.where("run_id = 2")
+    assert tuple(progress.run_progress(done, none).first()) == (1, 10, None, 9.0, None, None)
+    assert progress.progress_log(done, none).count() == 10
 
 
 def test_import_from_listing_to_files(spark, folder):
@@ -320,11 +352,39 @@ def test_import_from_listing_to_files(spark, folder):
     assert rows(importing.sample_access(snapshot, listed), "catalog_name", "object_name", "kind") == [
         ("far", "t", "TABLE"), ("main", "late", "STREAMING TABLE")]
     verdicts = importing.export(importing.resolve(snapshot, listed), f"{folder}/out", raw_limit=60)
-    assert rows(verdicts, "catalog_name", "objects", "verdict") == [("far", 1, "ok"), ("main", 2, "uncompressed")]
+    assert rows(verdicts, "catalog_name", "objects", "preview_verdict", "submit_verdict") == [
+        ("far", 1, "ok", "ok"), ("main", 2, "uncompressed", "uncompressed")]
     _, packed = _texts(f"{folder}/out", "main")
     assert gzip.decompress(packed).decode() == "-- s.t\nCREATE TABLE s.t (x INT);\n\n-- s.v\nCREATE VIEW s.v AS SELECT 1;\n\n"
 
 
+def test_export_of_two_days_to_a_path_that_names_a_catalog(spark, folder):
+    """Each day and catalog is a payload of its own; null and empty catalogs are one; no size is taken for another's."""
+    objects = spark.createDataFrame([(day, c, "s", "t", "TABLE", f"CREATE TABLE {c}.s.t (x INT)", True) for day in (1, 2) for c in ("main", "a b", None)]
+                                    + [(2, "", "s", "u", "TABLE", "CREATE VIEW v", True)],
+                                    "day int, catalog_name string, schema_name string, object_name string, kind string, ddl string, selected boolean")
+    verdicts = importing.export(objects, f"{folder}/catalog_name=x/out", raw_limit=60, wire_limit=10, lead=["day"], partitions=3)
+    got = {(r.day, r.catalog_name): (r.objects, r.preview_verdict, r.submit_verdict) for r in verdicts.collect()}
+    one = (1, "ok", "compressed")
+    assert got == {("1", "main"): one, ("2", "main"): one, ("1", "a b"): one, ("2", "a b"): one, ("1", None): one, ("2", None): (2, "uncompressed", "uncompressed")}
+    assert rows(payload.read_payload(spark, f"{folder}/catalog_name=x/out", ["day"]).where("catalog_name = 'main'").groupBy("day").count()) == [
+        ("1", 3), ("2", 3)]
+
+
+def test_import_takes_the_last_text_and_the_last_view(spark):
+    tables = spark.createDataFrame([("c", "s", "v", False)], schemas.TABLES)
+    views = spark.createDataFrame([("c", "s", "v", False, True, 1), ("c", "s", "v", False, False, 2)], schemas.VIEWS + ", ts int")
+    texts = spark.createDataFrame([("c", "s", "v", "CREATE VIEW new", 5), ("c", "s", "v", "CREATE VIEW old", 3), ("c", "s", "v", None, 9)], schemas.DDL + ", ts int")
+    status = spark.createDataFrame([("c", "s", None)], schemas.SCHEMA_STATUS)
+    snapshot = importing.Snapshot(
+        tables=tables, views=views, information=spark.createDataFrame([], schemas.INFORMATION_TABLES),
+        properties=spark.createDataFrame([], schemas.CATALOG_PROPERTIES), schema_status=status, ddl=texts,
+        selection=tables.select("catalog_name", "schema_name", "object_name", F.lit(True).alias("selected")), view_arrival="ts", ddl_arrival="ts")
+    listed = importing.list_objects(snapshot)
+    assert rows(listed, "object_name", "kind") == [("v", "VIEW")]
+    assert rows(importing.resolve(snapshot, listed), "object_name", "ddl") == [("v", "CREATE VIEW new")]
+
+
 def test_listing_order_is_deterministic_for_names_that_differ_in_case(spark):
     names = _objects(spark, [("c", "s", n, "T", None) for n in ("b", "B", "a", "C")])
     assert [r.object_name for r in names.orderBy(*listing_order()).collect()] == ["a", "B", "b", "C"]

@@ -84,14 +84,15 @@ def test_json_bytes_equal_the_encoder(spark, texts):
 def test_size_verdict(spark):
     rows = spark.createDataFrame([(10, 5), (11, 5), (10, 6), (11, 6), (10, None)], "raw long, wire long")
     verdict = sizes.size_verdict("raw", "wire", raw_limit=10, wire_limit=5)
-    assert [r[0] for r in rows.select(verdict).collect()] == ["ok", "uncompressed", "compressed", "uncompressed", "ok"]
+    assert [r[0] for r in rows.select(verdict).collect()] == ["ok", "uncompressed", "compressed", "uncompressed", "unknown"]
+    missing = spark.createDataFrame([(None, None), (5, None), (20, None), (None, 1), (None, 9)], "raw long, wire long")
+    assert [r[0] for r in missing.select(verdict).collect()] == ["unknown", "unknown", "uncompressed", "unknown", "compressed"]
 
 
 def test_revision_functions(spark):
-    rows = spark.createDataFrame([(7, 8, "3", "4", "n", "m"), (0, 8, "0", "4", "", "m"), (None, 0, None, "", None, None)],
-                                 "a long, b long, c string, d string, e string, f string")
-    found = rows.select(revisions.either_id("a", "b"), revisions.revision_number("c", "d", revision_id="b"),
-                        revisions.either_text("e", "f")).collect()
-    assert [tuple(r) for r in found] == [(7, "3", "n"), (8, "4", "m"), (0, "0", "")]
+    rows = spark.createDataFrame([("7", 7, "n", "m"), ("0", 0, "", "m"), ("0", None, None, None), ("", None, "a", ""), (None, None, "", "")],
+                                 "a string, a_value long, e string, f string")
+    found = rows.select(revisions.given("a")["text"], revisions.stated("a")["text"], revisions.either_text("e", "f")).collect()
+    assert [tuple(r) for r in found] == [("7", "7", "n"), (None, "0", "m"), ("0", "0", ""), (None, "", "a"), (None, None, "")]
     assert column(spark, ["12", "-3", "v2", "1.5", None, "9" * 30], revisions.number_rank("v")) == [12, -3, 0, 0, 0, 0]
     assert column(spark, ["", "two"], revisions.revision_label(F.lit(5), "v")) == ["From revision 5:", "From revision 5: two"]

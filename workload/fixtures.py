@@ -63,7 +63,10 @@ FIXTURES = {
             WHEN value < 5 THEN 'cancelled'
             ELSE 'IOException: HTTP 503 from metastore' END AS reason FROM events""",
     # Work of each run: what was tried, and the failed ones once more.
-    "fx_work": "SELECT run_id, count(*) + count(reason) AS total FROM fx_attempts GROUP BY run_id",
+    # Some runs have no total yet.
+    "fx_work": """
+        SELECT run_id, count(*) + count(reason) AS total FROM fx_attempts GROUP BY run_id
+        HAVING count(*) % 5 <> 0""",
     # Key/value rows of catalogs, keys padded and values empty at times; hive_metastore has none.
     "fx_describe": """
         SELECT 'cat_' || CAST(c_custkey AS STRING) AS catalog_name, 'Catalog Type' AS k,
@@ -118,6 +121,15 @@ FIXTURES = {
         SELECT DISTINCT catalog_name, schema_name, CASE WHEN schema_name LIKE '%3' THEN
           'AnalysisException: [SCHEMA_NOT_FOUND] ' || schema_name || chr(10) || 'JVM stacktrace: x' ELSE NULL END AS reason
         FROM fx_objects""",
+    # A catalog without a status row, and catalogs without objects.
+    "fx_partial_status": """
+        SELECT * FROM fx_schema_status WHERE catalog_name <> 'hive_metastore'
+        UNION ALL SELECT 'empty_' || n_name, 'none', CAST(NULL AS STRING) FROM nation""",
+    # Listings of two catalogs on two days, in which many schemas fail.
+    "fx_listing_runs": """
+        SELECT c_custkey % 2 AS day, 'cat_' || CAST(c_nationkey % 2 AS STRING) AS catalog_name, c_name AS schema_name,
+          CASE WHEN c_custkey % 8 <> 0 THEN 'TimeoutException: ' || c_name || chr(10) || c_mktsegment ELSE NULL END AS reason
+        FROM customer""",
     "fx_workspace_catalogs": """
         SELECT s_nationkey AS workspace_id, CASE s_suppkey % 4 WHEN 0 THEN 'spark_catalog' WHEN 1 THEN 'samples'
           WHEN 2 THEN 'hive_metastore' ELSE 'cat_' || CAST(s_suppkey AS STRING) END AS catalog_name FROM supplier""",

@@ -151,7 +151,7 @@ def k2_branch_requests(t):
     return manifest.branch_requests(t("fx_requests").where("project_id IS NOT NULL"))
 
 
-@query(f"""WITH {_CHUNKS} SELECT row_number() OVER (ORDER BY catalog_name, schema_name, lower(object_name), object_name)
+@query(f"""WITH {_CHUNKS} SELECT row_number() OVER (PARTITION BY catalog_name ORDER BY schema_name, lower(object_name), object_name)
              AS position, {KEYS}, chunk FROM chunks QUALIFY position <= 200""")
 def k3_preview(t):
     return sizing.preview(exported(t), t("fx_ddl"), PREVIEW_OBJECTS)

@@ -162,11 +162,33 @@ def a4_excluded_by_ddl(t):
 
 
 @query("""SELECT catalog_name, schema_name, substring(trim(split_part(split_part(reason, 'JVM stacktrace', 1), chr(10), 1)),
-            1, 120) AS reason FROM fx_schema_status WHERE reason IS NOT NULL ORDER BY ALL LIMIT 25""")
+            1, 120) AS reason, greatest(count(*) OVER (PARTITION BY catalog_name) - 25, 0) AS more
+          FROM fx_schema_status WHERE reason IS NOT NULL
+          QUALIFY row_number() OVER (PARTITION BY catalog_name ORDER BY schema_name) <= 25""")
 def a18_skipped_schemas(t):
     return listing.skipped_schemas(t("fx_schema_status"))
 
 
+@query("""SELECT day, catalog_name, schema_name, split_part(reason, chr(10), 1) AS reason,
+            greatest(count(*) OVER (PARTITION BY day, catalog_name) - 25, 0) AS more
+          FROM fx_listing_runs WHERE reason IS NOT NULL
+          QUALIFY row_number() OVER (PARTITION BY day, catalog_name ORDER BY schema_name) <= 25""")
+def a18_skipped_schemas_by_day(t):
+    return listing.skipped_schemas(t("fx_listing_runs"), lead=["day"])
+
+
+@query(f"""WITH {LISTED}, kept AS (SELECT catalog_name, count(*) AS objects FROM listed l WHERE NOT EXISTS (
+               SELECT 1 FROM fx_partial_status s WHERE s.reason IS NOT NULL AND s.catalog_name = l.catalog_name
+                 AND s.schema_name = l.schema_name) GROUP BY ALL),
+             asked AS (SELECT catalog_name, count(*) AS schemas, count(reason) AS failed_schemas FROM fx_partial_status GROUP BY ALL),
+             named AS (SELECT catalog_name FROM kept UNION SELECT catalog_name FROM asked)
+           SELECT n.catalog_name, coalesce(schemas, 0) AS schemas, coalesce(failed_schemas, 0) AS failed_schemas,
+             coalesce(objects, 0) AS objects FROM named n LEFT JOIN kept USING (catalog_name) LEFT JOIN asked USING (catalog_name)""")
+def a3_listing_summary_partial(t):
+    listed = listing.listed_schemas_only(all_objects(t), t("fx_partial_status"))
+    return listing.listing_summary(listed, t("fx_partial_status"))
+
+
 @query("""SELECT catalog_name, schema_name, object_name, row_number() OVER (PARTITION BY catalog_name
             ORDER BY schema_name, lower(object_name), object_name) AS position FROM fx_tables""")
 def o1_listing_order(t):

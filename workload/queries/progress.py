@@ -25,7 +25,7 @@ def _times_as_numbers(counts):
 
 
 @query(f"""WITH {_COUNTS}, timed AS (SELECT c.run_id, done, total, (last_us - first_us) / 1e6 AS elapsed
-             FROM counts c JOIN fx_work w ON w.run_id = c.run_id)
+             FROM counts c LEFT JOIN fx_work w ON w.run_id = c.run_id)
            SELECT *, elapsed / done * (total - done) AS eta, elapsed / done * (total - done) > 90 AS eta_shown FROM timed""")
 def a16_run_progress(t):
     return progress.run_progress(t("fx_attempts"), t("fx_work"))
@@ -33,7 +33,7 @@ def a16_run_progress(t):
 
 @query("""WITH timed AS (SELECT run_id, attempt_id, row_number() OVER (PARTITION BY run_id ORDER BY ts, attempt_id) AS done,
               total, (epoch_us(ts) - epoch_us(min(ts) OVER (PARTITION BY run_id))) / 1e6 AS elapsed
-            FROM fx_attempts JOIN fx_work USING (run_id))
+            FROM fx_attempts LEFT JOIN fx_work USING (run_id))
           SELECT *, elapsed / done * (total - done) AS eta, elapsed / done * (total - done) > 90 AS eta_shown FROM timed""")
 def a16_progress_log(t):
     return progress.progress_log(t("fx_attempts"), t("fx_work"))

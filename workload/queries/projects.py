@@ -26,32 +26,43 @@ def branch_responses(t):
 
 def revision_responses(t):
     """Both forms of the container, each with its own spelling of the fields, and responses without data."""
+    def either(column, is_text):
+        value = F.col(column).cast("bigint")
+        return F.when(is_text, F.to_variant_object(F.array(value.cast("string")))).otherwise(F.to_variant_object(F.array(value)))
+
+    def element(column, is_text):
+        return F.variant_get(either(column, is_text), "$[0]", "variant")
     revisions = t("fx_revisions")
-    as_list = F.array(F.struct(F.col("revision_id").alias("revisionId"), F.col("rev_number").alias("revNumber"),
-                               F.col("rev_name").alias("revName")))
-    as_object = F.struct(F.array(F.struct(F.col("revision_id").alias("id"), F.col("rev_number").alias("number"),
-                                          F.col("rev_name").alias("name"))).alias("revisions"))
+    number, identifier = element("rev_number", F.col("rev_number") % 5 == 0), element("revision_id", F.col("revision_id") % 3 == 0)
+    as_list = F.array(F.struct(identifier.alias("revisionId"), number.alias("revNumber"), F.col("rev_name").alias("revName")))
+    as_object = F.struct(F.array(F.struct(identifier.alias("id"), number.alias("number"), F.col("rev_name").alias("name"))).alias("revisions"))
     is_list = F.col("rev_name").isNull()
     return (revisions.where(is_list).select(*_response(as_list))
             .unionByName(revisions.where(~is_list).select(*_response(as_object)))
             .unionByName(revisions.select("project_id", F.lit("{}").alias("body"))))
 
 
-@query("SELECT project_id, name FROM fx_projects")
+@query("SELECT CAST(project_id AS STRING) AS project_id, name, 0 AS position FROM fx_projects")
 def s10_projects(t):
     return responses.projects(project_responses(t))
 
 
-@query("SELECT project_id, branch_id, branch_name, is_main FROM fx_branches")
+@query("SELECT project_id, CAST(branch_id AS STRING) AS branch_id, branch_name, is_main, 0 AS position FROM fx_branches")
 def s11_branches(t):
     return responses.branches(branch_responses(t))
 
 
-@query("""SELECT project_id, CASE WHEN rev_name IS NULL THEN revision_id END AS "revisionId",
-            CASE WHEN rev_name IS NOT NULL THEN revision_id END AS id,
+# Every third id is a text in the response, and so is every fifth number.
+@query("""WITH stated AS (SELECT *, CASE WHEN revision_id % 3 <> 0 THEN revision_id END AS id_value,
+              CASE WHEN rev_number % 5 <> 0 THEN rev_number::BIGINT END AS number_value FROM fx_revisions)
+          SELECT project_id, 0 AS position, CASE WHEN rev_name IS NULL THEN CAST(revision_id AS STRING) END AS "revisionId",
+            CASE WHEN rev_name IS NOT NULL THEN CAST(revision_id AS STRING) END AS id,
+            CASE WHEN rev_name IS NULL THEN id_value END AS "revisionId_value", CASE WHEN rev_name IS NOT NULL THEN id_value END AS id_value,
+            CASE WHEN rev_name IS NULL THEN number_value END AS "revNumber_value",
+            CASE WHEN rev_name IS NOT NULL THEN number_value END AS number_value,
             CASE WHEN rev_name IS NULL THEN CAST(rev_number AS STRING) END AS "revNumber",
             CASE WHEN rev_name IS NOT NULL THEN CAST(rev_number AS STRING) END AS number,
-            CAST(NULL AS STRING) AS "revName", rev_name AS name FROM fx_revisions""")
+            CAST(NULL AS STRING) AS "revName", rev_name AS name FROM stated""")
 def s12_revisions(t):
     return responses.revisions(revision_responses(t))
 
@@ -69,15 +80,17 @@ def f9_offered_branches(t):
     return projects.offered_branches(t("fx_branches"))
 
 
-# An id of 0 in the list form has no other spelling to fall back on, so it is no id.
-@query("SELECT project_id, revision_id FROM fx_revisions WHERE rev_name IS NOT NULL OR revision_id <> 0")
+# An id of 0 in the list form has no other spelling to fall back on, so it is no id, unless it is the text "0".
+@query("""SELECT project_id, CAST(revision_id AS STRING) AS revision_id FROM fx_revisions
+          WHERE rev_name IS NOT NULL OR revision_id <> 0 OR revision_id % 3 = 0""")
 def f10_revisions_with_id(t):
     return projects.revision_records(responses.revisions(revision_responses(t))).select("project_id", "revision_id")
 
 
-@query("""WITH taken AS (SELECT project_id, revision_id,
-              CAST(coalesce(nullif(rev_number, 0), revision_id) AS STRING) AS rev_number, coalesce(rev_name, '') AS rev_name
-            FROM fx_revisions WHERE rev_name IS NOT NULL OR revision_id <> 0)
+@query("""WITH taken AS (SELECT project_id, CAST(revision_id AS STRING) AS revision_id,
+              CAST(coalesce(rev_number, revision_id) AS STRING) AS rev_number, coalesce(rev_name, '') AS rev_name,
+              CASE WHEN rev_number % 5 <> 0 THEN rev_number WHEN rev_number IS NULL AND revision_id % 3 <> 0 THEN revision_id ELSE 0 END AS rev_rank
+            FROM fx_revisions WHERE rev_name IS NOT NULL OR revision_id <> 0 OR revision_id % 3 = 0)
           SELECT *, trim('From revision ' || rev_number || ': ' || rev_name) AS label FROM taken""")
 def c9_revision_records(t):
     return projects.revision_records(responses.revisions(revision_responses(t)))
