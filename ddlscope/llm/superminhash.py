@@ -5,12 +5,16 @@ ranks of one shingle differ between slots, so the slots' values are correlated i
 estimate, and once every slot of a text has a value below j, no shingle can better it in rank j: most texts end after a few
 ranks. Here a rank of all shingles of a block is one step on arrays.
 
-Texts with equal sets are one class, and only classes go on. Bands of the signature bring classes together. A bucket never
-gives all its pairs: first each member is checked against the least member. Only buckets whose members are then not all in
-one component go on: each member with the most similar one of other components by a sketch of the signature, and last, all
-pairs of different components that the sketch and the set sizes leave possible, compared in tiles of bounded size. A pair that
-is left out is thus joined already or further from the threshold than the sketch's error (six deviations). Links are
-confirmed on the full sets. With 40 bands of 5, a pair at a similarity of 0.8 is missed by all bands once in ten million.
+Texts with equal sets are one class, and only classes go on. Bands of the signature bring classes together in buckets; with 40
+bands of 5, a pair at a similarity of 0.8 is missed by all bands once in ten million. A bucket never gives all its pairs:
+
+1. Each member is checked against the least member, the bucket's centre, on the full sets.
+2. Members that are near to a centre (half alike or more) but not all in one component yet are compared exactly by what sets
+   each apart from the centre, a small part of its set: for sets x, y and c, x and y differ where their differences from c
+   differ. This goes on in tiles of bounded size, which give no pairs but the links that join two components.
+3. What is left in a bucket of several components are members that share little with the centre. Their pairs, but for those
+   that step 2 has compared, are checked on the full sets where sizes and a sketch of the signature allow a link; the sketch is
+   given six standard deviations.
 
 Defined cases: a text with fewer words than a shingle is one shingle, one without words is linked with nothing; repeated rows
 stand for themselves, so copies share a component; a null id is left out of the links and is its own group (component null,
@@ -25,13 +29,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ddlscope.llm.groups import components, saved
-from ddlscope.llm.texts import FOLDED, Block, bound_batches, map_blocks, mix, sequence
+from ddlscope.llm.texts import FOLDED, Block, bound_batches, map_blocks, mix, ranges, sequence
 
 BANDS, WIDTH = 40, 5
 SLOTS = BANDS * WIDTH
 #: Of estimated similarity, below the threshold by six standard deviations of the sketch.
 SLACK = 0.2
-TILE = 2000
+#: Members of half a tile, and the similarity from which a member is near to a centre.
+TILE, NEAR = 2000, 50
 RANK = np.uint64(56)
 
 
@@ -146,63 +151,108 @@ def near_sizes(a: Column | str, b: Column | str, percent: int) -> Column:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= percent * union of their full sets."""
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs (a, b) with `linked`: 100 * intersection >= percent * union of their full sets; and for b near to a, `apart`, the
+    shingles that only one of them has."""
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked = []
+            linked, apart = [], []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = np.r_[x, y]
+                both = np.frombuffer(x + y, np.uint64).copy()
                 both.sort()
-                common = int((both[1:] == both[:-1]).sum())
-                linked.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+                same = both[1:] == both[:-1]
+                common = int(same.sum())
+                union = len(both) - common
+                linked.append(100 * common >= percent * union)
+                lone = ~(np.r_[same, False] | np.r_[False, same])
+                apart.append(both[lone].tobytes() if 100 * common >= NEAR * union else None)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_()), pa.array(apart, pa.binary())],
+                                             names=["a", "b", "linked", "apart"])
     bound_batches(pairs.sparkSession)
     with_b = pairs.select("a", "b").join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y")), "b")
     with_both = with_b.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x")), "a")
-    return with_both.select("a", "b", "x", "y").mapInArrow(keep, "a long, b long")
+    return with_both.select("a", "b", "x", "y").mapInArrow(check, "a long, b long, linked boolean, apart binary")
 
 
-def similar_across(members: DataFrame, percent: int, best_only: bool) -> DataFrame:
-    """Pairs of members of one bucket but of different components that can reach the threshold by size and sketch; of each
-    member's only the most similar in its tile if `best_only`. Large buckets are cut into tiles, each two blocks of members."""
-    size = members.groupBy("key").agg(F.ceil(F.count("*") / F.lit(TILE)).cast("int").alias("parts"))
-    cut = members.join(size, "key").withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
-    tiles = F.transform(F.sequence(F.lit(0), F.col("parts") - 1),
+def tiles(members: DataFrame, key: str, more: DataFrame | None = None) -> DataFrame:
+    """The members of each key that has several roots, with the columns of `more` by rep, cut into blocks, once for each pair of
+    blocks: lo, hi, and part."""
+    mixed = members.groupBy(key).agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("m")).filter("low <> high")
+    mixed = mixed.select(key, F.ceil(F.col("m") / F.lit(TILE)).cast("int").alias("parts"))
+    cut = members.join(mixed, key).withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
+    cut = cut.join(more, "rep") if more is not None else cut
+    pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1),
                         lambda other: F.struct(F.least("part", other).alias("lo"), F.greatest("part", other).alias("hi")))
-    cut = cut.select("key", "rep", "n", "root", "sketch", "part", F.explode(tiles).alias("tile"))
-    cut = cut.select("key", F.col("tile.lo").alias("lo"), F.col("tile.hi").alias("hi"), "part", "rep", "n", "root", "sketch")
+    cut = cut.withColumn("tile", F.explode(pairs))
+    return cut.withColumns({"lo": F.col("tile.lo"), "hi": F.col("tile.hi")}).drop("tile", "parts")
+
+
+def to_compare(table: pa.Table) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """Columns of a tile, and the members to compare with all of other roots: those not of the commonest root. A pair of roots is
+    only left out if it is one root with itself."""
+    group = {c: table.column(c).to_numpy() for c in ("part", "rep", "n", "root")}
+    roots, which, counts = np.unique(group["root"], return_inverse=True, return_counts=True)
+    return group, np.flatnonzero(which != np.argmax(counts))
+
+
+def linked_by_difference(members: DataFrame, percent: int) -> DataFrame:
+    """Links between members of one centre that are of different roots, from their differences to the centre (`apart`): in each tile no more than
+    join what was not joined."""
+    def links(table: pa.Table) -> pa.Table:
+        group, some = to_compare(table)
+        n, root = group["n"].astype(np.int64), group["root"].copy()
+        apart = [np.frombuffer(x, np.uint64) for x in table.column("apart").to_pylist()]
+        sizes = np.array([len(x) for x in apart])
+        owner, hashes = np.repeat(np.arange(len(apart)), sizes), np.concatenate(apart)
+        order = np.argsort(hashes, kind="stable")
+        owner, hashes = owner[order], hashes[order]
+        found_a, found_b = [], []
+        for i in some.tolist():
+            low, high = np.searchsorted(hashes, apart[i]), np.searchsorted(hashes, apart[i], "right")
+            common = np.bincount(owner[ranges(low, high - low)], minlength=len(n))
+            differ = sizes[i] + sizes - 2 * common
+            # 100 * intersection >= percent * union, with intersection = (|x| + |y| - differ) / 2 and union = (|x| + |y| + differ) / 2
+            alike = 100 * (n[i] + n - differ) >= percent * (n[i] + n + differ)
+            for j in np.flatnonzero(alike & (root != root[i])).tolist():
+                if root[j] != root[i]:
+                    found_a.append(group["rep"][i])
+                    found_b.append(group["rep"][j])
+                    root[root == root[j]] = root[i]
+        return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
+
+    return tiles(members, "centre").groupBy("centre", "lo", "hi").applyInArrow(links, "a long, b long")
+
+
+def similar_across(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of one bucket, of different roots and not near to a common centre, that can reach the threshold by
+    size and sketch. `classes` has rep, sketch and the centres that are near."""
     least = percent / 100 - SLACK
 
-    def compare(group: dict[str, np.ndarray], lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
-        left, right = group["part"] == lo, group["part"] == hi
-        one, two = np.flatnonzero(left), np.flatnonzero(right)
+    def pairs(table: pa.Table) -> pa.Table:
+        group, some = to_compare(table)
+        bits = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(table), -1)
+        near = [set(x or ()) for x in table.column("near").to_pylist()]
+        lo, hi = table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
+        n, root, part = group["n"], group["root"], group["part"]
         found_a, found_b = [], []
-        bits = group["sketch"]
-        for i in one:
-            others = two[two > i] if lo == hi else two
-            n = group["n"]
-            others = others[(group["root"][others] != group["root"][i])
-                            & (np.minimum(n[others], n[i]) * 100 >= np.maximum(n[others], n[i]) * percent)]
+        for i in some.tolist():
+            across = (root != root[i]) & (np.minimum(n, n[i]) * 100 >= np.maximum(n, n[i]) * percent)
+            others = np.flatnonzero(across if lo == hi else across & (part != part[i]))
             if not len(others):
                 continue
-            apart = bits[others] ^ bits[i]
-            slots = np.bitwise_count((apart | apart >> np.uint8(1)) & np.uint8(0x55)).sum(axis=1)
-            near = 1 - (slots / SLOTS) / 0.75
-            some = np.flatnonzero(near >= least)
-            if len(some) and best_only:
-                some = some[[np.argmax(near[some])]]
-            found_a += [group["rep"][i]] * len(some)
-            found_b += group["rep"][others[some]].tolist()
-        return np.array(found_a, np.int64), np.array(found_b, np.int64)
+            differ = bits[others] ^ bits[i]
+            slots = np.bitwise_count((differ | differ >> np.uint8(1)) & np.uint8(0x55)).sum(axis=1)
+            for j in others[1 - (slots / SLOTS) / 0.75 >= least].tolist():
+                if near[i].isdisjoint(near[j]):
+                    found_a.append(min(group["rep"][i], group["rep"][j]))
+                    found_b.append(max(group["rep"][i], group["rep"][j]))
+        return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())}).group_by(["a", "b"]).aggregate([])
+
+    return tiles(members, "key", classes).groupBy("key", "lo", "hi").applyInArrow(pairs, "a long, b long").distinct()
 
-    def pairs(table: pa.Table) -> pa.Table:
-        group = {c: table.column(c).to_numpy() for c in ("part", "rep", "n", "root")}
-        group["sketch"] = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(table), -1)
-        a, b = compare(group, table.column("lo")[0].as_py(), table.column("hi")[0].as_py())
-        return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
 
-    return cut.groupBy("key", "lo", "hi").applyInArrow(pairs, "a long, b long").distinct()
+def with_roots(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    joined = rows.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
+    return joined.withColumn("root", F.coalesce("root", "rep"))
 
 
 def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -216,18 +266,24 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> D
     met = saved(rows.join(buckets, "key").select("key", "rep", "n", F.col("c.rep").alias("centre"), F.col("c.n").alias("centre_n")), "met")
     wanted = classes.join(met.select("rep").distinct(), "rep", "left_semi")
     sets = saved(sets_of(documents, wanted, size), "sets")
-    first = met.filter((F.col("rep") != F.col("centre")) & near_sizes("n", "centre_n", percent))
-    links = saved(verified(first.select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct(), sets, percent), "links")
+    stars = met.filter(F.col("rep") != F.col("centre")).select(F.col("centre").alias("a"), F.col("rep").alias("b"), near_sizes("n", "centre_n", NEAR).alias("can"))
+    stars = saved(verified(stars.filter("can").select("a", "b").distinct(), sets, percent), "stars")
+    links = stars.filter("linked").select("a", "b")
     roots = components(links)
-    for best_only in (True, False):
-        labelled = (met.select("key", "rep", "n").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-                    .withColumn("root", F.coalesce("root", "rep")))
-        mixed = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-        open_ = labelled.join(mixed.select("key"), "key", "left_semi").join(classes.select("rep", "sketch"), "rep")
-        found = saved(verified(similar_across(open_, percent, best_only), sets, percent), "links")
-        if not found.isEmpty():
-            links = links.union(found)
-            roots = components(links)
+    near = stars.filter("apart IS NOT NULL").select(F.col("a").alias("centre"), F.col("b").alias("rep"), "apart")
+    centres = near.select("centre", F.col("centre").alias("rep"), F.lit(b"").alias("apart")).distinct()
+    near = near.union(centres)
+    members = with_roots(near.join(classes.select("rep", "n"), "rep"), roots).select("centre", "rep", "n", "root", "apart")
+    found = saved(linked_by_difference(members, percent), "links")
+    if not found.isEmpty():
+        links = links.union(found)
+        roots = components(links)
+    compared = near.groupBy("rep").agg(F.collect_set("centre").alias("near"))  # no more than a class has bands, and itself
+    sketches = classes.select("rep", "sketch").join(compared, "rep", "left")
+    pairs = similar_across(with_roots(met.select("key", "rep", "n"), roots), sketches, percent)
+    found = saved(verified(pairs, sets, percent).filter("linked").select("a", "b"), "links")
+    if not found.isEmpty():
+        roots = components(links.union(found))
     named = classes.select("d1", "d2", "n", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select("d1", "d2", "n", F.coalesce("root", "rep").alias("component"))
     out = signed.select("doc_id", "n", "d1", "d2").join(named, ["d1", "d2", "n"], "left")
