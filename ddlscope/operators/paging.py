@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ddlscope.fixed import DEFAULT_PAGE_SIZE
 from ddlscope.functions.text import listing_order
@@ -34,6 +34,17 @@ def on_page(index: int) -> Column:
     return F.col("page") == F.least(F.greatest(F.lit(index), F.lit(0)), F.col("pages") - 1)
 
 
+def one_page(matches: DataFrame, index: int = 0, size: int = DEFAULT_PAGE_SIZE, group: Sequence[str] = _GROUP) -> DataFrame:
+    """The rows on one page of each group, with `position` and `page`, without placing the others: each task sends the rows of a
+    group up to the end of the page asked for. An index beyond the ends means the first or last page; a group that ends
+    before the page has all of its rows among those. For pages far on, `paginate` spreads the work."""
+    index = max(index, 0)
+    upto = F.row_number().over(Window.partitionBy(*group).orderBy(*listing_order()))
+    first = matches.withColumn("position", upto.cast("bigint")).where(F.col("position") <= (index + 1) * size)
+    pages = matches.groupBy(*group).agg(F.least(F.lit(index), page_count(F.count("*"), size) - 1).alias("page"))
+    return first.join(pages, list(group)).where(F.floor((F.col("position") - 1) / F.lit(size)) == F.col("page"))
+
+
 def page_summary(groups: DataFrame, matches: DataFrame, index: int = 0, size: int = DEFAULT_PAGE_SIZE,
                  group: Sequence[str] = _GROUP) -> DataFrame:
     """For each group, also one without matches: matches, pages, the page shown, and its first and last row."""

@@ -12,6 +12,7 @@ from ddlscope.fixed import RAW_LIMIT_BYTES, WIRE_LIMIT_BYTES
 from ddlscope.functions.sizes import size_verdict
 from ddlscope.functions.text import like_matches
 from ddlscope.operators import catalogs, failures, listing, outcomes, selection
+from ddlscope.session import apply_settings
 from ddlscope.sinks import payload
 from ddlscope.sources import snapshots
 
@@ -46,6 +47,7 @@ def list_objects(snapshot: Snapshot, schema_pattern: str = "", pattern: str = ""
                  want_views: bool = True) -> DataFrame:
     """Objects of the schemas that match and could be listed. Schemas are left out at the scans of the listings, before
     the joins by name: what follows a join by schema would otherwise keep its partitioning, large schemas and all."""
+    apply_settings(snapshot.tables.sparkSession)
     in_schemas = like_matches("schema_name", schema_pattern)
     tables = listing.listed_schemas_only(snapshot.tables.where(in_schemas), snapshot.schema_status, snapshot.lead)
     return listing.list_objects(tables, snapshot.views.where(in_schemas), snapshot.streaming(), pattern, want_tables,

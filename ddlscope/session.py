@@ -29,6 +29,14 @@ def local_session(cores: int | str = "*", memory: str = "8g", shuffle_partitions
             .config("spark.sql.shuffle.partitions", str(shuffle_partitions)).getOrCreate())
 
 
+def apply_settings(spark: SparkSession) -> None:
+    """Give a session that comes from elsewhere, as on a cluster, those of the settings that a running session takes: the
+    adaptive ones, which split hot keys."""
+    for key, value in SETTINGS.items():
+        if key.startswith("spark.sql.adaptive.") and spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
+
+
 def sized_settings(input_bytes: int, partition_bytes: int = 128 << 20) -> dict[str, str]:
     """Settings that give a job over this much data partitions that fit in memory. Adaptive execution merges small
     partitions but does not split those of a range partitioning, so their number has to follow the data."""

@@ -144,6 +144,8 @@ def test_pages(spark):
         return rows(paged.where(paging.on_page(index)), "object_name", "page", "pages", "first_row", "last_row", "matches")
     assert shown(1) == [("t3", 1, 3, 4, 6, 7), ("t4", 1, 3, 4, 6, 7), ("t5", 1, 3, 4, 6, 7)]
     assert shown(99) == [("t6", 2, 3, 7, 7, 7)] and shown(-5) == shown(0)
+    for index in (-5, 0, 1, 2, 99):
+        assert rows(paging.one_page(matches, index, 3), "object_name", "page") == [(r[0], r[1]) for r in shown(index)]
     groups = spark.createDataFrame([("c",), ("empty",)], "catalog_name string")
     summary = paging.page_summary(groups, matches, 99, 3)
     assert rows(summary, "catalog_name", "matches", "pages", "page", "first_row", "last_row") == [

@@ -4,7 +4,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from ddlscope.session import scratch_path, shared_folder, sized_settings
+from ddlscope.session import apply_settings, scratch_path, shared_folder, sized_settings
 
 
 class Context:
@@ -47,3 +47,10 @@ def test_scratch_paths_are_new_and_in_the_folder():
 def test_partitions_follow_the_data():
     assert sized_settings(1)["spark.sql.shuffle.partitions"] == "200"
     assert sized_settings(100 << 40)["spark.sql.shuffle.partitions"] == str((100 << 40) // (128 << 20))
+
+
+def test_adaptive_settings_reach_a_session_from_elsewhere(spark):
+    key = "spark.sql.adaptive.forceOptimizeSkewedJoin"
+    spark.conf.set(key, "false")
+    apply_settings(spark)
+    assert spark.conf.get(key) == "true"

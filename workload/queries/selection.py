@@ -51,7 +51,7 @@ def j3_selection(t):
            FROM selected_objects WHERE (catalog_name, schema_name) IN
              (SELECT (catalog_name, schema_name) FROM paged WHERE {_THIRD}) GROUP BY ALL""")
 def j12_page_schema_counts(t):
-    return selection.page_schema_counts(objects(t), pages(t).where(paging.on_page(2)))
+    return selection.page_schema_counts(objects(t), paging.one_page(objects(t).drop("ddl"), 2, SIZE))
 
 
 @query(f"""WITH {SELECTED} SELECT catalog_name, count(*) FILTER (selected) AS selected, count(*) AS total
@@ -72,6 +72,12 @@ def w1_pages(t):
     return pages(t)
 
 
+@query(f"WITH {SELECTED}, {_PAGED} SELECT {KEYS}, kind, position, page FROM paged WHERE {_THIRD}")
+def w1_third_page(t):
+    third = paging.one_page(objects(t).drop("ddl"), 2, SIZE)
+    return third.select("catalog_name", "schema_name", "object_name", "kind", "position", "page")
+
+
 @query(f"WITH {SELECTED}, {_PAGED} SELECT {KEYS}, kind, position FROM paged WHERE page = pages - 1")
 def w1_last_page(t):
     # An index beyond the last page shows the last one.
