@@ -87,6 +87,12 @@ def markers(texts: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
     return np.sort(buckets[best])
 
 
+def apart(cuts: np.ndarray, gap: float) -> np.ndarray:
+    """The cut points in order, each so far above the last at least: between equal ones a grade would have no probability."""
+    steps = gap * np.arange(len(cuts))
+    return np.maximum.accumulate(cuts - steps) + steps
+
+
 def fit(present: list[np.ndarray], grades: np.ndarray, buckets: np.ndarray, rounds: int = 400, rate: float = 0.3, ridge: float = 1e-4) -> Model:
     """Weights and cut points by gradient steps on the likelihood of the grades; `present` has the features of each text."""
     n, cuts_n = len(grades), len(STEPS)
@@ -94,13 +100,13 @@ def fit(present: list[np.ndarray], grades: np.ndarray, buckets: np.ndarray, roun
     index = np.concatenate(present) if n else np.zeros(0, np.int64)
     above = (grades[:, None] > np.arange(cuts_n)).astype(float)
     share = np.clip(above.mean(axis=0), 0.5 / n, 1 - 0.5 / n)
-    model = Model(buckets, np.zeros(len(buckets)), np.sort(np.log(1 / share - 1)))
+    model = Model(buckets, np.zeros(len(buckets)), apart(np.sort(np.log(1 / share - 1)), 1.0))
     momentum = [np.zeros(len(buckets)), np.zeros(cuts_n)]
     squares = [np.full(len(buckets), 1e-8), np.full(cuts_n, 1e-8)]
     for step in range(1, rounds + 1):
         # P(y = g) = S_{g-1} - S_g with S = P(y > k): the derivative of its logarithm by each S.
         s = np.column_stack([np.ones(n), model.above(rows, index, n), np.zeros(n)])
-        p = np.maximum(s[np.arange(n), grades] - s[np.arange(n), grades + 1], 1e-9)
+        p = np.maximum(s[np.arange(n), grades] - s[np.arange(n), grades + 1], 1e-4)
         slope = s * (1 - s)
         by_high, by_low = slope[np.arange(n), grades] / p, slope[np.arange(n), grades + 1] / p
         to_x = (by_high - by_low) / n
@@ -109,7 +115,7 @@ def fit(present: list[np.ndarray], grades: np.ndarray, buckets: np.ndarray, roun
             momentum[i] = 0.9 * momentum[i] + 0.1 * gradient
             squares[i] = 0.99 * squares[i] + 0.01 * gradient ** 2
             value += rate / step ** 0.25 * (momentum[i] / (1 - 0.9 ** step)) / np.sqrt(squares[i] / (1 - 0.99 ** step) + 1e-12)
-        model.cuts = np.maximum.accumulate(model.cuts)
+        model.cuts = apart(model.cuts, 0.05)
     return model
 
 
