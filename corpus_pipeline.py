@@ -22,8 +22,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The documents with none of these ids."""
-    named = ids.select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(named, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return docs.join(ids.select("doc_id").distinct(), "doc_id", "left_anti")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
