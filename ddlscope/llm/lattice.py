@@ -20,6 +20,8 @@ read."""
 from __future__ import annotations
 
 import heapq
+import math
+import random
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -88,8 +90,8 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 class Lattices(Store):
-    """The lattices of the distinct chunks a task has met. A place is a byte of a chunk; edges are in order of the place and,
-    for one place, of falling probability."""
+    """The lattices of the distinct chunks a task has met. A place is a byte of a chunk; edges are in order of the place, the most
+    probable one of a place first."""
 
     most = 150_000
 
@@ -113,47 +115,69 @@ class Lattices(Store):
         head = data & 0xC0 != 0x80
         head[ends - sizes] = True
         places = np.flatnonzero(head)
+        after = np.minimum(np.r_[places[1:], len(data)], end_of[places])
+        after_of = np.zeros(len(data), np.int64)
+        after_of[places] = after
+        # All pieces from all places, longer by a byte in each step; `rank` is an edge's place among those of its own.
         begin, state = places, self.words.next[0, data[places]].astype(np.int64)
         found, size = [], 1
+        degree, single = np.zeros(len(data), np.int64), np.zeros(len(data), bool)
         while len(begin):
             live = state > 0
             begin, state = begin[live], state[live]
-            hit = self.words.piece[state] >= 0
-            found.append((begin[hit], begin[hit] + size, self.words.piece[state[hit]]))
+            pieces = self.words.piece[state]
+            hit = pieces >= 0
+            at = begin[hit]
+            found.append((at, at + size, pieces[hit], degree[at]))
+            degree[at] += 1
+            single[at[at + size == after_of[at]]] = True
             more = begin + size < end_of[begin]
             begin = begin[more]
             state = self.words.next[state[more], data[begin + size]].astype(np.int64)
             size += 1
-        begin, to, ids = (np.concatenate(x) for x in zip(*found))
-        after = np.minimum(np.r_[places[1:], len(data)], end_of[places])
-        after_of = np.zeros(len(data), np.int64)
-        after_of[places] = after
-        single = np.zeros(len(data), bool)
-        single[begin[to == after_of[begin]]] = True
         bare = places[~single[places]]  # characters without a piece: their bytes
-        score = np.r_[self.log_p[ids], (after_of[bare] - bare) * self.log_p[self.words.byte_id[0]]]
-        begin, to, ids = np.r_[begin, bare], np.r_[to, after_of[bare]], np.r_[ids, np.full(len(bare), -1)]
-        # Backward sums, the places nearest to the end of their chunk first.
+        found.append((bare, after_of[bare], np.full(len(bare), -1, np.int32), degree[bare]))
+        degree[bare] += 1
+        begin, to, ids, rank = (np.concatenate(x) for x in zip(*found))
+        score = np.where(ids >= 0, self.log_p[ids], (to - begin) * self.log_p[self.words.byte_id[0]])
+        # Backward sums, the places nearest to the end of their chunk first; edges are put in place by counting.
         count = np.cumsum(head)
-        level = (count[end_of[begin] - 1] - count[begin])
-        order = np.argsort(level * (len(data) + 1) + begin)
-        begin, to, ids, score, level = begin[order], to[order], ids[order], score[order], level[order]
-        last = to == end_of[begin]
+        level = count[end_of[places] - 1] - count[places]
+        by_level = np.argsort(level.astype(np.uint16) if len(level) and level.max() < 1 << 16 else level, kind="stable")
+        width = degree[places[by_level]]
+        where = np.zeros(len(data), np.int64)
+        where[places[by_level]] = np.cumsum(width) - width
+        order = np.empty(len(begin), np.int64)
+        order[where[begin] + rank] = np.arange(len(begin))
+        target, score = to[order], score[order]
+        last = target == np.repeat(end_of[places[by_level]], width)
+        heads, levels = np.cumsum(width) - width, level[by_level]
         mass = np.zeros(len(data) + 1)
         total = np.empty(len(begin))
-        cuts = np.flatnonzero(np.r_[True, level[1:] != level[:-1], True]) if len(level) else np.zeros(0, np.int64)
-        for low, high in zip(cuts[:-1], cuts[1:]):
-            b = begin[low:high]
-            s = score[low:high] + np.where(last[low:high], 0.0, mass[to[low:high]])
-            heads = np.flatnonzero(np.r_[True, b[1:] != b[:-1]])
-            most = np.maximum.reduceat(s, heads)
-            width = np.diff(np.r_[heads, len(b)])
-            mass[b[heads]] = most + np.log(np.add.reduceat(np.exp(s - np.repeat(most, width)), heads))
+        cuts = np.flatnonzero(np.r_[True, levels[1:] != levels[:-1], True]) if len(levels) else np.zeros(0, np.int64)
+        edge_at = np.r_[heads, len(begin)]
+        for one, two in zip(cuts[:-1], cuts[1:]):
+            low, high = edge_at[one], edge_at[two]
+            s = score[low:high] + np.where(last[low:high], 0.0, mass[target[low:high]])
+            own_heads = heads[one:two] - low
+            most = np.maximum.reduceat(s, own_heads)
+            mass[places[by_level[one:two]]] = most + np.log(np.add.reduceat(np.exp(s - np.repeat(most, width[one:two])), own_heads))
             total[low:high] = s
-        own = total - mass[begin]
-        order = np.argsort(begin - np.exp(own) * 0.999)
+        own = np.empty(len(begin))
+        own[order] = total
+        own -= mass[begin]
+        # In order of the places; the most probable edge of a place is put first, since most draws take it.
+        first = np.cumsum(degree) - degree
+        order = np.empty(len(begin), np.int64)
+        order[first[begin] + rank] = np.arange(len(begin))
         begin, to, ids, own = begin[order], to[order], ids[order], own[order]
-        first = np.searchsorted(begin, np.arange(len(data)))
+        if len(begin):
+            some = first[places]
+            best = np.maximum.reduceat(own, some)
+            is_best = np.flatnonzero(own == np.repeat(best, degree[places]))
+            is_best = is_best[np.r_[True, begin[is_best[1:]] != begin[is_best[:-1]]]]
+            for column in (to, ids, own):
+                column[some], column[is_best] = column[is_best], column[some].copy()
         running = np.cumsum(whole(np.exp(own), 40))
         upto = (running - np.r_[0, running][first[begin]]) / 2**40
         upto[np.r_[begin[1:] != begin[:-1], True]] = 2.0  # the last edge of a place takes what is left
@@ -221,7 +245,7 @@ class Lattices(Store):
             high += 1
         return high - low + 1
 
-    def other(self, chunk: int, taken: list[np.ndarray], draws: np.random.Generator) -> tuple[np.ndarray, float, float]:
+    def other(self, chunk: int, taken: list[np.ndarray], draws: random.Random) -> tuple[np.ndarray, float, float]:
         """A path through a chunk that is none of those taken, in proportion to its probability; that probability's log, and
         the log mass of what then is left."""
         mass, share, ways = self.leaving(chunk, taken)
@@ -353,13 +377,12 @@ def sampled(block: Block, seeds: np.ndarray, store: Lattices, samples: int) -> l
                 continue
             number, _, path, word, (*taken, at, before) = heapq.heappop(search.queue)
             g, chunk = -number, int(which[word])
-            seed = int(mix(seeds[i:i + 1] + np.uint64(word - first[i]), 80 + turn)[0])
-            draws = np.random.default_rng(seed)
+            draws = random.Random(int(seeds[i]) ^ (int(word - first[i]) << 8 | turn))
             new, log_new, rest = store.other(chunk, taken, draws)
             # What is left at this word goes back with a number below that of what was popped.
             if rest > -np.inf:
-                limit, mass = np.array([g]), np.array([before + rest])
-                search.push(float(below(limit, mass, np.array([draws.random()]))[0]), path, word, [*taken, new, at, before])
+                lower = before + rest - math.log(math.exp(before + rest - g) - math.log(draws.random()))
+                search.push(lower, path, word, [*taken, new, at, before])
             work.append((i, g, before + log_new, np.concatenate([search.paths[path][:at], new]), word + 1))
         if not work:
             break
