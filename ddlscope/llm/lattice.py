@@ -93,7 +93,7 @@ class Lattices(Store):
     """The lattices of the distinct chunks a task has met. A place is a byte of a chunk; edges are in order of the place, the most
     probable one of a place first."""
 
-    most = 150_000
+    most = 250_000
 
     def __init__(self, words: Vocabulary, alpha: float):
         self.words, self.log_p = words, words.log_p * alpha
