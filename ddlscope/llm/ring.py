@@ -65,7 +65,7 @@ def fill(counts: np.ndarray, owners: np.ndarray, room: np.ndarray) -> pd.DataFra
 
 def place(rows: DataFrame, key: Column, order: Sequence[str], spread: Column, shards: int, virtual: int = 256,
           load: float = 1.0) -> DataFrame:
-    """The rows with `shard` and `slot`, gapless from 0 in each shard. `order` are the columns that order equal keys;
+    """The rows with `shard` and `slot`, gapless from 0 in each shard; columns that had these names are replaced. `order` are the columns that order equal keys;
     `spread` a number that spreads them over the parts of their arc."""
     places, owners = points(shards, virtual)
 
@@ -74,8 +74,8 @@ def place(rows: DataFrame, key: Column, order: Sequence[str], spread: Column, sh
         return pd.Series(np.searchsorted(places, at.to_numpy()) % len(places), dtype="int32")
 
     digest = F.substring(F.md5(F.coalesce(key.cast("string"), F.lit("null")).cast("binary")), 1, DIGITS)
-    keyed = (rows.withColumn("_at", F.conv(digest, 16, 10).cast("long")).withColumn("_arc", arc("_at"))
-             .withColumn("_part", F.pmod(spread, F.lit(PARTS)).cast("int")))
+    keyed = (rows.select(F.struct("*").alias("_row"), F.conv(digest, 16, 10).cast("long").alias("_at"),
+                         F.pmod(spread, F.lit(PARTS)).cast("int").alias("_part")).withColumn("_arc", arc("_at")))
     # At most one row for each part of an arc: bounded by the ring.
     sizes = keyed.groupBy("_arc", "_part").count().toPandas().astype("int64").sort_values(["_arc", "_part"])
     counts = np.bincount(sizes["_arc"], sizes["count"], len(places)).astype(np.int64)
@@ -84,8 +84,8 @@ def place(rows: DataFrame, key: Column, order: Sequence[str], spread: Column, sh
     spark = rows.sparkSession
     before = spark.createDataFrame(sizes[["_arc", "_part", "_before"]], "_arc int, _part int, _before long")
     taken = spark.createDataFrame(taken, "arc int, low long, high long, shard int, slot_low long")
-    ranked = keyed.withColumn("_in", F.row_number().over(Window.partitionBy("_arc", "_part").orderBy("_at", *order)) - 1)
+    ranked = keyed.withColumn("_in", F.row_number().over(Window.partitionBy("_arc", "_part").orderBy("_at", *(f"_row.{c}" for c in order))) - 1)
     rank = F.col("_before") + F.col("_in")
     return (ranked.join(F.broadcast(before), ["_arc", "_part"])
             .join(F.broadcast(taken), (F.col("_arc") == F.col("arc")) & (rank >= F.col("low")) & (rank < F.col("high")))
-            .select(*rows.columns, "shard", (F.col("slot_low") + rank - F.col("low")).alias("slot")))
+            .select(*(f"_row.{c}" for c in rows.columns if c not in ("shard", "slot")), "shard", (F.col("slot_low") + rank - F.col("low")).alias("slot")))

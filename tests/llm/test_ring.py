@@ -6,7 +6,8 @@ from tests.llm.tables import documents, empty
 
 
 def place(rows, shards, **more):
-    rows = rows.select("doc_id", "shard", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("crc")).withColumnRenamed("shard", "own")
+    more_names = {c: F.lit("clash") for c in ("low", "high", "arc", "count", "slot", "_at", "_row", "_arc", "own")}
+    rows = rows.select("doc_id", "shard", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("crc")).withColumns(more_names)
     return ring.place(rows, F.col("doc_id"), ["doc_id", "crc"], F.col("crc"), shards, **more)
 
 
