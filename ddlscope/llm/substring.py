@@ -170,25 +170,53 @@ def unpack(data: bytes) -> np.ndarray:
     return rows
 
 
-def by_document(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Id, key and places, as runs of first and end, of each document."""
-    if not len(rows):
-        return rows["id"], rows["key"], []
+#: Windows that begin at `low` up to before `high` in a document and stand in an earlier one.
+RUN = np.dtype([("id", "<i8"), ("key", "<i8"), ("low", "<i4"), ("high", "<i4")])
+
+
+def as_runs(rows: np.ndarray) -> np.ndarray:
     rows = rows[np.lexsort((rows["at"], rows["key"], rows["id"]))]
     new = np.ones(len(rows), bool)
-    new[1:] = (rows["id"][1:] != rows["id"][:-1]) | (rows["key"][1:] != rows["key"][:-1])
-    run = new.copy()
-    run[1:] |= rows["at"][1:] > rows["at"][:-1] + 1
-    first = np.flatnonzero(run)
-    last = np.r_[first[1:], len(rows)] - 1
-    pairs = np.column_stack([rows["at"][first], rows["at"][last] + 1]).astype("<i4")
-    heads = np.flatnonzero(new)
-    cuts = np.searchsorted(first, np.r_[heads, len(rows)])
-    return rows["id"][heads], rows["key"][heads], [pairs[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
+    new[1:] = (rows["id"][1:] != rows["id"][:-1]) | (rows["key"][1:] != rows["key"][:-1]) | (rows["at"][1:] > rows["at"][:-1] + 1)
+    first = np.flatnonzero(new)
+    out = np.zeros(len(first), RUN)
+    if len(first):
+        out["id"], out["key"], out["low"] = rows["id"][first], rows["key"][first], rows["at"][first]
+        out["high"] = rows["at"][np.r_[first[1:], len(rows)] - 1] + 1
+    return out
+
+
+def squeeze(runs: np.ndarray) -> bytes:
+    raw = b"".join(np.ascontiguousarray(runs[name]).tobytes() for name in RUN.names)
+    return len(runs).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def expand(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    raw, at = pa.decompress(data[8:], n * RUN.itemsize, codec="zstd", asbytes=True), 0
+    runs = np.zeros(n, RUN)
+    for name in RUN.names:
+        runs[name] = np.frombuffer(raw, RUN[name], n, at)
+        at += n * RUN[name].itemsize
+    return runs
+
+
+def dealt(items: np.ndarray, part: np.ndarray, write) -> tuple[list[int], list[bytes]]:
+    """The items of each part, written together."""
+    order = np.argsort(part, kind="stable")
+    items, part = items[order], part[order]
+    heads = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else np.zeros(0, np.int64)
+    return part[heads].tolist(), [write(items[a:b]) for a, b in zip(heads, np.r_[heads[1:], len(part)])]
+
+
+def by_document(runs: np.ndarray, groups: int) -> tuple[list[int], list[bytes]]:
+    """The runs of the documents of each part, written together: some rows for a task, not for a document."""
+    part = (mix(runs["id"].astype(np.int64).view(np.uint64), 22) % np.uint64(groups)).astype(np.int64)
+    return dealt(runs, part, squeeze)
 
 
 def places(documents: DataFrame, size: int, bits: int, packed: np.ndarray, groups: int) -> DataFrame:
-    """doc_id, key and runs of the first words of windows that an earlier document has; several rows for a document."""
+    """doc_id, key and the runs of the first words of windows that an earlier document has, one row for a document."""
     shared = documents.sparkSession.sparkContext.broadcast(packed.tobytes())
 
     def emit(found: list[np.ndarray], anchor: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -196,17 +224,10 @@ def places(documents: DataFrame, size: int, bits: int, packed: np.ndarray, group
         order = np.lexsort((rows["at"], rows["id"], rows["b"], rows["a"]))
         rows, part = rows[order], part[order]
         _, settled = later(rows)
-        ids, keys, runs_ = by_document(rows[settled])
-        rows, part = rows[~settled], part[~settled]
-        order = np.argsort(part, kind="stable")
-        rows, part = rows[order], part[order]
-        heads = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else np.zeros(0, np.int64)
-        ends = np.r_[heads[1:], len(part)]
-        none = [None] * len(heads)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.r_[(mix(ids.view(np.uint64), 22) % np.uint64(groups)).astype(np.int64), part[heads]], pa.int32()),
-             pa.array(ids.tolist() + none, pa.int64()), pa.array(keys.tolist() + none, pa.int64()),
-             pa.array(runs_ + [pack(rows[a:b]) for a, b in zip(heads, ends)], pa.binary())], names=["part", "doc_id", "key", "data"])
+        done, runs_ = by_document(as_runs(rows[settled]), groups)
+        left, open_ = dealt(rows[~settled], part[~settled], pack)
+        yield pa.RecordBatch.from_arrays([pa.array(done + left, pa.int32()), pa.array([True] * len(done) + [False] * len(left)),
+                                          pa.array(runs_ + open_, pa.binary())], names=["part", "settled", "data"])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(shared.value, np.uint8).reshape(DEPTH, -1)
@@ -234,16 +255,26 @@ def places(documents: DataFrame, size: int, bits: int, packed: np.ndarray, group
             yield from emit(found, anchor)
 
     def settle(table: pa.Table) -> pa.Table:
-        done = table.column("doc_id").is_valid().to_numpy()
+        """Runs of documents, dealt by document; those that came settled go on."""
+        done = table.column("settled").to_numpy()
         open_ = [unpack(x) for x, y in zip(table.column("data").to_pylist(), done) if not y]
         rows, is_later = later(np.concatenate(open_) if open_ else np.zeros(0, OPEN))
-        ids, keys, found = by_document(rows[is_later])
-        new = pa.table({"doc_id": pa.array(ids, pa.int64()), "key": pa.array(keys, pa.int64()), "data": pa.array(found, pa.binary())})
-        return pa.concat_tables([table.filter(pa.array(done)).select(["doc_id", "key", "data"]), new])
+        part, data = by_document(as_runs(rows[is_later]), groups)
+        new = pa.table({"part": pa.array(part, pa.int32()), "data": pa.array(data, pa.binary())})
+        return pa.concat_tables([table.filter(pa.array(done)).select(["part", "data"]), new])
+
+    def collect(table: pa.Table) -> pa.Table:
+        runs_ = np.concatenate([expand(x) for x in table.column("data").to_pylist()])
+        runs_ = runs_[np.lexsort((runs_["low"], runs_["key"], runs_["id"]))]
+        heads = np.flatnonzero(np.r_[True, (runs_["id"][1:] != runs_["id"][:-1]) | (runs_["key"][1:] != runs_["key"][:-1])])
+        pairs = np.column_stack([runs_["low"], runs_["high"]])
+        found = [pairs[a:b].tobytes() for a, b in zip(heads, np.r_[heads[1:], len(runs_)])]
+        return pa.table({"doc_id": pa.array(runs_["id"][heads]), "key": pa.array(runs_["key"][heads]), "runs": pa.array(found, pa.binary())})
 
     rows = documents.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "key", "text")
-    spread = rows.mapInArrow(gather, "part int, doc_id long, key long, data binary")
-    return spread.groupBy("part").applyInArrow(settle, "doc_id long, key long, data binary")
+    spread = rows.mapInArrow(gather, "part int, settled boolean, data binary")
+    settled = spread.groupBy("part").applyInArrow(settle, "part int, data binary")
+    return settled.groupBy("part").applyInArrow(collect, "doc_id long, key long, runs binary")
 
 
 def kept(documents: DataFrame, found: DataFrame, size: int) -> DataFrame:
@@ -252,8 +283,8 @@ def kept(documents: DataFrame, found: DataFrame, size: int) -> DataFrame:
         covered = np.zeros(len(block.bounds[0]), bool)
         begins = []
         for i, parts in enumerate(block.rows.column("runs").to_pylist()):
-            for part in parts or ():
-                pairs = np.frombuffer(part, "<i4").reshape(-1, 2).astype(np.int64)
+            if parts:
+                pairs = np.frombuffer(parts, "<i4").reshape(-1, 2).astype(np.int64)
                 begins.append(block.first[i] + ranges(pairs[:, 0], pairs[:, 1] - pairs[:, 0]))
         if begins:
             covered = covering(np.concatenate(begins), size, len(covered))
@@ -275,9 +306,8 @@ def kept(documents: DataFrame, found: DataFrame, size: int) -> DataFrame:
             for block in blocks(batch):
                 yield step(block)
 
-    runs_ = found.groupBy("doc_id", "key").agg(F.collect_list("data").alias("runs"))
     kind = documents.schema["doc_id"].dataType.simpleString()
-    joined = documents.join(runs_.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "runs"),
+    joined = documents.join(found.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "runs"),
                             (F.col("doc_id").cast("long") == F.col("_id")) & (F.col("key") == F.col("_key")), "left")
     return joined.select("doc_id", "text", "runs").mapInArrow(run, f"doc_id {kind}, n_words long, n_removed long, text string")
 
