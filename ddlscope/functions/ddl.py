@@ -29,9 +29,16 @@ def kind_from_table_type(table_type: str | Column) -> Column:
             .when(upper == "MATERIALIZED_VIEW", "MATERIALIZED VIEW").otherwise("TABLE"))
 
 
-def kind_from_ddl(ddl: str | Column) -> Column:
+# What the words after CREATE say, whatever the object is called.
+_STRICT = (r"\ACREATE (?:OR (?:REPLACE|REFRESH) )?(?:(?:GLOBAL|TEMP|TEMPORARY|EXTERNAL) )*+(MATERIALIZED VIEW|STREAMING TABLE|VIEW|TABLE)\b")
+
+
+def kind_from_ddl(ddl: str | Column, strict: bool = False) -> Column:
     """Kind named in the first six words of the statement, null when none is. Only the head of the text is read.
-    A name such as `customer_view` within these words counts as well."""
+    A name such as `customer_view` within these words counts as well, unless `strict`: then the words after CREATE decide."""
+    if strict:
+        words = F.regexp_replace(F.upper(F.regexp_extract(as_column(ddl), _SIX_WORDS, 1)), f"(?U){_GAP}++", " ")
+        return F.nullif(F.regexp_extract(words, _STRICT, 1), F.lit(""))
     head = F.upper(F.regexp_extract(as_column(ddl), _SIX_WORDS, 1))
 
     def two_words(text: Column, first: str, second: str) -> Column:

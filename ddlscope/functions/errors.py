@@ -45,6 +45,11 @@ def is_retried(reason: str | Column = "reason", attempt: str | Column = "attempt
     return is_transient(reason) & (as_column(attempt) < RETRIES)
 
 
+def is_final(reason: str | Column = "reason", attempt: str | Column = "attempt") -> Column:
+    """Whether the policy makes no attempt after this one: it went well, or failed for good, or was the last."""
+    return ~is_retried(reason, attempt)
+
+
 def retry_delay(bound: str, reason: str | Column = "reason", attempt: str | Column = "attempt") -> Column:
     """Shortest (`min`) or longest (`max`) wait in seconds before the next attempt, null without one."""
     factor = JITTER[0] if bound == "min" else JITTER[1]

@@ -12,6 +12,7 @@ from ddlscope.fixed import RAW_LIMIT_BYTES, WIRE_LIMIT_BYTES
 from ddlscope.functions.sizes import size_verdict
 from ddlscope.functions.text import like_matches
 from ddlscope.operators import catalogs, failures, listing, outcomes, selection
+from ddlscope.schemas import KEYS
 from ddlscope.session import apply_settings
 from ddlscope.sinks import payload
 from ddlscope.sources import snapshots
@@ -65,6 +66,32 @@ def sample_access(snapshot: Snapshot, listed: DataFrame) -> DataFrame:
     return outcomes.write_back(failures.access_sample(listed, snapshot.lead), snapshot.texts(), snapshot.lead)
 
 
+@dataclass(frozen=True)
+class AccessCheck:
+    """What samples of each schema say about read access."""
+
+    # Failures of samples with `permission`; their numbers; schemas that are denied, the objects in them, the grants that
+    # would help; and for each catalog its schemas, how many are denied, whether all are, and the objects affected.
+    failed: DataFrame
+    split: DataFrame
+    denied: DataFrame
+    affected: DataFrame
+    grants: DataFrame
+    catalogs: DataFrame
+
+
+def access_check(listed: DataFrame, outcomes_: DataFrame, principal: str, lead: Sequence[str] = ()) -> AccessCheck:
+    """The first object of each schema stands for it; `outcomes_` says by key with what `reason` reading it failed, if it did."""
+    keys = [*lead, *KEYS]
+    tried = failures.access_sample(listed, lead).join(outcomes_.select(*keys, "reason"), keys, "left")
+    failed = failures.failures(tried)
+    denied = failures.denied_schemas(failed, lead)
+    affected = failures.objects_in(listed, denied, lead)
+    counts = affected.groupBy(*lead, "catalog_name").agg(F.count("*").alias("affected"))
+    catalogs_ = failures.fully_denied_catalogs(listed, denied, lead).join(counts, [*lead, "catalog_name"], "left").fillna(0, ["affected"])
+    return AccessCheck(failed, failures.failure_split(failed, lead), denied, affected, failures.grants(denied, principal, lead), catalogs_)
+
+
 def export(resolved: DataFrame, path: str, keep_catalog: bool = False, raw_limit: int = RAW_LIMIT_BYTES,
            wire_limit: int = WIRE_LIMIT_BYTES, envelope_bytes: int = 0, lead: Sequence[str] = (),
            partitions: int | None = None) -> DataFrame:

@@ -209,3 +209,11 @@ def test_export_chunk(spark):
                                 "catalog_name string, schema_name string, object_name string, ddl string")
     assert row.select(export_chunk()).first()[0] == "-- s.t\nCREATE TABLE s.t;\n"
     assert row.select(export_chunk(keep_catalog=True)).first()[0] == "-- main.s.t\nCREATE TABLE main.s.t;\n"
+
+
+def test_strict_kind_goes_by_the_words_after_create(spark):
+    texts = ["CREATE TABLE c.s.customer_view", "create  or\trefresh streaming\ntable x", "CREATE OR REPLACE GLOBAL TEMPORARY VIEW v", "CREATE MATERIALIZED VIEW m",
+             "CREATE EXTERNAL TABLE t", "SELECT * FROM table", "", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "v string")
+    assert [r[0] for r in rows.select(kind_from_ddl("v", strict=True)).collect()] == [
+        "TABLE", "STREAMING TABLE", "VIEW", "MATERIALIZED VIEW", "TABLE", None, None, None]

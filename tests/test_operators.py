@@ -387,6 +387,18 @@ def test_import_takes_the_last_text_and_the_last_view(spark):
     assert rows(importing.resolve(snapshot, listed), "object_name", "ddl") == [("v", "CREATE VIEW new")]
 
 
+def test_access_check(spark):
+    listed = spark.createDataFrame([("a", s, o, "TABLE") for s in ("s1", "s2") for o in ("t1", "t2")] + [("b", "s", "t", "TABLE")],
+                                   "catalog_name string, schema_name string, object_name string, kind string")
+    reasons = spark.createDataFrame([("a", "s1", "t1", "X: [PERMISSION_DENIED] no"), ("a", "s1", "t2", None), ("a", "s2", "t1", "X: timeout"),
+                                     ("b", "s", "t", "X: [PERMISSION_DENIED] no")],
+                                    "catalog_name string, schema_name string, object_name string, reason string")
+    found = importing.access_check(listed, reasons, "team")
+    assert rows(found.catalogs, "catalog_name", "schemas", "denied_schemas", "all_denied", "affected") == [("a", 2, 1, False, 2), ("b", 1, 1, True, 1)]
+    assert rows(found.denied) == [("a", "s1"), ("b", "s")] and found.grants.count() == 6 and found.affected.count() == 3
+    assert rows(found.split, "permission", "failures") == [(False, 1), (True, 2)]
+
+
 def test_listing_order_is_deterministic_for_names_that_differ_in_case(spark):
     names = _objects(spark, [("c", "s", n, "T", None) for n in ("b", "B", "a", "C")])
     assert [r.object_name for r in names.orderBy(*listing_order()).collect()] == ["a", "B", "b", "C"]

@@ -121,6 +121,11 @@ FIXTURES = {
         SELECT DISTINCT catalog_name, schema_name, CASE WHEN schema_name LIKE '%3' THEN
           'AnalysisException: [SCHEMA_NOT_FOUND] ' || schema_name || chr(10) || 'JVM stacktrace: x' ELSE NULL END AS reason
         FROM fx_objects""",
+    # What became of each object when it was read as a sample.
+    "fx_sample_outcomes": """
+        SELECT catalog_name, schema_name, object_name, CASE
+            WHEN catalog_name = 'ext-sales' OR length(object_name) % 3 = 0 THEN 'SparkException: [PERMISSION_DENIED] no USE SCHEMA'
+            WHEN length(object_name) % 3 = 1 THEN 'IOException: HTTP 503' ELSE NULL END AS reason FROM fx_objects""",
     # A catalog without a status row, and catalogs without objects.
     "fx_partial_status": """
         SELECT * FROM fx_schema_status WHERE catalog_name <> 'hive_metastore'

@@ -39,10 +39,10 @@ def c2_error_line(t):
 
 
 @query(f"""WITH marked AS (SELECT attempt_id, attempt, {transient()} AND attempt < 4 AS retried FROM fx_attempts)
-           SELECT attempt_id, retried, CASE WHEN retried THEN least(pow(2.0, attempt), 16.0) * 0.75 END AS delay_min,
+           SELECT attempt_id, retried, NOT retried AS is_final, CASE WHEN retried THEN least(pow(2.0, attempt), 16.0) * 0.75 END AS delay_min,
              CASE WHEN retried THEN least(pow(2.0, attempt), 16.0) * 1.25 END AS delay_max FROM marked""")
 def c10_retry_policy(t):
-    return t("fx_attempts").select("attempt_id", errors.is_retried().alias("retried"),
+    return t("fx_attempts").select("attempt_id", errors.is_retried().alias("retried"), errors.is_final().alias("is_final"),
                                    errors.retry_delay("min").alias("delay_min"), errors.retry_delay("max").alias("delay_max"))
 
 
@@ -70,6 +70,18 @@ def a5_access_sample(t):
     return importing.sample_access(snapshot(t), importing.list_objects(snapshot(t)))
 
 
+@query(f"""WITH {LISTED}, first AS (SELECT *, row_number() OVER (PARTITION BY catalog_name, schema_name
+             ORDER BY lower(object_name), object_name) AS nth FROM listed),
+             denied AS (SELECT f.catalog_name, f.schema_name FROM first f JOIN fx_sample_outcomes o USING (catalog_name, schema_name, object_name)
+               WHERE nth = 1 AND contains(reason, 'PERMISSION_DENIED')),
+             flagged AS (SELECT l.catalog_name, l.schema_name, count(*) AS n, max(CASE WHEN d.schema_name IS NULL THEN 0 ELSE 1 END) AS is_denied
+               FROM listed l LEFT JOIN denied d ON d.catalog_name = l.catalog_name AND d.schema_name = l.schema_name GROUP BY ALL)
+           SELECT catalog_name, count(*) AS schemas, CAST(sum(is_denied) AS BIGINT) AS denied_schemas, min(is_denied) = 1 AS all_denied,
+             CAST(sum(n * is_denied) AS BIGINT) AS affected FROM flagged GROUP BY catalog_name""")
+def a8_access_check(t):
+    return importing.access_check(all_objects(t), t("fx_sample_outcomes"), "team").catalogs
+
+
 @query("""SELECT catalog_name, schema_name, object_name FROM (
             SELECT *, row_number() OVER (PARTITION BY catalog_name, schema_name ORDER BY lower(object_name), object_name) AS nth
             FROM fx_tables) WHERE nth = 1""")
