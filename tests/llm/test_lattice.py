@@ -7,7 +7,7 @@ from ddlscope.llm import lattice, queries
 from ddlscope.llm.texts import blocks, mix
 from pyspark.sql import functions as F
 from tests.conftest import SMALL
-from tests.llm.tables import awkward, documents, empty
+from tests.llm.tables import documents, empty
 
 
 @pytest.fixture(scope="module")
@@ -106,4 +106,4 @@ def test_no_rows(spark):
 def test_query(spark):
     got = queries.QUERIES["op8_lattice_samples"](spark, SMALL).toPandas()
     assert got["exact"].all() and len(got) == 3 * got["doc_id"].nunique()
-    assert got.groupby("doc_id")["ids_hash"].nunique().min() == 3 and len(awkward()) > 20
+    assert got.groupby("doc_id")["ids_hash"].nunique().min() == 3

@@ -71,7 +71,11 @@ def test_query_and_its_sql(spark, duck):
 def test_plan_has_no_python(spark):
     plan = ledger.scan(ledger.unseen(documents(spark, parts=1), ledger.RULES, None), ledger.RULES)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
-    assert hashlib.sha256(b"").hexdigest() in {r[0] for r in documents(spark).select(ledger.blob_id(F.col("text"))).collect()}
+
+
+def test_a_null_text_is_the_empty_blob(spark):
+    ids = documents(spark, [(1, None), (2, ""), (3, "é")]).select("doc_id", ledger.blob_id(F.col("text"))).collect()
+    assert {r[0]: r[1] for r in ids} == {1: hashlib.sha256(b"").hexdigest(), 2: hashlib.sha256(b"").hexdigest(), 3: hashlib.sha256("é".encode()).hexdigest()}
 
 
 @pytest.mark.parametrize("text", ["password" + " " * 50000 + "=abcdefgh", "token=" * 5000, "a" * 200000])

@@ -1,3 +1,5 @@
+import zlib
+
 import numpy as np
 import pytest
 from ddlscope.llm import factorisation, queries, severity
@@ -44,9 +46,9 @@ def test_fit_learns_pairs():
     texts = [rng.choice([1, 2], 2, replace=False)[: 1 + k % 2] for k in range(400)]
     wanted = np.array([float(len(t) == 2) for t in texts])  # only both together
     model = factorisation.fit(texts, np.zeros((400, factorisation.STATISTICS)), wanted, 0.5)
-    rows, sizes = np.repeat(np.arange(400), [len(t) for t in texts]), None
+    rows = np.repeat(np.arange(400), [len(t) for t in texts])
     got = model.score(rows, np.concatenate(texts), np.zeros((400, factorisation.STATISTICS)))
-    assert sizes is None and (got[wanted == 1].min() > 0.5 > got[wanted == 0].max())
+    assert got[wanted == 1].min() > 0.5 > got[wanted == 0].max()
 
 
 def test_sample_is_bounded_and_leaves_out_the_held_out(spark, made):
@@ -103,7 +105,7 @@ def test_same_model_from_other_partitions(spark, made):
 def test_queries_on_held_out_rows(spark):
     known = spark.read.parquet(f"{MIDDLE}/labels.parquet")
     got = queries.QUERIES["op9_factorisation_machine"](spark, MIDDLE).join(known, "doc_id").toPandas()
-    assert (got["held_out"] == got["doc_id"].map(lambda i: __import__("zlib").crc32(str(i).encode()) % 5 == 0)).all()
+    assert (got["held_out"] == got["doc_id"].map(lambda i: zlib.crc32(str(i).encode()) % 5 == 0)).all()
     some = got[got["held_out"]]
     assert (some["predicted"] == some["quality"]).mean() > 0.93
     graded = queries.QUERIES["op6_severity"](spark, MIDDLE).withColumnRenamed("toxic", "found").join(known, "doc_id").filter(held_out()).toPandas()

@@ -2,7 +2,7 @@
 
 import corpus_pipeline
 import pytest
-from ddlscope.llm import factorisation, lattice, ledger, templates
+from ddlscope.llm import factorisation, lattice, templates
 from pyspark.sql import functions as F
 from tests.llm.tables import awkward, documents, empty, prose
 from tests.llm.test_superminhash import brute, edited
@@ -66,7 +66,6 @@ def test_each_stage_decides_on_its_own_input(spark, folder, tmp_path):
             assert set(marked) == {3000, 3001, 3002}
             assert all(r["text"] == prose(r["doc_id"], 60) + " [secret]\" [secret]" and r["n_chars"] == len(r["text"]) for r in marked.values())
             assert rows_of(out.filter("doc_id < 3000 OR doc_id > 3002 OR doc_id IS NULL")) == rows_of(docs.filter("doc_id < 3000 OR doc_id > 3002 OR doc_id IS NULL"))
-            assert ledger.RULES
         else:
             assert {r["doc_id"] for r in out.collect()} == {r["doc_id"] for r in docs.collect()} and out.filter("NOT exact").isEmpty()
             texts = {r["doc_id"]: r["text"] or "" for r in docs.collect() if r["doc_id"] is not None}
