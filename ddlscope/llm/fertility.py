@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from ddlscope.llm import rules
-from ddlscope.llm.texts import EXACT, Block, Store, blocks, bound_batches, ranges
+from ddlscope.llm.texts import EXACT, Block, Store, blocks, bound_batches, ranges, returning
 
 VOCABULARIES = "/opt/tokenizers"
 PIECES, RANKS = "piece_bpe_32k.model", "byte_bpe_multi_50k.tiktoken"
@@ -104,7 +104,7 @@ def judge(documents: DataFrame, folder: str = VOCABULARIES, bands: dict[str, Ban
 
     bound_batches(documents.sparkSession)
     rows = documents.select("doc_id", "lang", "text")
-    return rows.mapInArrow(run, SCHEMA.format(id=documents.schema["doc_id"].dataType.simpleString()))
+    return rows.mapInArrow(returning(run), SCHEMA.format(id=documents.schema["doc_id"].dataType.simpleString()))
 
 
 def measure(block: Block, store: Tokens, bands: dict[str, Band], widest: Band) -> pa.RecordBatch:

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ddlscope.llm.texts import EXACT, Block, Store, blocks, bound_batches, mix, ranges
+from ddlscope.llm.texts import EXACT, Block, Store, blocks, bound_batches, mix, ranges, returning
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE_MARK = "▁"
@@ -93,7 +93,7 @@ class Lattices(Store):
     """The lattices of the distinct chunks a task has met. A place is a byte of a chunk; edges are in order of the place, the most
     probable one of a place first."""
 
-    most = 250_000
+    most = 100_000
 
     def __init__(self, words: Vocabulary, alpha: float):
         self.words, self.log_p = words, words.log_p * alpha
@@ -429,14 +429,14 @@ def encode(documents: DataFrame, samples: int = 3, alpha: float = 1.0, model: st
         words = vocabulary(model)
         store = Lattices(words, alpha)
         for batch in batches:
-            for block in blocks(batch, most=1 << 20):
+            for block in blocks(batch, most=1 << 19):
                 yield from step(block, words, store)
 
     bound_batches(documents.sparkSession)
     # The dummy prefix; a text of the mark itself stays apart from a space, as bytes. An empty text has no pieces.
     text = F.when(F.length("text") > 0, F.concat(F.lit(" "), F.col("text"))).otherwise("")
     rows = documents.select(F.col(key).alias("doc_id"), F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit(""))).alias("seed"), text.alias("text"))
-    return rows.mapInArrow(run, SCHEMA.format(id=documents.schema[key].dataType.simpleString()))
+    return rows.mapInArrow(returning(run), SCHEMA.format(id=documents.schema[key].dataType.simpleString()))
 
 
 def decode(rows: DataFrame, ids: str = "ids", model: str = MODEL) -> DataFrame:

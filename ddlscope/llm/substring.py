@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ddlscope.llm.rules import covering
-from ddlscope.llm.texts import EXACT, Block, blocks, bound_batches, mix, ranges
+from ddlscope.llm.texts import EXACT, Block, blocks, bound_batches, mix, ranges, returning
 
 DEPTH, SLICE_BITS = 2, 16
 ANCHOR = 8
@@ -110,7 +110,7 @@ def sketch(documents: DataFrame, size: int, bits: int, groups: int) -> np.ndarra
         packed = np.packbits(counts[some] > 1, axis=1, bitorder="little")
         return pa.table({"slice": pa.array(keys[some], pa.int32()), "bits": pa.array([p.tobytes() for p in packed], pa.binary())})
 
-    parts = documents.select("text").mapInArrow(gather, "part int, slice int, once binary, twice binary")
+    parts = documents.select("text").mapInArrow(returning(gather), "part int, slice int, once binary, twice binary")
     out = np.zeros((DEPTH * slices, 1 << SLICE_BITS - 3), np.uint8)
     for row in parts.groupBy("part").applyInArrow(merge, "slice int, bits binary").toLocalIterator():  # as large as the sketch
         out[row["slice"]] = np.frombuffer(row["bits"], np.uint8)
@@ -272,7 +272,7 @@ def places(documents: DataFrame, size: int, bits: int, packed: np.ndarray, group
         return pa.table({"doc_id": pa.array(runs_["id"][heads]), "key": pa.array(runs_["key"][heads]), "runs": pa.array(found, pa.binary())})
 
     rows = documents.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "key", "text")
-    spread = rows.mapInArrow(gather, "part int, settled boolean, data binary")
+    spread = rows.mapInArrow(returning(gather), "part int, settled boolean, data binary")
     settled = spread.groupBy("part").applyInArrow(settle, "part int, data binary")
     return settled.groupBy("part").applyInArrow(collect, "doc_id long, key long, runs binary")
 
@@ -309,7 +309,7 @@ def kept(documents: DataFrame, found: DataFrame, size: int) -> DataFrame:
     kind = documents.schema["doc_id"].dataType.simpleString()
     joined = documents.join(found.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "runs"),
                             (F.col("doc_id").cast("long") == F.col("_id")) & (F.col("key") == F.col("_key")), "left")
-    return joined.select("doc_id", "text", "runs").mapInArrow(run, f"doc_id {kind}, n_words long, n_removed long, text string")
+    return joined.select("doc_id", "text", "runs").mapInArrow(returning(run), f"doc_id {kind}, n_words long, n_removed long, text string")
 
 
 def without_repeats(documents: DataFrame, size: int = 13, most_bits: int = 29) -> DataFrame:

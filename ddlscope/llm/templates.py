@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ddlscope.llm.texts import EXACT, Block, Store, blocks, bound_batches, mix
+from ddlscope.llm.texts import EXACT, Block, Store, blocks, bound_batches, mix, returning
 
 FILTER_BITS = 22
 SIZE, NEED = 8, 6
@@ -129,7 +129,7 @@ def window_table(rows: DataFrame, size: int, bitmap: bytes | None = None) -> Dat
 
     bound_batches(rows.sparkSession)
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.select("id", "text").mapInArrow(run, f"id {kind}, at long, hash long, slots array<long>")
+    return rows.select("id", "text").mapInArrow(returning(run), f"id {kind}, at long, hash long, slots array<long>")
 
 
 def bitmap(hashes: DataFrame) -> bytes:

@@ -1,11 +1,12 @@
 """Words of whole texts as arrays: the helper that runs inside the tasks of the operators on text.
 
 A word is a longest run of characters other than space and U+0009 to U+000D. Both are single bytes in UTF-8, so words are
-found in the bytes. Texts come in blocks of a few megabytes, which bounds the memory of a task; a longer text is a block of
+found in the bytes. Texts come in blocks of a megabyte, which bounds the memory of a task; a longer text is a block of
 its own. A null text has no words, as an empty one."""
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
@@ -15,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def marks(some: bytes) -> np.ndarray:
@@ -52,7 +53,7 @@ def _powers(base: int, size: int) -> np.ndarray:
 
 
 def powers(base: int, size: int) -> np.ndarray:
-    return _powers(base, max(BLOCK_BYTES + 2, 1 << size.bit_length()))[:size]
+    return _powers(base, BLOCK_BYTES + 2 if size <= BLOCK_BYTES + 2 else 1 << size.bit_length())[:size]
 
 
 @dataclass
@@ -167,9 +168,25 @@ def each_block(step: Callable[[Block], pa.RecordBatch | None], text: str = "text
     return run
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on, and the stages after this one need the room."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def returning(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """The same function for `mapInArrow`, which gives memory back when its task ends."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+    return wrapped
+
+
 def map_blocks(rows: DataFrame, step: Callable[[Block], pa.RecordBatch | None], schema: str, text: str = "text") -> DataFrame:
     bound_batches(rows.sparkSession)
-    return rows.mapInArrow(each_block(step, text), schema)
+    return rows.mapInArrow(returning(each_block(step, text)), schema)
 
 
 def bound_batches(spark: SparkSession) -> None:
