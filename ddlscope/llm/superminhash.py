@@ -183,7 +183,9 @@ def tiles(members: DataFrame, key: str, more: DataFrame | None = None) -> DataFr
     pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1),
                         lambda other: F.struct(F.least("part", other).alias("lo"), F.greatest("part", other).alias("hi")))
     cut = cut.withColumn("tile", F.explode(pairs))
-    return cut.withColumns({"lo": F.col("tile.lo"), "hi": F.col("tile.hi")}).drop("tile", "parts")
+    cut = cut.withColumns({"lo": F.col("tile.lo"), "hi": F.col("tile.hi")}).drop("tile", "parts")
+    # The tiles of one key would stay in the task that the key was dealt to.
+    return cut.repartition(key, "lo", "hi")
 
 
 def to_compare(table: pa.Table) -> tuple[dict[str, np.ndarray], np.ndarray]:
