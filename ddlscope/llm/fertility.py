@@ -2,6 +2,8 @@
 
 Each word is encoded as it stands after a space; the measures of a text are the characters per token in each vocabulary, the
 share of tokens that are byte fallbacks, and the entropy of its tokens as a share of the most that as many tokens can have.
+That share falls as a text grows, since entropy ends at that of the words in use. So the verdict goes by the mean share of
+consecutive stretches of up to `STRETCH` tokens that cover the text; up to one stretch both are the same.
 A text is rejected when a measure lies outside the band of its language. Repetitive texts have low entropy, texts full of
 symbols or in capitals few characters per token, texts in scripts that the vocabulary lacks many fallbacks.
 
@@ -29,11 +31,13 @@ PIECES, RANKS = "piece_bpe_32k.model", "byte_bpe_multi_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: A text of fewer tokens has measures, but too uncertain for a verdict on them, and no entropy.
 SHORT = 32
+#: Tokens in a stretch of which the entropy is taken; a longer text is cut into equal stretches.
+STRETCH = 8192
 
 
 @dataclass(frozen=True)
 class Band:
-    """What is accepted: characters per token of both vocabularies, fallback share, entropy share."""
+    """What is accepted: characters per token of both vocabularies, fallback share, entropy share of stretches."""
 
     piece_low: float
     piece_high: float
@@ -79,18 +83,27 @@ class Tokens(Store):
         self.n_ranks = np.r_[self.n_ranks, [len(self.ranks.encode_ordinary(" " + t)) for t in texts]]
 
 
-def entropy_shares(ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    out = np.full(len(ends) - 1, np.nan)
+def entropy_share(ids: np.ndarray) -> float:
+    counts = np.bincount(ids)
+    p = counts[counts > 0] / len(ids)
+    return -(p * np.log2(p)).sum() / np.log2(len(ids))
+
+
+def entropy_shares(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The share of each whole text, and the mean share of its stretches."""
+    whole, stretched = np.full((2, len(ends) - 1), np.nan)
     for i, (low, high) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())):
         if high - low >= SHORT:
-            counts = np.bincount(ids[low:high])
-            p = counts[counts > 0] / (high - low)
-            out[i] = -(p * np.log2(p)).sum() / np.log2(high - low)
-    return out
+            whole[i] = stretched[i] = entropy_share(ids[low:high])
+            if high - low > STRETCH:
+                parts = -(-(high - low) // STRETCH)
+                stretched[i] = np.mean([entropy_share(x) for x in np.array_split(ids[low:high], parts)])
+    return whole, stretched
 
 
 SCHEMA = ("doc_id {id}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, "
-          "kept boolean, chars_per_piece double, chars_per_rank double, fallback_share double, entropy_share double")
+          "kept boolean, chars_per_piece double, chars_per_rank double, fallback_share double, entropy_share double, "
+          "stretch_entropy_share double")
 
 
 def judge(documents: DataFrame, folder: str = VOCABULARIES, bands: dict[str, Band] = BANDS, widest: Band = WIDEST) -> DataFrame:
@@ -117,16 +130,16 @@ def measure(block: Block, store: Tokens, bands: dict[str, Band], widest: Band) -
     sizes = np.diff(store.ends)[codes]
     tokens, by_rank, fallback = (rules.per_row(block, block.row, v[codes]) for v in (np.diff(store.ends), store.n_ranks, store.n_fallback))
     ids = store.ids[ranges(store.ends[codes], sizes)]
-    entropy = entropy_shares(ids, np.r_[0, np.cumsum(tokens)])
+    entropy, stretched = entropy_shares(ids, np.r_[0, np.cumsum(tokens)])
     with np.errstate(divide="ignore", invalid="ignore"):
         per_piece, per_rank, fallbacks = chars / tokens, chars / by_rank, fallback / tokens
     limits = np.array([[getattr(b, f) for f in Band.__dataclass_fields__] for b in (bands.get(x, widest) for x in block.rows.column("lang").to_pylist())])
     with np.errstate(invalid="ignore"):
         outside = ((per_piece < limits[:, 0]) | (per_piece > limits[:, 1]) | (per_rank < limits[:, 2]) | (per_rank > limits[:, 3])
-                   | (fallbacks > limits[:, 4]) | (entropy < limits[:, 5]))
-    floats = [pa.array(x, pa.float64(), from_pandas=True) for x in (per_piece, per_rank, fallbacks, entropy)]
+                   | (fallbacks > limits[:, 4]) | (stretched < limits[:, 5]))
+    floats = [pa.array(x, pa.float64(), from_pandas=True) for x in (per_piece, per_rank, fallbacks, entropy, stretched)]
     counts = [pa.array(x, pa.int64()) for x in (n, chars, rules.symbols(block), rules.duplicate_lines(block, sums), repeats)]
     return pa.RecordBatch.from_arrays(
         [block.rows.column("doc_id"), *counts, pa.array(failed), pa.array(~failed & ~(outside & (tokens >= SHORT))), *floats],
         names=["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-               "chars_per_piece", "chars_per_rank", "fallback_share", "entropy_share"])
+               "chars_per_piece", "chars_per_rank", "fallback_share", "entropy_share", "stretch_entropy_share"])

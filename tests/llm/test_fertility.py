@@ -1,9 +1,11 @@
 import math
+import random
 from collections import Counter
 
 import pytest
 import sentencepiece
 from ddlscope.llm import fertility, queries
+from pyspark.sql import functions as F
 from tests.conftest import SMALL
 from tests.llm.tables import WORD, awkward, documents, empty
 
@@ -54,6 +56,24 @@ def test_bands_reject_by_language(spark):
     assert not fertility.judge(rows, bands=strict).filter("doc_id = 1").first()["kept"]
 
 
+def long_text(spark, lang):
+    """Words of clean texts of the language, drawn until there is more than a megabyte."""
+    rows = spark.read.parquet(f"{SMALL}/documents.parquet").join(spark.read.parquet(f"{SMALL}/labels.parquet"), "doc_id")
+    texts = rows.filter(F.col("quality") == 1).filter(F.col("lang") == lang).orderBy("doc_id").select("text").collect()
+    words = " ".join(r[0] for r in texts).split()
+    return " ".join(random.Random(lang).choices(words, k=1_200_000 * len(words) // sum(len(w) + 1 for w in words)))
+
+
+def test_a_long_clean_text_is_kept(spark):
+    langs = ["en", "de", "fr", "es"]
+    few = random.Random(1).choices(long_text(spark, "en").split()[:12], k=180_000)
+    made = [(i, x, long_text(spark, x)) for i, x in enumerate(langs)] + [(9, "en", " ".join(few))]
+    got = {r["doc_id"]: r for r in fertility.judge(spark.createDataFrame(made, "doc_id long, lang string, text string")).collect()}
+    assert all(len(t) > 1_000_000 and got[i]["entropy_share"] < 0.42 for i, _, t in made)
+    assert all(got[i]["stretch_entropy_share"] > 0.42 and got[i]["kept"] for i in range(4))
+    assert got[9]["stretch_entropy_share"] < 0.42 and not got[9]["kept"]
+
+
 def test_the_store_begins_anew(spark, monkeypatch):
     want = sorted(map(str, fertility.judge(documents(spark)).collect()))
     monkeypatch.setattr(fertility.Tokens, "most", 5)
