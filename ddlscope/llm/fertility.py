@@ -9,8 +9,8 @@ symbols or in capitals few characters per token, texts in scripts that the vocab
 
 Tokens are worked out once for each distinct word in a task, whose number is bounded: the store begins anew when it is full.
 
-Defined cases: a null or empty text has no measures (null) and fails the base rule; a short one is not judged by measures; a language without a band, or null, has
-the widest band; repeated rows and null ids are rows like others; extra columns are not read."""
+Defined cases: a null or empty text has no measures (null) and fails the base rule; a short one is not judged by measures; where the language has no
+band, or is null, the script of the text has one, and the widest band holds for other scripts; repeated rows and null ids are rows like others; extra columns are not read."""
 
 from __future__ import annotations
 
@@ -47,11 +47,43 @@ class Band:
     entropy_low: float
 
 
-WIDEST = Band(1.0, 12.0, 1.0, 12.0, 0.5, 0.5)
+#: No limit of it is stricter than that of a named language.
+WIDEST = Band(1.0, 12.0, 1.0, 12.0, 0.5, 0.42)
 BANDS = {"en": Band(1.6, 7.0, 1.85, 8.0, 0.05, 0.42), "de": Band(1.6, 7.0, 1.85, 8.0, 0.05, 0.42),
          "fr": Band(1.5, 7.0, 1.72, 8.0, 0.05, 0.42), "es": Band(1.4, 7.0, 1.68, 8.0, 0.05, 0.42)}
 
 
+# Scripts of which the vocabularies know characters and few words, and those that they mostly spell in bytes: a token is
+# about a character or less, and the distinct ones are few.
+CHARACTERS, MARKED, SPELT = Band(0.4, 12.0, 0.4, 12.0, 0.5, 0.25), Band(0.45, 12.0, 0.4, 12.0, 0.5, 0.25), Band(0.25, 12.0, 0.25, 12.0, 1.0, 0.2)
+#: First and last code point of letters, and the band; ranges of one band count together, letters in none as another script.
+SCRIPTS = (
+    (0x0370, 0x03FF, MARKED), (0x1F00, 0x1FFF, MARKED),  # Greek
+    (0x0530, 0x058F, MARKED), (0x0590, 0x05FF, MARKED),  # Armenian, Hebrew
+    (0x0600, 0x06FF, MARKED), (0x0750, 0x077F, MARKED), (0x08A0, 0x08FF, MARKED), (0xFB1D, 0xFDFF, MARKED), (0xFE70, 0xFEFE, MARKED),  # Arabic
+    (0x0700, 0x074F, SPELT), (0x0780, 0x085F, SPELT),  # Syriac, Thaana, N'Ko, Samaritan, Mandaic
+    (0x0900, 0x0DFF, SPELT),  # Devanagari, Bengali and the others of India, Sinhala
+    (0x0E00, 0x109F, SPELT),  # Thai, Lao, Tibetan, Myanmar
+    (0x10A0, 0x10FF, SPELT), (0x1200, 0x139F, SPELT), (0x1780, 0x18AF, SPELT), (0x2D80, 0x2DDF, SPELT),  # Georgian, Ethiopic, Khmer, Mongolian
+    (0x1100, 0x11FF, CHARACTERS), (0x3130, 0x318F, CHARACTERS), (0xAC00, 0xD7FF, CHARACTERS),  # Hangul
+    (0x2E80, 0x2FDF, CHARACTERS), (0x3005, 0x3007, CHARACTERS), (0x3040, 0x312F, CHARACTERS), (0x31A0, 0x9FFF, CHARACTERS),  # Han, Kana
+    (0xF900, 0xFAFF, CHARACTERS), (0xFF66, 0xFF9F, CHARACTERS), (0x20000, 0x3FFFF, CHARACTERS))
+#: A text is in a script from this share of its letters on: beside so many, the tokens of other letters do not make up for it.
+IN_SCRIPT = 0.25
+
+
+def band_by_script(text: bytes, widest: Band) -> Band:
+    """The band of the script that most letters of the text are in, if they are enough."""
+    points = np.frombuffer(text.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+    letters = np.count_nonzero(((points | 32) - 97 < 26) | ((points >= 0xAA) & ((points < 0x2000) | (points > 0x206F))))
+    beyond = np.sort(points[points >= SCRIPTS[0][0]])
+    counts = dict.fromkeys((band for _, _, band in SCRIPTS), 0)
+    for low, high, band in SCRIPTS:
+        counts[band] += int(np.searchsorted(beyond, high, "right") - np.searchsorted(beyond, low))
+    best = max(counts, key=counts.get)
+    return best if counts[best] and counts[best] >= IN_SCRIPT * letters else widest
+
+
 class Tokens(Store):
     """Tokens of the distinct words that a task has met."""
 
@@ -133,7 +165,9 @@ def measure(block: Block, store: Tokens, bands: dict[str, Band], widest: Band) -
     entropy, stretched = entropy_shares(ids, np.r_[0, np.cumsum(tokens)])
     with np.errstate(divide="ignore", invalid="ignore"):
         per_piece, per_rank, fallbacks = chars / tokens, chars / by_rank, fallback / tokens
-    limits = np.array([[getattr(b, f) for f in Band.__dataclass_fields__] for b in (bands.get(x, widest) for x in block.rows.column("lang").to_pylist())])
+    langs = block.rows.column("lang").to_pylist()
+    chosen = [bands[x] if x in bands else band_by_script(block.text(i), widest) for i, x in enumerate(langs)]
+    limits = np.array([[getattr(b, f) for f in Band.__dataclass_fields__] for b in chosen])
     with np.errstate(invalid="ignore"):
         outside = ((per_piece < limits[:, 0]) | (per_piece > limits[:, 1]) | (per_rank < limits[:, 2]) | (per_rank > limits[:, 3])
                    | (fallbacks > limits[:, 4]) | (stretched < limits[:, 5]))

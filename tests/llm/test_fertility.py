@@ -56,6 +56,44 @@ def test_bands_reject_by_language(spark):
     assert not fertility.judge(rows, bands=strict).filter("doc_id = 1").first()["kept"]
 
 
+SCRIPTS = {  # one clean sentence each; Chinese, Japanese and Thai with spaces, since the base rule counts words
+    "zh": "今天 早上 下了 一场 大雨， 河水 涨得 很高， 村里 的 人们 都 走到 桥边 去 看 水势， 孩子们 站在 老人 身旁， 听 他们 讲述 多年 以前 的 洪水 故事。",
+    "ja": "今朝は 大雨が 降り、 川の 水が とても 高く なったので、 村の 人々は 橋の そばまで 歩いて 行き、 子供たちは お年寄りの 隣で 昔の 洪水の 話を 聞いて いました。",
+    "ko": "오늘 아침에 큰 비가 내려서 강물이 많이 불어났고 마을 사람들은 다리 옆으로 걸어가서 물을 바라보았으며 아이들은 노인들 곁에서 오래전 홍수 이야기를 들었다.",
+    "hi": "आज सुबह बहुत तेज़ बारिश हुई और नदी का पानी बहुत ऊपर तक चढ़ गया, इसलिए गाँव के लोग पुल के पास पानी देखने गए और बच्चे बूढ़ों के साथ बैठकर पुरानी बाढ़ की कहानियाँ सुनते रहे।",
+    "ar": "هطلت أمطار غزيرة هذا الصباح وارتفع ماء النهر كثيرا، فذهب أهل القرية إلى الجسر لينظروا إلى الماء، وجلس الأطفال بجانب كبار السن يستمعون إلى حكايات الفيضان القديم.",
+    "he": "הבוקר ירד גשם חזק מאוד ומי הנהר עלו גבוה, ולכן אנשי הכפר הלכו אל הגשר לראות את המים, והילדים ישבו ליד הזקנים והקשיבו לסיפורים על השיטפון הגדול.",
+    "el": "Σήμερα το πρωί έπεσε δυνατή βροχή και το νερό του ποταμού ανέβηκε πολύ ψηλά, έτσι οι άνθρωποι του χωριού πήγαν στη γέφυρα για να δουν το νερό και τα παιδιά άκουγαν παλιές ιστορίες.",
+    "th": "เมื่อเช้านี้ ฝนตกหนักมาก น้ำในแม่น้ำ ขึ้นสูง ชาวบ้าน จึงเดินไป ที่สะพาน เพื่อดูน้ำ และเด็กๆ นั่งข้าง คนแก่ ฟังเรื่องเล่า น้ำท่วม เมื่อนานมาแล้ว",
+    "bn": "আজ সকালে খুব জোরে বৃষ্টি হয়েছে এবং নদীর জল অনেক উপরে উঠেছে, তাই গ্রামের মানুষ সেতুর কাছে জল দেখতে গেল এবং শিশুরা বৃদ্ধদের পাশে বসে পুরোনো বন্যার গল্প শুনল।",
+    "ta": "இன்று காலை பலத்த மழை பெய்தது, ஆற்றில் தண்ணீர் மிகவும் உயர்ந்தது, அதனால் கிராம மக்கள் பாலத்திற்கு சென்று தண்ணீரைப் பார்த்தார்கள், குழந்தைகள் பழைய கதைகளைக் கேட்டார்கள்.",
+    "hy": "Այսօր առավոտյան ուժեղ անձրև եկավ, և գետի ջուրը շատ բարձրացավ, այդ պատճառով գյուղի մարդիկ գնացին կամրջի մոտ ջուրը տեսնելու, իսկ երեխաները լսում էին հին պատմություններ։",
+    "ka": "დღეს დილით ძლიერი წვიმა მოვიდა და მდინარეში წყალი ძალიან აიწია, ამიტომ სოფლის ხალხი ხიდთან წავიდა წყლის სანახავად, ბავშვები კი ძველ ამბებს უსმენდნენ მოხუცებისგან.",
+    "am": "ዛሬ ጠዋት ከባድ ዝናብ ዘነበ የወንዙም ውሃ በጣም ከፍ አለ ስለዚህ የመንደሩ ሰዎች ውሃውን ለማየት ወደ ድልድዩ ሄዱ ልጆቹም የድሮ ታሪኮችን ከሽማግሌዎች አዳመጡ።",
+    "ru": "Сегодня утром прошёл сильный дождь, и вода в реке поднялась очень высоко, поэтому жители деревни пошли к мосту посмотреть на воду, а дети слушали рассказы стариков о давнем наводнении.",
+}
+
+
+def test_clean_texts_of_other_scripts_are_kept(spark):
+    clean = [(i, lang, f"{t} {k}") for k, lang in enumerate((None, "xx")) for i, t in enumerate(SCRIPTS.values())]
+    got = fertility.judge(spark.createDataFrame(clean, "doc_id long, lang string, text string")).collect()
+    assert len(got) == 2 * len(SCRIPTS) and [r for r in got if not r["kept"]] == []
+    assert not any(r["kept"] for r in fertility.judge(spark.createDataFrame([(1, "en", SCRIPTS["hi"])], "doc_id long, lang string, text string")).collect())
+
+
+def test_long_texts_of_other_scripts_are_kept(spark):
+    made = [(i, None, " ".join(random.Random(i).choices(t.split(), k=3000))) for i, t in enumerate(SCRIPTS.values())]
+    got = fertility.judge(spark.createDataFrame(made, "doc_id long, lang string, text string")).collect()
+    assert [r for r in got if not (r["kept"] or r["base_failed"])] == []
+
+
+def test_the_fallback_band_is_no_stricter_than_a_named_one():
+    for band in fertility.BANDS.values():
+        for name in fertility.Band.__dataclass_fields__:
+            mine, other = getattr(fertility.WIDEST, name), getattr(band, name)
+            assert mine <= other if name.endswith("_low") else mine >= other
+
+
 def long_text(spark, lang):
     """Words of clean texts of the language, drawn until there is more than a megabyte."""
     rows = spark.read.parquet(f"{SMALL}/documents.parquet").join(spark.read.parquet(f"{SMALL}/labels.parquet"), "doc_id")
