@@ -39,8 +39,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark; `n_chars`, where there is one, follows the text."""
     book = ledger.Ledger(spark, scratch_path(spark, "ledger"))
-    book.commit(docs, ledger.RULES)
-    found = book.report(docs, ledger.RULES)
+    book.commit(docs, ledger.REDACTED)
+    found = book.report(docs, ledger.REDACTED)
     changed = {"text": ledger.redacted(F.col("row.text"), F.col("found"))}
     if "n_chars" in docs.columns:
         stated = F.col("row.n_chars")

@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import string
 
 import __spark_entry__ as entry
 import pytest
@@ -64,6 +66,40 @@ def test_redaction_and_no_rows(spark, folder):
     assert none.report(empty(spark), ledger.RULES).count() == 0
 
 
+def test_a_private_key_is_taken_out_whole(spark, folder):
+    rng = random.Random(1)
+    lines = ["".join(rng.choices(string.ascii_letters + string.digits + "+/", k=64)) for _ in range(25)] + ["Qm9i/w=="]
+    head, foot = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    fields = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-256-CBC,0123ABCD\n\n"
+    key = "\n".join(lines)
+    texts = {  # with what is left of each
+        1: (f"my key:\n{head}\n{key}\n{foot}\nthe end", "my key:\n[secret]\nthe end"),
+        2: (f"a {head}\r\n{fields}{key}\r\n{foot} b", "a [secret] b"),
+        3: (f"cut {head}\n{key}\nThe text goes on here", "cut [secret]\nThe text goes on here"),
+        4: (f"cut {head}\n{fields}{key}", "cut [secret]"),
+        5: ('{"k": "' + f"{head}\n{key}\n{foot}\n".replace("\n", "\\n") + '"}', '{"k": "[secret]\\n"}'),
+        6: (f"{head}\n{key}\n\n{head}\n{key}\n{foot} z", "[secret]\n\n[secret] z"),
+        7: (f"a line {head} by itself", "a line [secret] by itself"),
+        8: (f"{head}\n" + "\n".join(lines[:25] * 4000) + " - x", "[secret] - x"),
+        9: (f"> {head}\n" + "\n".join("> " + x for x in lines[:25]) + "\n> or not", "> [secret]\n> or not"),
+        10: (f"{head}\n" + "- a\n" * 50000, "[secret]\n" + "- a\n" * 50000),
+        11: (f"-----BEGIN PGP PRIVATE KEY BLOCK-----\nVersion: 1\n\n{key}\n=abcd\n-----END PGP PRIVATE KEY BLOCK-----", "[secret]")}
+    rows = documents(spark, [(i, t) for i, (t, _) in texts.items()])
+    book = ledger.Ledger(spark, folder)
+    book.commit(rows, ledger.RULES)
+    book.commit(rows, ledger.REDACTED)  # what was scanned for the header only is scanned again
+    left = {r[0]: r[1] for r in book.report(rows, ledger.REDACTED).select("row.doc_id", ledger.redacted(F.col("row.text"), F.col("found"))).collect()}
+    for i, (_, want) in texts.items():
+        assert left[i] == want, (i, left[i][:300])
+
+
+def test_the_key_pattern_runs_in_re2(duck):
+    key = "-----BEGIN PRIVATE KEY-----\n" + "\n".join("Ab0+" * 16 for _ in range(30)) + "\nAb0=\n"
+    pattern = re.sub(r"(?<=[)])([*+])[+]", r"\1", ledger.PEM)
+    for text, rest in ((key + "-----END PRIVATE KEY----- x", " x"), (key + "The rest of it", "\nThe rest of it")):
+        assert duck.execute("SELECT regexp_replace(?, ?, '')", [text, pattern]).fetchone()[0] == rest
+
+
 def test_query_and_its_sql(spark, duck):
     assert difference(queries.QUERIES["op1_secret_scan"](spark, SMALL), duck, entry.oracle_sql()["op1_secret_scan"]) == ""
 

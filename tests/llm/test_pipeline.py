@@ -73,6 +73,12 @@ def test_each_stage_decides_on_its_own_input(spark, folder, tmp_path):
         docs = out
 
 
+def test_no_private_key_is_left(spark, folder):
+    body = "MIIEpAIBAAKCAQEA" + "qP3+" * 12
+    docs = documents(spark, [(1, prose(1, 30) + f"\n-----BEGIN RSA PRIVATE KEY-----\n{body}\n{body}\nqP0=\n-----END RSA PRIVATE KEY-----\n" + prose(2, 30))])
+    assert corpus_pipeline.secret_scan(spark, docs, folder).first()["text"] == prose(1, 30) + "\n[secret]\n" + prose(2, 30)
+
+
 def test_run_applies_them_all(spark, folder):
     out = corpus_pipeline.run(spark, folder)
     found = out.groupBy("doc_id").agg(F.count("*").alias("n")).toPandas()
