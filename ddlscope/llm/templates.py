@@ -7,11 +7,15 @@ matches. On each alignment (document, item, difference of places) the slots are
 of the document throughout, and the other way round. A match with other values that passes is a re-parameterised question; one that
 fails is a coincidence, unless most of its slots are equal.
 
+Whether a word is a name hangs on its capital and on what stands before it, which a copy need not share. So a window has further
+forms: with names kept as words in lower case, and, in a document, with its first word plain, as an item's first word is. A
+place matches if any form of the one equals a form of the other.
+
 A document's windows are looked up in a bitmap of the benchmark's hashes (2**`FILTER_BITS` bits whatever the benchmark's size)
 before they are shuffled for the join, which decides; a full bitmap only lets more pass.
 
-Evidence is an alignment with `need` matching windows, or all windows of a shorter item. A third of a window's
-words have to be plain, so that rows of numbers are none.
+Evidence is an alignment with `need` matching windows, or all windows of a shorter item: among the windows with placeholders for
+names, or among all. A third of a window's words have to be plain, so that rows of numbers are none.
 
 Defined cases: null or empty texts have no windows; items with fewer tokens than a window are not looked for; null ids of
 documents are reported as such where they match; a repeated row or item counts once; an empty table gives no matches; extra columns
@@ -69,30 +73,40 @@ class Canonical(Store):
         self.stops = np.r_[self.stops, np.array([t.rstrip("\"')]»”’")[-1:] in tuple(".!?…:") for t in texts], bool)]
 
 
-def windows(block: Block, store: Canonical, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, Slots]:
-    """Row, place and hash of each window with enough plain words, and the slots in them."""
+def windows(block: Block, store: Canonical, size: int, of_items: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, Slots]:
+    """Row, place and hash of each form of a window with enough plain words, whether names are placeholders in it, and the slots."""
     at = store.rows(block, block.words(EXACT))
     types, hashes, capital, row = store.types[at], store.hashes[at], store.capital[at], block.row
     begins = np.ones(len(at), bool)
     begins[1:] = (row[1:] != row[:-1]) | store.stops[at][:-1]
-    types = np.where((types == PLAIN) & capital & ~begins, NAME, types)
+    named = (types == PLAIN) & capital & ~begins
     full = types != EMPTY
-    types, hashes, row = types[full], hashes[full], row[full]
-    if len(row) < size:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), Slots(hashes, row, size)
-    is_slot = types != PLAIN
-    canonical = np.where(is_slot, SALTS[types], hashes)
-    count = len(row) - size + 1
+    types, named, hashes, row = types[full], named[full], hashes[full], row[full]
+    # A value of a document is asked for where the item has a slot.
+    values = np.where((types != PLAIN) | named | (not of_items), hashes | np.uint64(1), np.uint64(0))
+    count = max(len(row) - size + 1, 0)
     first = np.searchsorted(row, np.arange(len(block)))
-    total = np.zeros(count, np.uint64)
+    words = mix(np.where(types != PLAIN, SALTS[types], hashes))
+    names = np.where(named, mix(SALTS[NAME:]) - words, np.uint64(0))
     weights = mix(np.arange(size, dtype=np.uint64), 31) | np.uint64(1)
-    slots = np.zeros(count, np.int64)
+    total, change = np.zeros((2, count), np.uint64)
+    slots, n_names = np.zeros((2, count), np.int64)
     for k in range(size):
-        total += mix(canonical[k:k + count]) * weights[k]
-        slots += is_slot[k:k + count]
-    some = np.flatnonzero((row[:count] == row[size - 1:]) & (size - slots >= -(-size // 3)))
-    values = np.where(is_slot, hashes | np.uint64(1), np.uint64(0))
-    return row[some], some - first[row[some]], mix(total[some]), Slots(values, some, size)
+        total += words[k:k + count] * weights[k]
+        change += names[k:k + count] * weights[k]
+        slots += types[k:k + count] != PLAIN
+        n_names += named[k:k + count]
+    inside, most = row[:count] == row[size - 1:size - 1 + count], size - -(-size // 3)
+    kept = inside & (slots <= most) & (n_names > 0)
+    placed = inside & (slots + n_names <= most)
+    forms = [(placed, total + change, True), (kept, total, False)]
+    if not of_items:
+        forms.append((inside & named[:count] & (n_names > 1) & (slots + n_names - 1 <= most), total + change - names[:count] * weights[0], True))
+    some = [np.flatnonzero(which) for which, _, _ in forms]
+    hashed = np.concatenate([mix(sums[at]) for at, (_, sums, _) in zip(some, forms)])
+    template = np.repeat([flag for _, _, flag in forms], [len(at) for at in some])
+    some = np.concatenate(some)
+    return row[some], some - first[row[some]], hashed, template, Slots(values, some, size)
 
 
 @dataclass
@@ -108,7 +122,8 @@ class Slots:
 
 
 def window_table(rows: DataFrame, size: int, bitmap: bytes | None = None) -> DataFrame:
-    """id, place, hash and slots of the windows of a table (id, text): of those in the bitmap, if there is one."""
+    """id, place, hash, template and slots of the windows of a table (id, text): of those in the bitmap, if there is one, as of
+    documents, and otherwise as of items."""
     shared = rows.sparkSession.sparkContext.broadcast(bitmap) if bitmap is not None else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,7 +131,7 @@ def window_table(rows: DataFrame, size: int, bitmap: bytes | None = None) -> Dat
         table = np.frombuffer(shared.value, np.uint8) if shared else None
         for batch in batches:
             for block in blocks(batch):
-                row, at, hashes, slots = windows(block, store, size)
+                row, at, hashes, template, slots = windows(block, store, size, table is None)
                 keep = np.arange(len(row))
                 if table is not None:
                     bit = (hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
@@ -125,11 +140,12 @@ def window_table(rows: DataFrame, size: int, bitmap: bytes | None = None) -> Dat
                     values = slots[keep].view(np.int64).reshape(-1)
                     lists = pa.FixedSizeListArray.from_arrays(pa.array(values), size).cast(pa.list_(pa.int64()))
                     yield pa.RecordBatch.from_arrays([block.rows.column("id").take(pa.array(row[keep])), pa.array(at[keep].astype(np.int64)),
-                                                      pa.array(hashes[keep].view(np.int64)), lists], names=["id", "at", "hash", "slots"])
+                                                      pa.array(hashes[keep].view(np.int64)), pa.array(template[keep]), lists],
+                                                     names=["id", "at", "hash", "template", "slots"])
 
     bound_batches(rows.sparkSession)
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.select("id", "text").mapInArrow(returning(run), f"id {kind}, at long, hash long, slots array<long>")
+    return rows.select("id", "text").mapInArrow(returning(run), f"id {kind}, at long, hash long, template boolean, slots array<long>")
 
 
 def bitmap(hashes: DataFrame) -> bytes:
@@ -147,23 +163,26 @@ def leaks(documents: DataFrame, benchmark: DataFrame, size: int = SIZE, need: in
     """One row for each document (doc_id, text) and item (item_id, text) that it holds: doc_id, item_id, n_windows of the item, n_matched
     on the best alignment, n_slots, n_same of them with the item's own value, and kind: verbatim or reparameterised."""
     items = window_table(benchmark.select(F.col("item_id").alias("id"), "text").distinct(), size)
-    items = items.select(F.col("id").alias("item_id"), F.col("at").alias("item_at"), "hash", F.col("slots").alias("item_slots"))
-    sizes = items.groupBy("item_id").agg(F.countDistinct("item_at").alias("n_windows"))
-    found = window_table(documents.select(F.col("doc_id").alias("id"), "text"), size, bitmap(items.select("hash")))
+    items = items.select(F.col("id").alias("item_id"), F.col("at").alias("item_at"), "hash", "template", F.col("slots").alias("item_slots"))
+    sizes = items.groupBy("item_id").agg(F.countDistinct("item_at").alias("n_windows"),
+                                          F.countDistinct(F.when(F.col("template"), F.col("item_at"))).alias("n_templates"))
+    found = window_table(documents.select(F.col("doc_id").alias("id"), "text"), size, bitmap(items.select("hash"))).drop("template")
     met = found.join(items, "hash").select(F.col("id").alias("doc_id"), "item_id", (F.col("at") - F.col("item_at")).alias("shift"), "item_at",
-                                           "slots", "item_slots")
+                                           "template", "slots", "item_slots")
     pair = F.arrays_zip(F.sequence("item_at", F.col("item_at") + size - 1).alias("place"), F.col("item_slots").alias("own"), F.col("slots").alias("seen"))
     pairs = F.filter(pair, lambda p: p["own"] != 0)
     on = ["doc_id", "item_id", "shift"]
     # Sets bounded by the item's length: its places, and the slots on them.
     aligned = met.groupBy(*on).agg(F.size(F.collect_set("item_at")).alias("n_matched"),
+                                   F.size(F.collect_set(F.when(F.col("template"), F.col("item_at")))).alias("n_by_template"),
                                    F.array_distinct(F.flatten(F.collect_set(pairs))).alias("slots"))
     own, seen = F.transform("slots", lambda p: p["own"]), F.transform("slots", lambda p: p["seen"])
     both = F.transform("slots", lambda p: F.struct(p["own"], p["seen"]))
     distinct = lambda x: F.size(F.array_distinct(x))
-    checked = aligned.select(*on, "n_matched", F.size("slots").alias("n_slots"), F.size(F.filter("slots", lambda p: p["own"] == p["seen"])).alias("n_same"),
+    checked = aligned.select(*on, "n_matched", "n_by_template", F.size("slots").alias("n_slots"), F.size(F.filter("slots", lambda p: p["own"] == p["seen"])).alias("n_same"),
                              ((distinct(both) == distinct(own)) & (distinct(both) == distinct(seen))).alias("consistent"))
-    enough = F.col("n_matched") >= F.least(F.lit(need), "n_windows")
+    enough = (F.col("n_matched") >= F.least(F.lit(need), "n_windows")) | (
+        (F.col("n_templates") > 0) & (F.col("n_by_template") >= F.least(F.lit(need), "n_templates")))
     good = checked.join(sizes, "item_id").filter(enough & (F.col("consistent") | (2 * F.col("n_same") >= F.col("n_slots"))))
     best = good.groupBy("doc_id", "item_id", "n_windows").agg(F.max(F.struct("n_matched", "n_same", F.negative("n_slots").alias("less"), "shift")).alias("b"))
     n_slots = F.negative("b.less")

@@ -27,6 +27,21 @@ def test_verbatim_reparameterised_and_inconsistent(spark):
     assert (4, 1) not in got and (3, 1) not in got
 
 
+def test_case_and_context_lose_no_copy(spark):
+    short = {8: "Which river of Europe flows through Vienna today", 13: "How many days does Anna need for 300 pages at 25 pages a day"}
+    asked = items(spark, [(1, ITEM), *((i, t) for i, t in short.items())])
+    before = "a heading without a stop\n"
+    rows = {(1, 1): ITEM.lower(), (2, 1): ITEM.upper(), (3, 1): ITEM.title(), (4, 1): around(ITEM.lower(), 3), (5, 1): before + SAME.replace("A train", "A Train")}
+    for i, t in short.items():
+        rows |= {(10 * i, i): before + t, (10 * i + 1, i): before + t.lower(), (10 * i + 2, i): "See. " + t, (10 * i + 3, i): "and mid " + t.upper() + " Sentence"}
+    rows |= {(90, 8): before + short[8].replace("Vienna", "Dresden"), (130, 13): before + short[13].replace("Anna", "Peter").replace("300", "480")}
+    rows[91, None] = "which lake of Europe flows through Vienna today"
+    got = {(r["doc_id"], r["item_id"]): r for r in templates.leaks(documents(spark, [(d, t) for (d, _), t in rows.items()]), asked).collect()}
+    assert set(got) == {k for k in rows if k[1] is not None}
+    assert {k for k, r in got.items() if r["kind"] == "reparameterised"} == {(5, 1), (90, 8), (130, 13)}
+    assert got[1, 1]["n_matched"] == got[1, 1]["n_windows"] and got[1, 1]["n_same"] == got[1, 1]["n_slots"] > 8
+
+
 def test_a_part_of_an_item_is_evidence(spark):
     words = ITEM.split(" ")
     rows = documents(spark, [(1, around(" ".join(words[4:19]), 1)), (2, around(" ".join(words[4:12]), 3))])
