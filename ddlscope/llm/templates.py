@@ -17,7 +17,11 @@ before they are shuffled for the join, which decides; a full bitmap only lets mo
 Evidence is an alignment with `need` matching windows, or all windows of a shorter item: among the windows with placeholders for
 names, or among all. A third of a window's words have to be plain, so that rows of numbers are none.
 
-Defined cases: null or empty texts have no windows; items with fewer tokens than a window are not looked for; null ids of
+An item without a usable window is looked for whole. One of fewer tokens than a window is one window of its own length; its
+template counts if `LEAST_PLAIN` words or more are plain, and otherwise its words, numbers and units as they are, in any case. A
+longer one, of which too few words are plain, is looked for by windows of its own values, all of which have to match.
+
+Defined cases: null or empty texts have no windows, and an item without a word or number is not looked for; null ids of
 documents are reported as such where they match; a repeated row or item counts once; an empty table gives no matches; extra columns
 are not read."""
 
@@ -35,6 +39,8 @@ from ddlscope.llm.texts import EXACT, Block, Store, blocks, bound_batches, mix,
 
 FILTER_BITS = 22
 SIZE, NEED = 8, 6
+#: A template of fewer tokens than a window says little with fewer plain words than these.
+LEAST_PLAIN = 5
 PLAIN, NUMBER, UNIT, EMPTY = 0, 1, 2, 3
 NAME = 4
 SALTS = np.array([0, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0, 0x8EBC6AF09C88C6E3], np.uint64)
@@ -73,19 +79,49 @@ class Canonical(Store):
         self.stops = np.r_[self.stops, np.array([t.rstrip("\"')]»”’")[-1:] in tuple(".!?…:") for t in texts], bool)]
 
 
-def windows(block: Block, store: Canonical, size: int, of_items: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, Slots]:
-    """Row, place and hash of each form of a window with enough plain words, whether names are placeholders in it, and the slots."""
-    at = store.rows(block, block.words(EXACT))
-    types, hashes, capital, row = store.types[at], store.hashes[at], store.capital[at], block.row
-    begins = np.ones(len(at), bool)
-    begins[1:] = (row[1:] != row[:-1]) | store.stops[at][:-1]
-    named = (types == PLAIN) & capital & ~begins
-    full = types != EMPTY
-    types, named, hashes, row = types[full], named[full], hashes[full], row[full]
+@dataclass
+class Tokens:
+    """The tokens of a block that are not empty: type, whether a name, hash of the word in lower case, and row."""
+
+    types: np.ndarray
+    named: np.ndarray
+    hashes: np.ndarray
+    row: np.ndarray
+    n_rows: int
+
+    @classmethod
+    def of(cls, block: Block, store: Canonical) -> Tokens:
+        at, row = store.rows(block, block.words(EXACT)), block.row
+        types = store.types[at]
+        begins = np.ones(len(at), bool)
+        begins[1:] = (row[1:] != row[:-1]) | store.stops[at][:-1]
+        named = (types == PLAIN) & store.capital[at] & ~begins
+        full = types != EMPTY
+        return cls(types[full], named[full], store.hashes[at][full], row[full], len(block))
+
+
+@dataclass
+class Found:
+    """Windows: row, place, hash, whether names are placeholders (null where all values are as they are), and the slots."""
+
+    row: np.ndarray
+    at: np.ndarray
+    hash: np.ndarray
+    template: pa.Array
+    slots: Slots
+
+    def __getitem__(self, which: np.ndarray) -> Found:
+        slots = Slots(self.slots.values, self.slots.at[which], self.slots.size)
+        return Found(self.row[which], self.at[which], self.hash[which], self.template.take(pa.array(which)), slots)
+
+
+def windows(tokens: Tokens, size: int, of_items: bool) -> Found:
+    """Each form of the windows with enough plain words."""
+    types, named, hashes, row = tokens.types, tokens.named, tokens.hashes, tokens.row
     # A value of a document is asked for where the item has a slot.
     values = np.where((types != PLAIN) | named | (not of_items), hashes | np.uint64(1), np.uint64(0))
     count = max(len(row) - size + 1, 0)
-    first = np.searchsorted(row, np.arange(len(block)))
+    first = np.searchsorted(row, np.arange(tokens.n_rows))
     words = mix(np.where(types != PLAIN, SALTS[types], hashes))
     names = np.where(named, mix(SALTS[NAME:]) - words, np.uint64(0))
     weights = mix(np.arange(size, dtype=np.uint64), 31) | np.uint64(1)
@@ -106,7 +142,44 @@ def windows(block: Block, store: Canonical, size: int, of_items: bool) -> tuple[
     hashed = np.concatenate([mix(sums[at]) for at, (_, sums, _) in zip(some, forms)])
     template = np.repeat([flag for _, _, flag in forms], [len(at) for at in some])
     some = np.concatenate(some)
-    return row[some], some - first[row[some]], hashed, template, Slots(values, some, size)
+    return Found(row[some], some - first[row[some]], hashed, pa.array(template, pa.bool_()), Slots(values, some, size))
+
+
+def own_windows(tokens: Tokens, size: int, of_items: bool) -> Found:
+    """All windows, with numbers, units and names as they are; those shorter than `SIZE` in a document once for each hash."""
+    row, count = tokens.row, max(len(tokens.row) - size + 1, 0)
+    words, total = mix(tokens.hashes, 32), np.zeros(count, np.uint64)
+    for k in range(size):
+        total += words[k:k + count] * (mix(np.full(1, k, np.uint64), 33) | np.uint64(1))
+    some = np.flatnonzero(row[:count] == row[size - 1:size - 1 + count])
+    hashed = mix(total[some])
+    if size < SIZE and not of_items:
+        order = np.lexsort((hashed, row[some]))
+        r, h = row[some][order], hashed[order]
+        again = np.zeros(len(order), bool)
+        again[1:] = (r[1:] == r[:-1]) & (h[1:] == h[:-1])
+        keep = np.sort(order[~again])
+        some, hashed = some[keep], hashed[keep]
+    values = np.where((tokens.types != PLAIN) | tokens.named | (not of_items), tokens.hashes | np.uint64(1), np.uint64(0))
+    first = np.searchsorted(row, np.arange(tokens.n_rows))
+    return Found(row[some], some - first[row[some]], hashed, pa.nulls(len(some), pa.bool_()), Slots(values, some, size))
+
+
+def of_item(tokens: Tokens, size: int) -> Iterator[Found]:
+    """The windows of items, and for those without a usable one what stands for the whole."""
+    found = windows(tokens, size, True)
+    yield found
+    lengths = np.bincount(tokens.row, minlength=tokens.n_rows)
+    plain = np.bincount(tokens.row, (tokens.types == PLAIN) & ~tokens.named, tokens.n_rows)
+    left = lengths > 0
+    left[found.row] = False
+    for n in np.unique(np.minimum(lengths[left], size)).tolist():
+        mine = left & (np.minimum(lengths, size) == n)
+        by_template = mine & (n < size) & (plain >= LEAST_PLAIN)
+        for make, rows in ((windows, by_template), (own_windows, mine & ~by_template)):
+            if rows.any():
+                some = make(tokens, n, True)
+                yield some[np.flatnonzero(rows[some.row])]
 
 
 @dataclass
@@ -121,9 +194,9 @@ class Slots:
         return self.values[self.at[which][:, None] + np.arange(self.size)]
 
 
-def window_table(rows: DataFrame, size: int, bitmap: bytes | None = None) -> DataFrame:
-    """id, place, hash, template and slots of the windows of a table (id, text): of those in the bitmap, if there is one, as of
-    documents, and otherwise as of items."""
+def window_table(rows: DataFrame, size: int, bitmap: bytes | None = None, kinds: list[tuple[int, bool]] | None = None) -> DataFrame:
+    """id, place, hash, template and slots of the windows of a table (id, text) of items; with a bitmap, of documents: the windows
+    in it, of the given lengths and of their own values or not."""
     shared = rows.sparkSession.sparkContext.broadcast(bitmap) if bitmap is not None else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,17 +204,23 @@ def window_table(rows: DataFrame, size: int, bitmap: bytes | None = None) -> Dat
         table = np.frombuffer(shared.value, np.uint8) if shared else None
         for batch in batches:
             for block in blocks(batch):
-                row, at, hashes, template, slots = windows(block, store, size, table is None)
-                keep = np.arange(len(row))
-                if table is not None:
-                    bit = (hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-                    keep = np.flatnonzero(table[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)
-                if len(keep):
-                    values = slots[keep].view(np.int64).reshape(-1)
-                    lists = pa.FixedSizeListArray.from_arrays(pa.array(values), size).cast(pa.list_(pa.int64()))
-                    yield pa.RecordBatch.from_arrays([block.rows.column("id").take(pa.array(row[keep])), pa.array(at[keep].astype(np.int64)),
-                                                      pa.array(hashes[keep].view(np.int64)), pa.array(template[keep]), lists],
-                                                     names=["id", "at", "hash", "template", "slots"])
+                tokens = Tokens.of(block, store)
+                if table is None:
+                    several = of_item(tokens, size)
+                else:
+                    several = ((own_windows if own else windows)(tokens, n, False) for n, own in kinds)
+                for found in several:
+                    keep = np.arange(len(found.row))
+                    if table is not None:
+                        bit = (found.hash >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+                        keep = np.flatnonzero(table[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)
+                    if len(keep):
+                        some = found[keep]
+                        values = some.slots[np.arange(len(keep))].view(np.int64).reshape(-1)
+                        lists = pa.FixedSizeListArray.from_arrays(pa.array(values), some.slots.size).cast(pa.list_(pa.int64()))
+                        yield pa.RecordBatch.from_arrays([block.rows.column("id").take(pa.array(some.row)), pa.array(some.at.astype(np.int64)),
+                                                          pa.array(some.hash.view(np.int64)), some.template, lists],
+                                                         names=["id", "at", "hash", "template", "slots"])
 
     bound_batches(rows.sparkSession)
     kind = rows.schema["id"].dataType.simpleString()
@@ -164,25 +243,32 @@ def leaks(documents: DataFrame, benchmark: DataFrame, size: int = SIZE, need: in
     on the best alignment, n_slots, n_same of them with the item's own value, and kind: verbatim or reparameterised."""
     items = window_table(benchmark.select(F.col("item_id").alias("id"), "text").distinct(), size)
     items = items.select(F.col("id").alias("item_id"), F.col("at").alias("item_at"), "hash", "template", F.col("slots").alias("item_slots"))
+    places = lambda which: F.when(which, F.col("item_at"))
+    # By placeholders for names, in one form or the other, and by own values.
+    by = {"template": places(F.col("template")), "form": places(F.col("template").isNotNull()), "own": places(F.col("template").isNull())}
     sizes = items.groupBy("item_id").agg(F.countDistinct("item_at").alias("n_windows"),
-                                          F.countDistinct(F.when(F.col("template"), F.col("item_at"))).alias("n_templates"))
-    found = window_table(documents.select(F.col("doc_id").alias("id"), "text"), size, bitmap(items.select("hash"))).drop("template")
+                                         *(F.countDistinct(at).alias(f"n_{name}") for name, at in by.items()))
+    # No more than two kinds for each length up to `size`.
+    kinds = [tuple(r) for r in items.select(F.size("item_slots"), F.col("template").isNull()).distinct().collect()]
+    found = window_table(documents.select(F.col("doc_id").alias("id"), "text"), size, bitmap(items.select("hash")), kinds).drop("template")
     met = found.join(items, "hash").select(F.col("id").alias("doc_id"), "item_id", (F.col("at") - F.col("item_at")).alias("shift"), "item_at",
                                            "template", "slots", "item_slots")
-    pair = F.arrays_zip(F.sequence("item_at", F.col("item_at") + size - 1).alias("place"), F.col("item_slots").alias("own"), F.col("slots").alias("seen"))
+    pair = F.arrays_zip(F.sequence("item_at", F.col("item_at") + F.size("item_slots") - 1).alias("place"), F.col("item_slots").alias("own"), F.col("slots").alias("seen"))
     pairs = F.filter(pair, lambda p: p["own"] != 0)
     on = ["doc_id", "item_id", "shift"]
     # Sets bounded by the item's length: its places, and the slots on them.
     aligned = met.groupBy(*on).agg(F.size(F.collect_set("item_at")).alias("n_matched"),
-                                   F.size(F.collect_set(F.when(F.col("template"), F.col("item_at")))).alias("n_by_template"),
+                                   *(F.size(F.collect_set(at)).alias(f"by_{name}") for name, at in by.items()),
                                    F.array_distinct(F.flatten(F.collect_set(pairs))).alias("slots"))
     own, seen = F.transform("slots", lambda p: p["own"]), F.transform("slots", lambda p: p["seen"])
     both = F.transform("slots", lambda p: F.struct(p["own"], p["seen"]))
     distinct = lambda x: F.size(F.array_distinct(x))
-    checked = aligned.select(*on, "n_matched", "n_by_template", F.size("slots").alias("n_slots"), F.size(F.filter("slots", lambda p: p["own"] == p["seen"])).alias("n_same"),
+    checked = aligned.select(*on, "n_matched", *(f"by_{name}" for name in by), F.size("slots").alias("n_slots"), F.size(F.filter("slots", lambda p: p["own"] == p["seen"])).alias("n_same"),
                              ((distinct(both) == distinct(own)) & (distinct(both) == distinct(seen))).alias("consistent"))
-    enough = (F.col("n_matched") >= F.least(F.lit(need), "n_windows")) | (
-        (F.col("n_templates") > 0) & (F.col("n_by_template") >= F.least(F.lit(need), "n_templates")))
+    least = {"template": F.least(F.lit(need), "n_template"), "form": F.least(F.lit(need), "n_form"), "own": F.col("n_own")}
+    enough = F.lit(False)
+    for name, at_least in least.items():
+        enough = enough | ((F.col(f"n_{name}") > 0) & (F.col(f"by_{name}") >= at_least))
     good = checked.join(sizes, "item_id").filter(enough & (F.col("consistent") | (2 * F.col("n_same") >= F.col("n_slots"))))
     best = good.groupBy("doc_id", "item_id", "n_windows").agg(F.max(F.struct("n_matched", "n_same", F.negative("n_slots").alias("less"), "shift")).alias("b"))
     n_slots = F.negative("b.less")

@@ -42,6 +42,18 @@ def test_case_and_context_lose_no_copy(spark):
     assert got[1, 1]["n_matched"] == got[1, 1]["n_windows"] and got[1, 1]["n_same"] == got[1, 1]["n_slots"] > 8
 
 
+def test_items_without_a_usable_window(spark):
+    asked = {1: "Who wrote the novel Dracula?", 2: "12 7 19 3 44 5 61 8 90 23 and 17", 3: "What is 7 times 8?", 4: "How many legs do 3 spiders have?",
+             5: "Paris, London, Rome, 5, 6, 7, 8, 9, 10", 6: "Etymology", 7: "?!", 8: "5 kg or 7 kg"}
+    rows = {(100 + i, i): around(t, i) for i, t in asked.items() if i != 7} | {(200 + i, i): (t.upper() + " and") * 3 for i, t in asked.items() if i != 7}
+    rows |= {(301, 4): around("How many legs do 9 spiders have?", 5)}
+    other = ["Who wrote the novel Emma?", "12 7 19 3 44 5 61 8 90 23 and 18", "What is 7 times 9?", "legs do 3 spiders", "7 kg or 5 kg", "?! ?!"]
+    made = [*((d, t) for (d, _), t in rows.items()), *((400 + k, around(t, 9)) for k, t in enumerate(other)), *((i and i + 9000, t) for i, t in awkward())]
+    got = {(r["doc_id"], r["item_id"]): r for r in templates.leaks(documents(spark, made), items(spark, asked.items())).collect()}
+    assert set(got) == set(rows)
+    assert {k for k, r in got.items() if r["kind"] != "verbatim"} == {(301, 4)}
+
+
 def test_a_part_of_an_item_is_evidence(spark):
     words = ITEM.split(" ")
     rows = documents(spark, [(1, around(" ".join(words[4:19]), 1)), (2, around(" ".join(words[4:12]), 3))])
