@@ -79,6 +79,14 @@ def test_no_private_key_is_left(spark, folder):
     assert corpus_pipeline.secret_scan(spark, docs, folder).first()["text"] == prose(1, 30) + "\n[secret]\n" + prose(2, 30)
 
 
+def test_decontamination_goes_by_row(spark, folder):
+    clean = prose(41, 60)
+    docs = documents(spark, [(None, around(ITEM, 11)), (None, clean), (1, clean), (1, around(SAME, 13)), (2, None), (None, None)])
+    out = corpus_pipeline.decontamination(spark, docs, folder)
+    assert out.columns == docs.columns
+    assert sorted(map(str, out.select("doc_id", "text").collect())) == sorted(f"Row(doc_id={i!r}, text={t!r})" for i, t in [(None, clean), (1, clean), (2, None), (None, None)])
+
+
 def test_run_applies_them_all(spark, folder):
     out = corpus_pipeline.run(spark, folder)
     found = out.groupBy("doc_id").agg(F.count("*").alias("n")).toPandas()
