@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ddlscope.llm import factorisation, fertility, lattice, ledger, ring, severity, sql, substring, superminhash, templates, warc
+from ddlscope.llm import factorisation, fertility, lattice, ledger, linededup, ring, severity, sql, substring, superminhash, templates, warc
 from ddlscope.llm.training import held_out
 from ddlscope.session import scratch_path
 
@@ -98,3 +98,9 @@ def op9_factorisation_machine(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_superminhash(spark: SparkSession, folder: str) -> DataFrame:
     return superminhash.near_duplicates(table(spark, folder, "documents"), size=4, percent=80)
+
+
+@query
+def op13_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    left = linededup.without_repeated_lines(table(spark, folder, "documents"))
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))

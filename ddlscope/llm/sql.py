@@ -37,4 +37,15 @@ last AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTI
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN kept = page_id THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN kept <> page_id THEN kept END AS refers_to FROM last"""
 
-SQL: dict[str, str] = {"op1_secret_scan": OP1, "op3_warc": OP3}
+# Lines by key; the key folds A to Z only.
+OP13 = """
+WITH texts AS (SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+each AS (SELECT row, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM texts),
+keyed AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM each),
+repeated AS (SELECT k, max(doc_id) AS keeper FROM keyed WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3),
+marked AS (SELECT keyed.*, coalesce(doc_id < keeper, false) AS gone FROM keyed LEFT JOIN repeated USING (k))
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256 FROM marked GROUP BY row"""
+
+SQL: dict[str, str] = {"op1_secret_scan": OP1, "op3_warc": OP3, "op13_line_dedup": OP13}
