@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ddlscope.llm import factorisation, fertility, lattice, ledger, linededup, ring, severity, sql, substring, superminhash, templates, warc
+from ddlscope.llm import factorisation, fertility, lattice, ledger, linededup, ring, severity, sql, substring, superminhash, templates, warc, whitening
 from ddlscope.llm.training import held_out
 from ddlscope.session import scratch_path
 
@@ -100,6 +100,12 @@ def op10_superminhash(spark: SparkSession, folder: str) -> DataFrame:
     return superminhash.near_duplicates(table(spark, folder, "documents"), size=4, percent=80)
 
 
+@query
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    whitened = whitening.whiten(table(spark, folder, "embeddings"))
+    return whitened.select("vec_id", "component", "n", F.col("deviation").cast("long").alias("deviation"), "whitened", "explained", "identity_error")
+
+
 @query
 def op13_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     left = linededup.without_repeated_lines(table(spark, folder, "documents"))
