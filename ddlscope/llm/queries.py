@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ddlscope.llm import factorisation, fertility, lattice, ledger, linededup, ring, severity, sql, substring, superminhash, templates, warc, whitening
+from ddlscope.llm import (
+    factorisation, fertility, hardneg, lattice, ledger, linededup, ring, severity, sql, substring, superminhash, templates, warc, whitening)
 from ddlscope.llm.training import held_out
 from ddlscope.session import scratch_path
 
@@ -100,6 +101,12 @@ def op10_superminhash(spark: SparkSession, folder: str) -> DataFrame:
     return superminhash.near_duplicates(table(spark, folder, "documents"), size=4, percent=80)
 
 
+@query
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(table(spark, folder, "embeddings").withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 @query
 def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     whitened = whitening.whiten(table(spark, folder, "embeddings"))

@@ -37,6 +37,21 @@ last AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTI
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN kept = page_id THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN kept <> page_id THEN kept END AS refers_to FROM last"""
 
+# Sums of whole numbers below 2**53 are exact as doubles.
+OP11 = """
+WITH vectors AS (SELECT row_number() OVER () AS row, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.row, a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM vectors a JOIN vectors b ON a.vec_id % 50 = 0),
+positives AS (SELECT row, anchor_id, id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY row ORDER BY score DESC, id) AS place
+  FROM scored WHERE same AND id <> anchor_id QUALIFY place <= 5),
+ranked AS (SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.row, place ORDER BY score DESC, id)::INTEGER AS rank, id AS negative_id,
+  positive_score, score AS negative_score FROM positives p JOIN scored s ON s.row = p.row AND NOT s.same
+    AND 100 * score BETWEEN 50 * positive_score AND 95 * positive_score)
+SELECT * FROM ranked WHERE rank <= 3"""
+
 # Lines by key; the key folds A to Z only.
 OP13 = """
 WITH texts AS (SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
@@ -48,4 +63,4 @@ marked AS (SELECT keyed.*, coalesce(doc_id < keeper, false) AS gone FROM keyed L
 SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256 FROM marked GROUP BY row"""
 
-SQL: dict[str, str] = {"op1_secret_scan": OP1, "op3_warc": OP3, "op13_line_dedup": OP13}
+SQL: dict[str, str] = {"op1_secret_scan": OP1, "op3_warc": OP3, "op11_hard_negatives": OP11, "op13_line_dedup": OP13}
