@@ -43,6 +43,38 @@ def failure_groups(failed: DataFrame, order: Sequence[str | Column], within: Seq
                     F.array_join("first.object", ", ").alias("examples")))
 
 
+def group_states(failed: DataFrame, order: Sequence[str], within: Sequence[str] = ()) -> DataFrame:
+    """For every reason how often it occurs and the first objects that met it, in `order` of arrival: a state that can be merged
+    with that of other failures (`merged_groups`). Tasks send partial counts and no more than the first few rows of a reason."""
+    keys = [*within, "reason"]
+    counted = failed.groupBy(*keys).agg(F.count("*").alias("failures"))
+    arrival = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    first = (failed.withColumn("nth", arrival).where(F.col("nth") <= EXAMPLES_PER_GROUP)
+             .groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*order, label().alias("object")))).alias("first")))
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"_{key}"))
+    return counted.join(first.withColumnsRenamed({k: f"_{k}" for k in keys}), same).select(*keys, "failures", "first")
+
+
+def merged_groups(states: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+    """States of several sets of failures as that of all of them. What is collected of a reason is a few objects of each set."""
+    first = F.slice(F.sort_array(F.flatten(F.collect_list("first"))), 1, EXAMPLES_PER_GROUP)
+    return states.groupBy(*within, "reason").agg(F.sum("failures").alias("failures"), first.alias("first"))
+
+
+def top_groups(states: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+    """The report of `failure_groups` from the states of all reasons."""
+    most = [F.col("failures").desc(), F.col("reason")]
+    if within:
+        place = F.row_number().over(Window.partitionBy(*within).orderBy(*most))
+        top = states.withColumn("place", place).where(F.col("place") <= FAILURE_GROUPS)
+    else:
+        top = states.orderBy(*most).limit(FAILURE_GROUPS).withColumn("place", F.row_number().over(Window.orderBy(*most)))
+    return top.select(*within, "place", "failures", F.substring("reason", 1, REASON_CHARS).alias("reason"),
+                      F.array_join("first.object", ", ").alias("examples"))
+
+
 def failure_split(failed: DataFrame, lead: Sequence[str] = ()) -> DataFrame:
     """Failures, reasons and schemas, by whether permission is what is missing."""
     return failed.groupBy(*lead, "permission").agg(

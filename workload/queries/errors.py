@@ -8,7 +8,7 @@ from workload.registry import query
 from workload.sql import FAILED, LISTED, RESOLVED, first_line, kind_of_ddl, permission, short_error, transient
 
 _ARRIVAL = ["ts", "attempt_id"]
-_GROUPS = """
+GROUPS = """
 numbered AS (SELECT *, row_number() OVER (PARTITION BY {within} reason ORDER BY ts, attempt_id) AS nth FROM failed),
 counted AS (SELECT {within} reason, count(*) AS failures,
     string_agg(schema_name || '.' || object_name, ', ' ORDER BY nth) FILTER (nth <= 3) AS examples
@@ -89,17 +89,17 @@ def w2_first_of_schema(t):
     return failures.access_sample(t("fx_tables").drop("is_temporary"))
 
 
-@query(f"WITH {FAILED}, {_GROUPS.format(within='', partition='')}")
+@query(f"WITH {FAILED}, {GROUPS.format(within='', partition='')}")
 def a6_failure_groups(t):
     return failures.failure_groups(failed(t), _ARRIVAL)
 
 
-@query(f"WITH {FAILED}, {_GROUPS.format(within='permission,', partition='PARTITION BY permission')}")
+@query(f"WITH {FAILED}, {GROUPS.format(within='permission,', partition='PARTITION BY permission')}")
 def a6_failure_groups_by_permission(t):
     return failures.failure_groups(failed(t), _ARRIVAL, ["permission"])
 
 
-@query(f"WITH {FAILED}, {_GROUPS.format(within='run_id,', partition='PARTITION BY run_id')}")
+@query(f"WITH {FAILED}, {GROUPS.format(within='run_id,', partition='PARTITION BY run_id')}")
 def a6_failure_groups_by_run(t):
     return failures.failure_groups(failed(t), _ARRIVAL, ["run_id"])
 

@@ -7,7 +7,8 @@ from ddlscope.session import scratch_path
 from ddlscope.streaming import outcomes
 from workload.fixtures import fixture, given
 from workload.registry import query
-from workload.sql import OUTCOME
+from workload.queries.errors import GROUPS
+from workload.sql import FAILED, OUTCOME
 
 _COUNTS = f"""
 marked AS (SELECT *, {OUTCOME} AS outcome FROM fx_attempts),
@@ -63,3 +64,27 @@ def st1_run_counts_stream(t):
     path = scratch_path(t.spark, "runs")
     outcomes.keep_run_counts(attempts, f"{path}/counts", f"{path}/state").awaitTermination()
     return _times_as_numbers(outcomes.latest_run_counts(t.spark, f"{path}/counts"))
+
+
+def _arriving(t, files, per_trigger):
+    """The attempts as a stream over the events, dealt to so many files of which each trigger takes a few."""
+    path = scratch_path(t.spark, "events")
+    events = given(t.spark, t.folder, "events")
+    events.repartition(files).write.parquet(path)
+    stream = t.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", per_trigger).parquet(path)
+    return fixture(t.spark, t.folder, "fx_attempts", events=stream)
+
+
+# Three triggers; the first two are compacted into one table.
+@query(f"WITH {FAILED}, {GROUPS.format(within='', partition='')}")
+def st1_failure_groups_stream(t):
+    path = scratch_path(t.spark, "groups")
+    outcomes.keep_failure_groups(_arriving(t, 6, 2), f"{path}/groups", f"{path}/state", ["ts", "attempt_id"], every=2).awaitTermination()
+    return outcomes.latest_failure_groups(t.spark, f"{path}/groups")
+
+
+@query(f"WITH {FAILED}, {GROUPS.format(within='run_id,', partition='PARTITION BY run_id')}")
+def st1_failure_groups_by_run_stream(t):
+    path, run = scratch_path(t.spark, "groups"), ["run_id"]
+    outcomes.keep_failure_groups(_arriving(t, 6, 2), f"{path}/groups", f"{path}/state", ["ts", "attempt_id"], run, every=2).awaitTermination()
+    return outcomes.latest_failure_groups(t.spark, f"{path}/groups", run)
