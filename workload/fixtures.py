@@ -39,6 +39,14 @@ FIXTURES = {
             || ' `' || catalog_name || '`.`' || schema_name || '`.`' || object_name || '` COMMENT ' || chr(39) || 'from '
             || catalog_name || '.' || schema_name || '.src ' || chr(39) || ' AS SELECT * FROM `' || catalog_name || '` . `'
             || schema_name || '`.t JOIN other.' || schema_name || '.u' END AS ddl FROM fx_objects""",
+    # A log of generated texts, up to three for an object, some of them null; and one of views seen, some first as plain ones.
+    "fx_ddl_log": " UNION ALL ".join(f"""
+        SELECT CAST({seq} AS BIGINT) AS seq, catalog_name, schema_name, object_name,
+          CASE WHEN (length(object_name) + {seq}) % 4 = 0 THEN NULL ELSE ddl || ' -- {seq}' END AS ddl FROM fx_ddl""" for seq in (1, 2, 3)),
+    "fx_view_log": """
+        SELECT CAST(1 AS BIGINT) AS seq, catalog_name, schema_name, object_name, is_temporary, NOT is_materialized AS is_materialized FROM fx_views
+        UNION ALL SELECT CAST(2 AS BIGINT), catalog_name, schema_name, object_name, is_temporary, is_materialized FROM fx_views
+        WHERE length(object_name) % 2 = 0""",
     # Many short texts; object names repeat.
     "fx_bulk": """
         SELECT 'main' AS catalog_name, 's' || CAST(l_suppkey AS STRING) AS schema_name,

@@ -4,9 +4,11 @@ from pyspark.sql import functions as F
 
 from ddlscope.functions.ddl import kind_from_ddl, kind_from_table_type
 from ddlscope.functions.text import kind_or_table, label, like_matches, listing_order, quoted
-from ddlscope.operators import listing, outcomes
+from ddlscope.operators import listing, outcomes, selection
 from ddlscope.operators.positions import with_position
 from ddlscope.plans import importing
+from ddlscope.session import scratch_path
+from ddlscope.sinks import harvest
 from ddlscope.sources import snapshots
 from workload.registry import Tables, query
 from workload.sql import LISTED, RESOLVED, STREAMING, kind_of_ddl
@@ -116,6 +118,17 @@ def j1_view_kinds(t):
     return listing.with_view_kinds(snapshots.tables(t("fx_tables")), snapshots.views(t("fx_views")))
 
 
+# Of a view that was seen twice the last row counts.
+@query("""WITH last AS (SELECT *, row_number() OVER (PARTITION BY catalog_name, schema_name, object_name ORDER BY seq DESC) AS nth
+            FROM fx_view_log WHERE NOT is_temporary)
+          SELECT t.catalog_name, t.schema_name, t.object_name, CASE WHEN l.object_name IS NULL THEN 'TABLE'
+            WHEN l.is_materialized THEN 'MATERIALIZED VIEW' ELSE 'VIEW' END AS kind FROM fx_tables t LEFT JOIN last l
+            ON l.nth = 1 AND l.catalog_name = t.catalog_name AND l.schema_name = t.schema_name AND l.object_name = t.object_name
+          WHERE NOT t.is_temporary""")
+def j1_view_kinds_by_arrival(t):
+    return listing.with_view_kinds(snapshots.tables(t("fx_tables")), snapshots.views(t("fx_view_log")), arrival="seq")
+
+
 @query(f"WITH {LISTED} SELECT catalog_name, schema_name, object_name FROM kinds WHERE NOT is_streaming")
 def j2_without_streaming(t):
     return listing.without_streaming(snapshots.tables(t("fx_tables")), snapshot(t).streaming())
@@ -126,6 +139,51 @@ def j8_write_back(t):
     return outcomes.write_back(all_objects(t), t("fx_ddl"))
 
 
+_LAST = """
+last AS (SELECT * FROM fx_ddl_log WHERE ddl IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY catalog_name, schema_name, object_name ORDER BY seq DESC) = 1)"""
+
+
+@query(f"""WITH {LISTED}, {_LAST} SELECT l.catalog_name, l.schema_name, l.object_name, coalesce({kind_of_ddl("d.ddl")}, l.kind) AS kind,
+             d.ddl FROM listed l LEFT JOIN last d USING (catalog_name, schema_name, object_name)""")
+def j8_latest_ddl(t):
+    return outcomes.write_back(all_objects(t), outcomes.latest_ddl(t("fx_ddl_log"), "seq"))
+
+
+def _harvested(t, replace):
+    """A store of two generations: the second has the texts of all objects, the first of a third of them."""
+    store = harvest.Harvest(t.spark, scratch_path(t.spark, "harvest"), buckets=8)
+    store.add(t("fx_ddl").where(F.length("object_name") % 3 == 0))
+    store.add(t("fx_ddl").withColumn("ddl", F.concat("ddl", F.lit(" -- again"))), replace)
+    return store
+
+
+_GENERATIONS = """
+harvested AS (SELECT catalog_name, schema_name, object_name, CASE WHEN length(object_name) % 3 = 0 {kept} THEN ddl ELSE ddl || ' -- again' END AS ddl,
+  CAST(CASE WHEN length(object_name) % 3 = 0 {kept} THEN 1 ELSE 2 END AS BIGINT) AS generation FROM fx_ddl WHERE ddl IS NOT NULL)"""
+_RESUMED = f"""SELECT l.catalog_name, l.schema_name, l.object_name, coalesce({kind_of_ddl("d.ddl")}, l.kind) AS kind, d.ddl, d.generation
+               FROM listed l LEFT JOIN harvested d USING (catalog_name, schema_name, object_name)"""
+
+
+@query(f"WITH {LISTED}, {_GENERATIONS.format(kept='')} {_RESUMED}")
+def j8_harvest(t):
+    return _harvested(t, False).write_back(all_objects(t))
+
+
+@query(f"WITH {LISTED}, {_GENERATIONS.format(kept='AND false')} {_RESUMED}")
+def j8_harvest_replaced(t):
+    return _harvested(t, True).write_back(all_objects(t))
+
+
+@query("""SELECT catalog_name, schema_name, object_name FROM fx_ddl d LEFT JOIN fx_selection s USING (catalog_name, schema_name, object_name)
+          WHERE coalesce(s.selected, false) AND (d.ddl IS NULL OR length(object_name) % 3 <> 0)""")
+def f7_incremental_harvest(t):
+    store = harvest.Harvest(t.spark, scratch_path(t.spark, "harvest"), buckets=8)
+    store.add(t("fx_ddl").where(F.length("object_name") % 3 == 0))
+    objects = selection.with_selection(t("fx_ddl").drop("ddl"), t("fx_selection"))
+    return store.remaining(objects).select("catalog_name", "schema_name", "object_name")
+
+
 @query(f"WITH {RESOLVED} SELECT catalog_name, schema_name, object_name, kind FROM known WHERE kind <> 'STREAMING TABLE'")
 def j9_without_dropped(t):
     known = outcomes.write_back(all_objects(t), t("fx_ddl")).drop("ddl")
