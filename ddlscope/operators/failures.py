@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ddlscope.fixed import EXAMPLES_PER_GROUP, FAILURE_GROUPS, NAMED_SCHEMAS, REASON_CHARS
 from ddlscope.functions.errors import is_permission_error
 from ddlscope.functions.text import label, listing_order, quoted
+from ddlscope.operators.frequent import most_frequent
 from ddlscope.schemas import SCHEMA_KEYS
 
 
@@ -22,18 +23,18 @@ def failure_groups(failed: DataFrame, order: Sequence[str | Column], within: Seq
     """The most frequent reasons, with their counts and the first objects that met them, in `order` of arrival.
     `within` reports them separately, for instance by `permission` or by run.
 
-    Counting runs on partial sums, and a task passes on no more than the first few rows of a reason, so one reason
-    may hold most failures. That needs rows that are not partitioned by reason yet: they are reduced before they are
-    joined to the counts, and the few reasons of a report over all failures are broadcast."""
-    counted = failed.groupBy(*within, "reason").agg(F.count("*").alias("failures"))
+    The reasons of a report over all failures are found without grouping by every text (`frequent`), and broadcast. A task
+    passes on no more than the first few rows of a reason, so one reason may hold most failures. That needs rows that are not
+    partitioned by reason yet: they are reduced before they are joined to the counts."""
     most = [F.col("failures").desc(), F.col("reason")]
     keys = [*within, "reason"]
     if within:
+        counted = failed.groupBy(*keys).agg(F.count("*").alias("failures"))
         place = F.row_number().over(Window.partitionBy(*within).orderBy(*most))
         top = counted.withColumn("place", place).where(F.col("place") <= FAILURE_GROUPS)
     else:
         # The window and the broadcast see the few rows that the limit leaves.
-        top = counted.orderBy(*most).limit(FAILURE_GROUPS).withColumn("place", F.row_number().over(Window.orderBy(*most)))
+        top = most_frequent(failed, "reason", FAILURE_GROUPS, "failures").withColumn("place", F.row_number().over(Window.orderBy(*most)))
         failed = failed.join(F.broadcast(top.select(*keys)), keys, "left_semi")
     arrival = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     first = (failed.withColumn("nth", arrival).where(F.col("nth") <= EXAMPLES_PER_GROUP)
