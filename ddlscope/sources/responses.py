@@ -36,10 +36,13 @@ def _whole(value: Column) -> Column:
 
 def revisions(responses: DataFrame) -> DataFrame:
     """Revision records as they stand, both spellings of each field, each number as text and, where it is a whole number, as
-    `<field>_value`; the list is `data` or `data.revisions`."""
-    as_list = F.from_json("body", f"STRUCT<data: ARRAY<{_REVISION}>>")["data"]
-    as_object = F.from_json("body", f"STRUCT<data: STRUCT<revisions: ARRAY<{_REVISION}>>>")["data"]["revisions"]
-    found = responses.select("project_id", F.posexplode(F.coalesce(as_list, as_object)).alias("position", "r"))
+    `<field>_value`; the list is `data` or `data.revisions`.
+
+    A body is parsed once, into a variant, and both places are looked up in that; a body that is no JSON holds none. The outer
+    explode keeps the optimizer from parsing again for a filter on the list's size."""
+    parsed = responses.select("project_id", F.try_parse_json("body").alias("v"))
+    listed = F.coalesce(*(F.try_variant_get("v", path, f"ARRAY<{_REVISION}>") for path in ("$.data", "$.data.revisions")))
+    found = (parsed.select("project_id", F.posexplode_outer(listed).alias("position", "r")).where(F.col("position").isNotNull()))
     return found.select(
         "project_id", "position", *(F.col(f"r.{n}").cast("string").alias(n) for n in _NUMBERS), "r.revName", "r.name",
         *(_whole(F.col(f"r.{n}")).alias(f"{n}_value") for n in _NUMBERS))
