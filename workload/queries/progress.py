@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ddlscope.operators import progress
+from ddlscope.operators import progress, ranked
 from ddlscope.session import scratch_path
 from ddlscope.streaming import outcomes
 from workload.fixtures import fixture, given
@@ -56,6 +56,13 @@ def w3_running_count(t):
     return progress.running_count(t("fx_attempts")).drop("ts")
 
 
+@query("""SELECT run_id, attempt_id, ts, row_number() OVER (PARTITION BY run_id ORDER BY ts, attempt_id) AS done
+          FROM (SELECT run_id, attempt_id, epoch_us(ts) AS ts FROM fx_attempts)""")
+def w3_stored_running_count(t):
+    arrived = t("fx_attempts").select("run_id", "attempt_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts"))
+    return ranked.store(arrived, scratch_path(t.spark, "ranked"), [F.col("ts"), F.col("attempt_id")], ["run_id"]).positions("done")
+
+
 @query(f"WITH {_COUNTS} SELECT * FROM counts")
 def st1_run_counts_stream(t):
     schema = given(t.spark, t.folder, "events").schema

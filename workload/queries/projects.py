@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from ddlscope.operators import projects
+from ddlscope.functions.revisions import number_rank
+from ddlscope.operators import projects, ranked
+from ddlscope.session import scratch_path
 from ddlscope.sources import responses
 from workload.registry import query
 
@@ -137,6 +139,14 @@ def w4_newest_first(t):
     return projects.newest_first(t("fx_revisions"))
 
 
+# The same from rows stored in order: the newest ten of each project are in one or two parts.
+@query("""SELECT project_id, revision_id, rev_number, rev_name, row_number() OVER (PARTITION BY project_id
+            ORDER BY coalesce(rev_number, 0) DESC, revision_id) AS position, CAST(0 AS BIGINT) AS page FROM fx_revisions QUALIFY position <= 10""")
+def w4_stored_newest(t):
+    order = [number_rank("rev_number").desc(), F.col("revision_id")]
+    return ranked.store(t("fx_revisions"), scratch_path(t.spark, "ranked"), order, ["project_id"]).page(0, 10)
+
+
 @query("SELECT project_id, name, row_number() OVER (ORDER BY lower(name), project_id) AS place FROM fx_projects")
 def o3_projects_by_name(t):
     return projects.by_name(t("fx_projects"), "name", "project_id")

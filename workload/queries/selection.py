@@ -2,7 +2,9 @@
 
 from ddlscope.fixed import PAGE_SIZES
 from ddlscope.functions.text import search_matches
-from ddlscope.operators import paging, selection
+from ddlscope.functions.text import listing_order
+from ddlscope.operators import paging, ranked, selection
+from ddlscope.session import scratch_path
 from workload.registry import query
 from workload.sql import KEYS, SELECTED
 
@@ -84,6 +86,27 @@ def w1_last_page(t):
     return pages(t).where(paging.on_page(1 << 40)).select("catalog_name", "schema_name", "object_name", "kind", "position")
 
 
+def stored(t):
+    """The listing of each catalog in order, with its directory, in parts of some hundred rows."""
+    rows = objects(t).drop("ddl")
+    return ranked.store(rows, scratch_path(t.spark, "ranked"), listing_order(), ["catalog_name"], ["schema_name", "object_name"])
+
+
+@query(f"WITH {SELECTED}, {_PAGED} SELECT {KEYS}, kind, selected, position, matches FROM paged")
+def w1_stored_positions(t):
+    return stored(t).positions(total="matches")
+
+
+@query(f"WITH {SELECTED}, {_PAGED} SELECT {KEYS}, kind, selected, position, page FROM paged WHERE {_THIRD}")
+def w1_stored_third_page(t):
+    return stored(t).page(2, SIZE)
+
+
+@query(f"WITH {SELECTED}, {_PAGED} SELECT {KEYS}, kind, selected, position, page FROM paged WHERE page = pages - 1 AND catalog_name = 'main'")
+def w1_stored_last_page_of_one(t):
+    return stored(t).page_of(["main"], 1 << 40, SIZE)
+
+
 @query(f"""WITH counted AS (SELECT c.catalog_name, coalesce(m.matches, 0) AS matches
              FROM (SELECT DISTINCT catalog_name FROM fx_describe) c LEFT JOIN (
                SELECT catalog_name, count(*) AS matches FROM fx_ddl WHERE {_FOUND} GROUP BY ALL) m USING (catalog_name)),
