@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ddlscope.functions.ddl import export_chunk
-from ddlscope.functions.sizes import json_bytes
+from ddlscope.fixed import RAW_LIMIT_BYTES, WIRE_LIMIT_BYTES
+from ddlscope.functions.sizes import json_bytes, size_verdict
 from ddlscope.functions.text import listing_order
+from ddlscope.operators.packing import packed
+from ddlscope.operators.sizing import with_chunk
+from ddlscope.schemas import KEYS
 
 # How a writer of partitioned files names a folder for a value that is null or empty.
 _NO_NAME = "__HIVE_DEFAULT_PARTITION__"
@@ -58,3 +62,54 @@ def wire_sizes(spark: SparkSession, path: str, lead: Sequence[str] = ()) -> Data
     return (files.where(F.col("path").rlike(folders))
             .groupBy(*(F.when(d != _NO_NAME, d).alias(c) for c, d in zip(names, decoded)))
             .agg(F.sum("length").alias("wire_bytes"), F.count("*").alias("files")))
+
+
+def payload_name(section: str = "section", piece: str = "piece") -> Column:
+    """Name of a payload within its catalog; names sort as the payloads do. A text that is a payload of its own ends its section."""
+    return F.concat(F.lpad(F.col(section).cast("string"), 8, "0"), F.lit("-"), F.coalesce(F.lpad(F.col(piece).cast("string"), 8, "0"), F.lit("large")))
+
+
+def places(objects: DataFrame, limit: int = RAW_LIMIT_BYTES, keep_catalog: bool = False) -> DataFrame:
+    """For each object with DDL the payload it goes into, its position in the catalog's listing, and its bytes. Only keys and sizes are
+    placed."""
+    sizes = with_chunk(objects, keep_catalog).select(*KEYS, F.octet_length("chunk").cast("bigint").alias("bytes"))
+    return packed(sizes, limit, listing_order()).select(*KEYS, payload_name().alias("payload"), "position", "bytes")
+
+
+def write_packed(objects: DataFrame, path: str, limit: int = RAW_LIMIT_BYTES, keep_catalog: bool = False, compression: str = "gzip") -> DataFrame:
+    """Write the exported texts packed into payloads of at most `limit` bytes, each one file, and a manifest, which is returned: for each
+    payload its objects, the first and the last position, the bytes of the text, of the file and a digest of the file, and the two verdicts.
+
+    A payload is written by one task, which its size bounds; so its compressed size is that of one stream, and exact. The manifest
+    is written last: without it the export has not ended. Texts are read twice, for their sizes and to be written, and
+    shuffled to be joined to their places and once more into order."""
+    spark = objects.sparkSession
+    named = objects.withColumn("catalog_name", F.coalesce("catalog_name", F.lit("")))
+    placed = places(named, limit, keep_catalog)
+    whole = with_chunk(named, keep_catalog).select(*KEYS, "chunk").join(placed, list(KEYS))
+    order = ["catalog_name", "payload", "position"]
+    # The file ends each text with the line feed that joins them.
+    (whole.repartitionByRange("catalog_name", "payload").sortWithinPartitions(*order).select("catalog_name", "payload", "chunk")
+     .write.partitionBy("catalog_name", "payload").option("compression", compression).text(f"{path}/payloads"))
+    counted = placed.groupBy("catalog_name", "payload").agg(
+        F.count("*").alias("objects"), F.min("position").alias("first_position"), F.max("position").alias("last_position"),
+        (F.sum(F.col("bytes") + 1) - 1).alias("raw_bytes"))
+    files = packed_files(spark, path)
+    made = (counted.withColumnRenamed("catalog_name", "_catalog").withColumnRenamed("payload", "_payload")
+            .join(files, (F.col("_catalog") == F.coalesce("catalog_name", F.lit(""))) & (F.col("_payload") == F.col("payload")), "left"))
+    manifest = made.select(
+        F.nullif("_catalog", F.lit("")).alias("catalog_name"), F.col("_payload").alias("payload"), "objects", "first_position", "last_position", "raw_bytes",
+        "file_bytes", "sha256", size_verdict("raw_bytes", None, limit).alias("raw_verdict"),
+        size_verdict("raw_bytes", "file_bytes", limit, WIRE_LIMIT_BYTES).alias("wire_verdict"))
+    manifest.write.parquet(f"{path}/manifest")
+    return spark.read.schema(manifest.schema).parquet(f"{path}/manifest")
+
+
+def packed_files(spark: SparkSession, path: str) -> DataFrame:
+    """Bytes and digest of each payload's file. A file is no larger than a payload may be, and is read by the task that digests it."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{path}/payloads")
+    folders = "/catalog_name=([^/]*)/payload=([^/]*)/[^/]*$"
+    catalog = F.url_decode(F.replace(F.regexp_extract("path", folders, 1), F.lit("+"), F.lit("%2B")))
+    return files.where(F.col("path").rlike(folders)).select(
+        F.when(catalog != _NO_NAME, catalog).alias("catalog_name"), F.regexp_extract("path", folders, 2).alias("payload"),
+        F.col("length").alias("file_bytes"), F.sha2("content", 256).alias("sha256"))

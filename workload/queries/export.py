@@ -121,6 +121,34 @@ def k1_text_sizes(t):
     return payload.text_sizes(t.spark, path)
 
 
+# A limit that the longest texts alone break half of, so that both rules of the packing apply.
+PACKED = 380
+_PACKED = _CHUNKS + f""",
+sized AS (SELECT {KEYS}, chunk, octet_length(encode(chunk)) AS bytes, row_number() OVER listed AS position,
+    sum(octet_length(encode(chunk)) + 1) OVER listed AS e FROM chunks
+  WINDOW listed AS (PARTITION BY catalog_name ORDER BY schema_name, lower(object_name), object_name)),
+sections AS (SELECT *, bytes > {PACKED // 2} AS large, count(*) FILTER (bytes > {PACKED // 2}) OVER listed AS larges,
+    coalesce(max(CASE WHEN bytes > {PACKED // 2} THEN e END) OVER listed, 0) AS last_end FROM sized
+  WINDOW listed AS (PARTITION BY catalog_name ORDER BY position)),
+packed AS (SELECT *, lpad(CAST(larges - large::INT AS STRING), 8, '0') || '-' || CASE WHEN large THEN 'large'
+    ELSE lpad(CAST(CAST(floor((e - bytes - 1 - last_end) / {PACKED // 2}) AS BIGINT) AS STRING), 8, '0') END AS payload FROM sections)"""
+
+
+@query(f"WITH {_PACKED} SELECT {KEYS}, payload, position, CAST(bytes AS BIGINT) AS bytes FROM packed")
+def k1_packed_places(t):
+    return payload.places(exported(t), PACKED)
+
+
+# The digest is of the whole file, so it tells the order of its texts.
+@query(f"""WITH {_PACKED} SELECT catalog_name, payload, count(*) AS objects, min(position) AS first_position, max(position) AS last_position,
+             CAST(sum(bytes + 1) - 1 AS BIGINT) AS raw_bytes, CAST(sum(bytes + 1) AS BIGINT) AS file_bytes,
+             sha256(string_agg(chunk, chr(10) ORDER BY position) || chr(10)) AS sha256,
+             CASE WHEN sum(bytes + 1) - 1 > {PACKED} THEN 'uncompressed' ELSE 'ok' END AS raw_verdict,
+             CASE WHEN sum(bytes + 1) - 1 > {PACKED} THEN 'uncompressed' ELSE 'ok' END AS wire_verdict FROM packed GROUP BY catalog_name, payload""")
+def k1_packed_payloads(t):
+    return payload.write_packed(exported(t), scratch_path(t.spark, "packed"), PACKED, compression="none")
+
+
 # Bytes as gzip writes them have no SQL form.
 @query()
 def a11_wire_bytes(t):
