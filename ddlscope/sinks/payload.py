@@ -13,6 +13,7 @@ from ddlscope.functions.text import listing_order
 from ddlscope.operators.packing import packed
 from ddlscope.operators.sizing import with_chunk
 from ddlscope.schemas import KEYS
+from ddlscope.sources.gzipped import trailers
 
 # How a writer of partitioned files names a folder for a value that is null or empty.
 _NO_NAME = "__HIVE_DEFAULT_PARTITION__"
@@ -55,13 +56,25 @@ def wire_sizes(spark: SparkSession, path: str, lead: Sequence[str] = ()) -> Data
     One stream over all of it would come out slightly smaller. Names are taken from the last folders of a file's path, so
     those of the folders above do not matter."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
+    return _by_folder(files, lead, (F.sum("length").alias("wire_bytes"), F.count("*").alias("files")))
+
+
+def written_sizes(spark: SparkSession, path: str, lead: Sequence[str] = ()) -> DataFrame:
+    """Bytes of each catalog's payload as text, and of its part files, as the ends of the gzip files state them: what was written,
+    against which `sizing.payload_sizes` can be held. No file is unpacked. The last line feed is the writer's. A part file of 4 GB
+    of text and more states its size modulo 2**32."""
+    sizes = ((F.sum("text_bytes") - 1).alias("raw_bytes"), F.sum("file_bytes").alias("wire_bytes"), F.count("*").alias("files"))
+    return _by_folder(trailers(spark, path), lead, sizes)
+
+
+def _by_folder(files: DataFrame, lead: Sequence[str], sums: Sequence[Column]) -> DataFrame:
+    """Sums over the files of each catalog, named by the last folders of their paths, in which names are escaped."""
     names = [*lead, "catalog_name"]
     folders = "".join(f"/{c}=([^/]*)" for c in names) + "/[^/]*$"
     found = [F.regexp_extract("path", folders, i + 1) for i in range(len(names))]
     decoded = [F.url_decode(F.replace(f, F.lit("+"), F.lit("%2B"))) for f in found]
     return (files.where(F.col("path").rlike(folders))
-            .groupBy(*(F.when(d != _NO_NAME, d).alias(c) for c, d in zip(names, decoded)))
-            .agg(F.sum("length").alias("wire_bytes"), F.count("*").alias("files")))
+            .groupBy(*(F.when(d != _NO_NAME, d).alias(c) for c, d in zip(names, decoded))).agg(*sums))
 
 
 def payload_name(section: str = "section", piece: str = "piece") -> Column:

@@ -149,6 +149,22 @@ def k1_packed_payloads(t):
     return payload.write_packed(exported(t), scratch_path(t.spark, "packed"), PACKED, compression="none")
 
 
+# What the ends of the written files say, against the sizes of the texts.
+@query(f"""WITH {_CHUNKS} SELECT catalog_name, CAST(sum(octet_length(encode(chunk))) + count(*) - 1 AS BIGINT) AS raw_bytes
+           FROM chunks GROUP BY catalog_name""")
+def a11_written_bytes(t):
+    path = scratch_path(t.spark, "payload")
+    payload.write_payload(exported(t), path)
+    return payload.written_sizes(t.spark, path).select("catalog_name", "raw_bytes")
+
+
+@query(f"WITH {_BULK} SELECT 'main' AS catalog_name, CAST(sum(octet_length(encode(chunk))) + count(*) - 1 AS BIGINT) AS raw_bytes FROM chunks")
+def a11_written_bytes_bulk(t):
+    path = scratch_path(t.spark, "payload")
+    payload.write_payload(t("fx_bulk"), path)
+    return payload.written_sizes(t.spark, path).select("catalog_name", "raw_bytes")
+
+
 # Bytes as gzip writes them have no SQL form.
 @query()
 def a11_wire_bytes(t):
