@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
@@ -43,6 +44,31 @@ def like_matches(name: str | Column, pattern: str | None) -> Column:
     return F.lit(True) if regex is None else as_column(name).rlike(regex)
 
 
+def folded(name: str | Column) -> Column:
+    """The name in a form in which names that a filter takes for equal begin alike, as far as these are ASCII letters: other
+    letters that count as one of these in any case (of i, k and s) become that one."""
+    return F.lower(F.translate(as_column(name), "\u017f\u212a\u0130\u0131", "skii"))
+
+
+def like_prefixes(pattern: str | None) -> list[str] | None:
+    """What the folded names that match a filter begin with, one text for each alternative and no longer than it is plain
+    ASCII; None when that leaves out nothing, since an alternative begins with anything."""
+    if like_pattern(pattern) is None:
+        return None
+    literals = [re.match(r"[^*]*", part.strip()).group() for part in pattern.strip().split("|")]
+    prefixes = [re.match(r"[\x00-\x7f]*", text).group().lower() for text in literals]
+    shortest = sorted({p for p in prefixes if not any(p != q and p.startswith(q) for q in prefixes)})
+    return None if "" in shortest else shortest
+
+
+def begins_as(folded_name: str | Column, pattern: str | None) -> Column:
+    """Whether the folded name begins as the filter asks: necessary for a match, and for a file reader to skip by."""
+    prefixes = like_prefixes(pattern)
+    if prefixes is None:
+        return F.lit(True)
+    return reduce(Column.__or__, (as_column(folded_name).startswith(p) for p in prefixes))
+
+
 def search_matches(query: str | None, schema: str = "schema_name", name: str = "object_name",
                    kind: str = "kind") -> Column:
     """Whether `schema.name kind` contains the searched text, in any case; a blank text matches all."""

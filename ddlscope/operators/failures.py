@@ -77,10 +77,20 @@ def top_groups(states: DataFrame, within: Sequence[str] = ()) -> DataFrame:
 
 
 def failure_split(failed: DataFrame, lead: Sequence[str] = ()) -> DataFrame:
-    """Failures, reasons and schemas, by whether permission is what is missing."""
-    return failed.groupBy(*lead, "permission").agg(
-        F.count("*").alias("failures"), F.count_distinct("reason").alias("reasons"),
-        F.count_distinct(*SCHEMA_KEYS).alias("schemas"))
+    """Failures, reasons and schemas, by whether permission is what is missing.
+
+    Both distinct counts come from one aggregate by reason and schema, of which tasks send partial counts; two distinct counts in
+    one aggregate would double every row. A reason goes by its digest, so that no text is shuffled."""
+    keys, schema = [*lead, "permission"], F.when(F.col("catalog_name").isNotNull() & F.col("schema_name").isNotNull(), F.struct(*SCHEMA_KEYS))
+    reason = F.unhex(F.sha2(F.col("reason").cast("binary"), 256)).alias("_reason")
+    met = failed.groupBy(*keys, reason, schema.alias("_schema")).agg(F.count("*").alias("_failures"))
+    nothing = F.lit(0).cast("bigint")
+    # Both sides use the sums, so that they want the same columns and the aggregate is made once.
+    reasons = met.groupBy(*keys, "_reason").agg(F.sum("_failures").alias("_failures")).select(
+        *keys, "_failures", F.col("_reason").isNotNull().cast("bigint").alias("_reasons"), nothing.alias("_schemas"))
+    schemas = met.groupBy(*keys, "_schema").agg(F.sum("_failures").alias("_failures")).select(
+        *keys, nothing.alias("_failures"), nothing.alias("_reasons"), (F.col("_schema").isNotNull() & (F.col("_failures") > 0)).cast("bigint").alias("_schemas"))
+    return reasons.union(schemas).groupBy(*keys).agg(*(F.sum(f"_{c}").alias(c) for c in ("failures", "reasons", "schemas")))
 
 
 def denied_schemas(failed: DataFrame, lead: Sequence[str] = ()) -> DataFrame:

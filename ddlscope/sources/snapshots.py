@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ddlscope.fixed import HIVE_CATALOGS, UNSUPPORTED_KINDS
 from ddlscope.functions.ddl import kind_from_table_type
-from ddlscope.functions.text import like_matches, normalized, trimmed
+from ddlscope.functions.text import begins_as, folded, like_matches, normalized, trimmed
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -17,6 +17,26 @@ def read_snapshot(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+#: Column of a snapshot that is sorted by name.
+FOLDED = "folded_name"
+
+
+def write_by_name(listing: DataFrame, path: str, partitions: int | None = None) -> None:
+    """Write a listing sorted by folded name, with that as a further column, `folded_name`. The scans of `tables` and `views` then ask
+    the reader for the names that can match only, and it skips files and row groups by their least and greatest name. A schema
+    or catalog, however large, is spread over the files."""
+    named = listing.withColumn(FOLDED, folded("object_name"))
+    order = [FOLDED, *(c for c in ("catalog_name", "schema_name", "object_name") if c in listing.columns)]
+    spread = named.repartitionByRange(partitions, *order) if partitions else named.repartitionByRange(*order)
+    spread.sortWithinPartitions(*order).write.parquet(path)
+
+
+def name_matches(listing: DataFrame, pattern: str) -> Column:
+    """Whether the object's name matches the filter; a listing sorted by name is also asked for what the name begins with."""
+    matches = like_matches("object_name", pattern)
+    return begins_as(FOLDED, pattern) & matches if FOLDED in listing.columns else matches
+
+
 def catalog_names(listing: DataFrame, lead: Sequence[str] = ()) -> DataFrame:
     """The catalogs that occur in a listing."""
     return listing.select(*lead, "catalog_name").distinct()
@@ -45,14 +65,14 @@ def schema_names(listing: DataFrame, pattern: str = "", lead: Sequence[str] = ()
 
 def tables(listing: DataFrame, pattern: str = "") -> DataFrame:
     """Tables and views as they are listed, without temporary ones."""
-    return listing.where(permanent() & like_matches("object_name", pattern)).drop("is_temporary")
+    return listing.where(permanent() & name_matches(listing, pattern)).drop("is_temporary", FOLDED)
 
 
 def views(listing: DataFrame, pattern: str = "") -> DataFrame:
     """Views that are not temporary, with their kind; a missing flag reads as not materialized."""
     kind = F.when(F.col("is_materialized"), "MATERIALIZED VIEW").otherwise("VIEW")
-    return (listing.where(permanent() & like_matches("object_name", pattern))
-            .withColumn("kind", kind).drop("is_temporary", "is_materialized"))
+    return (listing.where(permanent() & name_matches(listing, pattern))
+            .withColumn("kind", kind).drop("is_temporary", "is_materialized", FOLDED))
 
 
 def streaming_table_names(information: DataFrame, foreign: DataFrame, lead: Sequence[str] = ()) -> DataFrame:

@@ -88,6 +88,18 @@ def f1_like(t):
     return t("fx_objects").where(like_matches("object_name", PATTERN)).select("catalog_name", "schema_name", "object_name")
 
 
+_STARTS = "fact_b* | DIM_?olt* | stg.c*"
+_STARTS_LIKE = "regexp_matches(object_name, '(?i)\\A(?:fact_b.*|dim_\\?olt.*|stg\\.c.*)\\z')"
+
+
+# From a listing that is sorted by name, of which the reader takes what can match.
+@query(f"SELECT catalog_name, schema_name, object_name FROM fx_tables WHERE NOT is_temporary AND {_STARTS_LIKE}")
+def f1_like_by_name(t):
+    path = scratch_path(t.spark, "named")
+    snapshots.write_by_name(t("fx_tables"), path)
+    return snapshots.tables(t.spark.read.parquet(path), _STARTS)
+
+
 @query("SELECT catalog_name, schema_name, object_name FROM fx_objects WHERE NOT is_temporary")
 def f2_permanent(t):
     return t("fx_objects").where(snapshots.permanent()).select("catalog_name", "schema_name", "object_name")
