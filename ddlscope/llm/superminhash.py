@@ -16,9 +16,12 @@ bands of 5, a pair at a similarity of 0.8 is missed by all bands once in ten mil
    that step 2 has compared, are checked on the full sets where sizes and a sketch of the signature allow a link; the sketch is
    given six standard deviations.
 
+A class has a number of its own, and is named by the least id of its documents only at the end; so an id may stand on several texts.
+
 Defined cases: a text with fewer words than a shingle is one shingle, one without words is linked with nothing; repeated rows
-stand for themselves, so copies share a component; a null id is left out of the links and is its own group (component null,
-kept); an empty table gives an empty result; extra columns are not read."""
+stand for themselves, so copies share a component; texts that share an id are texts of their own, and are named by it like any; a null
+id is left out of the links and is its own group (component null, kept); an empty table gives an empty result; extra columns
+are not read."""
 
 from __future__ import annotations
 
@@ -29,14 +32,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ddlscope.llm.groups import components, saved
-from ddlscope.llm.texts import FOLDED, Block, bound_batches, map_blocks, mix, ranges, sequence
+from ddlscope.llm.texts import FOLDED, Block, bound_batches, map_blocks, mix, ranges, sequence, text_key
 
 BANDS, WIDTH = 40, 5
 SLOTS = BANDS * WIDTH
 #: Of estimated similarity, below the threshold by six standard deviations of the sketch.
 SLACK = 0.2
-#: Members of half a tile, and the similarity from which a member is near to a centre.
-TILE, NEAR = 2000, 50
+#: Members and bytes of half a tile, and the similarity from which a member is near to a centre.
+TILE, TILE_BYTES, NEAR = 2000, 16 << 20, 50
 RANK = np.uint64(56)
 
 
@@ -124,14 +127,14 @@ def sign(documents: DataFrame, size: int) -> DataFrame:
         sketch = np.packbits(bits, axis=1)
         bands = pa.FixedSizeListArray.from_arrays(pa.array(keys.reshape(-1)), BANDS).cast(pa.list_(pa.int64()))
         return pa.RecordBatch.from_arrays(
-            [block.rows.column("doc_id").cast(pa.int64()), pa.array(n.astype(np.int64)), pa.array(d1), pa.array(d2), bands,
-             pa.array([s.tobytes() for s in sketch], pa.binary())], names=["doc_id", "n", "d1", "d2", "bands", "sketch"])
-    return map_blocks(documents.select("doc_id", "text"), step,
-                      "doc_id long, n long, d1 long, d2 long, bands array<long>, sketch binary")
+            [block.rows.column("doc_id").cast(pa.int64()), block.rows.column("text_key"), pa.array(n.astype(np.int64)), pa.array(d1), pa.array(d2), bands,
+             pa.array([s.tobytes() for s in sketch], pa.binary())], names=["doc_id", "text_key", "n", "d1", "d2", "bands", "sketch"])
+    return map_blocks(documents.select("doc_id", "text", text_key().alias("text_key")), step,
+                      "doc_id long, text_key long, n long, d1 long, d2 long, bands array<long>, sketch binary")
 
 
 def sets_of(documents: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """The full set of each wanted class, from the text of the document that stands for it."""
+    """The full set of each wanted class, from the text of the row that stands for it."""
     def step(block: Block) -> pa.RecordBatch:
         rows, hashes = shingles(block, size)
         d1, d2 = digests(rows, hashes, len(block))
@@ -141,8 +144,9 @@ def sets_of(documents: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
         return pa.RecordBatch.from_arrays(
             [block.rows.column("rep").take(pa.array(keep)), pa.array([hashes[ends[i]:ends[i + 1]].tobytes() for i in keep], pa.binary())],
             names=["rep", "shingles"])
-    texts = documents.select(F.col("doc_id").cast("long").alias("rep"), "text").join(wanted.select("rep", "d1", "d2"), "rep")
-    return map_blocks(texts, step, "rep long, shingles binary").dropDuplicates(["rep"])
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_key().alias("text_key"))
+    texts = texts.join(wanted.select("rep", "d1", "d2", F.col("who.doc_id").alias("doc_id"), F.col("who.text_key").alias("text_key")), ["doc_id", "text_key"])
+    return map_blocks(texts.select("rep", "d1", "d2", "text"), step, "rep long, shingles binary").dropDuplicates(["rep"])
 
 
 def near_sizes(a: Column | str, b: Column | str, percent: int) -> Column:
@@ -173,11 +177,13 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return with_both.select("a", "b", "x", "y").mapInArrow(check, "a long, b long, linked boolean, apart binary")
 
 
-def tiles(members: DataFrame, key: str, more: DataFrame | None = None) -> DataFrame:
+def tiles(members: DataFrame, key: str, size: Column, more: DataFrame | None = None) -> DataFrame:
     """The members of each key that has several roots, with the columns of `more` by rep, cut into blocks, once for each pair of
-    blocks: lo, hi, and part."""
-    mixed = members.groupBy(key).agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("m")).filter("low <> high")
-    mixed = mixed.select(key, F.ceil(F.col("m") / F.lit(TILE)).cast("int").alias("parts"))
+    blocks: lo, hi, and part. Blocks are bounded by their members and by the bytes that `size` gives of each."""
+    mixed = members.groupBy(key).agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("m"), F.sum(size).alias("bytes")).filter("low <> high")
+    parts = F.greatest(F.ceil(F.col("m") / F.lit(TILE)), F.ceil(F.col("bytes") / F.lit(TILE_BYTES)), F.lit(1)).cast("int")
+    # Written, so that the join below reads both sides from a shuffle of its own, in which a hot key is split.
+    mixed = saved(mixed.select(key, parts.alias("parts")), "mixed")
     cut = members.join(mixed, key).withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
     cut = cut.join(more, "rep") if more is not None else cut
     pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1),
@@ -221,7 +227,7 @@ def linked_by_difference(members: DataFrame, percent: int) -> DataFrame:
                     root[root == root[j]] = root[i]
         return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
 
-    return tiles(members, "centre").groupBy("centre", "lo", "hi").applyInArrow(links, "a long, b long")
+    return tiles(members, "centre", F.octet_length("apart")).groupBy("centre", "lo", "hi").applyInArrow(links, "a long, b long")
 
 
 def similar_across(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -249,7 +255,7 @@ def similar_across(members: DataFrame, classes: DataFrame, percent: int) -> Data
                     found_b.append(max(group["rep"][i], group["rep"][j]))
         return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())}).group_by(["a", "b"]).aggregate([])
 
-    return tiles(members, "key", classes).groupBy("key", "lo", "hi").applyInArrow(pairs, "a long, b long").distinct()
+    return tiles(members, "key", F.lit(SLOTS // 4), classes).groupBy("key", "lo", "hi").applyInArrow(pairs, "a long, b long").distinct()
 
 
 def with_roots(rows: DataFrame, roots: DataFrame) -> DataFrame:
@@ -257,11 +263,14 @@ def with_roots(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return joined.withColumn("root", F.coalesce("root", "rep"))
 
 
-def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every row of `documents` (doc_id, text)."""
+def grouped(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, text_key, n_shingles, component_id and `stays` for every row of `documents` (doc_id, text): of the rows of a group those
+    with the least id stay, and of texts that share this id one."""
     signed = saved(sign(documents, size), "signed")
-    classes = saved(signed.filter("n > 0 AND doc_id IS NOT NULL").groupBy("d1", "d2", "n").agg(
-        F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "classes")
+    classes = signed.filter("n > 0 AND doc_id IS NOT NULL").groupBy("d1", "d2", "n").agg(
+        F.min(F.struct("doc_id", "text_key")).alias("who"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    # Numbered as they are written, so that the numbers stay.
+    classes = saved(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
     rows = classes.select(F.col("rep").alias("rep"), "n", F.posexplode("bands").alias("band", "key"))
     rows = rows.select("rep", "n", F.xxhash64("band", "key").alias("key"))
     buckets = rows.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("c"), F.count("*").alias("m")).filter("m > 1")
@@ -286,9 +295,17 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> D
     found = saved(verified(pairs, sets, percent).filter("linked").select("a", "b"), "links")
     if not found.isEmpty():
         roots = components(links.union(found))
-    named = classes.select("d1", "d2", "n", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-    named = named.select("d1", "d2", "n", F.coalesce("root", "rep").alias("component"))
-    out = signed.select("doc_id", "n", "d1", "d2").join(named, ["d1", "d2", "n"], "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce(F.when(F.col("n") > 0, F.col("component")), F.col("doc_id")))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    of_root = with_roots(classes.select("d1", "d2", "n", "rep", "who"), roots)
+    least = of_root.groupBy("root").agg(F.min("who").alias("first"))
+    named = of_root.join(least, "root").select("d1", "d2", "n", "first")
+    out = signed.select("doc_id", "text_key", "n", "d1", "d2").join(named, ["d1", "d2", "n"], "left")
+    linked = F.col("doc_id").isNotNull() & (F.col("n") > 0)
+    component = F.when(linked, F.col("first.doc_id")).otherwise(F.col("doc_id"))
+    stays = ~linked | ((F.col("doc_id") == F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key")))
+    return out.select("doc_id", "text_key", F.col("n").alias("n_shingles"), component.alias("component_id"), stays.alias("stays"))
+
+
+def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for every row of `documents` (doc_id, text)."""
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")
+    return grouped(documents, size, percent).select("doc_id", "n_shingles", "component_id", kept)

@@ -7,6 +7,7 @@ its own. A null text has no words, as an empty one."""
 from __future__ import annotations
 
 import ctypes
+import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
@@ -14,7 +15,7 @@ from functools import cached_property, lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 BLOCK_BYTES = 1 << 20
 
@@ -36,6 +37,8 @@ LOWER[65:91] += 32
 EXACT = np.random.default_rng(20240229).integers(1, 2**63, 256, np.uint64)
 FOLDED = EXACT[LOWER]
 BASE = 0x9E3779B97F4A7C15
+#: Pieces of so many bytes have another hash: for long ones, texts can be written whose polynomials are equal whatever the base.
+LONG = 128
 WINDOW = np.random.default_rng(20240301).integers(1, 2**63, 64, np.uint64) | np.uint64(1)
 
 
@@ -116,10 +119,16 @@ class Block:
         return out
 
     def pieces(self, starts: np.ndarray, ends: np.ndarray, table: np.ndarray, sums: np.ndarray | None = None) -> np.ndarray:
-        """A 64-bit hash of the bytes of each piece, the same wherever it stands."""
+        """A 64-bit hash of the bytes of each piece, the same wherever it stands. The table is `EXACT`, or `FOLDED` for A to Z as a to z."""
         sums = self.sums(table) if sums is None else sums
         back = powers(pow(BASE, -1, 2**64), len(self.data) + 1)
-        return mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        found = mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        long = np.flatnonzero(ends - starts >= LONG)
+        folds = table[65] == table[97]
+        for i, a, b in zip(long.tolist(), starts[long].tolist(), ends[long].tolist()):
+            piece = LOWER[self.data[a:b]] if folds else self.data[a:b]
+            found[i] = int.from_bytes(hashlib.blake2b(piece.tobytes(), digest_size=8).digest(), "little")
+        return found
 
     def words(self, table: np.ndarray = EXACT) -> np.ndarray:
         return self.pieces(*self.bounds, table)
@@ -195,6 +204,12 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
+def text_key() -> Column:
+    """60 bits of a digest of `text`, which with the id tells rows apart; a null text has that of an empty one."""
+    digest = F.substring(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256), 1, 15)
+    return F.conv(digest, 16, 10).cast("long")
+
+
 def record(schema: list[tuple[str, pa.DataType]], *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, (_, t) in zip(columns, schema)],
                                       names=[n for n, _ in schema])

@@ -13,6 +13,12 @@ CLASHING = ("key", "label", "row", "blob", "found", "part", "n", "rep", "root",
             "size", "kept", "shard", "_id", "_key", "_gone", "rules", "runs", "bands", "sketch", "component")
 
 
+def equal_polynomials(letters: int = 1024) -> tuple[str, str]:
+    """Two strings of y and z, after Thue and Morse, that have equal polynomial hashes modulo 2**64 for any odd base and any table."""
+    one = "".join("yz"[k.bit_count() % 2] for k in range(letters))
+    return one, one.translate({121: 122, 122: 121})
+
+
 def prose(seed: int, words: int, vocabulary: int = 400) -> str:
     rng = random.Random(seed)
     return " ".join(f"w{int(rng.paretovariate(0.7)) % vocabulary}{rng.choice(['', '', ',', '.'])}" for _ in range(words))
@@ -28,6 +34,8 @@ def awkward() -> list[tuple]:
             (10, "x" * 5000), (11, prose(3, 20000)), (12, prose(4, 40) + "\n" + passage + "\n" + prose(5, 40)),
             (13, prose(6, 40) + " " + passage + " " + prose(7, 40)), (14, "naïve 北京 😀 ▁mark joined\x1c" * 20), (15, "\r\n\r\n a\x0bb\x0cc "),
             (16, "same words again " * 200), (17, "line one\nline one\n\nline one\n line two "), (None, base), (None, None)]
+    one, other = equal_polynomials()
+    rows += [(20, prose(8, 12) + " " + one), (21, prose(8, 12) + " " + other), (22, one + "\n" + other + "\n" + one), (23, "a b " + one), (24, "a b " + other)]
     return [*rows, *((100 + i, prose(50 + i, 10 + 7 * i)) for i in range(20))]
 
 

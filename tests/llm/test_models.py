@@ -110,3 +110,13 @@ def test_queries_on_held_out_rows(spark):
     assert (some["predicted"] == some["quality"]).mean() > 0.93
     graded = queries.QUERIES["op6_severity"](spark, MIDDLE).withColumnRenamed("toxic", "found").join(known, "doc_id").filter(held_out()).toPandas()
     assert (graded["found"] == (graded["toxic"] == 1)).mean() > 0.93
+
+
+def test_sample_has_one_row_of_an_id(spark):
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5][:30]
+    rows = documents(spark, [(ids[0], f"text {k}") for k in range(300)] + [(i, f"own {i}") for i in ids[1:]], clashing=False)
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)] + [(ids[1], 0), (ids[0], 1)], "doc_id long, quality int")
+    got = sample(rows, labels, "quality", 10).select("doc_id", "label", "text").collect()
+    assert len(got) == len({r["doc_id"] for r in got}) == 20 and set(r["label"] for r in got) == {0, 1}
+    again = sample(rows.repartition(7), labels, "quality", 10).select("doc_id", "label", "text").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, again))

@@ -98,3 +98,22 @@ def test_run_applies_them_all(spark, folder):
 def test_no_rows(spark, folder):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty(spark), folder).isEmpty()
+
+
+def test_near_copies_go_by_row(spark, folder):
+    base, clean = prose(601, 80, 9000).split(" "), prose(602, 60, 9000)
+    rows = [(0, " ".join(base)), (1, " ".join(base)), (1, clean), (2, edited(base, 5, 1)), (2, edited(base, 5, 1)), (None, clean)]
+    docs = documents(spark, rows, clashing=False).withColumns({c: F.lit("clash") for c in ("_leaking", "row", "of_id", "of_text", "nth", "text_key")})
+    out = corpus_pipeline.near_duplicates(spark, docs, folder)
+    assert out.columns == docs.columns
+    assert sorted(map(str, out.select("doc_id", "text").collect())) == sorted(f"Row(doc_id={i!r}, text={t!r})" for i, t in [
+        (0, " ".join(base)), (1, clean), (None, clean)])
+    assert corpus_pipeline.decontamination(spark, docs, folder).count() == 6
+
+
+def test_of_rows_alike_in_id_and_text_always_the_same_stays(spark, folder):
+    rows = [(1, prose(603, 30))] * 6
+    docs = documents(spark, rows, clashing=False).withColumn("extra", F.monotonically_increasing_id() % 5)
+    docs = spark.createDataFrame(docs.collect(), docs.schema)
+    kept = {str(corpus_pipeline.near_duplicates(spark, docs.repartition(n), folder).collect()) for n in (1, 3)}
+    assert len(kept) == 1 and next(iter(kept)).count("Row(") == 1

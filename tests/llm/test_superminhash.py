@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from ddlscope.llm import groups, queries, superminhash
 from tests.conftest import SMALL
-from tests.llm.tables import WORD, awkward, documents, empty, prose
+from tests.llm.tables import WORD, awkward, documents, empty, equal_polynomials, prose
 
 
 def brute(rows, size, percent):
@@ -105,3 +105,30 @@ def test_no_rows(spark):
 def test_query_equals_brute_force(spark):
     rows = [(r[0], r[1]) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted((tuple(r) for r in queries.QUERIES["op10_superminhash"](spark, SMALL).collect()), key=str) == brute(rows, 4, 80)
+
+
+def test_texts_that_share_an_id(spark):
+    rng = random.Random(8)
+    one, two = prose(301, 120, 9000).split(" "), prose(302, 120, 9000).split(" ")
+    rows = [(1, " ".join(one)), (1, " ".join(two)), (2, edited(one, 1, 2)), (4, edited(one, 2, 2)), (3, edited(two, 3, 2)), (5, edited(two, 4, 2))]
+    rows += [(0, "x y z a b"), (1, "x y z a b"), (1, prose(303, 40))] + [(7, prose(400 + i, 30)) for i in range(5)]
+    for _ in range(3):
+        rng.shuffle(rows)
+        assert found(documents(spark, rows), size=4, percent=80) == brute(rows, 4, 80)
+    stay = {(r["doc_id"], r["component_id"]) for r in superminhash.grouped(documents(spark, rows), 4, 80).collect() if r["stays"]}
+    assert stay == {(1, 1), (0, 0), (7, 7)}
+    assert superminhash.grouped(documents(spark, rows), 4, 80).filter("stays").count() == 2 + 1 + 1 + 5
+
+
+def test_tiles_are_bounded_in_bytes(spark, monkeypatch):
+    monkeypatch.setattr(superminhash, "TILE_BYTES", 2000)
+    base = prose(81, 130, 9000).split(" ")
+    rows = [(i, edited(base, i, 2 + i % 6)) for i in range(60)]
+    assert found(documents(spark, rows), size=4, percent=80) == brute(rows, 4, 80)
+
+
+@pytest.mark.parametrize("letters", [1024, 8192])
+def test_written_strings_do_not_clash(spark, letters):
+    one, other = equal_polynomials(letters)
+    rows = [(1, one), (2, other), (3, f"{one} x"), (4, f"{other} x"), (5, one.upper())]
+    assert found(documents(spark, rows), size=4, percent=80) == brute(rows, 4, 80)
