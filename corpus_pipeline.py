@@ -5,9 +5,10 @@ on. Rows that a stage has no reason to reject stay: a null or unknown id is no r
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ddlscope.llm import factorisation, lattice, ledger, superminhash, templates
+from ddlscope.llm.texts import text_key
 from ddlscope.session import scratch_path
 
 ACCEPT = 0.3
@@ -20,23 +21,28 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return factorisation.accepted(docs, model, ACCEPT)
 
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents with none of these ids."""
-    return docs.join(ids.select("doc_id").distinct(), "doc_id", "left_anti")
+def by_row(docs: DataFrame) -> DataFrame:
+    """The documents as one column, whatever their columns are called, with what tells rows apart."""
+    return docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("of_id"), text_key().alias("of_text"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the least id stays; a row with the id and text of another goes."""
-    grouped = superminhash.near_duplicates(docs, size=5, percent=80)
-    return without(docs, grouped.filter("NOT kept")).dropDuplicates(["doc_id", "text"])
+    """Of each group of near copies one row stays, with the least id. Rows go by id and text, so that texts that share an id are
+    told apart. Of rows with the same id and text one stays, that of the least hash over all columns, then of the least columns."""
+    grouped = superminhash.grouped(docs, size=5, percent=80)
+    gone = grouped.filter("NOT stays").select(F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_text")).distinct()
+    order = [F.xxhash64(*(F.col("row").getField(c) for c in docs.columns)), F.col("row")]
+    nth = F.row_number().over(Window.partitionBy("of_id", "of_text").orderBy(*order))
+    return by_row(docs).join(gone, ["of_id", "of_text"], "left_anti").withColumn("nth", nth).filter("nth = 1").select("row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a question of the benchmark, also with other numbers, names or units, go: by their text, whatever the id."""
     digest = F.sha2(F.col("text"), 256)
     texts = docs.select(digest.alias("doc_id"), "text")
-    leaking = templates.leaks(texts, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc_id").alias("_leaking")).distinct()
-    return docs.join(leaking, digest == F.col("_leaking"), "left_anti")
+    leaking = templates.leaks(texts, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc_id").alias("of_text")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), digest.alias("of_text"))
+    return rows.join(leaking, "of_text", "left_anti").select("row.*")
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
