@@ -43,8 +43,9 @@ def either_case(words: str) -> str:
 # The kinds that a report has to hold.
 ASSIGN = "(" + either_case("password|passwd|secret|token|api_?key") + r""")["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 BASE = (Rule("assign", 0, ASSIGN, 2, 8), Rule("access", 1, "AKIA[A-Z0-9]+", 0, 16), Rule("hex", 2, "[0-9a-f]{32,}", 0, 32))
-RULES = (*BASE, Rule("jwt", 3, r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
-         Rule("pem", 4, "-----BEGIN [A-Z ]*PRIVATE KEY-----"))
+# A run that is no token is passed over as a whole, with an empty group: what stands in it after its first `eyJ` has the same end,
+# and would fail as well, so a long run is read once and not once for each `eyJ`.
+JWT = r"(eyJ[A-Za-z0-9_-]++\.eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++)|eyJ[A-Za-z0-9_-]*+"
 
 # The header, then all up to the footer, with no further header between; where there is no footer, lines of base64 with what may
 # stand between them (quotes, marks of a quotation, escaped line ends), the armour's own headers and a short last line.
@@ -54,8 +55,11 @@ _FIELDS = r"(?:[\x20\t]*\r?\n[A-Za-z][A-Za-z0-9-]*:[^\n]*)*+"
 _LINES = r"""(?:[\x20\t\r\n\\"'>#*|;,+]*[A-Za-z0-9+/=]{16,})++"""
 _LAST = r"(?:[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/]{1,15}={0,2}[\x20\t]*\r?(?m:$)|\\n[A-Za-z0-9+/]{1,15}={0,2})?"
 PEM = f"{_HEAD}(?:[^-]*(?:-{{1,4}}[^-]+)*+{_TAIL}|{_FIELDS}{_LINES}{_LAST})?"
-#: What is taken out of texts: `RULES` find a private key by its header only, here the key itself is part of the finding.
-REDACTED = (*RULES[:-1], Rule("pem", 4, PEM, version=2))
+#: The first version of the rule `pem` found the header only; now the key itself is part of the finding.
+HEADER = Rule("pem", 4, "-----BEGIN [A-Z ]*PRIVATE KEY-----")
+RULES = (*BASE, Rule("jwt", 3, JWT, 1), Rule("pem", 4, PEM, version=2))
+#: What is taken out of texts.
+REDACTED = RULES
 
 
 def blob_id(text: Column) -> Column:

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import re
+
+from ddlscope.llm.ledger import PEM
+
 # The patterns of the kinds, in the order of the report.
 KINDS = [
     ("assign", r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2, 8),
     ("access", "AKIA[A-Z0-9]+", 0, 16),
     ("hex", "[0-9a-f]+", 0, 32),
     ("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 1),
-    ("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+    ("pem", re.sub(r"(?<=[)])([*+])[+]", r"\1", PEM).replace("'", "''"), 0, 1),  # RE2 has no possessive marks
 ]
 _FOUND = " UNION ALL ".join(
     f"SELECT row, {rank} AS rank, '{kind}' AS kind, {least} AS least, regexp_extract_all(t, '{pattern}') AS m, "
