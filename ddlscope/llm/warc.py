@@ -1,6 +1,7 @@
 """WARC as a Python data source: `spark.read.format("warc")` and `df.write.format("warc")`.
 
-Reading plans partitions of files by size. Filters on the header columns are pushed down; each record's headers are parsed
+Reading plans partitions of files by size; a large file that was written here is cut at records, whose places the manifest
+has. Filters on the header columns are pushed down; each record's headers are parsed
 first, and the payload of a record that the filters leave out, or of any if the option `payload` is false, is never decoded:
 where the gzip member says how long it is (its extra field `sl`), it is not even read. Without that field a member is
 decompressed but not kept.
@@ -12,6 +13,8 @@ folder or file without a manifest, from elsewhere, is read by its names, compres
 Columns: see `SCHEMA`. To write, give record_type ('response' or 'revisit'), record_id, target_uri, payload (binary), payload_digest
 (SHA-1 in hex), payload_bytes, refers_to and refers_to_uri; others are ignored.
 
+A digest is read in hex where its label, or without one its form, says how long it is; any other is kept as it is stated.
+
 Defined cases: a null payload is an empty one; a null or empty header is left out and read as null; control characters in a header
 become spaces; an empty table writes an empty manifest, which reads as no rows; repeated rows are records of their own."""
 
@@ -33,6 +36,7 @@ from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourc
                                     IsNotNull, StringStartsWith, WriterCommitMessage)
 
 from ddlscope.llm.texts import bound_batches
+from ddlscope.session import scratch_path
 
 SCHEMA = ("record_type string, record_id string, target_uri string, date string, content_type string, content_length long, "
           "payload_digest string, payload_bytes long, refers_to string, payload binary")
@@ -42,6 +46,12 @@ HEADERS = {"record_type": "WARC-Type", "record_id": "WARC-Record-ID", "target_ur
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MANIFEST = "_manifest.json"
 HEAD_BYTES = 1 << 16
+#: Bytes of the digests that are read in hex, by label.
+DIGESTS = {"md5": 16, "sha1": 20, "sha-1": 20, "sha256": 32, "sha-256": 32, "sha512": 64, "sha-512": 64}
+#: A file is cut for reading at the first record after each so many bytes.
+CUT_BYTES = 16 << 20
+#: Up to so many bytes of digests and addresses of repeated payloads are sent to every task; beyond that pages are shuffled.
+SENT_BYTES = 32 << 20
 #: A filter on these columns is decided by the headers.
 PUSHED = (EqualTo, In, IsNotNull, StringStartsWith)
 
@@ -87,33 +97,35 @@ def encode(row: dict, date: str) -> bytes:
 
 @dataclass
 class Written(WriterCommitMessage):
-    files: list[tuple[str, int]]
+    files: list[tuple]
 
 
 class Writer(DataSourceArrowWriter):
     def __init__(self, options: dict[str, str], overwrite: bool):
         self.path, self.overwrite = options["path"], overwrite
-        self.file_bytes = int(options.get("file_bytes", 64 << 20))
+        self.file_bytes, self.cut_bytes = int(options.get("file_bytes", 64 << 20)), int(options.get("cut_bytes", CUT_BYTES))
         self.level, self.date = int(options.get("level", 6)), options.get("date", "1970-01-01T00:00:00Z")
 
     def write(self, batches: Iterator[pa.RecordBatch]) -> Written:
         store, folder = open_store(self.path)
         store.create_dir(folder, recursive=True)
-        files, out, name, size = [], None, "", 0
+        files, out, name, size, cuts = [], None, "", 0, []
         for batch in batches:
             for row in (row for i in range(0, len(batch), 64) for row in batch.slice(i, 64).to_pylist()):
                 if out is None:
-                    name, size = f"part-{uuid.uuid4().hex}.warc.gz", 0
+                    name, size, cuts = f"part-{uuid.uuid4().hex}.warc.gz", 0, []
                     out = store.open_output_stream(f"{folder}/{name}", compression=None)
                 data = member(encode(row, self.date), self.level)
+                if size - (cuts[-1] if cuts else 0) >= self.cut_bytes:
+                    cuts.append(size)
                 out.write(data)
                 size += len(data)
                 if size >= self.file_bytes:
                     out.close()
-                    files, out = [*files, (name, size)], None
+                    files, out = [*files, (name, size, cuts)], None
         if out is not None:
             out.close()
-            files.append((name, size))
+            files.append((name, size, cuts))
         return Written(files)
 
     def commit(self, messages: Sequence[Written | None]) -> None:
@@ -125,6 +137,12 @@ class Writer(DataSourceArrowWriter):
             out.write(json.dumps(files).encode())
         store.move(f"{folder}/{MANIFEST}.new", f"{folder}/{MANIFEST}")
 
+    def abort(self, messages: Sequence[Written | None]) -> None:
+        """The files of tasks that ended go; those of tasks that were lost are in no manifest."""
+        store, folder = open_store(self.path)
+        for name in (f[0] for m in messages if m for f in m.files):
+            store.delete_file(f"{folder}/{name}")
+
 
 def manifest(store: fs.FileSystem, folder: str) -> list | None:
     if store.get_file_info(f"{folder}/{MANIFEST}").type == fs.FileType.NotFound:
@@ -135,13 +153,15 @@ def manifest(store: fs.FileSystem, folder: str) -> list | None:
 
 @dataclass
 class Files(InputPartition):
-    names: list[str] = field(default_factory=list)
+    """Pieces of files: path, first byte and end, each at a record."""
+
+    pieces: list[tuple[str, int, int]] = field(default_factory=list)
 
 
 class Reader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.path, self.filters = options["path"], []
-        self.partition_bytes = int(options.get("partition_bytes", 128 << 20))
+        self.partition_bytes = int(options.get("partition_bytes", CUT_BYTES))
         self.payload = options.get("payload", "true").lower() == "true"
 
     def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
@@ -152,23 +172,24 @@ class Reader(DataSourceReader):
                 yield f
 
     def partitions(self) -> Sequence[Files]:
-        """Files packed up to the size of a partition; a larger file is one by itself."""
+        """Pieces of files packed up to the size of a partition. A file from elsewhere is one piece, however large."""
         store, path = open_store(self.path)
         info = store.get_file_info(path)
         if info.type == fs.FileType.File:
-            found = [(path, info.size)]
+            found = [(path, info.size, [])]
         else:
             listed = manifest(store, path)
-            found = ([(f"{path}/{n}", s) for n, s in listed] if listed is not None else
-                     [(f.path, f.size) for f in store.get_file_info(fs.FileSelector(path, recursive=True))
+            found = ([(f"{path}/{n}", s, *(cuts or [[]])) for n, s, *cuts in listed] if listed is not None else
+                     [(f.path, f.size, []) for f in store.get_file_info(fs.FileSelector(path, recursive=True))
                       if f.type == fs.FileType.File and re.search(r"\.warc(\.gz)?$", f.path)])
         parts, held = [], self.partition_bytes
-        for name, size in sorted(found):
-            if held + size > self.partition_bytes:
-                parts.append(Files())
-                held = 0
-            parts[-1].names.append(name)
-            held += size
+        for name, size, cuts in sorted(found):
+            for start, end in zip([0, *cuts], [*cuts, size]):
+                if held + end - start > self.partition_bytes:
+                    parts.append(Files())
+                    held = 0
+                parts[-1].pieces.append((name, start, end))
+                held += end - start
         return parts or [Files()]
 
     def wanted(self, head: dict[str, str | None]) -> bool:
@@ -181,9 +202,9 @@ class Reader(DataSourceReader):
 
     def read(self, partition: Files) -> Iterator[tuple]:
         store, _ = open_store(self.path)
-        for name in partition.names:
+        for name, start, end in partition.pieces:
             with store.open_input_file(name) as data:
-                yield from records(data, self.wanted, self.payload)
+                yield from records(data, self.wanted, self.payload, start, end)
 
 
 class Warc(DataSource):
@@ -207,11 +228,21 @@ def fields(head: bytes) -> dict[str, str]:
 
 
 def hex_digest(value: str | None) -> str | None:
-    """The digest in hex, from hex or base 32, without its label."""
+    """The digest in hex without its label, from hex or base 32. One of an unknown label or of another length, and one that is
+    neither, is returned as it is stated."""
     if not value:
         return None
-    value = value.rpartition(":")[2]
-    return base64.b32decode(value.upper()).hex() if len(value) == 32 else value.lower()
+    label, _, digest = value.rpartition(":")
+    sizes = [DIGESTS.get(label.strip().lower())] if label else sorted(set(DIGESTS.values()))
+    digest = digest.strip()
+    for size in sizes:
+        if size and len(digest) == 2 * size and re.fullmatch("[0-9A-Fa-f]+", digest):
+            return digest.lower()
+    letters = digest.rstrip("=").upper()
+    for size in sizes:
+        if size and len(letters) == -(-size * 8 // 5) and re.fullmatch("[A-Z2-7]+", letters):
+            return base64.b32decode(letters + "=" * (-len(letters) % 8)).hex()
+    return value
 
 
 class Source:
@@ -286,10 +317,12 @@ class Plain:
         return self.start + self.length
 
 
-def records(data: pa.NativeFile, wanted, with_payload: bool) -> Iterator[tuple]:
-    """The rows of one file. The payload is decoded after the headers have been accepted."""
+def records(data: pa.NativeFile, wanted, with_payload: bool, start: int = 0, end: int | None = None) -> Iterator[tuple]:
+    """The rows of one file, or of those of its records that begin between two places. The payload is decoded after the headers
+    have been accepted."""
     source = Source(data)
-    while source.at < source.size:
+    source.at, last = start, source.size if end is None else end
+    while source.at < last:
         first = source.peek(64)
         if first[:2] != b"\x1f\x8b" and first[:5] != b"WARC/":
             blank = len(first) - len(first.lstrip())
@@ -298,19 +331,19 @@ def records(data: pa.NativeFile, wanted, with_payload: bool) -> Iterator[tuple]:
             source.at += blank
             continue
         record = Member(source, first) if first[:2] == b"\x1f\x8b" else Plain(source)
-        end = record.until(b"\r\n\r\n")
-        if end < 0:
+        head_end = record.until(b"\r\n\r\n")
+        if head_end < 0:
             raise ValueError(f"a record without an end of its headers at byte {record.start}")
-        head = fields(record.upto(end))
+        head = fields(record.upto(head_end))
         size = int(head.get("content-length", 0))
         if isinstance(record, Plain):
-            record.length = end + 4 + size
+            record.length = head_end + 4 + size
         row = {column: head.get(name.lower()) or None for column, name in HEADERS.items()}
         row["payload_digest"] = hex_digest(row["payload_digest"])
         if wanted(row):
             payload, stated = None, None
             if (row["content_type"] or "").startswith("application/http"):
-                block = record.upto(min(end + 4 + size, end + 4 + HEAD_BYTES))[end + 4:]
+                block = record.upto(min(head_end + 4 + size, head_end + 4 + HEAD_BYTES))[head_end + 4:]
                 cut = block.find(b"\r\n\r\n")
                 cut = cut + 4 if cut >= 0 else 0
                 length = fields(block[:cut]).get("content-length")
@@ -318,7 +351,7 @@ def records(data: pa.NativeFile, wanted, with_payload: bool) -> Iterator[tuple]:
             else:
                 cut, stated = 0, size
             if with_payload and row["record_type"] != "revisit":
-                payload = record.upto(end + 4 + size)[end + 4 + cut:]
+                payload = record.upto(head_end + 4 + size)[head_end + 4 + cut:]
             yield (row["record_type"], row["record_id"], row["target_uri"], row["date"], row["content_type"], size,
                    row["payload_digest"], stated, row["refers_to"], payload)
         source.at = record.end()
@@ -326,13 +359,20 @@ def records(data: pa.NativeFile, wanted, with_payload: bool) -> Iterator[tuple]:
 
 def archive_rows(pages: DataFrame, least: int = 1000) -> DataFrame:
     """The records of the pages (page_id, url, html). Of pages with equal payloads of at least so many bytes, that with the
-    greatest id is the response and the others revisit it. Pages without an id are responses."""
+    greatest id is the response and the others revisit it. Pages without an id are responses.
+
+    Repeated payloads are found by their digests alone, once and in a table. Where that is measured to be small it goes to every
+    task and no payload is shuffled; beyond `SENT_BYTES` pages and digests are shuffled to each other."""
     payload = F.encode(F.coalesce("html", F.lit("")), "utf-8")
     rows = pages.select("page_id", "url", payload.alias("payload")).withColumns(
         {"digest": F.sha1("payload"), "size": F.octet_length("payload").cast("long")})
     first = (rows.filter((F.col("size") >= least) & F.col("page_id").isNotNull()).groupBy("digest")
              .agg(F.max(F.struct("page_id", "url")).alias("kept"), F.count("*").alias("n")).filter("n > 1").select("digest", "kept"))
-    joined = rows.join(first, "digest", "left")
+    spark, path = pages.sparkSession, scratch_path(pages.sparkSession, "repeated")
+    first.write.parquet(path)
+    first = spark.read.schema(first.schema).parquet(path)
+    weight = first.agg(F.sum(F.coalesce(F.octet_length("kept.url"), F.lit(0)) + F.lit(100))).first()[0] or 0
+    joined = rows.join(F.broadcast(first) if weight <= SENT_BYTES else first, "digest", "left")
     revisit = F.coalesce((F.col("page_id") != F.col("kept.page_id")) & (F.col("size") >= least), F.lit(False))
     urn = lambda c: F.concat(F.lit("<urn:page:"), c.cast("string"), F.lit(">"))
     return joined.select(

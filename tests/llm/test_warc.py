@@ -1,7 +1,10 @@
+import base64
 import gzip
 import hashlib
+import os
 
 import __spark_entry__ as entry
+import pyarrow as pa
 from ddlscope.llm import queries, warc
 from pyspark.sql import functions as F
 from tests.compare import difference
@@ -83,3 +86,48 @@ def test_no_rows_and_uncommitted_files(spark, folder):
 
 def test_query_and_its_sql(spark, duck):
     assert difference(queries.QUERIES["op3_warc"](spark, SMALL), duck, entry.oracle_sql()["op3_warc"]) == ""
+
+
+def test_digests_of_any_label(spark, folder):
+    data = b"abc"
+    sha1 = hashlib.sha1(data)
+    stated = {"md5:" + hashlib.md5(data).hexdigest(): hashlib.md5(data).hexdigest(), "sha256:" + hashlib.sha256(data).hexdigest().upper(): hashlib.sha256(data).hexdigest(),
+              "sha256:" + base64.b32encode(hashlib.sha256(data).digest()).decode(): hashlib.sha256(data).hexdigest(),
+              "sha1:" + base64.b32encode(sha1.digest()).decode(): sha1.hexdigest(), "sha1:" + base64.b32encode(sha1.digest()).decode().lower(): sha1.hexdigest(),
+              "sha1:" + sha1.hexdigest(): sha1.hexdigest(), sha1.hexdigest(): sha1.hexdigest(), hashlib.md5(data).hexdigest(): hashlib.md5(data).hexdigest(),
+              base64.b32encode(sha1.digest()).decode(): sha1.hexdigest(), "sha1:": "sha1:", "sha1:8": "sha1:8", "sha1:" + "1" * 32: "sha1:" + "1" * 32,
+              "blake3:" + "ab" * 32: "blake3:" + "ab" * 32, "a:b:c": "a:b:c", "md5:" + "é" * 32: "md5:" + "é" * 32, "": None}
+    with open(folder + "/a.warc", "wb") as out:
+        for k, value in enumerate(stated):
+            out.write(f"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: {k}\r\nWARC-Payload-Digest: {value}\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n".encode())
+        out.write(b"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: none\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n")
+    got = {r["record_id"]: r["payload_digest"] for r in warc.read(spark, folder).collect()}
+    assert got == {**{str(k): want for k, want in enumerate(stated.values())}, "none": None}
+
+
+def test_files_are_cut_at_records(spark, folder):
+    warc.write(warc.archive_rows(pages(spark)).coalesce(1), folder + "/w", cut_bytes=300)
+    listed = warc.manifest(*warc.open_store(folder + "/w"))
+    assert len(listed) == 1 and len(listed[0][2]) >= 4
+    whole, cut = warc.Reader({"path": folder + "/w"}), warc.Reader({"path": folder + "/w", "partition_bytes": "1"})
+    assert len(whole.partitions()) == 1 and len(cut.partitions()) == len(listed[0][2]) + 1
+    rows = lambda reader: sorted((r for part in reader.partitions() for r in reader.read(part)), key=repr)
+    assert rows(cut) == rows(whole) and len(rows(cut)) == 14
+    assert warc.read(spark, folder + "/w", partition_bytes=1).count() == 14
+
+
+def test_payloads_are_not_shuffled_where_few_repeat(spark, folder, monkeypatch):
+    few = warc.archive_rows(pages(spark))
+    assert "BroadcastHashJoin" in few._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(warc, "SENT_BYTES", 0)
+    many = warc.archive_rows(pages(spark))
+    assert few.exceptAll(many).isEmpty() and many.exceptAll(few).isEmpty()
+
+
+def test_files_of_a_failed_job_go(folder):
+    writer = warc.Writer({"path": folder + "/w"}, False)
+    batch = pa.RecordBatch.from_pylist([{"record_type": "response", "record_id": "<x>", "payload": b"abc", "payload_bytes": 3}])
+    done = writer.write(iter([batch]))
+    assert len(os.listdir(folder + "/w")) == 1
+    writer.abort([done, None])
+    assert os.listdir(folder + "/w") == []
