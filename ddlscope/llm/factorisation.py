@@ -5,14 +5,15 @@ formed: their sum is half of sum over factors of (sum v_if x_i)**2 - sum (v_if x
 the distinct lower-case words, hashed, with equal weights and unit length; shares and lengths that describe the structure of
 the text, standardised; and the stated number of characters against the real one. Language, source, id and labels are none.
 
-The model is fitted on the driver on a bounded sample (at most `ROWS` rows of each label, PER_ROW features of each, chosen by
-hash; a model of fixed size), whatever the data. Every text is scored in full.
+The model is fitted on the driver on a bounded sample (at most `ROWS` rows of each label, each with all its features; a model of
+fixed size), whatever the data. A text of the sample reaches the driver in `PACKED` bytes at most. Every text is scored in full.
 
 Defined cases: a null or empty text has the features of no words; without labelled rows every score is 0.5; null ids are
 not held out; repeated rows are scored each; extra columns are not read."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,8 +25,10 @@ from ddlscope.llm.texts import EXACT, FOLDED, NEWLINE, PUNCTUATION, Block, map_b
 from ddlscope.llm.training import sample
 
 BITS, FACTORS = 15, 8
-#: Bounds of the sample: rows of each label, distinct words of each that the fit uses.
-ROWS, PER_ROW = 3000, 2000
+#: Bound of the sample: rows of each label.
+ROWS = 3000
+#: The bytes of a set of buckets as one bit for each.
+PACKED = (1 << BITS) // 8
 EPOCHS, BATCH, RATE, DECAY = 8, 64, 0.08, 1e-4
 UPPER, DIGIT = marks(bytes(range(65, 91))), marks(bytes(range(48, 58)))
 LETTER = marks(bytes([*range(65, 91), *range(97, 123), *range(128, 256)]))
@@ -62,6 +65,21 @@ def features(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return rows, keys & (1 << BITS) - 1, statistics(block, sums, exact, np.bincount(rows, minlength=len(block)))
 
 
+def packed(buckets: np.ndarray) -> bytes:
+    """Distinct buckets as numbers of two bytes, or as one bit for each bucket where that is no longer."""
+    if 2 * len(buckets) < PACKED:
+        return np.sort(buckets).astype("<u2").tobytes()
+    held = np.zeros(1 << BITS, bool)
+    held[buckets] = True
+    return np.packbits(held).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    if len(data) < PACKED:
+        return np.frombuffer(data, "<u2").astype(np.int64)
+    return np.flatnonzero(np.unpackbits(np.frombuffer(data, np.uint8)))
+
+
 @dataclass
 class Machine:
     """Weights and factors of the buckets, then of the statistics; the statistics' mean and deviation."""
@@ -97,8 +115,8 @@ def untrained() -> Machine:
     return Machine(0.0, np.zeros(size), np.zeros((size, FACTORS)), np.zeros(STATISTICS), np.ones(STATISTICS))
 
 
-def fit(texts: list[np.ndarray], stats: np.ndarray, labels: np.ndarray, share: float) -> Machine:
-    """Adagrad on logistic loss; `share` is that of label 1 among all labelled rows, so that scores are probabilities there
+def fit(texts: Sequence[bytes], stats: np.ndarray, labels: np.ndarray, share: float) -> Machine:
+    """Adagrad on logistic loss. `texts` are the packed buckets of each text, which are unpacked a batch at a time; `share` is that of label 1 among all labelled rows, so that scores are probabilities there
     though the sample holds as many of each label."""
     model = untrained()
     if not len(labels):
@@ -113,8 +131,8 @@ def fit(texts: list[np.ndarray], stats: np.ndarray, labels: np.ndarray, share: f
         order = rng.permutation(len(labels))
         for low in range(0, len(order), BATCH):
             some = order[low:low + BATCH]
-            sizes = np.array([len(texts[i]) for i in some])
-            rows, buckets, x = np.repeat(np.arange(len(some)), sizes), np.concatenate([texts[i] for i in some]), dense[some]
+            words = [unpacked(texts[i]) for i in some]
+            rows, buckets, x = np.repeat(np.arange(len(some)), [len(w) for w in words]), np.concatenate(words), dense[some]
             linear, once, squares, value = model.sums(rows, buckets, x)
             p = 1 / (1 + np.exp(-np.clip(linear + (once ** 2 - squares).sum(axis=1) / 2, -30, 30)))
             error = (p - labels[some]) * weight[some] / len(some)
@@ -143,7 +161,7 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = ROWS) -> Machine:
     def step(block: Block) -> pa.RecordBatch:
         row, buckets, stats = features(block)
         ends = np.searchsorted(row, np.arange(len(block) + 1))
-        words = [buckets[a:b][np.argsort(buckets[a:b] * 40503 % (1 << BITS))][:PER_ROW].astype(np.int32).tobytes() for a, b in zip(ends[:-1], ends[1:])]
+        words = [packed(buckets[a:b]) for a, b in zip(ends[:-1], ends[1:])]
         return pa.RecordBatch.from_arrays([block.rows.column("label"), pa.array(words, pa.binary()),
                                            pa.array([s.tobytes() for s in stats], pa.binary())], names=["label", "words", "stats"])
 
@@ -151,7 +169,7 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = ROWS) -> Machine:
     got = map_blocks(some, step, "label int, words binary, stats binary").toPandas()
     known = labels.filter(F.col("quality").isNotNull() & ~held_out()).agg(F.avg(F.col("quality").cast("double"))).first()[0]
     order = sorted(range(len(got)), key=lambda i: (got["words"][i], got["stats"][i], got["label"][i]))  # not that of the tasks
-    texts = [np.frombuffer(got["words"][i], np.int32).astype(np.int64) for i in order]
+    texts = [got["words"][i] for i in order]
     stats = np.array([np.frombuffer(got["stats"][i]) for i in order]).reshape(-1, STATISTICS)
     return fit(texts, stats, got["label"].to_numpy(np.float64)[order], known or 0.5)
 
