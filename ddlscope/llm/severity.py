@@ -8,8 +8,9 @@ the sample apart get one.
 Labels say only whether a text is toxic. A toxic text of the sample gets its grade by how many of the features that mark toxic
 texts it holds, in the steps of `STEPS`; with graded labels pass those instead (`fit`).
 
-The model is fitted on the driver on a bounded sample (at most `ROWS` rows of each label, `PER_ROW` features of each) and has at
-most `FEATURES` weights. Every text is scored in full.
+The model is fitted on a bounded sample (at most `ROWS` rows of each label, each with all its features). Spark counts in how many
+texts of the sample a feature stands, and picks at most `FEATURES` of them; only which of these a text holds reaches the driver,
+where the weights are fitted. Every text is scored in full.
 
 Defined cases: a null or empty text has no features and the severity of the cut points alone; without toxic rows in the sample
 every severity is 0; repeated rows are scored each; null ids are scored; extra columns are not read."""
@@ -20,14 +21,15 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from ddlscope.llm.texts import FOLDED, PUNCTUATION, SPACE, Block, map_blocks
 from ddlscope.llm.training import sample
+from ddlscope.session import scratch_path
 
 BITS = 24
 BEGINNINGS = (4, 5, 6, 7, 8)
-ROWS, PER_ROW, FEATURES = 4000, 4000, 512
+ROWS, FEATURES = 4000, 512
 #: A marker occurs in so many toxic texts of the sample, and so much more often there (logarithm).
 SUPPORT, ODDS = 5, 2.5
 #: Grades 1, 2 and 3 of a toxic text: at least so many markers.
@@ -71,20 +73,25 @@ class Model:
             return 1 / (1 + np.exp(self.cuts - x[:, None]))
 
 
-def markers(texts: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
-    """The buckets that set toxic texts apart, the most telling first, bounded in number."""
-    counts = []
-    for side in (True, False):
-        held = [t for t, y in zip(texts, toxic) if y == side]
-        counts.append((len(held), *np.unique(np.concatenate(held) if held else np.zeros(0, np.int64), return_counts=True)))
-    (n1, buckets, in1), (n0, others, in0) = counts
-    at = np.searchsorted(others, buckets)
-    at[at == len(others)] = 0
-    in0 = np.where(len(others) and others[at] == buckets, in0[at], 0) if len(others) else np.zeros(len(buckets))
-    odds = np.log((in1 + 0.5) / (n1 + 1)) - np.log((in0 + 0.5) / (n0 + 1))
-    good = np.flatnonzero((in1 >= SUPPORT) & (odds >= ODDS))
-    best = good[np.lexsort((buckets[good], -odds[good] * in1[good]))][:FEATURES]
-    return np.sort(buckets[best])
+def markers(rows: DataFrame) -> np.ndarray:
+    """The buckets that set toxic texts apart among rows with `label` and `text`, the most telling first, bounded in number. Each
+    block counts its own texts before the shuffle."""
+    def step(block: Block) -> pa.RecordBatch:
+        row, buckets = features(block)
+        keys = np.unique(row << BITS | buckets)
+        toxic = block.rows.column("label").to_numpy(zero_copy_only=False).astype(bool)[keys >> BITS]
+        found, which = np.unique(keys & (1 << BITS) - 1, return_inverse=True)
+        n1 = np.bincount(which, toxic, len(found)).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(n1), pa.array(np.bincount(which, minlength=len(found)) - n1)],
+                                          names=["bucket", "n1", "n0"])
+
+    toxic, clean = rows.agg(F.count_if(F.col("label") == 1), F.count_if(F.col("label") == 0)).first()
+    share = lambda n, of: F.log((F.col(n) + 0.5) / (of + 1))
+    odds = share("n1", toxic) - share("n0", clean)
+    best = (map_blocks(rows, step, "bucket int, n1 long, n0 long").groupBy("bucket").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
+            .withColumn("odds", odds).filter((F.col("n1") >= SUPPORT) & (F.col("odds") >= ODDS))
+            .orderBy(F.desc(F.col("odds") * F.col("n1")), "bucket").limit(FEATURES))
+    return np.sort(np.array([r["bucket"] for r in best.collect()], np.int64))
 
 
 def apart(cuts: np.ndarray, gap: float) -> np.ndarray:
@@ -120,23 +127,25 @@ def fit(present: list[np.ndarray], grades: np.ndarray, buckets: np.ndarray, roun
 
 
 def train(documents: DataFrame, labels: DataFrame, rows: int = ROWS) -> Model:
+    """The sample is written to the shared folder, since it is read more than once."""
+    spark, path = documents.sparkSession, scratch_path(documents.sparkSession, "sample")
+    sample(documents.select("doc_id", "text"), labels, "toxic", rows).select("label", "text").write.parquet(path)
+    some = spark.read.parquet(path)
+    buckets = markers(some)
+    known = Model(buckets, np.zeros(len(buckets)))
+
     def step(block: Block) -> pa.RecordBatch:
-        row, buckets = features(block)
-        keys = np.unique(row << BITS | buckets)
-        ends = np.searchsorted(keys >> BITS, np.arange(len(block) + 1))
-        found = [keys[a:b] & (1 << BITS) - 1 for a, b in zip(ends[:-1], ends[1:])]
-        found = [f[np.argsort(f * 2654435761 % (1 << 32), kind="stable")][:PER_ROW].astype(np.int32).tobytes() for f in found]
+        row, index = known.present(*features(block))
+        ends = np.searchsorted(row, np.arange(len(block) + 1))
+        found = [index[a:b].astype(np.int32).tobytes() for a, b in zip(ends[:-1], ends[1:])]
         return pa.RecordBatch.from_arrays([block.rows.column("label"), pa.array(found, pa.binary())], names=["label", "found"])
 
-    some = sample(documents.select("doc_id", "text"), labels, "toxic", rows)
     got = map_blocks(some, step, "label int, found binary").toPandas()
     order = sorted(range(len(got)), key=lambda i: (got["found"][i], got["label"][i]))
     toxic = got["label"].to_numpy(bool)[order]
     if not toxic.any():
         return Model()
-    texts = [np.frombuffer(got["found"][i], np.int32).astype(np.int64) for i in order]
-    buckets = markers(texts, toxic)
-    present = [np.flatnonzero(np.isin(buckets, t)) for t in texts]
+    present = [np.frombuffer(got["found"][i], np.int32).astype(np.int64) for i in order]
     held = np.array([len(p) for p in present])
     grades = np.where(toxic, np.searchsorted(STEPS, held, "right"), 0)
     return fit(present, grades, buckets)

@@ -45,7 +45,7 @@ def test_fit_learns_pairs():
     rng = np.random.default_rng(2)
     texts = [rng.choice([1, 2], 2, replace=False)[: 1 + k % 2] for k in range(400)]
     wanted = np.array([float(len(t) == 2) for t in texts])  # only both together
-    model = factorisation.fit(texts, np.zeros((400, factorisation.STATISTICS)), wanted, 0.5)
+    model = factorisation.fit([factorisation.packed(t) for t in texts], np.zeros((400, factorisation.STATISTICS)), wanted, 0.5)
     rows = np.repeat(np.arange(400), [len(t) for t in texts])
     got = model.score(rows, np.concatenate(texts), np.zeros((400, factorisation.STATISTICS)))
     assert got[wanted == 1].min() > 0.5 > got[wanted == 0].max()
@@ -120,3 +120,38 @@ def test_sample_has_one_row_of_an_id(spark):
     assert len(got) == len({r["doc_id"] for r in got}) == 20 and set(r["label"] for r in got) == {0, 1}
     again = sample(rows.repartition(7), labels, "quality", 10).select("doc_id", "label", "text").collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, again))
+
+
+def test_buckets_are_packed_without_loss():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 100, 2047, 2048, 2049, 9000, 1 << factorisation.BITS):
+        buckets = rng.permutation(1 << factorisation.BITS)[:n]
+        data = factorisation.packed(buckets)
+        assert len(data) <= factorisation.PACKED and np.array_equal(factorisation.unpacked(data), np.sort(buckets))
+
+
+def test_markers_equal_counts_over_whole_texts(spark):
+    """A marker counts wherever it stands in a text, also behind thousands of others."""
+    rows = [(i, int(i < 8), " ".join(str((k * 7919 + i * 104729) % 1000003) for k in range(6000)) + (" fiendish" if i < 8 else " kindly") + (" vile" if i % 2 else "")) for i in range(16)]
+    some = spark.createDataFrame([(y, t) for _, y, t in rows], "label int, text string").repartition(3)
+    held = []
+    for _, y, t in rows:
+        words = set(t.lower().split())
+        held.append((y, words | {(w[:n], n) for w in words for n in severity.BEGINNINGS if len(w) > n}))
+    names = set().union(*(h for _, h in held))
+    toxic = {n: sum(n in h for y, h in held if y) for n in names}
+    clean = {n: sum(n in h for y, h in held if not y) for n in names}
+    odds = {n: np.log((toxic[n] + .5) / 9) - np.log((clean[n] + .5) / 9) for n in names}
+    want = {n for n in names if toxic[n] >= severity.SUPPORT and odds[n] >= severity.ODDS}
+    assert {"fiendish", ("fiend", 5)} <= want and len(severity.markers(some)) == len(want) < severity.FEATURES
+
+
+def test_a_marker_at_the_end_of_a_long_text_is_learned(spark):
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5][:60]
+    # Each text has over 6000 distinct words of its own, and one word that tells its label.
+    texts = {i: " ".join(f"q{i}z{k}" for k in range(6000)) + (" fiendish" if i % 2 else " kindly") for i in ids}
+    rows = documents(spark, list(texts.items()), clashing=False)
+    known = labels(spark, [(i, 1 - i % 2, i % 2) for i in ids])
+    new = documents(spark, [(1000, "a fiendish word"), (1001, "a kindly word")], clashing=False)
+    graded = {r["doc_id"]: r["toxic"] for r in severity.grade(new, severity.train(rows, known)).collect()}
+    assert graded == {1000: True, 1001: False}
