@@ -3,13 +3,14 @@
 A window is so many consecutive words. First pass: every task puts the windows of its documents into a count-min sketch, once
 for each document. A window is entered by its anchor, the least hash of the shorter runs of words in it: equal windows have
 equal anchors, and neighbouring windows mostly the same one, so that the sketch has a few times fewer entries than windows
-and its estimate is never below a window's count. The sketches of the tasks, sparse, are shuffled by slice and added up; of the sum one bit for
-each cell is kept: whether it counts two documents or more. Second pass: only windows whose cells all have that bit are
-grouped exactly, by 96 bits of hash, for their first document. Within a task, the least document of a window settles the others there,
-so that a passage of a third of all documents makes one row for each task. Third pass: covered words are removed.
+and its estimate is never below a window's count. The sketch is cut into parts by the anchor's hash. Tasks send each part
+their own sparse sketch of it; the part adds these up, and answers the documents of whose anchors it counts two or more. No
+part is sent to all, so the sketch grows with the input, a cell for every eight bytes in each of `DEPTH` rows, and estimates as
+well at any size. An anchor that several documents of a task share is answered there, and goes to its part once for the task.
 
-The sketch follows the size of the input: a cell for every eight bytes, up to 2**`most_bits` in each of `DEPTH` rows, the
-bound on what is broadcast (a bit for each). Beyond that more windows pass to the exact grouping; no result changes.
+Second pass: only windows with an answered anchor are grouped exactly, by 96 bits of hash, for their first document. Within a
+task, the least document of a window settles the others there, so that a passage of a third of all documents makes one row for
+each task. Third pass: covered words are removed. Both join the texts by the same key, for which they are shuffled once.
 
 Defined cases: a null text has no words; a text with fewer words than a window is kept; rows without an id neither remove nor lose
 words; rows with the same id do not remove each other's words; an empty table gives an empty result; extra columns are not
@@ -26,6 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 from ddlscope.llm.rules import covering
 from ddlscope.llm.texts import EXACT, Block, blocks, bound_batches, mix, ranges, returning
 
+#: Rows of the sketch, and the least bits that number the cells of a part.
 DEPTH, SLICE_BITS = 2, 16
 ANCHOR = 8
 #: Entries that a task gathers before it passes them on.
@@ -59,71 +61,112 @@ def cells(hashes: np.ndarray, row: int, bits: int) -> np.ndarray:
     return (mix(hashes, 11 + row) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def sketch(documents: DataFrame, size: int, bits: int, groups: int) -> np.ndarray:
-    """For each row of the sketch the bits of the cells that count two documents or more, packed."""
-    slices = 1 << bits - SLICE_BITS
+#: An anchor (48 bits of it) of the row of a document that has this key; and one that several rows of a task have.
+ENTRY = np.dtype([("high", "<u4"), ("low", "<u2"), ("key", "<i8")])
+SHARED = np.dtype([("high", "<u4"), ("low", "<u2")])
+ONCE, TWICE, ANSWER = range(3)
 
-    def emit(found: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        hashes = np.concatenate(found)
-        keys, once, twice = [], [], []
-        for row in range(DEPTH):
-            cell, counts = np.unique(cells(hashes, row, bits), return_counts=True)
-            part = cell >> SLICE_BITS
-            ends = np.searchsorted(part, np.arange(slices + 1))
-            offsets = (cell & (1 << SLICE_BITS) - 1).astype(np.uint16)
-            for i in np.flatnonzero(np.diff(ends)):
-                some, several = offsets[ends[i]:ends[i + 1]], counts[ends[i]:ends[i + 1]] > 1
-                keys.append(row * slices + i)
-                once.append(some[~several].tobytes())
-                twice.append(some[several].tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(np.array(keys) % groups, pa.int32()), pa.array(keys, pa.int32()), pa.array(once, pa.binary()),
-                                          pa.array(twice, pa.binary())], names=["part", "slice", "once", "twice"])
+
+def of_part(hashes: np.ndarray, salt: int, groups: int) -> np.ndarray:
+    return (mix(hashes, salt) % np.uint64(groups)).astype(np.int64)
+
+
+def written(kind: np.dtype, hashes: np.ndarray, keys: np.ndarray | None = None) -> np.ndarray:
+    rows = np.zeros(len(hashes), kind)
+    rows["high"], rows["low"] = hashes >> np.uint64(16), hashes & np.uint64(0xFFFF)
+    if keys is not None:
+        rows["key"] = keys
+    return rows
+
+
+def hashes_of(rows: np.ndarray) -> np.ndarray:
+    return rows["high"].astype(np.uint64) << np.uint64(16) | rows["low"]
+
+
+def answers(found: np.ndarray, groups: int) -> tuple[list[int], list[bytes]]:
+    """The entries of the documents of each part, written together."""
+    found = found[np.lexsort((found["low"], found["high"], found["key"]))]
+    return dealt(found, of_part(found["key"].astype(np.uint64), 22, groups), squeeze)
+
+
+def asked(documents: DataFrame, size: int, bits: int, groups: int) -> DataFrame:
+    """`of_key` and its `anchors`, those that the sketch estimates to be in two documents or more, for the keys that have any."""
+    def emit(found: list[np.ndarray], keys: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        hashes, key = np.concatenate(found), np.concatenate(keys)
+        order = np.lexsort((key, hashes))
+        hashes, key = hashes[order], key[order]
+        new = np.r_[True, (hashes[1:] != hashes[:-1]) | (key[1:] != key[:-1])]  # a repeated row counts once
+        hashes, key = hashes[new], key[new]
+        same = np.r_[False, hashes[1:] == hashes[:-1], False]
+        several = same[1:] | same[:-1]
+        shared = hashes[several & ~same[:-1]]
+        batches = [(ONCE, dealt(written(ENTRY, hashes[~several], key[~several]), of_part(hashes[~several], 21, groups), squeeze)),
+                   (TWICE, dealt(written(SHARED, shared), of_part(shared, 21, groups), squeeze)),
+                   (ANSWER, answers(written(ENTRY, hashes[several], key[several]), groups))]
+        for kind, (parts, data) in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array([kind] * len(parts), pa.int8()), pa.array(data, pa.binary())],
+                                             names=["part", "kind", "data"])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, held = [], 0
+        found, keys, held = [], [], 0
         for batch in batches:
             for block in blocks(batch):
                 begins, hashes = anchors(block, block.words(EXACT), size)
-                rows = block.row[begins]
+                rows, hashes = block.row[begins], hashes >> np.uint64(16)
                 order = np.lexsort((hashes, rows))
                 rows, hashes = rows[order], hashes[order]
                 new = np.ones(len(rows), bool)
                 new[1:] = (rows[1:] != rows[:-1]) | (hashes[1:] != hashes[:-1])
                 if new.any():
                     found.append(hashes[new])
+                    keys.append(block.rows.column("key").to_numpy()[rows[new]])
                     held += len(found[-1])
                 if held >= GATHER:
-                    yield from emit(found)
-                    found, held = [], 0
+                    yield from emit(found, keys)
+                    found, keys, held = [], [], 0
         if found:
-            yield from emit(found)
-
-    def merge(table: pa.Table) -> pa.Table:
-        keys, which = np.unique(table.column("slice").to_numpy(), return_inverse=True)
-        counts = np.zeros((len(keys), 1 << SLICE_BITS), np.uint8)
-        for i, a, b in zip(which.tolist(), table.column("once").to_pylist(), table.column("twice").to_pylist()):
-            row = counts[i]
-            a, b = np.frombuffer(a, np.uint16), np.frombuffer(b, np.uint16)
-            row[a] = np.minimum(row[a] + 1, 2)
-            row[b] = 2
-        some = (counts > 1).any(axis=1)
-        packed = np.packbits(counts[some] > 1, axis=1, bitorder="little")
-        return pa.table({"slice": pa.array(keys[some], pa.int32()), "bits": pa.array([p.tobytes() for p in packed], pa.binary())})
-
-    parts = documents.select("text").mapInArrow(returning(gather), "part int, slice int, once binary, twice binary")
-    out = np.zeros((DEPTH * slices, 1 << SLICE_BITS - 3), np.uint8)
-    for row in parts.groupBy("part").applyInArrow(merge, "slice int, bits binary").toLocalIterator():  # as large as the sketch
-        out[row["slice"]] = np.frombuffer(row["bits"], np.uint8)
-    return out.reshape(DEPTH, -1)
-
-
-def repeated(hashes: np.ndarray, packed: np.ndarray, bits: int) -> np.ndarray:
-    """Which windows the sketch estimates to be in two documents or more."""
-    hit = np.ones(len(hashes), bool)
-    for row in range(DEPTH):
-        cell = cells(hashes, row, bits)
-        hit &= packed[row][cell >> 3] >> (cell & 7).astype(np.uint8) & 1 == 1
-    return hit
+            yield from emit(found, keys)
+
+    def estimate(table: pa.Table) -> pa.Table:
+        """What came as an answer goes on; the sketches of a part are added up, and answer its entries."""
+        kinds, data = table.column("kind").to_numpy(), table.column("data").to_pylist()
+        once = np.concatenate([np.zeros(0, ENTRY), *(expand(x, ENTRY) for x, k in zip(data, kinds) if k == ONCE)])
+        twice = np.concatenate([np.zeros(0, SHARED), *(expand(x, SHARED) for x, k in zip(data, kinds) if k == TWICE)])
+        hashes, several = hashes_of(once), hashes_of(twice)
+        repeated = np.ones(len(once), bool)
+        for row in range(DEPTH):
+            at = cells(hashes, row, bits)
+            counts = np.bincount(at, minlength=1 << bits)
+            counts += 2 * np.bincount(cells(several, row, bits), minlength=1 << bits)
+            repeated &= counts[at] > 1
+        part, new = answers(once[repeated], groups)
+        new = pa.table({"part": pa.array(part, pa.int32()), "data": pa.array(new, pa.binary())})
+        return pa.concat_tables([table.filter(pa.array(kinds == ANSWER)).select(["part", "data"]), new])
+
+    def by_key(table: pa.Table) -> pa.Table:
+        rows = np.concatenate([np.zeros(0, ENTRY), *(expand(x, ENTRY) for x in table.column("data").to_pylist())])
+        hashes = hashes_of(rows)
+        order = np.lexsort((hashes, rows["key"]))
+        hashes, key = hashes[order], rows["key"][order]
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (hashes[1:] != hashes[:-1])
+        hashes, key = hashes[new], key[new]
+        heads = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+        lists = [hashes[a:b].tobytes() for a, b in zip(heads, np.r_[heads[1:], len(key)])]
+        return pa.table({"of_key": pa.array(key[heads], pa.int64()), "anchors": pa.array(lists, pa.binary())})
+
+    sent = documents.filter("doc_id IS NOT NULL").mapInArrow(returning(gather), "part int, kind tinyint, data binary")
+    answered = sent.groupBy("part").applyInArrow(estimate, "part int, data binary")
+    return answered.groupBy("part").applyInArrow(by_key, "of_key long, anchors binary")
+
+
+def among(block: Block, begins: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which windows have an anchor that their row was answered."""
+    lists = block.rows.column("anchors").to_pylist()
+    sizes = [len(x) // 8 if x else 0 for x in lists]
+    known = np.frombuffer(b"".join(x for x in lists if x), np.uint64)
+    of_row = lambda values, row: mix(values + mix(row.astype(np.uint64), 23))
+    return np.isin(of_row(hashes >> np.uint64(16), block.row[begins]), of_row(known, np.repeat(np.arange(len(lists)), sizes)))
 
 
 #: A window that still is to be settled, and a place in a document whose window has an earlier one.
@@ -186,19 +229,19 @@ def as_runs(rows: np.ndarray) -> np.ndarray:
     return out
 
 
-def squeeze(runs: np.ndarray) -> bytes:
-    raw = b"".join(np.ascontiguousarray(runs[name]).tobytes() for name in RUN.names)
-    return len(runs).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+def squeeze(rows: np.ndarray) -> bytes:
+    raw = b"".join(np.ascontiguousarray(rows[name]).tobytes() for name in rows.dtype.names)
+    return len(rows).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
-def expand(data: bytes) -> np.ndarray:
+def expand(data: bytes, kind: np.dtype) -> np.ndarray:
     n = int.from_bytes(data[:8], "little")
-    raw, at = pa.decompress(data[8:], n * RUN.itemsize, codec="zstd", asbytes=True), 0
-    runs = np.zeros(n, RUN)
-    for name in RUN.names:
-        runs[name] = np.frombuffer(raw, RUN[name], n, at)
-        at += n * RUN[name].itemsize
-    return runs
+    raw, at = pa.decompress(data[8:], n * kind.itemsize, codec="zstd", asbytes=True), 0
+    rows = np.zeros(n, kind)
+    for name in kind.names:
+        rows[name] = np.frombuffer(raw, kind[name], n, at)
+        at += n * kind[name].itemsize
+    return rows
 
 
 def dealt(items: np.ndarray, part: np.ndarray, write) -> tuple[list[int], list[bytes]]:
@@ -211,16 +254,13 @@ def dealt(items: np.ndarray, part: np.ndarray, write) -> tuple[list[int], list[b
 
 def by_document(runs: np.ndarray, groups: int) -> tuple[list[int], list[bytes]]:
     """The runs of the documents of each part, written together: some rows for a task, not for a document."""
-    part = (mix(runs["id"].astype(np.int64).view(np.uint64), 22) % np.uint64(groups)).astype(np.int64)
-    return dealt(runs, part, squeeze)
-
+    return dealt(runs, of_part(runs["key"].astype(np.uint64), 22, groups), squeeze)
 
-def places(documents: DataFrame, size: int, bits: int, packed: np.ndarray, groups: int) -> DataFrame:
-    """doc_id, key and the runs of the first words of windows that an earlier document has, one row for a document."""
-    shared = documents.sparkSession.sparkContext.broadcast(packed.tobytes())
 
+def places(documents: DataFrame, asked_of: DataFrame, size: int, groups: int) -> DataFrame:
+    """of_key and the runs of the first words of windows that an earlier document has, one row for a key."""
     def emit(found: list[np.ndarray], anchor: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        rows, part = np.concatenate(found), (mix(np.concatenate(anchor), 21) % np.uint64(groups)).astype(np.int64)
+        rows, part = np.concatenate(found), of_part(np.concatenate(anchor), 21, groups)
         order = np.lexsort((rows["at"], rows["id"], rows["b"], rows["a"]))
         rows, part = rows[order], part[order]
         _, settled = later(rows)
@@ -230,20 +270,19 @@ def places(documents: DataFrame, size: int, bits: int, packed: np.ndarray, group
                                           pa.array(runs_ + open_, pa.binary())], names=["part", "settled", "data"])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.frombuffer(shared.value, np.uint8).reshape(DEPTH, -1)
         found, anchor, held = [], [], 0
         for batch in batches:
             for block in blocks(batch):
                 words = block.words(EXACT)
                 begins, hashes = anchors(block, words, size)
-                hit = repeated(hashes, table, bits)
+                hit = among(block, begins, hashes)
                 begins, hashes = begins[hit], hashes[hit]
                 rows = np.zeros(len(begins), OPEN)
                 rows["a"] = runs(words, begins, size, FIRST)
                 rows["b"] = runs(words, begins, size, SECOND) >> np.uint64(32)
                 of = block.row[begins]
-                rows["id"] = block.rows.column("doc_id").to_numpy(zero_copy_only=False)[of]
-                rows["key"] = block.rows.column("key").to_numpy(zero_copy_only=False)[of]
+                rows["id"] = block.rows.column("doc_id").cast(pa.int64()).to_numpy(zero_copy_only=False)[of]
+                rows["key"] = block.rows.column("key").to_numpy()[of]
                 rows["at"] = begins - block.first[of]
                 found.append(rows)
                 anchor.append(hashes)
@@ -264,17 +303,17 @@ def places(documents: DataFrame, size: int, bits: int, packed: np.ndarray, group
         return pa.concat_tables([table.filter(pa.array(done)).select(["part", "data"]), new])
 
     def collect(table: pa.Table) -> pa.Table:
-        runs_ = np.concatenate([expand(x) for x in table.column("data").to_pylist()])
-        runs_ = runs_[np.lexsort((runs_["low"], runs_["key"], runs_["id"]))]
-        heads = np.flatnonzero(np.r_[True, (runs_["id"][1:] != runs_["id"][:-1]) | (runs_["key"][1:] != runs_["key"][:-1])])
-        pairs = np.column_stack([runs_["low"], runs_["high"]])
-        found = [pairs[a:b].tobytes() for a, b in zip(heads, np.r_[heads[1:], len(runs_)])]
-        return pa.table({"doc_id": pa.array(runs_["id"][heads]), "key": pa.array(runs_["key"][heads]), "runs": pa.array(found, pa.binary())})
-
-    rows = documents.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "key", "text")
-    spread = rows.mapInArrow(returning(gather), "part int, settled boolean, data binary")
+        runs_ = np.concatenate([expand(x, RUN) for x in table.column("data").to_pylist()])
+        runs_ = runs_[np.lexsort((runs_["low"], runs_["id"], runs_["key"]))]
+        heads = np.flatnonzero(np.r_[True, runs_["key"][1:] != runs_["key"][:-1]])
+        triples = np.column_stack([runs_["id"], runs_["low"], runs_["high"]])
+        found = [triples[a:b].tobytes() for a, b in zip(heads, np.r_[heads[1:], len(runs_)])]
+        return pa.table({"of_key": pa.array(runs_["key"][heads]), "runs": pa.array(found, pa.binary())})
+
+    joined = documents.join(asked_of, F.col("key") == F.col("of_key"))
+    spread = joined.select("doc_id", "key", "text", "anchors").mapInArrow(returning(gather), "part int, settled boolean, data binary")
     settled = spread.groupBy("part").applyInArrow(settle, "part int, data binary")
-    return settled.groupBy("part").applyInArrow(collect, "doc_id long, key long, runs binary")
+    return settled.groupBy("part").applyInArrow(collect, "of_key long, runs binary")
 
 
 def kept(documents: DataFrame, found: DataFrame, size: int) -> DataFrame:
@@ -282,10 +321,11 @@ def kept(documents: DataFrame, found: DataFrame, size: int) -> DataFrame:
     def step(block: Block) -> pa.RecordBatch:
         covered = np.zeros(len(block.bounds[0]), bool)
         begins = []
-        for i, parts in enumerate(block.rows.column("runs").to_pylist()):
-            if parts:
-                pairs = np.frombuffer(parts, "<i4").reshape(-1, 2).astype(np.int64)
-                begins.append(block.first[i] + ranges(pairs[:, 0], pairs[:, 1] - pairs[:, 0]))
+        for i, (parts, of) in enumerate(zip(block.rows.column("runs").to_pylist(), block.rows.column("doc_id").cast(pa.int64()).to_pylist())):
+            if parts and of is not None:
+                triples = np.frombuffer(parts, "<i8").reshape(-1, 3)
+                triples = triples[triples[:, 0] == of]  # another document may have the key
+                begins.append(block.first[i] + ranges(triples[:, 1], triples[:, 2] - triples[:, 1]))
         if begins:
             covered = covering(np.concatenate(begins), size, len(covered))
         starts, ends = (b[~covered] for b in block.bounds)
@@ -307,17 +347,16 @@ def kept(documents: DataFrame, found: DataFrame, size: int) -> DataFrame:
                 yield step(block)
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    joined = documents.join(found.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "runs"),
-                            (F.col("doc_id").cast("long") == F.col("_id")) & (F.col("key") == F.col("_key")), "left")
+    joined = documents.join(found, F.col("key") == F.col("of_key"), "left")
     return joined.select("doc_id", "text", "runs").mapInArrow(returning(run), f"doc_id {kind}, n_words long, n_removed long, text string")
 
 
 def without_repeats(documents: DataFrame, size: int = 13, most_bits: int = 29) -> DataFrame:
-    """doc_id, n_words, n_removed and the text that is left, words joined by one space, for every row (doc_id, text)."""
+    """doc_id, n_words, n_removed and the text that is left, words joined by one space, for every row (doc_id, text). The sketch
+    has a part for each 8 MB of text, so `most_bits`, the most bits that number the cells of one, bounds memory and not the sketch."""
     bound_batches(documents.sparkSession)
-    rows = documents.select("doc_id", "text", F.xxhash64("text").alias("key"))
+    rows = documents.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
     volume = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = min(most_bits, max(20, (volume // 8).bit_length()))
     groups = max(32, volume >> 23)
-    packed = sketch(rows, size, bits, groups)
-    return kept(rows, places(rows, size, bits, packed, groups), size)
+    bits = min(most_bits, max(SLICE_BITS, (volume // groups // 8).bit_length()))
+    return kept(rows, places(rows, asked(rows, size, bits, groups), size, groups), size)
