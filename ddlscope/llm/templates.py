@@ -11,8 +11,8 @@ Whether a word is a name hangs on its capital and on what stands before it, whic
 forms: with names kept as words in lower case, and, in a document, with its first word plain, as an item's first word is. A
 place matches if any form of the one equals a form of the other.
 
-A document's windows are looked up in a bitmap of the benchmark's hashes (2**`FILTER_BITS` bits whatever the benchmark's size)
-before they are shuffled for the join, which decides; a full bitmap only lets more pass.
+A document's windows are looked up in a bitmap of the benchmark's hashes before they are shuffled for the join, which decides. It
+has 64 bits or more for each hash, 2**`MOST_BITS` at most, which bounds what is broadcast; a fuller one only lets more pass.
 
 Evidence is an alignment with `need` matching windows, or all windows of a shorter item: among the windows with placeholders for
 names, or among all. A third of a window's words have to be plain, so that rows of numbers are none.
@@ -22,8 +22,8 @@ template counts if `LEAST_PLAIN` words or more are plain, and otherwise its word
 longer one, of which too few words are plain, is looked for by windows of its own values, all of which have to match.
 
 Defined cases: null or empty texts have no windows, and an item without a word or number is not looked for; null ids of
-documents are reported as such where they match; a repeated row or item counts once; an empty table gives no matches; extra columns
-are not read."""
+documents are reported as such where they match; a repeated row or item counts once; texts that share an id are checked each by
+itself, and the best match of them is reported; an empty table gives no matches; extra columns are not read."""
 
 from __future__ import annotations
 
@@ -35,9 +35,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ddlscope.llm.texts import EXACT, Block, Store, blocks, bound_batches, mix, returning
+from ddlscope.llm.texts import EXACT, Block, Store, blocks, bound_batches, mix, returning, text_key
 
-FILTER_BITS = 22
+FILTER_BITS, MOST_BITS = 22, 30
+#: The bitmap reaches the driver in pieces of 2**this bits.
+PIECE_BITS = 16
 SIZE, NEED = 8, 6
 #: A template of fewer tokens than a window says little with fewer plain words than these.
 LEAST_PLAIN = 5
@@ -202,6 +204,7 @@ def window_table(rows: DataFrame, size: int, bitmap: bytes | None = None, kinds:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store = Canonical()
         table = np.frombuffer(shared.value, np.uint8) if shared else None
+        bits = (len(table) << 3).bit_length() - 1 if shared else 0
         for batch in batches:
             for block in blocks(batch):
                 tokens = Tokens.of(block, store)
@@ -212,7 +215,7 @@ def window_table(rows: DataFrame, size: int, bitmap: bytes | None = None, kinds:
                 for found in several:
                     keep = np.arange(len(found.row))
                     if table is not None:
-                        bit = (found.hash >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+                        bit = (found.hash >> np.uint64(64 - bits)).astype(np.int64)
                         keep = np.flatnonzero(table[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)
                     if len(keep):
                         some = found[keep]
@@ -228,13 +231,19 @@ def window_table(rows: DataFrame, size: int, bitmap: bytes | None = None, kinds:
 
 
 def bitmap(hashes: DataFrame) -> bytes:
-    """A bit for each hash; at most 2**(FILTER_BITS - 6) rows reach the driver."""
-    bit = F.shiftrightunsigned("hash", 64 - FILTER_BITS)
-    words = hashes.groupBy(F.shiftright(bit, 6).alias("word")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(hash, {64 - FILTER_BITS}) & 63 as int))")).alias("bits")).collect()
-    out = np.zeros(1 << FILTER_BITS - 6, np.int64)
-    for row in words:
-        out[row["word"]] = row["bits"]
+    """A bit for each hash, of as many bits as suit their number."""
+    bits = min(MOST_BITS, max(FILTER_BITS, (64 * hashes.distinct().count()).bit_length()))
+
+    def pack(table: pa.Table) -> pa.Table:
+        some = np.zeros(1 << PIECE_BITS, np.uint8)
+        some[table.column("at").to_numpy()] = 1
+        return pa.table({"piece": table.column("piece")[:1], "bits": pa.array([np.packbits(some, bitorder="little").tobytes()], pa.binary())})
+
+    bit = F.shiftrightunsigned("hash", 64 - bits)
+    at = hashes.select(F.shiftright(bit, PIECE_BITS).cast("int").alias("piece"), bit.bitwiseAND((1 << PIECE_BITS) - 1).cast("int").alias("at")).distinct()
+    out = np.zeros((1 << bits - PIECE_BITS, 1 << PIECE_BITS - 3), np.uint8)
+    for row in at.groupBy("piece").applyInArrow(pack, "piece int, bits binary").toLocalIterator():
+        out[row["piece"]] = np.frombuffer(row["bits"], np.uint8)
     return out.tobytes()
 
 
@@ -250,7 +259,8 @@ def leaks(documents: DataFrame, benchmark: DataFrame, size: int = SIZE, need: in
                                          *(F.countDistinct(at).alias(f"n_{name}") for name, at in by.items()))
     # No more than two kinds for each length up to `size`.
     kinds = [tuple(r) for r in items.select(F.size("item_slots"), F.col("template").isNull()).distinct().collect()]
-    found = window_table(documents.select(F.col("doc_id").alias("id"), "text"), size, bitmap(items.select("hash")), kinds).drop("template")
+    # A document is its id and its text: windows of two texts do not make up one alignment.
+    found = window_table(documents.select(F.struct("doc_id", text_key().alias("text_key")).alias("id"), "text"), size, bitmap(items.select("hash")), kinds).drop("template")
     met = found.join(items, "hash").select(F.col("id").alias("doc_id"), "item_id", (F.col("at") - F.col("item_at")).alias("shift"), "item_at",
                                            "template", "slots", "item_slots")
     pair = F.arrays_zip(F.sequence("item_at", F.col("item_at") + F.size("item_slots") - 1).alias("place"), F.col("item_slots").alias("own"), F.col("slots").alias("seen"))
@@ -270,7 +280,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame, size: int = SIZE, need: in
     for name, at_least in least.items():
         enough = enough | ((F.col(f"n_{name}") > 0) & (F.col(f"by_{name}") >= at_least))
     good = checked.join(sizes, "item_id").filter(enough & (F.col("consistent") | (2 * F.col("n_same") >= F.col("n_slots"))))
-    best = good.groupBy("doc_id", "item_id", "n_windows").agg(F.max(F.struct("n_matched", "n_same", F.negative("n_slots").alias("less"), "shift")).alias("b"))
+    best = good.groupBy(F.col("doc_id.doc_id").alias("doc_id"), "item_id", "n_windows").agg(F.max(F.struct("n_matched", "n_same", F.negative("n_slots").alias("less"), "shift")).alias("b"))
     n_slots = F.negative("b.less")
     return best.select("doc_id", "item_id", F.col("n_windows").cast("long"), F.col("b.n_matched").cast("long").alias("n_matched"), n_slots.cast("long").alias("n_slots"),
                        F.col("b.n_same").cast("long").alias("n_same"),

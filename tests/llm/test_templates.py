@@ -1,3 +1,4 @@
+import numpy as np
 from ddlscope.llm import queries, templates
 from pyspark.sql import functions as F
 from tests.conftest import SMALL
@@ -68,6 +69,54 @@ def test_equals_without_the_bitmap(spark, monkeypatch):
     assert sorted(map(str, templates.leaks(rows, items(spark)).collect())) == want
 
 
+def test_texts_that_share_an_id_make_no_alignment_together(spark):
+    words = ITEM.split(" ")
+    halves = [" ".join(words[:11]), "x " * 11 + " ".join(words[11:22])]
+    rows = [(1, halves[0]), (1, halves[1]), (2, halves[0]), (3, halves[1]), (4, ITEM), (4, SAME), (4, prose(3, 40))]
+    got = templates.leaks(documents(spark, rows), items(spark)).collect()
+    assert [(r["doc_id"], r["kind"]) for r in got] == [(4, "verbatim")]
+
+
+def with_values(text, values, step=5):
+    """The text, of which every fifth word within a sentence is a number, a name, or a number and its unit, in turn."""
+    out, turn, words = [], 0, text.split()
+    for k, word in enumerate(words):
+        if k % step == step - 1 and word.isalpha() and words[k - 1].isalpha():
+            out.append(str(values[turn % 3]))
+            out += [values[3]] if turn % 3 == 2 else []
+            turn += 1
+        else:
+            out.append(word)
+    return " ".join(out)
+
+
+def test_recall_of_reparameterised_items(spark):
+    """Whole items and their first 9 words, with other numbers, names and units than the documents have."""
+    known = [(r[0], r[1]) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").select("item_id", "text").collect()]
+    cut = [(1000 + i, " ".join(t.split()[:9])) for i, t in known]
+    asked = [(i, with_values(t, (17, "Wanda", 4, "miles"))) for i, t in known + cut]
+    other = [(i, with_values(t, (230, "Ortwin", 9, "kg"))) for i, t in known + cut]
+    rows = [(i, around(t, i)) for i, t in other] + [(5000 + i, around(prose(i, 60), i)) for i in range(40)]
+    got = templates.leaks(documents(spark, rows), items(spark, asked)).collect()
+    kinds = {r["doc_id"]: r["kind"] for r in got if r["doc_id"] == r["item_id"]}
+    for some, least in ((known, 0.95), (cut, 0.9)):
+        ids = {i for i, _ in some}
+        changed = [i for (i, one), (_, two) in zip(asked, other) if i in ids and one != two]
+        assert len(changed) > 0.7 * len(ids)
+        assert sum(kinds.get(i) == "reparameterised" for i in changed) >= least * len(changed)
+        assert all(kinds.get(i) == "verbatim" for i in ids - set(changed))
+    assert not any(r["doc_id"] >= 5000 for r in got)
+
+
+def test_the_bitmap_grows_with_the_items(spark, monkeypatch):
+    hashes = spark.range(5000).selectExpr("xxhash64(id) AS hash")
+    monkeypatch.setattr(templates, "FILTER_BITS", 17)
+    packed = np.frombuffer(templates.bitmap(hashes), np.uint8)
+    assert len(packed) << 3 == 1 << 19
+    at = np.array([r[0] for r in hashes.collect()]).view(np.uint64) >> np.uint64(64 - 19)
+    assert np.flatnonzero(np.unpackbits(packed, bitorder="little")).tolist() == np.unique(at).tolist()
+
+
 def test_no_rows(spark):
     assert templates.leaks(empty(spark), items(spark)).isEmpty()
     assert templates.leaks(documents(spark), items(spark, [])).isEmpty()
