@@ -47,6 +47,21 @@ FIXTURES = {
         SELECT CAST(1 AS BIGINT) AS seq, catalog_name, schema_name, object_name, is_temporary, NOT is_materialized AS is_materialized FROM fx_views
         UNION ALL SELECT CAST(2 AS BIGINT), catalog_name, schema_name, object_name, is_temporary, is_materialized FROM fx_views
         WHERE length(object_name) % 2 = 0""",
+    # Snapshots of three days: objects come and go, and some views become materialized.
+    "fx_daily_objects": " UNION ALL ".join(f"""
+        SELECT {day} AS day, catalog_name, schema_name, object_name, is_temporary,
+          CASE WHEN table_type = 'VIEW' AND (length(object_name) + {day}) % 3 = 0 THEN 'MATERIALIZED_VIEW' ELSE table_type END AS table_type
+        FROM fx_objects WHERE (length(object_name) + {day}) % 5 <> 0""" for day in (1, 2, 3)),
+    "fx_daily_ddl": " UNION ALL ".join(f"""
+        SELECT {day} AS day, catalog_name, schema_name, object_name, CASE WHEN length(object_name) % 4 <> {day} THEN ddl || ' -- {day}' END AS ddl
+        FROM fx_ddl""" for day in (1, 2, 3)),
+    "fx_daily_selection": " UNION ALL ".join(f"""
+        SELECT {day} AS day, catalog_name, schema_name, object_name, (length(object_name) + {day}) % 2 = 0 AS selected
+        FROM fx_selection""" for day in (1, 2, 3)),
+    "fx_daily_status": """
+        SELECT DISTINCT day, catalog_name, schema_name,
+          CASE WHEN (length(schema_name) + day) % 4 = 0 THEN 'TimeoutException: ' || schema_name END AS reason FROM fx_daily_objects""",
+    "fx_daily_attempts": "SELECT *, CAST(run_id % 3 AS INT) + 1 AS day FROM fx_attempts",
     # Many short texts; object names repeat.
     "fx_bulk": """
         SELECT 'main' AS catalog_name, 's' || CAST(l_suppkey AS STRING) AS schema_name,

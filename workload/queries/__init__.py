@@ -1,3 +1,3 @@
 """Queries by area. Importing this package registers all of them."""
 
-from workload.queries import catalogs, errors, export, listing, progress, projects, selection  # noqa: F401
+from workload.queries import catalogs, daily, errors, export, listing, progress, projects, selection  # noqa: F401
