@@ -5,8 +5,10 @@ the expected severity is the sum of these probabilities. Features are the presen
 in lower case) and of their beginnings of 4 to 8 bytes, hashed. The weights are sparse: only features that set the toxic texts of
 the sample apart get one.
 
-Labels say only whether a text is toxic. A toxic text of the sample gets its grade by how many of the features that mark toxic
-texts it holds, in the steps of `STEPS`; with graded labels pass those instead (`fit`).
+Labels say only whether a text is toxic. A toxic text of the sample gets its grade from a model that has not seen it: the sample
+is cut into `FOLDS`, each is scored by a logistic regression on the labels of the others, and the scores of the toxic texts are
+cut into grades at the shares of `STEPS`. So a grade says how far a text's words are toxic by the labels of other texts; with graded
+labels pass those instead (`fit`).
 
 The model is fitted on a bounded sample (at most `ROWS` rows of each label, each with all its features). Spark counts in how many
 texts of the sample a feature stands, and picks at most `FEATURES` of them; only which of these a text holds reaches the driver,
@@ -32,8 +34,9 @@ BEGINNINGS = (4, 5, 6, 7, 8)
 ROWS, FEATURES = 4000, 512
 #: A marker occurs in so many toxic texts of the sample, and so much more often there (logarithm).
 SUPPORT, ODDS = 5, 2.5
-#: Grades 1, 2 and 3 of a toxic text: at least so many markers.
-STEPS = (0, 2, 4)
+#: Grades 1, 2 and 3 of a toxic text: above so large a share of the toxic texts.
+STEPS = (0, 1 / 3, 2 / 3)
+FOLDS = 5
 
 
 def features(block: Block) -> tuple[np.ndarray, np.ndarray]:
@@ -100,9 +103,10 @@ def apart(cuts: np.ndarray, gap: float) -> np.ndarray:
     return np.maximum.accumulate(cuts - steps) + steps
 
 
-def fit(present: list[np.ndarray], grades: np.ndarray, buckets: np.ndarray, rounds: int = 400, rate: float = 0.3, ridge: float = 1e-4) -> Model:
+def fit(present: list[np.ndarray], grades: np.ndarray, buckets: np.ndarray, rounds: int = 400, rate: float = 0.3, ridge: float = 1e-4,
+        cuts_n: int = len(STEPS)) -> Model:
     """Weights and cut points by gradient steps on the likelihood of the grades; `present` has the features of each text."""
-    n, cuts_n = len(grades), len(STEPS)
+    n = len(grades)
     rows = np.repeat(np.arange(n), [len(p) for p in present])
     index = np.concatenate(present) if n else np.zeros(0, np.int64)
     above = (grades[:, None] > np.arange(cuts_n)).astype(float)
@@ -126,6 +130,19 @@ def fit(present: list[np.ndarray], grades: np.ndarray, buckets: np.ndarray, roun
     return model
 
 
+def grades_of(present: list[np.ndarray], toxic: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+    """Grades of the texts of a sample by their label, and of toxic ones by the score that the other folds give them. A score has the
+    scale of its fold, so a text's place among the toxic ones of its fold counts; equal scores have the lower place."""
+    fold, grades = np.arange(len(toxic)) % FOLDS, np.zeros(len(toxic), np.int64)
+    for k in range(FOLDS):
+        others, mine = np.flatnonzero(fold != k), np.flatnonzero((fold == k) & toxic)
+        if len(mine):
+            model = fit([present[i] for i in others], toxic[others].astype(np.int64), buckets, rounds=150, cuts_n=1)
+            scores = np.array([model.weights[present[i]].sum() for i in mine])
+            grades[mine] = 1 + np.searchsorted(np.quantile(scores, STEPS[1:]), scores, "left")
+    return grades
+
+
 def train(documents: DataFrame, labels: DataFrame, rows: int = ROWS) -> Model:
     """The sample is written to the shared folder, since it is read more than once."""
     spark, path = documents.sparkSession, scratch_path(documents.sparkSession, "sample")
@@ -146,9 +163,7 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = ROWS) -> Model:
     if not toxic.any():
         return Model()
     present = [np.frombuffer(got["found"][i], np.int32).astype(np.int64) for i in order]
-    held = np.array([len(p) for p in present])
-    grades = np.where(toxic, np.searchsorted(STEPS, held, "right"), 0)
-    return fit(present, grades, buckets)
+    return fit(present, grades_of(present, toxic, buckets), buckets)
 
 
 def grade(documents: DataFrame, model: Model, least: float = 0.5) -> DataFrame:

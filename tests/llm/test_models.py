@@ -1,4 +1,6 @@
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -7,7 +9,7 @@ from ddlscope.llm.training import held_out, sample
 from pyspark.sql import functions as F
 from tests.llm.tables import documents, empty, prose
 
-MIDDLE = "/root/testdata/sf0.01"
+MIDDLE, LARGE = "/root/testdata/sf0.01", "/root/testdata/sf0.1"
 
 
 def labels(spark, rows):
@@ -83,6 +85,43 @@ def test_ordinal_fit_orders_the_grades():
     assert np.allclose(model.cuts / model.weights.mean(), [2, 3, 4], atol=0.3)
 
 
+def test_grades_come_from_other_folds():
+    """A text's grade does not follow from its own label, and texts with words that only toxic ones have get the greater ones."""
+    rng = np.random.default_rng(6)
+    toxic = np.arange(1000) % 2 == 0
+    rng.shuffle(toxic)
+    present = [np.flatnonzero(rng.random(8) < (np.linspace(0.5, 0.9, 8) if y else np.linspace(0.45, 0.05, 8))) for y in toxic]
+    grades = severity.grades_of(present, toxic, np.arange(8))
+    assert (grades[~toxic] == 0).all() and set(grades[toxic]) == {1, 2, 3}
+    telling = np.array([sum(np.linspace(0, 3, 8)[p]) for p in present])
+    assert np.all(np.diff([telling[grades == g].mean() for g in (1, 2, 3)]) > 1)
+    i = int(np.flatnonzero(toxic)[0])
+    flipped = toxic.copy()
+    flipped[i + severity.FOLDS] = ~flipped[i + severity.FOLDS]  # of the same fold: scores are as before
+    again = severity.grades_of(present, flipped, np.arange(8))
+    assert (np.abs(again - grades)[np.arange(1000) % severity.FOLDS == i % severity.FOLDS] > 0).mean() < 0.05
+
+
+def test_severity_ranks_held_out_rows_by_what_it_was_not_fitted_to(spark):
+    """Held against the log odds of whole words in the labelled rows, taken in plain Python."""
+    known = spark.read.parquet(f"{LARGE}/labels.parquet").dropna(subset=["toxic"])
+    rows = spark.read.parquet(f"{LARGE}/documents.parquet").select("doc_id", "text")
+    graded = queries.QUERIES["op6_severity"](spark, LARGE).select("doc_id", "severity", F.col("toxic").alias("flag"))
+    got = rows.join(known, "doc_id").join(graded, "doc_id").withColumn("out", held_out()).toPandas()
+    words = [set(re.findall(r"[^\W_]+", t.lower())) for t in got["text"].fillna("")]
+    counts, total = (Counter(), Counter()), [0, 0]
+    for w, y, out in zip(words, got["toxic"], got["out"]):
+        if not out:
+            counts[y].update(w)
+            total[y] += 1
+    odds = {w: np.log((n + 0.5) / (total[1] + 1) / (counts[0][w] + 0.5) * (total[0] + 1)) for w, n in counts[1].items()}
+    got["odds"] = [sum(odds[x] for x in w if odds.get(x, 0) > severity.ODDS and counts[1][x] >= severity.SUPPORT) for w in words]
+    out = got[got["out"]]
+    assert ((out["flag"]) == (out["toxic"] == 1)).mean() > 0.98
+    toxic = out[out["toxic"] == 1]
+    assert toxic["severity"].rank().corr(toxic["odds"].rank()) > 0.5
+
+
 def test_awkward_rows_and_no_labels(spark, made):
     none = labels(spark, [])
     rows = documents(spark)
