@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import bz2
+import gzip
+import hashlib
+import re
+import uuid
+import zlib
+from collections.abc import Callable, Iterator, Sequence
+from functools import partial
+
+import pyarrow as pa
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ddlscope.functions.ddl import export_chunk
 from ddlscope.fixed import RAW_LIMIT_BYTES, WIRE_LIMIT_BYTES
@@ -95,34 +104,108 @@ def write_packed(objects: DataFrame, path: str, limit: int = RAW_LIMIT_BYTES, ke
 
     A payload is written by one task, which its size bounds; so its compressed size is that of one stream, and exact. The manifest
     is written last: without it the export has not ended. Texts are read twice, for their sizes and to be written, and
-    shuffled to be joined to their places and once more into order."""
+    shuffled to be joined to their places and once more into order.
+
+    Payloads may be many and small. So the tasks put the files where they belong and open them again by their names: there
+    is no commit that moves each, and no listing of them, on the driver. Codecs are none, gzip, bzip2 and deflate; the path is on a
+    file system that pyarrow opens from a URI, and must be new."""
+    codec = compression.lower()
+    if codec not in _CODECS:
+        raise ValueError(f"compression {compression} is none of {', '.join(_CODECS)}")
     spark = objects.sparkSession
+    root = _new_folder(spark, f"{path}/payloads")
     named = objects.withColumn("catalog_name", F.coalesce("catalog_name", F.lit("")))
     placed = places(named, limit, keep_catalog)
     whole = with_chunk(named, keep_catalog).select(*KEYS, "chunk").join(placed, list(KEYS))
     order = ["catalog_name", "payload", "position"]
-    # The file ends each text with the line feed that joins them.
-    (whole.repartitionByRange("catalog_name", "payload").sortWithinPartitions(*order).select("catalog_name", "payload", "chunk")
-     .write.partitionBy("catalog_name", "payload").option("compression", compression).text(f"{path}/payloads"))
+    # Stated numbers of partitions are not merged by their bytes: of small payloads, the files are what takes time.
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (whole.repartitionByRange(partitions, "catalog_name", "payload").sortWithinPartitions(*order).select("catalog_name", "payload", "chunk")
+     .mapInArrow(_writing(root, codec), "payloads bigint").write.format("noop").mode("overwrite").save())
     counted = placed.groupBy("catalog_name", "payload").agg(
         F.count("*").alias("objects"), F.min("position").alias("first_position"), F.max("position").alias("last_position"),
         (F.sum(F.col("bytes") + 1) - 1).alias("raw_bytes"))
-    files = packed_files(spark, path)
-    made = (counted.withColumnRenamed("catalog_name", "_catalog").withColumnRenamed("payload", "_payload")
-            .join(files, (F.col("_catalog") == F.coalesce("catalog_name", F.lit(""))) & (F.col("_payload") == F.col("payload")), "left"))
-    manifest = made.select(
-        F.nullif("_catalog", F.lit("")).alias("catalog_name"), F.col("_payload").alias("payload"), "objects", "first_position", "last_position", "raw_bytes",
+    manifest = packed_files(counted.repartition(partitions, "catalog_name", "payload"), root, codec).select(
+        F.nullif("catalog_name", F.lit("")).alias("catalog_name"), "payload", "objects", "first_position", "last_position", "raw_bytes",
         "file_bytes", "sha256", size_verdict("raw_bytes", None, limit).alias("raw_verdict"),
         size_verdict("raw_bytes", "file_bytes", limit, WIRE_LIMIT_BYTES).alias("wire_verdict"))
     manifest.write.parquet(f"{path}/manifest")
     return spark.read.schema(manifest.schema).parquet(f"{path}/manifest")
 
 
-def packed_files(spark: SparkSession, path: str) -> DataFrame:
-    """Bytes and digest of each payload's file. A file is no larger than a payload may be, and is read by the task that digests it."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{path}/payloads")
-    folders = "/catalog_name=([^/]*)/payload=([^/]*)/[^/]*$"
-    catalog = F.url_decode(F.replace(F.regexp_extract("path", folders, 1), F.lit("+"), F.lit("%2B")))
-    return files.where(F.col("path").rlike(folders)).select(
-        F.when(catalog != _NO_NAME, catalog).alias("catalog_name"), F.regexp_extract("path", folders, 2).alias("payload"),
-        F.col("length").alias("file_bytes"), F.sha2("content", 256).alias("sha256"))
+def packed_files(payloads: DataFrame, root: str, codec: str) -> DataFrame:
+    """The payloads with the bytes and the digest of their files, null where there is none. A file is no larger than a payload may be, and is
+    read by the task that digests it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, top = fs.FileSystem.from_uri(root)
+        for batch in batches:
+            sizes, digests = [], []
+            for catalog, payload in zip(batch.column("catalog_name").to_pylist(), batch.column("payload").to_pylist()):
+                try:
+                    with files.open_input_stream(_file(top, catalog, payload, codec), compression=None) as file:
+                        content = file.read()
+                except FileNotFoundError:
+                    content = None
+                sizes.append(None if content is None else len(content))
+                digests.append(None if content is None else hashlib.sha256(content).hexdigest())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sizes, pa.int64()), pa.array(digests, pa.string())],
+                                             names=[*batch.schema.names, "file_bytes", "sha256"])
+    made = [T.StructField("file_bytes", T.LongType()), T.StructField("sha256", T.StringType())]
+    return payloads.mapInArrow(run, T.StructType([*payloads.schema, *made]))
+
+
+#: Ending and bytes of a file's only stream, at the level that Spark's writers have. The time is left out of a gzip header.
+_CODECS: dict[str, tuple[str, Callable[[bytes], bytes]]] = {
+    "none": ("", bytes), "uncompressed": ("", bytes), "gzip": (".gz", partial(gzip.compress, compresslevel=6, mtime=0)),
+    "bzip2": (".bz2", bz2.compress), "deflate": (".deflate", zlib.compress)}
+# What a writer of partitioned files escapes in the name of a folder.
+_ESCAPED = re.compile("[\x01-\x1f\"#%'*/:=?\\\\\x7f{\\[\\]^]")
+
+
+def _file(top: str, catalog: str, payload: str, codec: str) -> str:
+    """The file of a payload, in a folder of its own as a writer of partitioned files makes them."""
+    folder = _ESCAPED.sub(lambda found: f"%{ord(found[0]):02X}", catalog) or _NO_NAME
+    return f"{top}/catalog_name={folder}/payload={payload}/part-00000.txt{_CODECS[codec][0]}"
+
+
+def _new_folder(spark: SparkSession, path: str) -> str:
+    """Make a folder that must not be there yet; its full URI."""
+    made = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = made.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(made):
+        raise FileExistsError(f"{path} exists")
+    files.mkdirs(made)
+    return files.makeQualified(made).toUri().toString()
+
+
+def _writing(root: str, codec: str):
+    """A function for `mapInArrow` that writes the file of each payload from rows (catalog, payload, chunk) in order. The file ends each
+    text with the line feed that joins them. A file gets its name when it is whole, so that a task may run twice."""
+    def write(files: fs.FileSystem, path: str, content: bytes) -> None:
+        folder, _, name = path.rpartition("/")
+        files.create_dir(folder)
+        part = f"{folder}/_{uuid.uuid4().hex}-{name}"
+        with files.open_output_stream(part, compression=None) as file:
+            file.write(content)
+        try:
+            files.move(part, path)
+        except OSError:  # not every file system replaces the file of an earlier attempt
+            files.delete_file(path)
+            files.move(part, path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, top = fs.FileSystem.from_uri(root)
+        compressed = _CODECS[codec][1]
+        of, texts, done = None, [], 0
+        for batch in batches:
+            chunks = batch.column("chunk").cast(pa.large_binary()).to_pylist()
+            for *key, chunk in zip(batch.column("catalog_name").to_pylist(), batch.column("payload").to_pylist(), chunks):
+                if key != of:
+                    if of:
+                        write(files, _file(top, *of, codec), compressed(b"".join(texts)))
+                    of, texts, done = key, [], done + 1
+                texts += (chunk or b"", b"\n")
+        if of:
+            write(files, _file(top, *of, codec), compressed(b"".join(texts)))
+        yield pa.RecordBatch.from_arrays([pa.array([done], pa.int64())], names=["payloads"])
+    return run

@@ -3,7 +3,10 @@
 import gzip
 import hashlib
 import random
+from collections import Counter
+from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,3 +85,38 @@ def test_a_single_text_beyond_the_limit_is_named(spark, folder):
     found = payload.write_packed(objects, folder, 100, keep_catalog=True).orderBy("payload").collect()
     assert [(r["catalog_name"], r["objects"], r["raw_verdict"], r["wire_verdict"]) for r in found] == [
         (None, 1, "uncompressed", "uncompressed"), (None, 1, "ok", "ok")]
+
+
+@pytest.mark.parametrize("compression", ["none", "gzip", "bzip2", "deflate"])
+def test_tasks_place_a_file_by_name_for_each_payload(spark, folder, compression):
+    catalogs = ["main", "a/b c%=[x]^é'", None]
+    rows = [(c, "s", f"t{n:03}", f"CREATE TABLE t{n}" + " é" * (n % 7)) for c in catalogs for n in range(60)]
+    objects = spark.createDataFrame(rows, "catalog_name string, schema_name string, object_name string, ddl string").repartition(5)
+    path = f"{folder}/with a %20"
+    manifest = payload.write_packed(objects, path, 120, keep_catalog=True, compression=compression).collect()
+    top = Path(path) / "payloads"
+    files = [f for f in top.rglob("*") if f.is_file()]
+    # Nothing but the payloads: no checksum files, no marks of a commit, no names that a second attempt would not replace.
+    assert len(files) == len(manifest) > 100 and {f.name.split(".")[0] for f in files} == {"part-00000"} and not list(top.rglob("*.crc"))
+    digests = Counter((f.parent.name.split("=")[1], hashlib.sha256(f.read_bytes()).hexdigest(), f.stat().st_size) for f in files)
+    assert digests == Counter((r["payload"], r["sha256"], r["file_bytes"]) for r in manifest)
+    back = spark.read.schema("value string, catalog_name string, payload string").option("lineSep", "\n").text(str(top))
+    lines = Counter((r["catalog_name"], r["value"]) for r in back.collect() if r["value"].startswith("CREATE"))
+    assert lines == Counter((c, f"{d};") for c, _, _, d in rows)
+    with pytest.raises(FileExistsError):
+        payload.write_packed(objects, path, 120)
+
+
+def test_a_task_that_runs_twice_leaves_the_same_files(folder):
+    batch = pa.RecordBatch.from_pydict({"catalog_name": ["c", "c", "d"], "payload": ["0", "0", "1"], "chunk": ["x", None, "y"]})
+    write = payload._writing(f"file:{folder}", "none")
+    for _ in range(2):
+        assert sum(b.column(0)[0].as_py() for b in write(iter([batch.slice(0, 1), batch.slice(1)]))) == 2
+    files = {str(f.relative_to(folder)): f.read_bytes() for f in Path(folder).rglob("*") if f.is_file()}
+    assert files == {"catalog_name=c/payload=0/part-00000.txt": b"x\n\n", "catalog_name=d/payload=1/part-00000.txt": b"y\n"}
+
+
+def test_a_file_that_is_missing_has_no_digest(spark, folder):
+    payloads = spark.createDataFrame([("c", "0")], "catalog_name string, payload string")
+    assert [tuple(r) for r in payload.packed_files(payloads, f"file:{folder}", "gzip").collect()] == [("c", "0", None, None)]
+    assert payload.packed_files(payloads.limit(0), f"file:{folder}", "gzip").isEmpty()
