@@ -119,27 +119,31 @@ class Lattices(Store):
         after_of = np.zeros(len(data), np.int64)
         after_of[places] = after
         # All pieces from all places, longer by a byte in each step; `rank` is an edge's place among those of its own.
-        begin, state = places, self.words.next[0, data[places]].astype(np.int64)
+        step_to = self.words.next.ravel()  # a row of 256 for each node
+        begin, state = places, step_to.take(data.take(places)).astype(np.int64)
         found, size = [], 1
         degree, single = np.zeros(len(data), np.int64), np.zeros(len(data), bool)
         while len(begin):
-            live = state > 0
-            begin, state = begin[live], state[live]
-            pieces = self.words.piece[state]
-            hit = pieces >= 0
-            at = begin[hit]
-            found.append((at, at + size, pieces[hit], degree[at]))
-            degree[at] += 1
-            single[at[at + size == after_of[at]]] = True
-            more = begin + size < end_of[begin]
-            begin = begin[more]
-            state = self.words.next[state[more], data[begin + size]].astype(np.int64)
+            live = np.flatnonzero(state)
+            begin, state = begin.take(live), state.take(live)
+            pieces = self.words.piece.take(state)
+            hit = np.flatnonzero(pieces >= 0)
+            at = begin.take(hit)
+            ranks = degree.take(at)
+            found.append((at, at + size, pieces.take(hit), ranks))
+            degree[at] = ranks + 1
+            if size <= 4:  # no character has more bytes
+                single[at[at + size == after_of.take(at)]] = True
+            more = np.flatnonzero(begin + size < end_of.take(begin))
+            begin = begin.take(more)
+            state = step_to.take(state.take(more) * 256 + data.take(begin + size)).astype(np.int64)
             size += 1
         bare = places[~single[places]]  # characters without a piece: their bytes
         found.append((bare, after_of[bare], np.full(len(bare), -1, np.int32), degree[bare]))
         degree[bare] += 1
         begin, to, ids, rank = (np.concatenate(x) for x in zip(*found))
-        score = np.where(ids >= 0, self.log_p[ids], (to - begin) * self.log_p[self.words.byte_id[0]])
+        score = self.log_p.take(ids)
+        score[len(ids) - len(bare):] = (after_of[bare] - bare) * self.log_p[self.words.byte_id[0]]
         # Backward sums, the places nearest to the end of their chunk first; edges are put in place by counting.
         count = np.cumsum(head)
         level = count[end_of[places] - 1] - count[places]
@@ -147,10 +151,11 @@ class Lattices(Store):
         width = degree[places[by_level]]
         where = np.zeros(len(data), np.int64)
         where[places[by_level]] = np.cumsum(width) - width
-        order = np.empty(len(begin), np.int64)
-        order[where[begin] + rank] = np.arange(len(begin))
-        target, score = to[order], score[order]
-        last = target == np.repeat(end_of[places[by_level]], width)
+        place = where.take(begin) + rank
+        # Beyond the end of its chunk an edge meets a mass of 0, which stands after all places.
+        target, by_place = np.empty(len(begin), np.int64), np.empty(len(begin))
+        target[place] = np.where(to == end_of.take(begin), len(data), to)
+        by_place[place] = score
         heads, levels = np.cumsum(width) - width, level[by_level]
         mass = np.zeros(len(data) + 1)
         total = np.empty(len(begin))
@@ -158,19 +163,20 @@ class Lattices(Store):
         edge_at = np.r_[heads, len(begin)]
         for one, two in zip(cuts[:-1], cuts[1:]):
             low, high = edge_at[one], edge_at[two]
-            s = score[low:high] + np.where(last[low:high], 0.0, mass[target[low:high]])
+            s = by_place[low:high] + mass.take(target[low:high])
             own_heads = heads[one:two] - low
             most = np.maximum.reduceat(s, own_heads)
             mass[places[by_level[one:two]]] = most + np.log(np.add.reduceat(np.exp(s - np.repeat(most, width[one:two])), own_heads))
             total[low:high] = s
-        own = np.empty(len(begin))
-        own[order] = total
-        own -= mass[begin]
+        own = total.take(place) - mass.take(begin)
         # In order of the places; the most probable edge of a place is put first, since most draws take it.
         first = np.cumsum(degree) - degree
-        order = np.empty(len(begin), np.int64)
-        order[first[begin] + rank] = np.arange(len(begin))
-        begin, to, ids, own = begin[order], to[order], ids[order], own[order]
+        place = first.take(begin) + rank
+        found = []
+        for column in (begin, to, ids, own):
+            found.append(np.empty_like(column))
+            found[-1][place] = column
+        begin, to, ids, own = found
         if len(begin):
             some = first[places]
             best = np.maximum.reduceat(own, some)
@@ -192,25 +198,30 @@ class Lattices(Store):
         """A sampled path through each chunk: all edges, one chunk after the other, the number of each, its log probability."""
         count = np.zeros(len(chunks), np.int64)
         log_p = np.zeros(len(chunks))
-        which, at, end = np.arange(len(chunks)), self.starts[chunks], self.ends[chunks]
+        which, at, end = np.arange(len(chunks)), self.starts.take(chunks), self.ends.take(chunks)
         seed, steps, step = seeds, [], 0
         while len(which):
             u = unit(seed, step).astype(np.float32)
-            edge = self.first[at]
-            behind = np.flatnonzero(self.upto[edge] <= u)
+            edge = self.first.take(at).astype(np.int64)  # a wide index is not converted each time it is used
+            behind = np.flatnonzero(self.upto.take(edge) <= u)
             while len(behind):
                 edge[behind] += 1
-                behind = behind[self.upto[edge[behind]] <= u[behind]]
+                behind = behind[self.upto.take(edge.take(behind)) <= u.take(behind)]
             steps.append((which, edge))
-            count[which] += 1
-            log_p[which] += self.own[edge]
-            at = self.to[edge]
-            going = at < end
-            which, at, end, seed, step = which[going], at[going], end[going], seed[going], step + 1
+            # Every chunk has a first edge; those that go on are fewer.
+            if step:
+                count[which] += 1
+                log_p[which] += self.own.take(edge)
+            else:
+                count += 1
+                log_p += self.own.take(edge)
+            at = self.to.take(edge)
+            going = np.flatnonzero(at < end)
+            which, at, end, seed, step = which.take(going), at.take(going), end.take(going), seed.take(going), step + 1
         place = np.cumsum(count) - count
         out = np.empty(int(count.sum()), np.int32)
         for step, (which, edge) in enumerate(steps):
-            out[place[which] + step] = edge
+            out[place.take(which) + step] = edge
         return out, count, log_p
 
     def leaving(self, chunk: int, taken: list[np.ndarray]) -> tuple[float, np.ndarray, list[tuple]]:
@@ -265,17 +276,21 @@ class Lattices(Store):
 
     def ids(self, path: np.ndarray) -> np.ndarray:
         """The ids of the pieces of a path; a character without a piece as its bytes."""
-        ids = self.id[path]
+        return self.pieces(path)[0]
+
+    def pieces(self, path: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the pieces of paths, one after the other, and how many ids each edge has."""
+        ids = self.id.take(path)
+        width = np.ones(len(ids), np.int64)
         bare = np.flatnonzero(ids < 0)
         if not len(bare):
-            return ids
+            return ids, width
         begin = np.searchsorted(self.first, path[bare], "right") - 1
         size = self.to[path[bare]] - begin
-        width = np.ones(len(ids), np.int64)
         width[bare] = size
         out = np.repeat(ids, width)
         out[out < 0] = self.words.byte_id[self.data[ranges(begin, size)]]
-        return out
+        return out, width
 
 
 def whole(values: np.ndarray, bits: int) -> np.ndarray:
@@ -405,10 +420,9 @@ def encode(documents: DataFrame, samples: int = 3, alpha: float = 1.0, model: st
         found = sampled(block, seeds, store, samples)
         flat = [(i, r, *x) for i, row in enumerate(found) for r, x in enumerate(row)]
         edges = [x[2] for x in flat]
-        sizes = np.array([len(e) for e in edges])
-        ids = [store.ids(e) for e in edges] if (store.id[np.concatenate(edges)] < 0).any() else np.split(store.id[np.concatenate(edges)], np.cumsum(sizes)[:-1])
-        sizes = np.array([len(x) for x in ids])
-        all_ids = np.concatenate(ids).astype(np.int32)
+        all_ids, width = store.pieces(np.concatenate(edges))
+        cuts = np.cumsum([0, *map(len, edges)])
+        sizes = np.diff(np.r_[0, np.cumsum(width)][cuts])
         of = np.array([x[0] for x in flat])
         # Decoded, and compared with the bytes of the texts one after the other.
         decoded, width = words.decode(all_ids), words.sizes[all_ids]

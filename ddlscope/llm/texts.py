@@ -11,6 +11,7 @@ import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -242,10 +243,12 @@ class Store:
             self.clear()
         distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
         keys = distinct.tolist()
-        new = [i for i, k in enumerate(keys) if k not in self.at]
-        if new:
+        found = np.fromiter(map(self.at.get, keys, repeat(-1)), np.int64, len(keys))
+        new = np.flatnonzero(found < 0)
+        if len(new):
             starts, ends = (b[first[new]].tolist() for b in bounds or block.bounds)
             data, known = block.data.tobytes(), len(self.at)
             self.add([data[s:e] for s, e in zip(starts, ends)])
-            self.at.update(zip((keys[i] for i in new), range(known, known + len(new))))
-        return np.fromiter((self.at[k] for k in keys), np.int64, len(keys))[which]
+            found[new] = np.arange(known, known + len(new))
+            self.at.update(zip(distinct[new].tolist(), range(known, known + len(new))))
+        return found[which]

@@ -89,6 +89,22 @@ def test_round_trip_and_repeatability(spark):
     assert nothing == {1: (0, [], 1.0), 2: (0, [], 1.0)}
 
 
+def test_ids_of_many_paths_at_once(words):
+    """A block's paths are turned into ids together, also where some characters have no piece."""
+    texts = [" the of", " \x07 the 𒀀𒁀 of\n", "", " 𒀀", " hat"]
+    store = lattice.Lattices(words, 1.0)
+    block, = blocks(pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"]))
+    found = lattice.sampled(block, mix(np.arange(len(texts), dtype=np.uint64), 3), store, 3)
+    paths, wanted = [r[0] for row in found for r in row], [t.encode() for t, row in zip(texts, found) for _ in row]
+    assert (store.id[np.concatenate(paths)] < 0).any()
+    ids, width = store.pieces(np.concatenate(paths))
+    assert len(width) == sum(map(len, paths)) and width.sum() == len(ids) and width.max() == 4
+    ends = np.cumsum([len(p) for p in paths])
+    cuts = np.r_[0, np.cumsum(width)][np.r_[0, ends]]
+    for path, a, b, text in zip(paths, cuts, cuts[1:], wanted):
+        assert ids[a:b].tolist() == store.ids(path).tolist() and words.decode(ids[a:b]).tobytes() == text
+
+
 def test_a_low_alpha_flattens(words):
     sharp, flat = (Counter(r[0][0] for r in draw(words, " the", 400, 1, alpha)) for alpha in (1.0, 0.2))
     assert len(flat) > len(sharp)
