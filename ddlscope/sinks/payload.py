@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import bz2
-import gzip
 import hashlib
 import re
 import uuid
@@ -154,10 +153,10 @@ def packed_files(payloads: DataFrame, root: str, codec: str) -> DataFrame:
     return payloads.mapInArrow(run, T.StructType([*payloads.schema, *made]))
 
 
-#: Ending and bytes of a file's only stream, at the level that Spark's writers have. The time is left out of a gzip header.
-_CODECS: dict[str, tuple[str, Callable[[bytes], bytes]]] = {
-    "none": ("", bytes), "uncompressed": ("", bytes), "gzip": (".gz", partial(gzip.compress, compresslevel=6, mtime=0)),
-    "bzip2": (".bz2", bz2.compress), "deflate": (".deflate", zlib.compress)}
+#: Ending of a file and what compresses its only stream, at the level that Spark's writers have. A gzip header tells no time.
+_CODECS: dict[str, tuple[str, Callable | None]] = {
+    "none": ("", None), "uncompressed": ("", None), "gzip": (".gz", partial(zlib.compressobj, 6, wbits=31)),
+    "bzip2": (".bz2", bz2.BZ2Compressor), "deflate": (".deflate", zlib.compressobj)}
 # What a writer of partitioned files escapes in the name of a folder.
 _ESCAPED = re.compile("[\x01-\x1f\"#%'*/:=?\\\\\x7f{\\[\\]^]")
 
@@ -178,34 +177,45 @@ def _new_folder(spark: SparkSession, path: str) -> str:
     return files.makeQualified(made).toUri().toString()
 
 
-def _writing(root: str, codec: str):
-    """A function for `mapInArrow` that writes the file of each payload from rows (catalog, payload, chunk) in order. The file ends each
-    text with the line feed that joins them. A file gets its name when it is whole, so that a task may run twice."""
-    def write(files: fs.FileSystem, path: str, content: bytes) -> None:
+class _Stream:
+    """A file that gets its name when it is whole, so that a task may run twice."""
+
+    def __init__(self, files: fs.FileSystem, path: str, codec: Callable | None):
+        self.files, self.path, self.codec = files, path, codec() if codec else None
         folder, _, name = path.rpartition("/")
         files.create_dir(folder)
-        part = f"{folder}/_{uuid.uuid4().hex}-{name}"
-        with files.open_output_stream(part, compression=None) as file:
-            file.write(content)
+        self.part = f"{folder}/_{uuid.uuid4().hex}-{name}"
+        self.file = files.open_output_stream(self.part, compression=None, buffer_size=1 << 16)
+
+    def write(self, text: bytes) -> None:
+        self.file.write(self.codec.compress(text) if self.codec else text)
+
+    def close(self) -> None:
+        if self.codec:
+            self.file.write(self.codec.flush())
+        self.file.close()
         try:
-            files.move(part, path)
+            self.files.move(self.part, self.path)
         except OSError:  # not every file system replaces the file of an earlier attempt
-            files.delete_file(path)
-            files.move(part, path)
+            self.files.delete_file(self.path)
+            self.files.move(self.part, self.path)
+
 
+def _writing(root: str, codec: str):
+    """A function for `mapInArrow` that writes the file of each payload from rows (catalog, payload, chunk) in order. The file ends each
+    text with the line feed that joins them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, top = fs.FileSystem.from_uri(root)
-        compressed = _CODECS[codec][1]
-        of, texts, done = None, [], 0
+        of, out, done = None, None, 0
         for batch in batches:
             chunks = batch.column("chunk").cast(pa.large_binary()).to_pylist()
             for *key, chunk in zip(batch.column("catalog_name").to_pylist(), batch.column("payload").to_pylist(), chunks):
                 if key != of:
-                    if of:
-                        write(files, _file(top, *of, codec), compressed(b"".join(texts)))
-                    of, texts, done = key, [], done + 1
-                texts += (chunk or b"", b"\n")
-        if of:
-            write(files, _file(top, *of, codec), compressed(b"".join(texts)))
+                    if out:
+                        out.close()
+                    of, out, done = key, _Stream(files, _file(top, *key, codec), _CODECS[codec][1]), done + 1
+                out.write((chunk or b"") + b"\n")
+        if out:
+            out.close()
         yield pa.RecordBatch.from_arrays([pa.array([done], pa.int64())], names=["payloads"])
     return run
